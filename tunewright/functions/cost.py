@@ -1,0 +1,91 @@
+"""Workload cost formulas as expressions over literal or nested columns.
+
+A catalogue is an array<struct<name, indexes:array<string>>> in declaration
+order; the order matters because the first layout with a hit decides.
+"""
+
+from pyspark.sql import functions as F
+
+
+def catalog_literal(entries):
+    """Array literal from (name, indexes) pairs.  Callers pass bounded catalogues."""
+    if len(entries) > 2000:
+        raise ValueError("catalogue too large for a literal; split it by schema first")
+    return F.array(*[
+        F.struct(F.lit(name).alias("name"), F.array(*[F.lit(i) for i in idx]).alias("indexes"))
+        for name, idx in entries])
+
+
+def _layout_score(sql, index):
+    by_key = F.contains(sql, F.lit("where id=")) | F.contains(sql, F.lit("where id ="))
+    parts = F.split(F.replace(index, F.lit("idx_"), F.lit("")), "_")
+    hits = F.size(F.filter(parts, lambda p: F.contains(sql, p)))
+    return (F.when(index == "PRIMARY", F.when(by_key, F.lit(0.95)).otherwise(F.lit(0.0)))
+            .when(hits >= 2, F.lit(0.90)).when(hits == 1, F.lit(0.60)).otherwise(F.lit(0.0)))
+
+
+def coverage(sql, catalog, best=False):
+    """How well the existing layouts serve a statement (0 .. 0.95).
+
+    The first layout that matches at all decides; best=True takes the maximum.
+    """
+    sql = F.lower(sql)
+    scores = F.flatten(F.transform(
+        F.filter(catalog, lambda t: F.contains(sql, t["name"])),
+        lambda t: F.transform(t["indexes"], lambda i: _layout_score(sql, i))))
+    if best:
+        return F.coalesce(F.array_max(scores), F.lit(0.0))
+    useful = F.filter(scores, lambda x: x > 0)
+    return F.coalesce(F.try_element_at(useful, F.lit(1)), F.lit(0.0))
+
+
+def reduction(cov, partitioned, fresh):
+    """Share of the latency saved by layouts, partitioning and fresh statistics."""
+    part = F.when(partitioned, F.lit(0.30)).otherwise(F.lit(0.0))
+    stat = F.when(fresh, F.lit(0.05)).otherwise(F.lit(0.0))
+    return F.least(cov * F.lit(0.85) + part + stat, F.lit(0.97))
+
+
+def latency_score(effective_ms):
+    return F.greatest(F.lit(0.0), F.lit(100.0) - effective_ms / F.lit(100.0))
+
+
+def workload_score(queries, catalog, partitioned, fresh):
+    """Mean latency score of an array of queries, two digits; 0 without queries."""
+    def one(q):
+        cov = coverage(q["sql"], catalog)
+        red = reduction(cov, F.array_contains(partitioned, q["main_table"]),
+                        F.array_contains(fresh, q["main_table"]))
+        return latency_score(q["avg_ms"].cast("double") * (F.lit(1.0) - red))
+    scores = F.transform(queries, one)
+    mean = F.aggregate(scores, F.lit(0.0), lambda a, x: a + x) / F.size(queries)
+    return F.when(F.size(queries) > 0,
+                  F.round(mean.cast("decimal(18,10)"), 2).cast("double")).otherwise(F.lit(0.0))
+
+
+def rewrite_gain(new_sql, old_sql):
+    """Estimated share saved by a rewrite, at most 0.70."""
+    new, old = F.lower(new_sql), F.lower(old_sql)
+
+    def has(c, text):
+        return F.contains(c, F.lit(text))
+
+    rules = (
+        (~has(new, "select *") & has(old, "select *"), "0.20"),
+        (has(new, "limit ") & ~has(old, "limit "), "0.15"),
+        (has(new, "exists") & has(old, "in (select"), "0.25"),
+        (has(new, "inner join") & has(old, ",") & ~has(old, "join"), "0.30"),
+        (has(new, "where") & ~has(old, "where"), "0.35"),
+        (has(new, "coalesce"), "0.05"),
+    )
+    dec = "decimal(4,2)"
+    gain = F.lit("0").cast(dec)
+    for rule, value in rules:
+        gain = gain + F.when(rule, F.lit(value).cast(dec)).otherwise(F.lit("0").cast(dec))
+    return F.least(gain, F.lit("0.70").cast("decimal(10,2)")).cast(dec)
+
+
+def rewritten_ms(ms, gain):
+    """Whole milliseconds after the rewrite, never under 10."""
+    kept = F.lit("1").cast("decimal(4,2)") - gain
+    return F.greatest(F.lit(10), F.floor(ms * kept)).cast("bigint")
