@@ -22,11 +22,8 @@ def with_similarity(df, submitted, expected, out="similarity"):
     s, e, sw, ew = (F.col(c) for c in ("_s", "_e", "_sw", "_ew"))
     df = df.select("*", normalize(submitted).alias("_s"), normalize(expected).alias("_e"))
     df = df.select("*", words(s).alias("_sw"), words(e).alias("_ew"),
-                   reduce(lambda a, b: a + b, [
-                       F.contains(e, F.lit(k)).cast("int") for k in dims.CRITICAL_KEYWORDS]).alias("_wanted"),
-                   reduce(lambda a, b: a + b, [
-                       (F.contains(e, F.lit(k)) & F.contains(s, F.lit(k))).cast("int")
-                       for k in dims.CRITICAL_KEYWORDS]).alias("_found"))
+                   count_hits(["_e"], dims.CRITICAL_KEYWORDS).alias("_wanted"),
+                   count_hits(["_e", "_s"], dims.CRITICAL_KEYWORDS).alias("_found"))
     overlap = F.size(F.array_intersect(sw, ew)) / F.size(ew)
     recall = F.when(F.col("_wanted") > 0, F.col("_found") / F.col("_wanted")).otherwise(F.lit(0.0))
     mixed = round4(overlap * F.lit(0.4) + recall * F.lit(0.6)).cast("double")
@@ -38,7 +35,7 @@ def error_type_credit(submitted, expected):
     s = F.lower(strip(F.coalesce(submitted, F.lit(""))))
     e = F.lower(strip(expected))
     related = reduce(lambda a, b: a | b, [
-        (e == kind) & reduce(lambda x, y: x | y, [F.contains(s, F.lit(a)) for a in aliases])
+        (e == kind) & F.regexp_like(s, F.lit("|".join(aliases)))
         for kind, aliases in dims.ERROR_TYPE_ALIASES.items()])
     return (F.when(F.coalesce(submitted, F.lit("")) == "", F.lit(0.0))
             .when(s == e, F.lit(0.10)).when(related, F.lit(0.05)).otherwise(F.lit(0.0)))
@@ -46,13 +43,11 @@ def error_type_credit(submitted, expected):
 
 def location_credit(submitted, expected):
     """0.15 for the same place, else up to 0.10 for shared words."""
-    s = F.lower(strip(F.coalesce(submitted, F.lit(""))))
-    e = F.lower(strip(F.coalesce(expected, F.lit(""))))
-    ew = words(e)
-    overlap = F.size(F.array_intersect(words(s), ew)) / F.size(ew)
+    ew = words(normalize(expected))
+    overlap = F.size(F.array_intersect(words(normalize(submitted)), ew)) / F.size(ew)
     missing = (F.coalesce(submitted, F.lit("")) == "") | (F.coalesce(expected, F.lit("")) == "")
     return (F.when(missing, F.lit(0.0))
-            .when(s == e, F.lit(0.15))
+            .when(F.lower(strip(submitted)) == F.lower(strip(expected)), F.lit(0.15))
             .when(F.size(ew) == 0, F.lit(0.0))
             .otherwise(round4(overlap * F.lit(0.10)).cast("double")))
 
@@ -94,21 +89,22 @@ def total(*parts):
     return clamp(reduce(lambda a, b: a + b, [p.cast("decimal(18,4)") for p in parts])).cast("double")
 
 
-def concept_credit(issue_type, text):
-    """Phrases of the first concept whose word occurs in the issue type."""
-    issue = F.lower(F.coalesce(issue_type, F.lit("")))
+def concept_credit(issue, text):
+    """Phrases of the first concept whose word occurs in the issue type.
+
+    issue and text name lower-cased text columns.
+    """
     out = F.lit(0.0)
     for keys, phrases in reversed(dims.CONCEPTS):
-        applies = reduce(lambda a, b: a | b, [F.contains(issue, F.lit(k)) for k in keys])
-        credit = F.least(count_hits(text, phrases) * F.lit(0.06), F.lit(0.30))
-        out = F.when(applies, credit).otherwise(out)
+        applies = count_hits([issue], keys) > 0
+        out = F.when(applies, F.least(count_hits([text], phrases) * F.lit(0.06), F.lit(0.30))).otherwise(out)
     return out
 
 
 def logic_credit(error_type, text):
-    low = F.lower(text)
-    hits = (F.when(error_type == "performance", count_hits(low, dims.PERFORMANCE_KEYWORDS))
-            .otherwise(count_hits(low, dims.LOGIC_KEYWORDS)))
+    """Technical terms in the lower-cased text column."""
+    hits = (F.when(error_type == "performance", count_hits([text], dims.PERFORMANCE_KEYWORDS))
+            .otherwise(count_hits([text], dims.LOGIC_KEYWORDS)))
     return F.least(hits * F.lit(0.05), F.lit(0.20))
 
 
@@ -127,15 +123,14 @@ def _easy():
 def _medium():
     c = F.col
     return total(ladder(c("_sim_fix"), dims.FIX_LADDER["medium"]),
-                 logic_credit(c("want_type"), c("_text")),
+                 logic_credit(c("want_type"), "_text"),
                  c("_location"), c("_explained"), c("_confident"), longer_than(c("impact"), 20, 0.05))
 
 
 def _hard():
     c = F.col
-    said = F.lower(F.concat_ws(" ", c("_text"), F.coalesce(c("optimization_type"), F.lit(""))))
     return total(ladder(c("_sim_opt"), dims.FIX_LADDER["hard"]),
-                 concept_credit(c("want_issue"), said),
+                 concept_credit("_issue", "_said"),
                  c("_explained"),
                  longer_than(c("root_cause"), 30, 0.10),
                  longer_than(c("expected_improvement"), 20, 0.10),
@@ -152,7 +147,9 @@ def with_case_grade(df, out="grade"):
     c = F.col
     df = with_similarity(df, first_text(c("fixed_query"), c("optimized_query")), c("want_query"), "_sim_fix")
     df = with_similarity(df, first_text(c("optimized_query"), c("fixed_query")), c("want_query"), "_sim_opt")
-    df = df.select("*", F.coalesce(c("explanation"), F.lit("")).alias("_text"),
+    text = F.lower(F.coalesce(c("explanation"), F.lit("")))
+    df = df.select("*", text.alias("_text"), F.lower(F.coalesce(c("want_issue"), F.lit(""))).alias("_issue"),
+                   F.concat_ws(" ", text, F.lower(F.coalesce(c("optimization_type"), F.lit("")))).alias("_said"),
                    location_credit(c("error_location"), c("want_location")).alias("_location"),
                    explanation_credit(c("explanation")).alias("_explained"),
                    confidence_credit(c("confidence")).alias("_confident"),

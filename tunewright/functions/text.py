@@ -2,23 +2,30 @@
 
 from pyspark.sql import functions as F
 
+from tunewright.dims import quote
+
 # Unicode white space, one class that Java and RE2 both accept.
 BLANK = r"[\s\x0b\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
+BLANK_CHARS = "".join(chr(x) for x in (
+    *range(0x09, 0x0e), *range(0x1c, 0x21), 0x85, 0xa0, 0x1680, *range(0x2000, 0x200b),
+    0x2028, 0x2029, 0x202f, 0x205f, 0x3000))
+
+
 def strip(c):
-    return F.regexp_replace(c, f"^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(c, F.lit(BLANK_CHARS))
 
 
 def normalize(c):
     """Lower case, trimmed, runs of blanks collapsed; NULL becomes ''."""
-    c = F.coalesce(c, F.lit(""))
-    return F.regexp_replace(F.lower(strip(c)), f"{BLANK}+", " ")
+    plain = F.translate(F.lower(F.coalesce(c, F.lit(""))), BLANK_CHARS, " " * len(BLANK_CHARS))
+    return F.trim(F.regexp_replace(plain, " {2,}", " "))
 
 
 def words(c):
-    """Distinct blank-separated words of already lower-cased text."""
-    return F.array_remove(F.array_distinct(F.split(c, f"{BLANK}+")), "")
+    """Distinct words of normalised text."""
+    return F.array_remove(F.array_distinct(F.split(c, " ")), "")
 
 
 def fingerprint(c):
@@ -27,10 +34,11 @@ def fingerprint(c):
     return F.regexp_replace(no_strings, "[0-9]+", "?")
 
 
-def count_hits(text, needles):
-    """How many of the given phrases occur in the text."""
-    hits = [F.contains(text, F.lit(n)).cast("int") for n in needles]
-    return sum(hits[1:], hits[0])
+def count_hits(columns, phrases):
+    """How many of the phrases occur in all of the named text columns."""
+    def hit(phrase):
+        return " AND ".join(f"contains({c}, {quote(phrase)})" for c in columns)
+    return F.expr(" + ".join(f"CAST({hit(p)} AS INT)" for p in phrases))
 
 
 def round4(c):

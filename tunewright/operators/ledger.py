@@ -41,8 +41,8 @@ def with_grade(steps):
     The answer of a step is derived from its event; the case belongs to the user.
     """
     graded = F.col("action_type").isin(*dims.GRADE_SHARE)
-    answer = steps.withColumn("user_id", F.col("episode_id")).selectExpr(
-        *steps.columns, *[x for x in views.CASE_SUBMISSION if x not in ("event_id", "user_id", "ts")])
+    made = [x for x in views.CASE_SUBMISSION if x not in ("event_id", "user_id", "ts")]
+    answer = steps.withColumn("user_id", F.when(graded, F.col("episode_id"))).selectExpr(*steps.columns, *made)
     pick = f"episode_id % {len(dims.CASES)}"
     want = {"want_query": "fixed_query", "want_location": "error_location",
             "want_type": "error_type", "want_issue": "issue_type"}
@@ -175,12 +175,16 @@ def steps_of(spark, sf_dir):
     return table(spark, sf_dir, "events").selectExpr(*views.EPISODE_STEP)
 
 
+NEED_GRADE = {"grade", "grader_part", "efficiency_bonus", "done", "reward", "total_reward"}
+AMOUNTS = set(PARTS) | {"perf_score", "baseline", "delta", "grade", "reward", "total_reward", "best_perf"}
+
+
 def _ledger_query(*columns, alive=False):
     def run(spark, sf_dir):
-        rows = (live if alive else ledger)(steps_of(spark, sf_dir))
+        graded = alive or not NEED_GRADE.isdisjoint(columns)
+        rows = (live if alive else ledger)(steps_of(spark, sf_dir), graded=graded)
         return rows.select("episode_id", "event_id", "step_no",
-                           *[dbl(F.col(c), c) if rows.schema[c].dataType.typeName() == "decimal"
-                             else F.col(c) for c in columns])
+                           *[dbl(F.col(c), c) if c in AMOUNTS else F.col(c) for c in columns])
     return run
 
 
@@ -237,7 +241,7 @@ def run_score(spark, sf_dir):
 
 def best_so_far(spark, sf_dir):
     """Running best score and whether the target is met."""
-    rows = ledger(steps_of(spark, sf_dir))
+    rows = ledger(steps_of(spark, sf_dir), graded=False)
     return rows.select("episode_id", "event_id", "step_no", dbl(F.col("best_perf"), "best_score"),
                        (F.col("perf_score") >= dims.DEFAULT_TARGET).alias("target_reached"))
 

@@ -20,6 +20,9 @@ def local_session(cores=8, app="tunewright", memory="8g", shuffle=None):
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.driver.memory", memory)
                .config("spark.ui.enabled", "false")
+               .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
+               .config("spark.sql.files.openCostInBytes", "262144")
+               .config("spark.python.sql.dataFrameDebugging.enabled", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle or cores)))
     for key, value in _DEFAULTS.items():
         builder = builder.config(key, value)
