@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("ledger", "corpus")
+MODULES = ("ledger", "corpus", "curriculum")
 
 
 def oracles():
