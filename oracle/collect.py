@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("ledger", "corpus", "curriculum")
+MODULES = ("ledger", "corpus", "curriculum", "workload")
 
 
 def oracles():
