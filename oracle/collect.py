@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("ledger", "corpus", "curriculum", "workload", "grading", "metrics")
+MODULES = ("ledger", "corpus", "curriculum", "workload", "grading", "metrics", "preparation")
 
 
 def oracles():
