@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("ledger", "corpus", "curriculum", "workload", "grading", "metrics", "preparation")
+MODULES = ("ledger", "corpus", "curriculum", "workload", "grading", "metrics", "preparation", "layout")
 
 
 def oracles():

@@ -8,8 +8,8 @@ _ALL = "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY o_orderpriori
 
 
 def _diff(wrong, right):
-    return (f"SELECT *, 'missing' AS side FROM (({right}) EXCEPT ALL ({wrong})) UNION ALL "
-            f"SELECT *, 'extra' AS side FROM (({wrong}) EXCEPT ALL ({right}))")
+    return (f"SELECT *, 'missing' AS side, count(*) AS copies FROM (({right}) EXCEPT ALL ({wrong})) GROUP BY ALL UNION ALL "
+            f"SELECT *, 'extra' AS side, count(*) AS copies FROM (({wrong}) EXCEPT ALL ({right})) GROUP BY ALL")
 
 
 EVENT = "event_id, user_id, event_type, value"

@@ -154,3 +154,12 @@ def score_step(state, action, perf, grade, rules):
     done = terminal or step >= 50 or (grade or 0) >= SCALE or perf >= rules["target"]
     state[:] = [step, run, base, perf, best_gain, state[5] + reward, done, action]
     return reward
+
+
+def json_documents(batches):
+    """One JSON array document per Arrow batch of single-row JSON texts."""
+    import pandas as pd
+
+    for pdf in batches:
+        if len(pdf):
+            yield pd.DataFrame({"value": ["[" + ",".join(pdf["row"]) + "]"]})

@@ -129,9 +129,15 @@ def top_three(spark, sf_dir):
 
 
 def result_diff(wrong, right):
-    """Rows that only one of two results has, with their side."""
-    return (right.exceptAll(wrong).withColumn("side", F.lit("missing"))
-            .unionByName(wrong.exceptAll(right).withColumn("side", F.lit("extra"))))
+    """Rows that only one of two results has, their side and how many copies.
+
+    Signed counts per distinct row: one shuffle, copies combined map-side.
+    """
+    both = (right.withColumn("sign", F.lit(1).cast("bigint"))
+            .unionByName(wrong.withColumn("sign", F.lit(-1).cast("bigint"))))
+    net = both.groupBy(*right.columns).agg(F.sum("sign").alias("net")).where("net <> 0")
+    return net.select(*right.columns, F.when(F.col("net") > 0, "missing").otherwise("extra").alias("side"),
+                      F.abs("net").alias("copies"))
 
 
 def buggy_versus_fixed(spark, sf_dir):

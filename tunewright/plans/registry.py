@@ -2,7 +2,8 @@
 
 from importlib import import_module
 
-MODULES = ("ledger", "corpus", "curriculum", "workload", "grading", "metrics", "validation", "preparation")
+MODULES = ("ledger", "corpus", "curriculum", "workload", "grading", "metrics", "validation", "preparation",
+           "datasets", "layout")
 
 
 def queries():
