@@ -3,7 +3,7 @@
 from importlib import import_module
 
 MODULES = ("ledger", "corpus", "curriculum", "workload", "grading", "metrics", "validation", "preparation",
-           "datasets", "layout")
+           "datasets", "layout", "synthesis")
 
 
 def queries():
