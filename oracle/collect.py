@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("ledger", "corpus", "curriculum", "workload", "grading", "metrics", "preparation", "layout", "synthesis")
+MODULES = ("ledger", "corpus", "curriculum", "workload", "grading", "metrics", "preparation", "layout", "synthesis", "streaming")
 
 
 def oracles():

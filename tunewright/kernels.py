@@ -163,3 +163,77 @@ def json_documents(batches):
     for pdf in batches:
         if len(pdf):
             yield pd.DataFrame({"value": ["[" + ",".join(pdf["row"]) + "]"]})
+
+
+def earliest(chunks, order, limit=None):
+    """Rows of one key in order; with a limit at most that many are kept at any time."""
+    import pandas as pd
+
+    kept = None
+    for pdf in chunks:
+        kept = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
+        if limit is not None and len(kept) > limit:
+            kept = kept.sort_values(order).head(limit)
+    return kept if kept is None else kept.sort_values(order)
+
+
+def step_processor(rules):
+    """Stateful processor: scores the steps of one episode as they arrive."""
+    from pyspark.sql.streaming import StatefulProcessor
+
+    class StepProcessor(StatefulProcessor):
+        def init(self, handle):
+            self.state = handle.getValueState(
+                "episode", "steps int, run int, baseline bigint, prev bigint, best bigint, total bigint, "
+                           "done boolean, last string")
+
+        def handleInputRows(self, key, rows, timer_values):
+            import pandas as pd
+
+            state = list(self.state.get()) if self.state.exists() else [0, 0, 0, 0, None, 0, False, None]
+            if state[6]:
+                return
+            out = []
+            for row in earliest(rows, ["ts", "event_id"], 50 - state[0]).itertuples(index=False):
+                grade = None if pd.isna(row.grade) else int(row.grade)
+                reward = score_step(state, row.action_type, int(row.perf), grade, rules)
+                out.append((key[0], row.event_id, state[0], reward / SCALE, state[5] / SCALE, state[6]))
+                if state[6]:
+                    break
+            self.state.update(tuple(state))
+            yield pd.DataFrame(out, columns=["episode_id", "event_id", "step_no", "reward", "total_reward", "done"])
+
+        def close(self):
+            pass
+
+    return StepProcessor()
+
+
+def tier_processor(up, down, size):
+    """Stateful processor: tier of one learner after each score (integers in 1/10000)."""
+    from pyspark.sql.streaming import StatefulProcessor
+
+    class TierProcessor(StatefulProcessor):
+        def init(self, handle):
+            self.state = handle.getValueState("learner", "recent array<bigint>, tier int, episodes bigint")
+
+        def handleInputRows(self, key, rows, timer_values):
+            import pandas as pd
+
+            recent, tier, episodes = self.state.get() if self.state.exists() else ([], 0, 0)
+            recent, out = list(recent), []
+            for row in earliest(rows, ["ts", "event_id"]).itertuples(index=False):
+                recent, episodes = (recent + [int(row.score)])[-size:], episodes + 1
+                if len(recent) == size:
+                    if sum(recent) >= up * size:
+                        tier = min(3, tier + 1)
+                    elif sum(recent) < down * size:
+                        tier = max(0, tier - 1)
+                out.append((key[0], row.event_id, episodes, tier))
+            self.state.update((recent, tier, episodes))
+            yield pd.DataFrame(out, columns=["learner_id", "event_id", "episode_no", "tier"])
+
+        def close(self):
+            pass
+
+    return TierProcessor()

@@ -2,14 +2,17 @@
 
 from importlib import import_module
 
-MODULES = ("ledger", "corpus", "curriculum", "workload", "grading", "metrics", "validation", "preparation",
-           "datasets", "layout", "synthesis")
+MODULES = (
+    "operators.ledger", "operators.corpus", "operators.curriculum", "operators.workload", "operators.grading",
+    "operators.metrics", "operators.validation", "operators.preparation", "operators.datasets",
+    "operators.layout", "operators.synthesis", "streaming.episodes",
+)
 
 
 def queries():
     found = {}
     for name in MODULES:
-        for key, run in import_module(f"tunewright.operators.{name}").QUERIES.items():
+        for key, run in import_module(f"tunewright.{name}").QUERIES.items():
             if key in found:
                 raise KeyError(f"two queries are named {key}")
             found[key] = run
