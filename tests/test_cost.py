@@ -1,0 +1,56 @@
+"""The cost formulas reproduce the published gains of the sample scenarios."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tunewright import dims
+from tunewright.functions import cost
+
+# scenario -> gain of three wanted indexes plus fresh statistics on the first table
+GAINS = {"easy_s001": 11.20, "easy_s002": 28.53, "easy_s005": 17.93, "medium_s003": 58.03, "hard_s001": 44.38, "hard_s005": 42.98}
+BASE = {"easy_s001": 80.0, "easy_s002": 65.0, "easy_s005": 78.0, "medium_s003": 5.0, "hard_s001": 0.0, "hard_s005": 0.0}
+
+
+def with_hints(s, n=3):
+    layouts = {t[0]: list(t[2]) for t in s["tables"]}
+    for table, cols in s["hints"][:n]:
+        layouts[table].append("idx_" + "_".join(cols))
+    return cost.catalog_literal([(t, tuple(i)) for t, i in layouts.items()])
+
+
+@pytest.mark.parametrize("s", dims.SCENARIOS, ids=lambda s: s["id"])
+def test_published_gains(spark, s):
+    row = dims.scenario_table(spark, [s])
+    none = F.array().cast("array<string>")
+    first = F.array(F.lit(s["tables"][0][0]))
+    useless = cost.catalog_literal([(t[0], t[2] + ("idx_phone",) if i == 0 else t[2]) for i, t in enumerate(s["tables"])])
+    got = row.select(cost.workload_score(F.col("queries"), F.col("tables"), none, none).alias("base"),
+                     cost.workload_score(F.col("queries"), with_hints(s), none, first).alias("best"),
+                     cost.workload_score(F.col("queries"), useless, none, none).alias("phone")).first()
+    assert got.base == BASE[s["id"]]
+    assert round(got.best - got.base, 2) == GAINS[s["id"]]
+    assert got.phone == got.base
+
+
+def test_first_match_versus_best(spark):
+    sql = "SELECT c.*, COUNT(t.id) FROM customers c, transactions t WHERE c.id = t.customer_id AND t.amount > ? GROUP BY c.id"
+    cat = cost.catalog_literal([("transactions", ("PRIMARY", "idx_account_id_status_created_at", "idx_customer_id_amount"))])
+    got = spark.range(1).select(cost.coverage(F.lit(sql), cat).alias("first"), cost.coverage(F.lit(sql), cat, best=True).alias("best")).first()
+    assert (got.first, got.best) == (0.60, 0.90)
+
+
+@pytest.mark.parametrize("new,old,gain,ms", [
+    ("SELECT id FROM a", "SELECT * FROM a", 0.20, 800),
+    ("SELECT id FROM a WHERE x = 1 LIMIT 5", "SELECT * FROM a", 0.70, 300),
+    ("SELECT a.id FROM a INNER JOIN b ON a.id = b.id", "SELECT a.id FROM a, b", 0.30, 700),
+    ("SELECT 1", "SELECT 1", 0.0, 1000),
+])
+def test_rewrite_gain(spark, new, old, gain, ms):
+    g = cost.rewrite_gain(F.lit(new), F.lit(old))
+    got = spark.range(1).select(g.cast("double").alias("g"), cost.rewritten_ms(F.lit(1000), g).alias("ms")).first()
+    assert (got.g, got.ms) == (gain, ms)
+
+
+def test_catalogue_size_is_checked():
+    with pytest.raises(ValueError):
+        cost.catalog_literal([(f"t{i}", ("PRIMARY",)) for i in range(3000)])

@@ -165,16 +165,25 @@ def json_documents(batches):
             yield pd.DataFrame({"value": ["[" + ",".join(pdf["row"]) + "]"]})
 
 
-def earliest(chunks, order, limit=None):
-    """Rows of one key in order; with a limit at most that many are kept at any time."""
+def first_rows(chunks, order, limit):
+    """The first `limit` rows of one key; never holds more than a chunk beyond that."""
     import pandas as pd
 
     kept = None
     for pdf in chunks:
         kept = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
-        if limit is not None and len(kept) > limit:
-            kept = kept.sort_values(order).head(limit)
-    return kept if kept is None else kept.sort_values(order)
+        kept = kept.sort_values(order).head(limit)
+    return kept
+
+
+def in_order(chunks, order, columns):
+    """Named integer columns of one key's rows in this batch as sorted arrays (8 bytes a value)."""
+    import numpy as np
+
+    parts = [[pdf[c].to_numpy() for c in (*order, *columns)] for pdf in chunks]
+    joined = [np.concatenate(p) for p in zip(*parts)]
+    by = np.lexsort(tuple(reversed(joined[:len(order)])))
+    return [c[by] for c in joined]
 
 
 def step_processor(rules):
@@ -194,7 +203,7 @@ def step_processor(rules):
             if state[6]:
                 return
             out = []
-            for row in earliest(rows, ["ts", "event_id"], 50 - state[0]).itertuples(index=False):
+            for row in first_rows(rows, ["ts", "event_id"], 50 - state[0]).itertuples(index=False):
                 grade = None if pd.isna(row.grade) else int(row.grade)
                 reward = score_step(state, row.action_type, int(row.perf), grade, rules)
                 out.append((key[0], row.event_id, state[0], reward / SCALE, state[5] / SCALE, state[6]))
@@ -221,17 +230,20 @@ def tier_processor(up, down, size):
             import pandas as pd
 
             recent, tier, episodes = self.state.get() if self.state.exists() else ([], 0, 0)
-            recent, out = list(recent), []
-            for row in earliest(rows, ["ts", "event_id"]).itertuples(index=False):
-                recent, episodes = (recent + [int(row.score)])[-size:], episodes + 1
+            recent = list(recent)
+            _, events, scores = in_order(rows, ["us", "event_id"], ["score"])
+            tiers = []
+            for score in scores:
+                recent = (recent + [int(score)])[-size:]
                 if len(recent) == size:
                     if sum(recent) >= up * size:
                         tier = min(3, tier + 1)
                     elif sum(recent) < down * size:
                         tier = max(0, tier - 1)
-                out.append((key[0], row.event_id, episodes, tier))
-            self.state.update((recent, tier, episodes))
-            yield pd.DataFrame(out, columns=["learner_id", "event_id", "episode_no", "tier"])
+                tiers.append(tier)
+            self.state.update((recent, tier, episodes + len(tiers)))
+            yield pd.DataFrame({"learner_id": key[0], "event_id": events,
+                                "episode_no": range(episodes + 1, episodes + len(tiers) + 1), "tier": tiers})
 
         def close(self):
             pass

@@ -32,9 +32,25 @@ def clustered_copy(df, path, columns, files=64, tie=None):
     df.repartitionByRange(files, *keys).sortWithinPartitions(*keys).write.parquet(path)
 
 
-def bucketed_copy(df, name, path, columns, buckets=8):
-    """Catalogue table bucketed and sorted by the join columns."""
-    df.write.bucketBy(buckets, *columns).sortBy(*columns).option("path", path).saveAsTable(name)
+def bucketed_pair(fact, dim, fact_key, dim_key, row_key, names, paths, buckets=8, salts=16):
+    """Catalogue tables bucketed alike, to be joined on (key, salt) without an exchange.
+
+    A key above 1/(4 * buckets) of the fact rows would fill a bucket.  At most
+    4 * buckets such keys exist; their fact rows are spread over `salts` buckets
+    by row key and their dimension rows repeated for each salt.
+    """
+    counts = fact.groupBy(fact_key).agg(F.count(F.lit(1)).alias("n"))
+    limit = counts.agg(F.sum("n") / F.lit(4.0 * buckets)).scalar()
+    hot = F.broadcast(counts.where(F.col("n") > limit).select(F.col(fact_key).alias("hot_key")))
+    is_hot = F.col("hot_key").isNotNull()
+    salted = (fact.join(hot, F.col(fact_key) == F.col("hot_key"), "left")
+              .withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64(row_key), F.lit(salts))).otherwise(F.lit(0)).cast("int"))
+              .drop("hot_key"))
+    spread = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = (dim.join(hot, F.col(dim_key) == F.col("hot_key"), "left")
+                .withColumn("salt", F.explode(spread)).drop("hot_key"))
+    for df, key, name, path in ((salted, fact_key, names[0], paths[0]), (repeated, dim_key, names[1], paths[1])):
+        df.write.bucketBy(buckets, key, "salt").sortBy(key, "salt").option("path", path).saveAsTable(name)
 
 
 def drop_copy(spark, name):
@@ -52,15 +68,22 @@ def column_profile(df, columns):
     """Rows, nulls, distinct values, minimum and maximum per column, exact.
 
     Values are reduced to one row per (column, value) before the shuffle and
-    counted from there: no distinct-expansion of the whole table.
+    counted from there; the extremes are typed and need no shuffle of rows.
     """
+    ends = df.agg(*[F.struct(F.min(c).cast("string").alias("lo"), F.max(c).cast("string").alias("hi")).alias(c)
+                    for c in columns])
+    ends = ends.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"{c}.lo").alias("min_value"), F.col(f"{c}.hi").alias("max_value"))
+        for c in columns])).alias("x")).select("x.*")
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in columns])).alias("x")).select("x.*")
     per = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
-    return per.groupBy("column_name").agg(
+    counts = per.groupBy("column_name").agg(
         F.sum("n").alias("row_count"),
         F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
-        F.count("v").alias("distinct_values"), F.min("v").alias("min_value"), F.max("v").alias("max_value"))
+        F.count("v").alias("distinct_values"))
+    # one row per profiled column on both sides
+    return counts.join(F.broadcast(ends), "column_name")
 
 
 def approximate_profile(df, columns):
@@ -103,11 +126,12 @@ def clustered(spark, sf_dir):
 def bucketed_join(spark, sf_dir):
     """Join of two copies bucketed by the join key: no exchange on either side."""
     o, c = copy_name("orders"), copy_name("customer")
-    bucketed_copy(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), o,
-                  shared_dir(spark, "bucketed"), ["o_custkey"])
-    bucketed_copy(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), c,
-                  shared_dir(spark, "bucketed"), ["c_custkey"])
-    return (spark.table(o).join(spark.table(c).hint("merge"), F.col("o_custkey") == F.col("c_custkey"))
+    bucketed_pair(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"),
+                  table(spark, sf_dir, "customer").select("c_custkey", "c_name"),
+                  "o_custkey", "c_custkey", "o_orderkey", (o, c),
+                  (shared_dir(spark, "bucketed"), shared_dir(spark, "bucketed")))
+    left, right = spark.table(o), spark.table(c).hint("merge")
+    return (left.join(right, (left.o_custkey == right.c_custkey) & (left.salt == right.salt))
             .select("o_orderkey", "c_name", "o_totalprice"))
 
 

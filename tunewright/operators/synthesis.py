@@ -39,7 +39,7 @@ def stratified_pick(df, key, stratum, k, seed=42):
 
 def fresh_pick(pool, used, key, stratum, k, seed=42):
     """k unused rows per stratum; a stratum without unused rows starts over with all of its rows."""
-    left = pool.join(used.select(key), key, "left_anti")
+    left = pool.join(used.select(key).distinct(), key, "left_anti")
     alive = left.select(F.col(stratum).alias("alive")).distinct()
     over = pool.join(alive, pool[stratum] == F.col("alive"), "left_anti")
     return stratified_pick(left.unionByName(over), key, stratum, k, seed)

@@ -34,32 +34,41 @@ def redacted(spark, sf_dir):
 
 
 ANCHOR = 4
+BROADCAST_CHARS = 64_000_000
 
 
-def leaks(texts, secrets):
+def leaks(texts, secrets, broadcast_chars=BROADCAST_CHARS):
     """(id, item) pairs where a text contains a secret passage verbatim.
 
     Every word inside a passage except the first and last must occur as a whole
     word in a text that contains it.  So texts and passages meet on the hash of
     four such words in a row, and only meeting pairs are verified.  Passages too
     short for that are tested directly; their number is checked.
+
+    When the passages fit a checked size they are broadcast and the texts are
+    read once without any shuffle.  Beyond it only (id, hash) rows are shuffled.
     """
-    inner = F.slice(F.split("secret", f"{BLANK}+"), 2, 1_000_000)
-    secrets = secrets.select("item", "secret", F.size(F.split("secret", f"{BLANK}+")).alias("n"), inner.alias("w"))
-    long = secrets.where(F.col("n") >= ANCHOR + 2).select(
-        "item", F.xxhash64(F.concat_ws(" ", F.slice("w", 1, ANCHOR))).alias("h"))
-    words = texts.select("id", F.split("text", f"{BLANK}+").alias("w")).where(F.size("w") >= ANCHOR)
-    grams = words.select("id", F.explode(F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.size("w") - (ANCHOR - 1)),
-        lambda i: F.xxhash64(F.concat_ws(" ", F.slice("w", i, ANCHOR)))))).alias("h"))
-    meet = grams.join(long, "h").select("id", "item").distinct()
-    sure = (meet.join(texts, "id").join(secrets.select("item", "secret"), "item")
-            .where(F.contains("text", F.col("secret"))).select("id", "item"))
+    parts = F.split("secret", f"{BLANK}+")
+    secrets = secrets.select("item", "secret", F.size(parts).alias("n"), F.slice(parts, 2, ANCHOR).alias("w"))
     few = secrets.where(F.col("n") < ANCHOR + 2).agg(F.collect_list(F.struct("item", "secret")).alias("s")).select(
         F.when(F.size("s") <= 10_000, F.col("s")).otherwise(F.raise_error(F.lit("too many short passages")))).scalar()
     brief = texts.select("id", "text", few.alias("few")).select(
         "id", F.explode(F.filter("few", lambda s: F.contains(F.col("text"), s["secret"]))).alias("s"))
-    return sure.unionByName(brief.select("id", F.col("s.item").alias("item")))
+
+    long = secrets.where(F.col("n") >= ANCHOR + 2).select(
+        "item", "secret", F.xxhash64(F.concat_ws(" ", "w")).alias("h"))
+    words = texts.select("id", "text", F.split("text", f"{BLANK}+").alias("w")).where(F.size("w") >= ANCHOR)
+    grams = words.select("id", "text", F.explode(F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.size("w") - (ANCHOR - 1)),
+        lambda i: F.xxhash64(F.concat_ws(" ", F.slice("w", i, ANCHOR)))))).alias("h"))
+    found = F.contains("text", F.col("secret"))
+    size = long.agg(F.coalesce(F.sum(F.length("secret")), F.lit(0))).first()[0]
+    if size <= broadcast_chars:
+        sure = grams.join(F.broadcast(long), "h").where(found).select("id", "item")
+    else:
+        meet = grams.select("id", "h").join(long.select("h", "item"), "h").select("id", "item").distinct()
+        sure = meet.join(texts, "id").join(long.select("item", "secret"), "item").where(found).select("id", "item")
+    return sure.distinct().unionByName(brief.select("id", F.col("s.item").alias("item")))
 
 
 def leak_check(spark, sf_dir):

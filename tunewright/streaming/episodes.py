@@ -13,7 +13,8 @@ from tunewright.operators import ledger
 from tunewright.session import shared_dir, table
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-FILES_PER_BATCH = 1000
+# Soft limit of a micro-batch; it also bounds what one key can hold in a task.
+BYTES_PER_BATCH = 4 * 1024 ** 3
 
 
 def _units(text):
@@ -32,9 +33,10 @@ def rules():
     }
 
 
-def read_stream(spark, path, schema, files=FILES_PER_BATCH):
+def read_stream(spark, path, schema, **options):
     """File stream over a table folder or a single file (a glob accepts both)."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(f"{path}*")
+    limits = options or {"maxBytesPerTrigger": BYTES_PER_BATCH}
+    return spark.readStream.schema(schema).options(**limits).parquet(f"{path}*")
 
 
 def drain(frame, target, checkpoint, mode="append"):
@@ -65,7 +67,7 @@ def score_stream(events):
 
 def tier_stream(events):
     scores = events.selectExpr(*views.LEARNER_SCORE).select(
-        "learner_id", "event_id", "ts", (F.col("score") * kernels.SCALE).cast("bigint").alias("score"))
+        "learner_id", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), (F.col("score") * kernels.SCALE).cast("bigint").alias("score"))
     return scores.groupBy("learner_id").transformWithStateInPandas(
         statefulProcessor=kernels.tier_processor(_units(dims.ADVANCE_MEAN), _units(dims.REGRESS_MEAN), dims.TIER_WINDOW),
         outputStructType=TIER_OUT, outputMode="Append", timeMode="None")
