@@ -20,11 +20,12 @@ def with_hints(s, n=3):
 
 @pytest.mark.parametrize("s", dims.SCENARIOS, ids=lambda s: s["id"])
 def test_published_gains(spark, s):
-    row = dims.scenario_table(spark, [s])
+    row = dims.scenario_table(spark, [s]).withColumn("queries", F.transform("queries", lambda q: F.struct(
+        F.lower(q["sql"]).alias("low"), q["main_table"].alias("main_table"), q["avg_ms"].alias("avg_ms"))))
     none = F.array().cast("array<string>")
     first = F.array(F.lit(s["tables"][0][0]))
     useless = cost.catalog_literal([(t[0], t[2] + ("idx_phone",) if i == 0 else t[2]) for i, t in enumerate(s["tables"])])
-    got = row.select(cost.workload_score(F.col("queries"), F.col("tables"), none, none).alias("base"),
+    got = row.select(cost.workload_score(F.col("queries"), cost.catalog_of(F.col("tables")), none, none).alias("base"),
                      cost.workload_score(F.col("queries"), with_hints(s), none, first).alias("best"),
                      cost.workload_score(F.col("queries"), useless, none, none).alias("phone")).first()
     assert got.base == BASE[s["id"]]
@@ -35,7 +36,7 @@ def test_published_gains(spark, s):
 def test_first_match_versus_best(spark):
     sql = "SELECT c.*, COUNT(t.id) FROM customers c, transactions t WHERE c.id = t.customer_id AND t.amount > ? GROUP BY c.id"
     cat = cost.catalog_literal([("transactions", ("PRIMARY", "idx_account_id_status_created_at", "idx_customer_id_amount"))])
-    got = spark.range(1).select(cost.coverage(F.lit(sql), cat).alias("first"), cost.coverage(F.lit(sql), cat, best=True).alias("best")).first()
+    got = spark.range(1).select(cost.coverage(F.lit(sql.lower()), cat).alias("first"), cost.coverage(F.lit(sql.lower()), cat, best=True).alias("best")).first()
     assert (got.first, got.best) == (0.60, 0.90)
 
 

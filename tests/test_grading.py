@@ -17,9 +17,7 @@ def grade(spark, *answers):
     data = [tuple(a.get(f) for f in FIELDS) for a in answers]
     subs = spark.createDataFrame([(i, *d) for i, d in enumerate(data)],
                                  "n int, " + ", ".join(f"{f} string" for f in FIELDS))
-    facts = dims.case_table(spark).selectExpr("id AS task_id", "fixed_query AS want_query", "error_location AS want_location",
-                                              "error_type AS want_type", "issue_type AS want_issue")
-    got = credit.with_case_grade(subs.join(facts, "task_id", "left")).orderBy("n").collect()
+    got = credit.with_case_grade(subs, grading.facts(spark)).orderBy("n").collect()
     return [r.grade for r in got]
 
 
@@ -67,7 +65,7 @@ def test_not_binary(spark):
 
 def sim(spark, pairs):
     df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "n int, a string, b string")
-    return [r.similarity for r in credit.with_similarity(df, F.col("a"), F.col("b")).orderBy("n").collect()]
+    return [r.similarity for r in credit.with_similarity(credit.expect_text(df, F.col("b")), F.col("a")).orderBy("n").collect()]
 
 
 def test_similarity_identities(spark):

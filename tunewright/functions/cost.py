@@ -1,38 +1,49 @@
 """Workload cost formulas as expressions over literal or nested columns.
 
-A catalogue is an array<struct<name, indexes:array<string>>> in declaration
-order; the order matters because the first layout with a hit decides.
+A catalogue is an array<struct<name, layouts:array<struct<key, parts>>>> in
+declaration order; the order matters because the first layout with a hit
+decides.  Names are split once, when the catalogue is built.
 """
 
 from pyspark.sql import functions as F
 
 
+def layout(index):
+    """Layout name to (is it the primary key, column name parts)."""
+    return F.struct((index == "PRIMARY").alias("key"),
+                    F.split(F.replace(index, F.lit("idx_"), F.lit("")), "_").alias("parts"))
+
+
 def catalog_literal(entries):
     """Array literal from (name, indexes) pairs.  Callers pass bounded catalogues."""
     if len(entries) > 2000:
         raise ValueError("catalogue too large for a literal; split it by schema first")
     return F.array(*[
-        F.struct(F.lit(name).alias("name"), F.array(*[F.lit(i) for i in idx]).alias("indexes"))
+        F.struct(F.lit(name).alias("name"), F.array(*[layout(F.lit(i)) for i in idx]).alias("layouts"))
         for name, idx in entries])
 
 
-def _layout_score(sql, index):
+def catalog_of(tables):
+    """Catalogue from an array<struct<name, indexes, ...>> column."""
+    return F.transform(tables, lambda t: F.struct(
+        t["name"].alias("name"), F.transform(t["indexes"], lambda i: layout(i)).alias("layouts")))
+
+
+def _layout_score(sql, item):
     by_key = F.contains(sql, F.lit("where id=")) | F.contains(sql, F.lit("where id ="))
-    parts = F.split(F.replace(index, F.lit("idx_"), F.lit("")), "_")
-    hits = F.size(F.filter(parts, lambda p: F.contains(sql, p)))
-    return (F.when(index == "PRIMARY", F.when(by_key, F.lit(0.95)).otherwise(F.lit(0.0)))
+    hits = F.size(F.filter(item["parts"], lambda p: F.contains(sql, p)))
+    return (F.when(item["key"], F.when(by_key, F.lit(0.95)).otherwise(F.lit(0.0)))
             .when(hits >= 2, F.lit(0.90)).when(hits == 1, F.lit(0.60)).otherwise(F.lit(0.0)))
 
 
-def coverage(sql, catalog, best=False):
-    """How well the existing layouts serve a statement (0 .. 0.95).
+def coverage(low_sql, catalog, best=False):
+    """How well the existing layouts serve a lower-cased statement (0 .. 0.95).
 
     The first layout that matches at all decides; best=True takes the maximum.
     """
-    sql = F.lower(sql)
     scores = F.flatten(F.transform(
-        F.filter(catalog, lambda t: F.contains(sql, t["name"])),
-        lambda t: F.transform(t["indexes"], lambda i: _layout_score(sql, i))))
+        F.filter(catalog, lambda t: F.contains(low_sql, t["name"])),
+        lambda t: F.transform(t["layouts"], lambda i: _layout_score(low_sql, i))))
     if best:
         return F.coalesce(F.array_max(scores), F.lit(0.0))
     useful = F.filter(scores, lambda x: x > 0)
@@ -51,9 +62,9 @@ def latency_score(effective_ms):
 
 
 def workload_score(queries, catalog, partitioned, fresh):
-    """Mean latency score of an array of queries, two digits; 0 without queries."""
+    """Mean latency score of an array<struct<low, main_table, avg_ms>>, two digits; 0 without queries."""
     def one(q):
-        cov = coverage(q["sql"], catalog)
+        cov = coverage(q["low"], catalog)
         red = reduction(cov, F.array_contains(partitioned, q["main_table"]),
                         F.array_contains(fresh, q["main_table"]))
         return latency_score(q["avg_ms"].cast("double") * (F.lit(1.0) - red))

@@ -2,15 +2,15 @@
 
 from pyspark.sql import functions as F
 
-from tunewright.dims import quote
-
-# Unicode white space, one class that Java and RE2 both accept.
+# Unicode white space as one class (Java and RE2 both accept it).
 BLANK = r"[\s\x0b\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 BLANK_CHARS = "".join(chr(x) for x in (
     *range(0x09, 0x0e), *range(0x1c, 0x21), 0x85, 0xa0, 0x1680, *range(0x2000, 0x200b),
     0x2028, 0x2029, 0x202f, 0x205f, 0x3000))
+# a run of ASCII blanks other than one plain space
+UNTIDY = r"[\x09-\x0d\x1c-\x1f][\s\x1c-\x1f]*| [\s\x1c-\x1f]+"
 
 
 def strip(c):
@@ -18,9 +18,15 @@ def strip(c):
 
 
 def normalize(c):
-    """Lower case, trimmed, runs of blanks collapsed; NULL becomes ''."""
-    plain = F.translate(F.lower(F.coalesce(c, F.lit(""))), BLANK_CHARS, " " * len(BLANK_CHARS))
-    return F.trim(F.regexp_replace(plain, " {2,}", " "))
+    """Lower case, trimmed, runs of blanks collapsed; NULL becomes ''.
+
+    Only texts beyond ASCII can hold the rare blanks; the replacement touches
+    just the runs that are not a single space already.
+    """
+    low = F.lower(F.coalesce(c, F.lit("")))
+    plain = F.when(F.octet_length(low) != F.length(low),
+                   F.translate(low, BLANK_CHARS, " " * len(BLANK_CHARS))).otherwise(low)
+    return F.trim(F.regexp_replace(plain, UNTIDY, " "))
 
 
 def words(c):
@@ -28,17 +34,24 @@ def words(c):
     return F.array_remove(F.array_distinct(F.split(c, " ")), "")
 
 
+def shared(text, word_set):
+    """Share of a set of distinct words that occurs in normalised text."""
+    return F.size(F.array_intersect(F.split(text, " "), word_set)) / F.size(word_set)
+
+
 def fingerprint(c):
     """Statement template: quoted strings and digit runs become '?'."""
     no_strings = F.regexp_replace(c, "'[^']*'", "?")
     return F.regexp_replace(no_strings, "[0-9]+", "?")
 
 
-def count_hits(columns, phrases):
-    """How many of the phrases occur in all of the named text columns."""
-    def hit(phrase):
-        return " AND ".join(f"contains({c}, {quote(phrase)})" for c in columns)
-    return F.expr(" + ".join(f"CAST({hit(p)} AS INT)" for p in phrases))
+def count_hits(text, phrases):
+    """How many phrases of an array column occur in the text."""
+    return F.size(F.filter(phrases, lambda p: F.contains(text, p)))
+
+
+def texts(values):
+    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
 
 def round4(c):

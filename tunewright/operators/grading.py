@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tunewright import dims, views
 from tunewright.functions import credit
-from tunewright.functions.text import clamp, dbl, normalize, round4, strip
+from tunewright.functions.text import clamp, dbl, round4, strip
 from tunewright.operators import ledger
 from tunewright.session import table
 
@@ -12,16 +12,15 @@ DEC = "decimal(18,4)"
 
 
 def passages(spark, sf_dir):
-    """Documents paired with the passage they are graded against."""
+    """Documents paired with the passage they are graded against, prepared once per passage."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("submitted"))
     bench = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("expected"))
     n = bench.agg(F.count(F.lit(1))).scalar()
-    return docs.join(bench, F.col("item_id") == F.col("doc_id") % n).drop("item_id")
+    return docs.join(credit.expect_text(bench, F.col("expected")), F.col("item_id") == F.col("doc_id") % n).drop("item_id")
 
 
 def similarity(spark, sf_dir):
-    return credit.with_similarity(passages(spark, sf_dir), F.col("submitted"), F.col("expected")).select(
-        "doc_id", "similarity")
+    return credit.with_similarity(passages(spark, sf_dir), F.col("submitted")).select("doc_id", "similarity")
 
 
 def keyword_sets(spark, sf_dir):
@@ -31,24 +30,23 @@ def keyword_sets(spark, sf_dir):
     return docs.select("doc_id", F.array_join(found, ",").alias("keywords"), F.size(found).alias("n_keywords"))
 
 
-def submissions(spark, sf_dir):
-    """Answers with the facts of their case (NULL facts: unknown task)."""
-    subs = table(spark, sf_dir, "events").selectExpr(*views.CASE_SUBMISSION)
-    facts = dims.case_table(spark).select(
-        F.col("id").alias("task_id"), F.col("fixed_query").alias("want_query"),
-        F.col("error_location").alias("want_location"), F.col("error_type").alias("want_type"),
-        F.col("issue_type").alias("want_issue"))
-    return subs.join(F.broadcast(facts), "task_id", "left")
+def answers(spark, sf_dir):
+    return table(spark, sf_dir, "events").selectExpr(*views.CASE_SUBMISSION)
+
+
+def facts(spark):
+    return credit.case_facts(dims.case_table(spark))
 
 
 def error_type(spark, sf_dir):
-    rows = submissions(spark, sf_dir).where("want_type IS NOT NULL")
-    return rows.select("event_id", credit.error_type_credit(F.col("error_type"), F.col("want_type")).alias("credit"))
+    rows = answers(spark, sf_dir).join(F.broadcast(facts(spark)), "task_id")
+    return rows.select("event_id", credit.error_type_credit(
+        F.col("error_type"), F.col("want_type"), F.col("want_aliases")).alias("credit"))
 
 
 def location(spark, sf_dir):
     return passages(spark, sf_dir).select(
-        "doc_id", credit.location_credit(F.col("submitted"), F.col("expected")).alias("credit"))
+        "doc_id", credit.location_credit(F.col("submitted"), F.col("expected"), F.col("want_words")).alias("credit"))
 
 
 def explanation(spark, sf_dir):
@@ -57,18 +55,18 @@ def explanation(spark, sf_dir):
 
 
 def confidence(spark, sf_dir):
-    return submissions(spark, sf_dir).select("event_id", credit.confidence_credit(F.col("confidence")).alias("credit"))
+    return answers(spark, sf_dir).select("event_id", credit.confidence_credit(F.col("confidence")).alias("credit"))
 
 
 def _tier(tier):
     def run(spark, sf_dir):
-        rows = submissions(spark, sf_dir).where(F.col("task_id").startswith(tier))
-        return credit.with_case_grade(rows).select("event_id", "task_id", "grade")
+        rows = answers(spark, sf_dir).where(F.col("task_id").startswith(tier))
+        return credit.with_case_grade(rows, facts(spark)).select("event_id", "task_id", "grade")
     return run
 
 
 def case_grades(spark, sf_dir):
-    return credit.with_case_grade(submissions(spark, sf_dir)).select("event_id", "task_id", "grade")
+    return credit.with_case_grade(answers(spark, sf_dir), facts(spark)).select("event_id", "task_id", "grade")
 
 
 def scenario_facts(spark):

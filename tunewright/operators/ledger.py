@@ -39,18 +39,14 @@ def with_grade(steps):
     """Grade of the answer that a graded action carries (others: NULL).
 
     The answer of a step is derived from its event; the case belongs to the user.
+    Steps without an answer have no task and skip the text work.
     """
     graded = F.col("action_type").isin(*dims.GRADE_SHARE)
     made = [x for x in views.CASE_SUBMISSION if x not in ("event_id", "user_id", "ts")]
-    answer = steps.withColumn("user_id", F.when(graded, F.col("episode_id"))).selectExpr(*steps.columns, *made)
-    pick = f"episode_id % {len(dims.CASES)}"
-    want = {"want_query": "fixed_query", "want_location": "error_location",
-            "want_type": "error_type", "want_issue": "issue_type"}
-    answer = answer.select("*", *[
-        F.when(graded & (F.col("task_id") != "nonexistent_task_999"),
-               F.expr(views.pick(pick, [c[key] for c in dims.CASES]))).alias(name)
-        for name, key in want.items()])
-    scored = credit.with_case_grade(answer)
+    answer = (steps.withColumn("user_id", F.col("episode_id")).selectExpr(*steps.columns, *made)
+              .withColumn("task_id", F.when(graded, F.col("task_id"))))
+    facts = credit.case_facts(dims.case_table(steps.sparkSession))
+    scored = credit.with_case_grade(answer, facts)
     return scored.select(*steps.columns, F.when(graded, F.col("grade")).cast(DEC).alias("grade"))
 
 

@@ -47,7 +47,8 @@ def extract_action(df, text):
     Fences are removed and the whole text is tried first, all inside the JVM;
     only what is left goes through the Arrow kernel that searches for an object.
     """
-    plain = F.trim(F.regexp_replace(text, "```(json)?", ""))
+    fence = "```"
+    plain = F.trim(F.when(F.contains(text, F.lit(fence)), F.regexp_replace(text, f"{fence}(json)?", "")).otherwise(text))
     df = df.withColumn("_plain", plain).withColumn("_whole", F.try_parse_json("_plain"))
     clean = F.try_variant_get("_whole", "$.action_type", "string").isNotNull()
     search = F.pandas_udf(kernels.action_json, "string")
@@ -139,28 +140,36 @@ def with_trainer_reward(actions, scenarios):
     actions: scenario_id, action_type, table_name, cols, query_id, new_sql.
     """
     none = F.array().cast("array<string>")
-    base = scenarios.select(F.col("id").alias("scenario_id"), "tables", "queries", "hints",
-                            cost.workload_score(F.col("queries"), F.col("tables"), none, none).alias("base"))
-    rows = actions.join(F.broadcast(base), "scenario_id")
+    facts = scenarios.select(
+        F.col("id").alias("scenario_id"), "hints", cost.catalog_of(F.col("tables")).alias("catalog"), "tables",
+        F.transform("queries", lambda q: F.struct(
+            q["id"].alias("id"), q["sql"].alias("sql"), F.lower(q["sql"]).alias("low"),
+            q["main_table"].alias("main_table"), q["avg_ms"].cast("bigint").alias("avg_ms"))).alias("queries"))
+    facts = facts.withColumn("base", cost.workload_score(F.col("queries"), F.col("catalog"), none, none))
+    rows = actions.join(F.broadcast(facts), "scenario_id")
     act, tab = F.col("action_type"), F.coalesce("table_name", F.lit(""))
     cols = F.coalesce("cols", none)
     index = F.concat(F.lit("idx_"), F.array_join(cols, "_"))
-    known = F.exists("tables", lambda t: t["name"] == tab)
     add = act == "create_index"
-    rows = rows.select(
-        "*", known.alias("_known"),
-        F.transform("tables", lambda t: F.struct(
-            t["name"].alias("name"),
-            F.when(add & (t["name"] == tab) & ~F.array_contains(t["indexes"], index),
-                   F.concat(t["indexes"], F.array(index))).otherwise(t["indexes"]).alias("indexes"))).alias("_tables"),
-        F.transform("queries", lambda q: F.struct(
-            q["sql"].alias("sql"), q["main_table"].alias("main_table"),
-            F.when((act == "rewrite_query") & (q["id"] == F.col("query_id")),
-                   cost.rewritten_ms(q["avg_ms"], cost.rewrite_gain(F.coalesce("new_sql", F.lit("")), q["sql"])))
-            .otherwise(q["avg_ms"]).cast("bigint").alias("avg_ms"))).alias("_queries"),
-        F.when((act == "partition_table") & known, F.array(tab)).otherwise(none).alias("_part"),
-        F.when((act == "analyze_statistics") & known, F.array(tab)).otherwise(none).alias("_fresh"))
-    rows = rows.withColumn("final", cost.workload_score(F.col("_queries"), F.col("_tables"), F.col("_part"), F.col("_fresh")))
+    known = F.exists("tables", lambda t: t["name"] == tab)
+    fresh = F.exists("tables", lambda t: (t["name"] == tab) & ~F.array_contains(t["indexes"], index))
+    # only these actions can move the score; all others keep the base
+    moves = F.when(add, fresh).when(act.isin("partition_table", "analyze_statistics"), known).otherwise(act == "rewrite_query")
+    rows = rows.select("*", F.coalesce(moves, F.lit(False)).alias("_moves"))
+    catalog = F.when(add, F.transform("catalog", lambda t: F.struct(
+        t["name"].alias("name"),
+        F.when(t["name"] == tab, F.concat(t["layouts"], F.array(cost.layout(index)))).otherwise(t["layouts"]).alias("layouts")))
+    ).otherwise(F.col("catalog"))
+    gain = F.when(F.col("_moves") & (act == "rewrite_query"), F.transform("queries", lambda q: F.struct(
+        q["low"].alias("low"), q["main_table"].alias("main_table"),
+        F.when(q["id"] == F.col("query_id"), cost.rewritten_ms(
+            q["avg_ms"], cost.rewrite_gain(F.coalesce("new_sql", F.lit("")), q["sql"]))).otherwise(q["avg_ms"]).alias("avg_ms"))))
+    plain = F.transform("queries", lambda q: F.struct(q["low"].alias("low"), q["main_table"].alias("main_table"), q["avg_ms"].alias("avg_ms")))
+    rows = rows.select("*", catalog.alias("_catalog"), F.coalesce(gain, plain).alias("_queries"),
+                       F.when(act == "partition_table", F.array(tab)).otherwise(none).alias("_part"),
+                       F.when(act == "analyze_statistics", F.array(tab)).otherwise(none).alias("_fresh"))
+    after = cost.workload_score(F.col("_queries"), F.col("_catalog"), F.col("_part"), F.col("_fresh"))
+    rows = rows.withColumn("final", F.when(F.col("_moves"), after).otherwise(F.col("base")))
     low = F.array_distinct(F.transform(cols, lambda c: F.lower(c)))
     match = F.array_max(F.transform(F.filter("hints", lambda h: F.size(h["columns"]) > 0), lambda h:
                         F.when(h["table"] == tab, F.lit(1.0)).otherwise(F.lit(0.3)) * 0.4
@@ -308,10 +317,7 @@ def scoreboard(spark, sf_dir):
         F.when(slow, F.concat(F.lit("Performance issue detected: "), F.left("error_message", F.lit(100)))).alias("root_cause"),
         F.when(slow, "Significant reduction in query execution time").alias("expected_improvement"),
         F.when(slow, "Fix performance issue: performance").alias("optimization_type"))
-    facts = dims.case_table(spark).select(
-        c("id").alias("task_id"), c("fixed_query").alias("want_query"), c("error_location").alias("want_location"),
-        c("error_type").alias("want_type"), c("issue_type").alias("want_issue"))
-    graded = credit.with_case_grade(rows.join(F.broadcast(facts), "task_id"))
+    graded = credit.with_case_grade(rows, credit.case_facts(dims.case_table(spark)))
     return graded.groupBy(F.split_part("task_id", F.lit("_"), F.lit(1)).alias("tier")).agg(
         F.count(F.lit(1)).alias("n"),
         (F.sum(c("grade").cast(DEC)).cast("double") / F.count(F.lit(1))).alias("mean_grade"))

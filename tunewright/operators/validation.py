@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tunewright import dims, views
-from tunewright.functions.text import BLANK, clamp, dbl, round4
+from tunewright.functions.text import clamp, dbl, round4
 from tunewright.operators import ledger
 from tunewright.operators.grading import is_scenario
 from tunewright.operators.preparation import extracted
@@ -33,42 +33,41 @@ def redacted(spark, sf_dir):
                          F.array_join(F.slice("expected_output", 1, 1), ",").alias("sample"))
 
 
-ANCHOR = 4
 BROADCAST_CHARS = 64_000_000
+SHORT_PASSAGES = 10_000
 
 
 def leaks(texts, secrets, broadcast_chars=BROADCAST_CHARS):
     """(id, item) pairs where a text contains a secret passage verbatim.
 
     Every word inside a passage except the first and last must occur as a whole
-    word in a text that contains it.  So texts and passages meet on the hash of
-    four such words in a row, and only meeting pairs are verified.  Passages too
-    short for that are tested directly; their number is checked.
+    word in a text that contains it.  So texts and passages meet on the longest
+    such word, and only meeting pairs are verified.  Passages without one (two
+    words at most) are tested directly; their number is checked.
 
     When the passages fit a checked size they are broadcast and the texts are
-    read once without any shuffle.  Beyond it only (id, hash) rows are shuffled.
+    read once without any shuffle.  Beyond it only (id, word) rows are shuffled.
     """
-    parts = F.split("secret", f"{BLANK}+")
-    secrets = secrets.select("item", "secret", F.size(parts).alias("n"), F.slice(parts, 2, ANCHOR).alias("w"))
-    few = secrets.where(F.col("n") < ANCHOR + 2).agg(F.collect_list(F.struct("item", "secret")).alias("s")).select(
-        F.when(F.size("s") <= 10_000, F.col("s")).otherwise(F.raise_error(F.lit("too many short passages")))).scalar()
+    blanks = r"\s+"
+    words = F.split("secret", blanks)
+    inner = F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0)))
+    longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    secrets = secrets.select("item", "secret", longest.alias("word"))
+    few = secrets.where("word IS NULL").agg(F.collect_list(F.struct("item", "secret")).alias("s")).select(
+        F.when(F.size("s") <= SHORT_PASSAGES, F.col("s")).otherwise(F.raise_error(F.lit("too many short passages")))).scalar()
     brief = texts.select("id", "text", few.alias("few")).select(
         "id", F.explode(F.filter("few", lambda s: F.contains(F.col("text"), s["secret"]))).alias("s"))
 
-    long = secrets.where(F.col("n") >= ANCHOR + 2).select(
-        "item", "secret", F.xxhash64(F.concat_ws(" ", "w")).alias("h"))
-    words = texts.select("id", "text", F.split("text", f"{BLANK}+").alias("w")).where(F.size("w") >= ANCHOR)
-    grams = words.select("id", "text", F.explode(F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.size("w") - (ANCHOR - 1)),
-        lambda i: F.xxhash64(F.concat_ws(" ", F.slice("w", i, ANCHOR)))))).alias("h"))
+    long = secrets.where("word IS NOT NULL")
+    own = texts.select("id", "text", F.explode(F.array_distinct(F.split("text", blanks))).alias("word"))
     found = F.contains("text", F.col("secret"))
     size = long.agg(F.coalesce(F.sum(F.length("secret")), F.lit(0))).first()[0]
     if size <= broadcast_chars:
-        sure = grams.join(F.broadcast(long), "h").where(found).select("id", "item")
+        sure = own.join(F.broadcast(long), "word").where(found).select("id", "item")
     else:
-        meet = grams.select("id", "h").join(long.select("h", "item"), "h").select("id", "item").distinct()
+        meet = own.select("id", "word").join(long.select("word", "item"), "word").select("id", "item")
         sure = meet.join(texts, "id").join(long.select("item", "secret"), "item").where(found).select("id", "item")
-    return sure.distinct().unionByName(brief.select("id", F.col("s.item").alias("item")))
+    return sure.unionByName(brief.select("id", F.col("s.item").alias("item")))
 
 
 def leak_check(spark, sf_dir):

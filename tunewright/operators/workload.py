@@ -130,13 +130,13 @@ def benefiting(spark, sf_dir):
 def coverage_scores(spark, sf_dir):
     t = templates(query_log(spark, sf_dir))
     cat = cost.catalog_literal(CATALOG)
-    return t.select("template", "n", cost.coverage(F.col("template"), cat).alias("coverage"))
+    return t.select("template", "n", cost.coverage(F.lower("template"), cat).alias("coverage"))
 
 
 def scored(t, catalog, partitioned=PARTITIONED, fresh=FRESH):
     """Coverage, saved share, effective latency and score per template."""
     red = cost.reduction(F.col("coverage"), F.col("main_table").isin(*partitioned), F.col("main_table").isin(*fresh))
-    return (t.withColumn("coverage", cost.coverage(F.col("template"), catalog))
+    return (t.withColumn("coverage", cost.coverage(F.lower("template"), catalog))
             .withColumn("reduction", red)
             .withColumn("effective_ms", F.col("avg_ms") * (F.lit(1.0) - F.col("reduction")))
             .withColumn("score", cost.latency_score(F.col("effective_ms"))))
@@ -204,7 +204,7 @@ def catalog_table(spark):
 
 def scan_report(spark, sf_dir):
     t = templates(query_log(spark, sf_dir))
-    covered = cost.coverage(F.col("template"), cost.catalog_literal(CATALOG)) > 0.1
+    covered = cost.coverage(F.lower("template"), cost.catalog_literal(CATALOG)) > 0.1
     facts = catalog_table(spark).select(F.col("name").alias("main_table"), "row_count")
     return (t.withColumn("covered", covered).join(F.broadcast(facts), "main_table", "left")
             .select("template", "main_table", "n",
@@ -218,7 +218,7 @@ def scan_report(spark, sf_dir):
 def layout_report(spark, sf_dir):
     """Per table: layouts, use by templates, missing layouts, freshness, size."""
     cat = cost.catalog_literal(CATALOG)
-    t = templates(query_log(spark, sf_dir)).withColumn("coverage", cost.coverage(F.col("template"), cat))
+    t = templates(query_log(spark, sf_dir)).withColumn("coverage", cost.coverage(F.lower("template"), cat))
     mentioned = F.filter(F.transform(cat, lambda x: x["name"]), lambda x: F.contains(F.col("template"), x))
     used = (t.where("coverage > 0.1").select("n", F.explode(mentioned).alias("name"))
             .groupBy("name").agg(F.count(F.lit(1)).alias("used_by"), F.sum("n").alias("executions")))
@@ -237,7 +237,7 @@ def layout_report(spark, sf_dir):
 def unused_layouts(spark, sf_dir):
     """Layouts that decide the coverage of no template (PRIMARY is never offered for removal)."""
     t = templates(query_log(spark, sf_dir))
-    low = F.lower(F.col("template"))
+    low = F.lower("template")
     options = F.array(*[
         F.struct(F.lit(name).alias("name"), F.lit(i).alias("layout"),
                  cost.coverage(low, cost.catalog_literal([(name, (i,))])).alias("s"))
