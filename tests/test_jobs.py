@@ -100,6 +100,29 @@ def test_scenario_reader_and_children(spark, tmp_path):
     assert json.loads(got[0].expected_output) == [{"a": 1}] and got[1].expected_output == "same"
 
 
+def test_observations_hide_answers(spark, tmp_path):
+    case = [{"id": "easy_1", "description": "d", "buggy_query": "b", "fixed_query": "SECRET", "error_type": "syntax", "category": "syntax",
+             "expected_output": [{"a": 1}, {"a": 2}], "performance_issue": {"type": "t", "impact": "i", "execution_time_fixed_ms": 5},
+             "fix_description": "SECRET", "error_location": "SECRET"},
+            {"id": "easy_2", "description": "d", "expected_output": "same rows", "fixed_query": "SECRET"}]
+    (tmp_path / "c.json").write_text(json.dumps(case))
+    cases = ds.read_json_array(spark, str(tmp_path / "c.json"), ds.CASE_SCHEMA)
+    seen = validation.visible_cases(cases).orderBy("id")
+    first, second = [r.asDict(True) for r in seen.collect()]
+    assert first["performance_issue"] == {"type": "t", "impact": "i"} and json.loads(first["expected_output_sample"]) == {"a": 1}
+    assert second["expected_output_sample"] is None and second["performance_issue"] is None and second["estimated_steps"] == 5
+    assert "SECRET" not in str(first) + str(second)
+    hint = cases.where("id = 'easy_1'").select(validation.case_hint(
+        F.lit(9), F.col("error_location"), F.col("error_type"), F.col("category"), F.col("fix_description")).alias("h")).first().h
+    assert hint == "Hint 3: Fix: SECRET"
+    (tmp_path / "s.json").write_text(json.dumps([{"id": "hard_s1", "description": "x", "tables": [], "slow_queries": [],
+                                                  "optimal_actions": ["SECRET"], "missing_index_hints": []}]))
+    scenarios = ds.read_json_array(spark, str(tmp_path / "s.json"), ds.SCENARIO_SCHEMA)
+    assert "SECRET" not in str(validation.visible_scenarios(scenarios).collect())
+    assert [(r.id, r.tier) for r in validation.task_list(scenarios, cases).orderBy("id").collect()] == [
+        ("easy_1", "easy"), ("easy_2", "easy"), ("hard_s1", "hard")]
+
+
 def test_golden_output_compare(spark):
     actual = spark.createDataFrame([(1, "Alice", 3), (3, "Carol", 1)], "id int, name string, n int")
     golden = spark.createDataFrame([('{"id":1,"name":"Alice","n":3}',), ('{"id":2,"name":"Bob","n":0}',),

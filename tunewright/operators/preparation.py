@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tunewright import dims, kernels, views
 from tunewright.functions import cost, credit
-from tunewright.functions.text import clamp, dbl, round4
+from tunewright.functions.text import clamp, dbl, round4, strip
 from tunewright.operators import ledger
 from tunewright.operators.grading import split_columns
 from tunewright.operators.workload import query_log
@@ -48,7 +48,7 @@ def extract_action(df, text):
     only what is left goes through the Arrow kernel that searches for an object.
     """
     fence = "```"
-    plain = F.trim(F.when(F.contains(text, F.lit(fence)), F.regexp_replace(text, f"{fence}(json)?", "")).otherwise(text))
+    plain = strip(F.when(F.contains(text, F.lit(fence)), F.regexp_replace(text, f"{fence}(json)?", "")).otherwise(text))
     df = df.withColumn("_plain", plain).withColumn("_whole", F.try_parse_json("_plain"))
     clean = F.try_variant_get("_whole", "$.action_type", "string").isNotNull()
     search = F.pandas_udf(kernels.action_json, "string")
@@ -85,11 +85,14 @@ def action_extraction(spark, sf_dir):
 def action_defaults(spark, sf_dir):
     """Answers with missing fields filled; text that is no JSON becomes identify_error."""
     rows = table(spark, sf_dir, "events").selectExpr(*views.ANSWER)
-    rows = rows.withColumn("v", F.try_parse_json(F.trim(F.regexp_replace("answer", "```(json)?", ""))))
+    rows = rows.withColumn("plain", strip(F.regexp_replace("answer", "```(json)?", "")))
+    rows = rows.withColumn("v", F.try_parse_json("plain"))
 
     def get(name, kind="string"):
         return F.try_variant_get("v", f"$.{name}", kind)
-    broken = F.col("v").isNull()
+    number = get("confidence", "double")
+    broken = (F.col("v").isNull() | ~F.startswith("plain", F.lit("{"))
+              | (get("confidence").isNotNull() & number.isNull()))
     optimise = F.coalesce(get("action_type"), F.lit("submit_answer")) == "optimize_query"
     return rows.select(
         "event_id",
@@ -100,7 +103,7 @@ def action_defaults(spark, sf_dir):
         F.when(optimise & ~broken, F.coalesce(get("optimization_type"), F.lit("Performance fix")))
         .otherwise(F.coalesce(get("error_type"), F.lit("syntax"))).alias("kind"),
         F.when(optimise & ~broken, F.lit(None)).otherwise(F.coalesce(get("error_location"), F.lit("unknown"))).alias("error_location"),
-        F.when(~broken, F.coalesce(get("confidence", "double"), F.lit(0.7))).alias("confidence"))
+        F.when(~broken, F.coalesce(number, F.lit(0.7))).alias("confidence"))
 
 
 def expand_plan(df, plan):
@@ -219,12 +222,12 @@ def completion_scores(spark, sf_dir):
     n = len(dims.SCENARIOS)
     ids = F.array(*[F.lit(s["id"]) for s in dims.SCENARIOS])
     rows = with_payload(extracted(spark, sf_dir)).select(
-        "completion_id", "action_type", "table_name", "cols", "query_id", "new_sql",
+        "completion_id", "action_json", "action_type", "table_name", "cols", "query_id", "new_sql",
         F.element_at(ids, (F.col("completion_id") % n + 1).cast("int")).alias("scenario_id"))
     scored = with_trainer_reward(rows, dims.scenario_table(spark))
-    known = F.col("action_type").isin(*dims.TRAINER_ACTIONS)
+    known = F.coalesce(F.col("action_type").isin(*dims.TRAINER_ACTIONS), F.lit(False))
     return scored.select("completion_id", "scenario_id",
-                         F.when(F.col("action_type").isNull(), F.lit(0.001)).when(~known, F.lit(0.05))
+                         F.when(F.col("action_json").isNull(), F.lit(0.001)).when(~known, F.lit(0.05))
                          .otherwise(F.col("reward")).alias("reward"))
 
 
@@ -232,7 +235,7 @@ def completion_scores(spark, sf_dir):
 
 def repaired(query, category, message):
     """Rule-based repair of a buggy statement."""
-    q = F.trim(query)
+    q = strip(query)
     note = F.lower(message)
     comma = F.contains(note, F.lit("syntax error")) & F.contains(note, F.lit("name"))
     syntax = F.when(comma, F.regexp_replace(q, r"(?i)SELECT\s+(\w+)\s+(\w+)", "SELECT $1, $2")).otherwise(q)

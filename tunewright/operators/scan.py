@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 MIN_ROWS = 1_000_000
 SHARE = 1e-5
+# Segments are cut by time; more of them than needed absorb bursts.
+SPREAD = 8
 
 
 def micros(ts):
@@ -25,7 +27,7 @@ def hot_keys(df, key, ts, min_rows=None):
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min(micros(ts)).alias("lo"),
                                  F.max(micros(ts)).alias("hi"))
     limit = F.greatest(F.lit(float(min_rows)), counts.agg(F.sum("n") * F.lit(SHARE)).scalar())
-    pieces = F.ceil(F.col("n") / F.lit(min_rows))
+    pieces = F.ceil(F.col("n") / F.lit(min_rows)) * SPREAD
     return counts.where(F.col("n") > limit).select(
         F.col(key).alias("hot_key"), "lo",
         F.greatest(F.lit(1), F.ceil((F.col("hi") - F.col("lo") + 1) / pieces)).cast("bigint").alias("width"))

@@ -20,6 +20,37 @@ TEXT_LIMIT, TEXT_MARK = 5000, "...[truncated]"
 # ------------------------------------------------------------ end fixed values
 
 
+def visible_scenarios(scenarios):
+    """What an agent may see of a scenario: wanted indexes and the expert plan stay out."""
+    return scenarios.select(F.col("id").alias("scenario_id"), "description", "tables", "slow_queries",
+                            "performance_score_baseline", "target_score", "max_steps", "category")
+
+
+def visible_cases(cases):
+    """What an agent may see of a case: no fix, type and impact of the issue, one sample row."""
+    issue = F.when(F.col("performance_issue").isNotNull(), F.struct("performance_issue.type", "performance_issue.impact"))
+    return cases.select("id", "buggy_query", "error_message", "database_schema", F.col("error_type").alias("error_type_hint"),
+                        "category", F.coalesce("estimated_fix_steps", F.lit(5)).alias("estimated_steps"),
+                        issue.alias("performance_issue"),
+                        F.get_json_object("expected_output", "$[0]").alias("expected_output_sample"))
+
+
+def case_hint(number, location, kind, category, fix):
+    """The k-th hint of a debugging case; numbers past three repeat the last."""
+    texts = F.array(F.concat(F.lit("Hint 1: The error is in the "), location, F.lit(".")),
+                    F.concat(F.lit("Hint 2: This is a "), kind, F.lit(" error. Category: "), category, F.lit(".")),
+                    F.concat(F.lit("Hint 3: Fix: "), fix))
+    return F.element_at(texts, F.greatest(F.lit(1), F.least(number, F.lit(3))).cast("int"))
+
+
+def task_list(scenarios, cases):
+    """All tasks with tier and description, scenarios first inside a tier."""
+    both = (scenarios.select("id", "description", F.lit(0).alias("ord"))
+            .unionByName(cases.select("id", "description", F.lit(1).alias("ord"))))
+    tier = F.split_part("id", F.lit("_"), F.lit(1))
+    return both.select("id", tier.alias("tier"), "description", "ord", F.lit(",".join(dims.ACTIONS)).alias("actions"))
+
+
 def redacted(spark, sf_dir):
     """Task record without its answers: allow-list, narrowed struct, first sample only."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")

@@ -1,6 +1,5 @@
 """Session defaults and the shared scratch location."""
 
-import os
 import tempfile
 import uuid
 
@@ -26,26 +25,27 @@ def local_session(cores=8, app="tunewright", memory="8g", shuffle=None):
                .config("spark.sql.shuffle.partitions", str(shuffle or cores)))
     for key, value in _DEFAULTS.items():
         builder = builder.config(key, value)
-    if not os.environ.get("TUNEWRIGHT_KEEP_LOGS"):
-        builder = builder.config("spark.ui.showConsoleProgress", "false")
-    spark = builder.getOrCreate()
+    spark = builder.config("spark.ui.showConsoleProgress", "false").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+_local_root = []
+
+
 def shared_dir(spark, purpose):
     """Fresh path under the folder all executors share.
 
     The cluster names that folder in spark.checkpoint.dir.  Only a local master
     may fall back to a folder of its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) \
-        or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="tunewright-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not _local_root:
+            _local_root.append(tempfile.mkdtemp(prefix="tunewright-"))
+        root = _local_root[0]
     return f"{root.rstrip('/')}/tunewright/{purpose}-{uuid.uuid4().hex}"
 
 
