@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tunewright import dims, kernels, views
 from tunewright.operators import scan
-from tunewright.session import table
+from tunewright.session import materialised, table
 
 KEY, ORDER = "learner_id", ("ts", "event_id")
 
@@ -14,10 +14,15 @@ def scores_of(spark, sf_dir):
     return table(spark, sf_dir, "events").selectExpr(*views.LEARNER_SCORE)
 
 
-def rolling(scores, min_rows=None):
-    """Mean of the last five scores per row (NULL before the fifth) and the tier shift it asks for."""
-    hot = scan.hot_keys(scores, KEY, "ts", min_rows)
-    rows = scan.with_halo(scan.with_segment(scores, KEY, "ts", hot), KEY, ORDER, dims.TIER_WINDOW - 1)
+def rolling(scores, hot=None):
+    """Mean of the last five scores per row (NULL before the fifth) and the tier shift it asks for.
+
+    hot lists the learners to cut into segments (see scan.hot_list).
+    """
+    if hot is None:
+        rows = scores.select("*", F.lit(0).cast("bigint").alias("seg"), F.lit(False).alias("is_hot"), F.lit(False).alias("halo"))
+    else:
+        rows = scan.with_halo(scan.with_segment(scores, KEY, "ts", hot), KEY, ORDER, dims.TIER_WINDOW - 1)
     w = Window.partitionBy(KEY, "seg").orderBy(*ORDER)
     last = w.rowsBetween(1 - dims.TIER_WINDOW, 0)
     full = F.col("seen") == dims.TIER_WINDOW
@@ -33,32 +38,41 @@ def rolling(scores, min_rows=None):
         .when(full & (F.col("sum5") < mean_below), -1).otherwise(0).alias("shift"))
 
 
-def walk(scores, min_rows=None):
-    """Tier before and after every episode of every learner, plus the episode number.
+def segment_starts(rows):
+    """Start tier and rows before each segment of the huge learners.
 
-    Ordinary learners are one segment and start at tier 0.  A segment of a huge
-    learner acts on the four tiers as a map; composing the maps of the earlier
+    A segment acts on the four tiers as a map; composing the maps of the earlier
     segments gives its start.
     """
-    rows = rolling(scores, min_rows)
-    ordered = [KEY, "seg", *ORDER]
-    effects = (rows.where("is_hot").select(KEY, "seg", *ORDER, "shift").sortWithinPartitions(*ordered)
+    effects = (rows.where("is_hot").select(KEY, "seg", *ORDER, "shift").sortWithinPartitions(KEY, "seg", *ORDER)
                .mapInPandas(kernels.segment_effect,
                             "learner_id bigint, seg bigint, n bigint, e0 int, e1 int, e2 int, e3 int"))
-    starts = (effects.repartition(KEY).sortWithinPartitions(KEY, "seg")
-              .mapInPandas(kernels.segment_starts,
-                           "learner_id bigint, seg bigint, start_tier int, rows_before bigint"))
-    rows = (rows.join(starts, [KEY, "seg"], "left")
-            .select(*[KEY, "seg", *ORDER], "score", "mean5", "shift",
-                    F.coalesce("start_tier", F.lit(0)).alias("start_tier"),
-                    (F.coalesce("rows_before", F.lit(0)) + F.col("nth")).alias("episode_no")))
-    own = Window.partitionBy(KEY, "seg").orderBy(*ORDER)
-    # a window over the same keys pins clustering and order for the kernel below
-    rows = rows.withColumn("pin", F.row_number().over(own)).drop("ts")
-    return (rows.sortWithinPartitions(KEY, "seg", "pin")
+    return (effects.repartition(KEY).sortWithinPartitions(KEY, "seg")
+            .mapInPandas(kernels.segment_starts,
+                         "learner_id bigint, seg bigint, start_tier int, rows_before bigint"))
+
+
+def walk(scores, min_rows=None):
+    """Tier before and after every episode of every learner, plus the episode number.
+
+    Ordinary learners are one segment and start at tier 0: one exchange, one
+    sort.  The window of `rolling` has already clustered and ordered the rows as
+    the kernel needs them.
+    """
+    hot = scan.hot_list(scores, KEY, "ts", min_rows)
+    rows = rolling(scores, hot)
+    start, before = F.lit(0), F.lit(0)
+    if hot is not None:
+        rows = rows.join(segment_starts(rows), [KEY, "seg"], "left")
+        start, before = F.coalesce("start_tier", F.lit(0)), F.coalesce("rows_before", F.lit(0))
+        # the window pins clustering by segment for the kernel, whatever join was chosen
+        rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy(KEY, "seg").orderBy(*ORDER)))
+    rows = rows.select(KEY, "seg", *ORDER, "score", "mean5", "shift", start.cast("int").alias("start_tier"),
+                       (before + F.col("nth")).cast("bigint").alias("episode_no"))
+    return (rows.sortWithinPartitions(KEY, "seg", *ORDER)
             .mapInPandas(kernels.tier_walk,
-                         "learner_id bigint, seg bigint, event_id bigint, score decimal(6,4), mean5 double, "
-                         "shift int, start_tier int, episode_no bigint, pin int, tier_before int, tier int")
+                         "learner_id bigint, seg bigint, ts timestamp_ntz, event_id bigint, score decimal(6,4), mean5 double, "
+                         "shift int, start_tier int, episode_no bigint, tier_before int, tier int")
             .select(KEY, "event_id", "episode_no", "score", "mean5", "tier_before", "tier"))
 
 
@@ -67,7 +81,8 @@ def tier_name(c):
 
 
 def rolling_mean(spark, sf_dir):
-    return rolling(scores_of(spark, sf_dir)).select(KEY, "event_id", "mean5")
+    scores = scores_of(spark, sf_dir)
+    return rolling(scores, scan.hot_list(scores, KEY, "ts")).select(KEY, "event_id", "mean5")
 
 
 def tier_after_episode(spark, sf_dir):
@@ -85,8 +100,11 @@ def history(spark, sf_dir):
 
 
 def learner_stats(spark, sf_dir):
-    """Mean of the last 5 and last 20 scores, tier, episodes and the last five tier changes."""
-    walked = walk(scores_of(spark, sf_dir))
+    """Mean of the last 5 and last 20 scores, tier, episodes and the last five tier changes.
+
+    The walk feeds two reductions, so it is written once and read twice.
+    """
+    walked = materialised(spark, walk(scores_of(spark, sf_dir)), "walk")
     recent = Window.partitionBy(KEY).orderBy(F.desc("episode_no"))
     changed = Window.partitionBy(KEY, "moved").orderBy(F.desc("episode_no"))
     rows = walked.select(KEY, "episode_no", "score", "tier", (F.col("tier") != F.col("tier_before")).alias("moved"))

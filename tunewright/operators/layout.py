@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from tunewright.operators.corpus import MONEY, result_diff
-from tunewright.session import shared_dir, table
+from tunewright.session import materialised, shared_dir, table
 
 
 def partition_table(df, path, column, kind="LIST", files=64, tie=None):
@@ -155,13 +155,6 @@ def denormalised(spark, sf_dir):
     return spark.read.parquet(path).select("o_orderkey", "o_custkey", "o_totalprice", "c_mktsegment")
 
 
-def materialised(spark, df):
-    """Result written to the shared folder and read back."""
-    path = shared_dir(spark, "result")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def rewrite_effect(spark, sf_dir):
     """Slow form and rewrite of three statements: do they return the same rows?"""
     t = {n: table(spark, sf_dir, n) for n in ("orders", "customer")}
@@ -181,7 +174,7 @@ def rewrite_effect(spark, sf_dir):
     rows = []
     for name, (slow, fast) in pairs.items():
         used = [{k: v for k, v in t.items() if "{" + k + "}" in q} for q in (slow, fast)]
-        a, b = (materialised(spark, spark.sql(q, **u)) for q, u in zip((slow, fast), used))
+        a, b = (materialised(spark, spark.sql(q, **u), "result") for q, u in zip((slow, fast), used))
         rows.append(result_diff(a, b).agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("different_rows")).withColumn("rewrite", F.lit(name)))
     return reduce(lambda x, y: x.unionByName(y), rows).select(
         "rewrite", "different_rows", (F.col("different_rows") == 0).alias("same_result"))

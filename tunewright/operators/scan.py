@@ -29,10 +29,20 @@ def hot_keys(df, key, ts, min_rows=None):
     limit = F.greatest(F.lit(float(min_rows)), counts.agg(F.sum("n") * F.lit(SHARE)).scalar())
     pieces = F.ceil(F.col("n") / F.lit(min_rows)) * SPREAD
     return counts.where(F.col("n") > limit).select(
-        F.col(key).alias("hot_key"), "lo",
+        F.col(key).cast("bigint").alias("hot_key"), "lo",
         F.greatest(F.lit(1), F.ceil((F.col("hi") - F.col("lo") + 1) / pieces)).cast("bigint").alias("width"))
 
 
+def hot_list(df, key, ts, min_rows=None):
+    """The hot keys as a local frame, or None when there are none.
+
+    The list is bounded (see above), so it may visit the driver; knowing that it
+    is empty saves ordinary data every step of the segmented path.
+    """
+    found = hot_keys(df, key, ts, min_rows).collect()
+    return df.sparkSession.createDataFrame(found, "hot_key bigint, lo bigint, width bigint") if found else None
+
+
 def with_segment(df, key, ts, hot):
     """Add seg (0 for ordinary keys) and is_hot."""
     seg = F.floor((micros(ts) - F.col("lo")) / F.col("width"))

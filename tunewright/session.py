@@ -11,6 +11,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # methods beyond this size are not compiled by the JIT; split code is
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -49,5 +51,12 @@ def shared_dir(spark, purpose):
     return f"{root.rstrip('/')}/tunewright/{purpose}-{uuid.uuid4().hex}"
 
 
+def materialised(spark, df, purpose):
+    """Rows written to the shared folder and read back: a cut in the lineage that survives lost executors."""
+    path = shared_dir(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
