@@ -15,6 +15,15 @@ from tunewright.session import table
 
 DEC = "decimal(18,4)"
 
+# ---------------------------------------------------------------- fixed values
+STATE_HEAD = "=== DATABASE STATE ==="
+ASK = "What is your next action? JSON only:"
+CASE_PROMPT = ("Task: %s\nBuggy Query:\n%s\nError Message:\n%s\nDatabase Schema:\n%s\nCategory: %s\n"
+               "Analyze the buggy query and provide your fix as a JSON object.")
+STEP_PROMPT = ("You are a senior database engineer.\nCurrent DB state:\n- Performance score: %s / 85\n"
+               "- Steps remaining: %d\nChoose the best next action as JSON:")
+# ------------------------------------------------------------ end fixed values
+
 
 def scenario_prompts(spark, sf_dir):
     """Prompt per user from the three slowest statements (a scenario holds at most three)."""
@@ -25,19 +34,17 @@ def scenario_prompts(spark, sf_dir):
                     F.col("exec_ms").alias("ms"), F.col("main_table").alias("main_table"))
     per = slow.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("k", item.alias("q")))).alias("qs"))
     return per.select("user_id", F.concat_ws(
-        "\n", F.lit(dims.SYSTEM_INSTRUCTION), F.lit("=== DATABASE STATE ==="),
+        "\n", F.lit(dims.SYSTEM_INSTRUCTION), F.lit(STATE_HEAD),
         F.concat(F.lit("Scenario: user "), F.col("user_id")),
         F.concat(F.lit("Slow Queries: "), F.to_json(F.transform("qs", lambda x: x["q"]))),
-        F.lit("What is your next action? JSON only:")).alias("prompt"))
+        F.lit(ASK)).alias("prompt"))
 
 
 def case_prompts(spark, sf_dir):
     rows = table(spark, sf_dir, "events").selectExpr(*views.REPAIR)
     schema = F.to_json(F.create_map(F.lit("users"), F.array(F.lit("id INT"), F.lit("name VARCHAR(100)"))))
     return rows.select("event_id", F.format_string(
-        "Task: %s\nBuggy Query:\n%s\nError Message:\n%s\nDatabase Schema:\n%s\nCategory: %s\n"
-        "Analyze the buggy query and provide your fix as a JSON object.",
-        F.concat(F.lit("repair "), F.col("event_id")), F.col("buggy_query"), F.col("error_message"), schema,
+        CASE_PROMPT, F.concat(F.lit("repair "), F.col("event_id")), F.col("buggy_query"), F.col("error_message"), schema,
         F.col("category")).alias("prompt"))
 
 
@@ -127,10 +134,8 @@ def trajectories(spark, sf_dir):
     """Training records: prompt before the step, action, shown reward, score change."""
     rows = ledger.live(ledger.steps_of(spark, sf_dir))
     shown = clamp(F.round((F.col("reward") + 1) / F.lit("2").cast("decimal(2,0)"), 4))
-    prompt = F.concat(F.lit("You are a senior database engineer.\nCurrent DB state:\n- Performance score: "),
-                      F.format_string("%.2f", F.round(F.coalesce("prev_perf", F.col("baseline")), 2).cast("double")),
-                      F.lit(" / 85\n- Steps remaining: "), (F.lit(dims.MAX_STEPS + 1) - F.col("step_no")).cast("string"),
-                      F.lit("\nChoose the best next action as JSON:"))
+    score = F.format_string("%.2f", F.round(F.coalesce("prev_perf", F.col("baseline")), 2).cast("double"))
+    prompt = F.format_string(STEP_PROMPT, score, F.lit(dims.MAX_STEPS + 1) - F.col("step_no"))
     return rows.select("episode_id", F.col("step_no").alias("step"), prompt.alias("prompt"), "action_type",
                        dbl(shown, "reward"), dbl(F.col("delta"), "db_delta"))
 
@@ -233,24 +238,33 @@ def completion_scores(spark, sf_dir):
 
 # ------------------------------------------------------------------ SQL repair
 
+# ---------------------------------------------------------------- fixed values
+MISSING_COMMA = (r"(?i)SELECT\s+(\w+)\s+(\w+)", "SELECT $1, $2")
+MISSING_BY = ((r"(?i)\bORDER\s+(?!BY)(\w)", "ORDER BY $1"), (r"(?i)\bGROUP\s+(?!BY)(\w)", "GROUP BY $1"))
+MISSING_WHERE = ((" id =", " WHERE id ="), (" name =", " WHERE name ="))
+AGGREGATE_FILTER = (r"(?i)WHERE\s+(AVG|SUM|COUNT|MAX|MIN)\s*\(", "HAVING $1(")
+WIDER_JOIN = (("INNER JOIN", "LEFT JOIN"), ("inner join", "LEFT JOIN"))
+NARROW_LIST = ("SELECT *", "SELECT id, name, status, created_at")
+# ------------------------------------------------------------ end fixed values
+
+
+def _replace_all(c, pairs):
+    return reduce(lambda x, p: F.replace(x, F.lit(p[0]), F.lit(p[1])), pairs, c)
+
+
 def repaired(query, category, message):
-    """Rule-based repair of a buggy statement."""
-    q = strip(query)
-    note = F.lower(message)
-    comma = F.contains(note, F.lit("syntax error")) & F.contains(note, F.lit("name"))
-    syntax = F.when(comma, F.regexp_replace(q, r"(?i)SELECT\s+(\w+)\s+(\w+)", "SELECT $1, $2")).otherwise(q)
-    no_where = ~F.contains(F.upper(syntax), F.lit("WHERE")) & F.contains(syntax, F.lit("="))
-    syntax = F.when(no_where, F.replace(F.replace(syntax, F.lit(" id ="), F.lit(" WHERE id =")),
-                                        F.lit(" name ="), F.lit(" WHERE name ="))).otherwise(syntax)
-    odd = (F.length(syntax) - F.length(F.replace(syntax, F.lit("'"), F.lit("")))) % 2 != 0
-    syntax = F.when(odd, F.concat(syntax, F.lit("'"))).otherwise(syntax)
-    syntax = F.regexp_replace(syntax, r"(?i)\bORDER\s+(?!BY)(\w)", "ORDER BY $1")
-    syntax = F.regexp_replace(syntax, r"(?i)\bGROUP\s+(?!BY)(\w)", "GROUP BY $1")
-    inner = F.contains(F.upper(q), F.lit("INNER JOIN"))
-    logic = F.when(inner, F.replace(F.replace(q, F.lit("INNER JOIN"), F.lit("LEFT JOIN")),
-                                    F.lit("inner join"), F.lit("LEFT JOIN"))).otherwise(q)
-    logic = F.regexp_replace(logic, r"(?i)WHERE\s+(AVG|SUM|COUNT|MAX|MIN)\s*\(", "HAVING $1(")
-    speed = F.replace(q, F.lit("SELECT *"), F.lit("SELECT id, name, status, created_at"))
+    """Rule-based repair of a buggy statement, by category."""
+    q, note = strip(query), F.lower(message)
+    names = F.contains(note, F.lit("syntax error")) & F.contains(note, F.lit("name"))
+    syntax = F.when(names, F.regexp_replace(q, *MISSING_COMMA)).otherwise(q)
+    bare = ~F.contains(F.upper(syntax), F.lit("WHERE")) & F.contains(syntax, F.lit("="))
+    syntax = F.when(bare, _replace_all(syntax, MISSING_WHERE)).otherwise(syntax)
+    quotes = F.length(syntax) - F.length(F.replace(syntax, F.lit("'"), F.lit("")))
+    syntax = F.when(quotes % 2 != 0, F.concat(syntax, F.lit("'"))).otherwise(syntax)
+    for rule in MISSING_BY:
+        syntax = F.regexp_replace(syntax, *rule)
+    logic = F.regexp_replace(_replace_all(q, WIDER_JOIN), *AGGREGATE_FILTER)
+    speed = _replace_all(q, (NARROW_LIST,))
     return F.when(category == "syntax", syntax).when(category == "logic", logic).when(category == "performance", speed).otherwise(q)
 
 
