@@ -142,10 +142,11 @@ def with_case_grade(answers, facts, out="grade"):
     """Grade answers to debugging cases; the tier is the first part of task_id.
 
     answers carries task_id and ANSWER_FIELDS; facts (see case_facts) is a task
-    catalogue, small enough to broadcast.  An unknown task gets the floor.
+    catalogue, which Spark broadcasts as long as its size allows.  An unknown
+    task gets the floor.
     """
     keep, c = answers.columns, F.col
-    df = answers.join(F.broadcast(facts), "task_id", "left")
+    df = answers.join(facts, "task_id", "left")
     df = df.select("*", F.split_part("task_id", F.lit("_"), F.lit(1)).alias("_tier"))
     offered = (F.when(c("_tier") == "hard", first_text(c("optimized_query"), c("fixed_query")))
                .otherwise(first_text(c("fixed_query"), c("optimized_query"))))

@@ -39,7 +39,7 @@ def facts(spark):
 
 
 def error_type(spark, sf_dir):
-    rows = answers(spark, sf_dir).join(F.broadcast(facts(spark)), "task_id")
+    rows = answers(spark, sf_dir).join(facts(spark), "task_id")
     return rows.select("event_id", credit.error_type_credit(
         F.col("error_type"), F.col("want_type"), F.col("want_aliases")).alias("credit"))
 
@@ -88,7 +88,7 @@ def with_action_grade(actions, facts, out="grade"):
     def text(name):
         return strip(F.coalesce(F.col(name), F.lit("")))
 
-    rows = actions.join(F.broadcast(facts), "task_id", "left").select(
+    rows = actions.join(facts, "task_id", "left").select(
         *keep, *[c for c in facts.columns if c != "task_id"],
         text("query_id").alias("_q"), text("table_name").alias("_t"), text("index_name").alias("_i"),
         F.lower(text("new_sql")).alias("_sql"),

@@ -154,7 +154,7 @@ def with_trainer_reward(actions, scenarios):
             q["id"].alias("id"), q["sql"].alias("sql"), F.lower(q["sql"]).alias("low"),
             q["main_table"].alias("main_table"), q["avg_ms"].cast("bigint").alias("avg_ms"))).alias("queries"))
     facts = facts.withColumn("base", cost.workload_score(F.col("queries"), F.col("catalog"), none, none))
-    rows = actions.join(F.broadcast(facts), "scenario_id")
+    rows = actions.join(facts, "scenario_id")
     act, tab = F.col("action_type"), F.coalesce("table_name", F.lit(""))
     cols = F.coalesce("cols", none)
     index = F.concat(F.lit("idx_"), F.array_join(cols, "_"))

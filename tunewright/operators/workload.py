@@ -206,7 +206,7 @@ def scan_report(spark, sf_dir):
     t = templates(query_log(spark, sf_dir))
     covered = cost.coverage(F.lower("template"), cost.catalog_literal(CATALOG)) > 0.1
     facts = catalog_table(spark).select(F.col("name").alias("main_table"), "row_count")
-    return (t.withColumn("covered", covered).join(F.broadcast(facts), "main_table", "left")
+    return (t.withColumn("covered", covered).join(facts, "main_table", "left")
             .select("template", "main_table", "n",
                     F.when(F.col("covered"), "INDEX RANGE SCAN").otherwise("FULL TABLE SCAN").alias("scan_type"),
                     F.when(F.col("covered"), 50).otherwise(F.coalesce("row_count", F.lit(50000))).cast("bigint").alias("rows_examined"),
@@ -226,7 +226,7 @@ def layout_report(spark, sf_dir):
     for name, cols in dims.WANTED_LAYOUTS:
         wanted[name].append("+".join(cols))
     hints = dims.inline(spark, ("hinted", "missing"), [(k, ",".join(v)) for k, v in wanted.items()])
-    base = catalog_table(spark).join(F.broadcast(hints), F.col("name") == F.col("hinted"), "left")
+    base = catalog_table(spark).join(hints, F.col("name") == F.col("hinted"), "left")
     return base.join(used, "name", "left").select(
         "name", F.col("row_count").cast("bigint").alias("row_count"), F.col("size_mb").cast("bigint").alias("size_mb"),
         F.array_join("layouts", ",").alias("layouts"), "missing",
