@@ -2,7 +2,9 @@
 
 from importlib import import_module
 
-MODULES = {"quality": "op9_quality_divergence"}
+MODULES = {
+    "sharding": "op3_virtual_slots", "topk": "op4_block_top_k", "quality": "op9_quality_divergence", "chat": "op10_chat_assembly",
+}
 
 
 def _module(name):
