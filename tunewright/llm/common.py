@@ -1,8 +1,10 @@
 """Helpers that several operators of this folder share."""
 
+import os
 import sys
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -78,3 +80,27 @@ def components(spark: SparkSession, edges: DataFrame, purpose: str, most_rounds:
         raise RuntimeError(f"no fixed point after {most_rounds} rounds")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
+
+
+def shared_file(uri):
+    """(file system, path) of a place in the shared folder, for code in tasks; any store that Arrow knows."""
+    if uri.startswith("file:"):
+        uri = "/" + uri[len("file:"):].lstrip("/")
+    return pafs.FileSystem.from_uri(uri)
+
+
+class SharedWriter:
+    """Appends bytes to a file of its own in the shared folder; it appears under its name when closed without error."""
+
+    def __init__(self, uri):
+        self.fs, self.path = shared_file(uri)
+        self.fs.create_dir(os.path.dirname(self.path), recursive=True)
+        self.stream, self.at = self.fs.open_output_stream(self.path + ".open"), 0
+
+    def write(self, data):
+        self.stream.write(data)
+        self.at += len(data)
+
+    def close(self):
+        self.stream.close()
+        self.fs.move(self.path + ".open", self.path)

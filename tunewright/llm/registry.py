@@ -3,7 +3,7 @@
 from importlib import import_module
 
 MODULES = {
-    "sharding": "op3_virtual_slots", "topk": "op4_block_top_k", "quality": "op9_quality_divergence", "chat": "op10_chat_assembly",
+    "sharding": "op3_virtual_slots", "topk": "op4_block_top_k", "warc": "op8_capture_index", "quality": "op9_quality_divergence", "chat": "op10_chat_assembly",
 }
 
 
