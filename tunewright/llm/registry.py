@@ -4,7 +4,7 @@ from importlib import import_module
 
 MODULES = {
     "mixing": "op1_entropy_mix", "simhash": "op2_simhash_groups", "packing": "op5_curve_packing",
-    "ngram": "op7_kneser_ney",
+    "suffix": "op6_radix_suffixes", "ngram": "op7_kneser_ney",
     "sharding": "op3_virtual_slots", "topk": "op4_block_top_k", "warc": "op8_capture_index", "quality": "op9_quality_divergence", "chat": "op10_chat_assembly",
 }
 
