@@ -20,7 +20,7 @@ def _pipeline(spark, sf_dir):
 
 
 def queries():
-    return {key: _module(name).query for name, key in MODULES.items()}
+    return {key: _module(name).query for name, key in MODULES.items()} | {"pipeline": _pipeline}
 
 
 def oracles():
