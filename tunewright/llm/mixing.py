@@ -10,7 +10,7 @@ together), and a bracket keeps steps that overshoot inside.  Sources are rows of
 table, never of the driver.
 
 Rates become whole copies by running sums in the order of size, so what is rounded
-off one size is made up by the next, and three passes then add or take away the
+off one size is made up by the next, and a few passes then add or take away the
 single copy that brings a source closest to its target.  Copies of a cell (source
 and size) are dealt to its documents in the order of a hash; a cell of many
 documents, such as a group of exact copies, is cut by another hash first.
@@ -29,6 +29,7 @@ MOST = 3  # copies of a document, and words of a source's target per word it has
 WEIGHTS = (1, 2, 3)
 CELL = 200  # documents of a cell that are ranked together
 ITERATIONS, CLOSE = 60, 1e-10
+PASSES = 8  # single copies added or taken away per source
 
 
 def sized(docs: DataFrame, key="doc_id", text="text", source="source") -> DataFrame:
@@ -99,7 +100,7 @@ def copies_of_cells(cells: DataFrame, solved: DataFrame) -> DataFrame:
     frame = frame.withColumn("run", F.sum(F.when(F.col("size") > 0, F.col("n") * F.col("rate")).otherwise(0.0)).over(by_size))
     frame = frame.withColumn("copies", (F.floor(F.col("run") + 0.5) - F.floor(F.coalesce(F.lag("run").over(by_size), F.lit(0.0)) + 0.5)).cast("long"))
     whole = Window.partitionBy("src")
-    for _ in range(3):
+    for _ in range(PASSES):
         lack = F.col("target") - F.sum(F.col("copies") * F.col("size")).over(whole)
         frame = frame.withColumn("lack", lack)
         can = (F.col("size") > 0) & F.when(F.col("lack") > 0, F.col("copies") < MOST * F.col("n")).otherwise(F.col("copies") > 0)

@@ -39,28 +39,36 @@ def even_map(n_slots=SLOTS, shards=SHARDS):
     return np.arange(n_slots) * shards // n_slots
 
 
+def _edit(load, shard_of, full, empty, gap):
+    """The move, or the swap, between two shards that comes closest to halving their difference: (bytes, slot, slot back or None)."""
+    mine, theirs = np.flatnonzero((shard_of == full) & (load > 0)), np.flatnonzero(shard_of == empty)
+    if not len(mine):
+        return 0, None, None
+    best = (load[mine][k := np.abs(2 * load[mine] - gap).argmin()], mine[k], None)
+    theirs = theirs[np.argsort(load[theirs], kind="stable")]
+    for side in (0, 1) if len(theirs) else ():  # the neighbours on either side of the wanted size
+        at = np.clip(np.searchsorted(load[theirs], load[mine] - gap // 2) - side, 0, len(theirs) - 1)
+        change = load[mine] - load[theirs[at]]
+        k = np.abs(2 * change - gap).argmin()
+        if abs(2 * change[k] - gap) < abs(2 * best[0] - gap):
+            best = (change[k], mine[k], theirs[at[k]])
+    return best
+
+
 def rebalanced(load, shard_of, shards=SHARDS):
-    """The map edited by single moves, or swaps where no move helps, between the fullest and the emptiest shard."""
+    """The map edited by single moves and swaps from fuller to emptier shards, until none makes a difference smaller."""
     shard_of = shard_of.copy()
     held = np.bincount(shard_of, weights=load, minlength=shards).astype(np.int64)
     for _ in range(20 * len(load)):
-        full, empty = int(held.argmax()), int(held.argmin())
-        gap = held[full] - held[empty]
-        mine, other = np.flatnonzero((shard_of == full) & (load > 0)), np.flatnonzero(shard_of == empty)
-        if gap < 2 or not len(mine):
-            break
-        best = mine[np.abs(2 * load[mine] - gap).argmin()]
-        moved, back = load[best], None
-        theirs = other[np.argsort(load[other], kind="stable")]
-        if len(theirs):  # for each of mine, the one of theirs that makes the difference closest to half the gap
-            at = np.clip(np.searchsorted(load[theirs], load[mine] - gap // 2), 0, len(theirs) - 1)
-            change = load[mine] - load[theirs[at]]
-            k = np.abs(2 * change - gap).argmin()
-            if abs(2 * change[k] - gap) < abs(2 * moved - gap):
-                best, moved, back = mine[k], change[k], theirs[at[k]]
-        if not 0 < moved < gap:
+        order = np.argsort(held, kind="stable")
+        for full, empty in ((int(f), int(e)) for f in order[::-1] for e in order if held[f] - held[e] >= 2):
+            gap = held[full] - held[empty]
+            moved, slot, back = _edit(load, shard_of, full, empty, gap)
+            if 0 < moved < gap:
+                break
+        else:
             break
-        shard_of[best] = empty
+        shard_of[slot] = empty
         if back is not None:
             shard_of[back] = full
         held[full] -= moved

@@ -414,9 +414,8 @@ def without_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), packed_row(docs.drop("text")).alias("_row"))
     dealt, covered = _marked(spark, packed)
-    schema = to_arrow_schema(packed.select("_row", F.col("text").alias("_left")).schema)
-    kinds = f"_row {packed.schema['_row'].dataType.simpleString()}, _left string"
-    rows = dealt.groupBy("chunk").cogroup(covered.groupBy("chunk")).applyInArrow(_texts(schema), kinds)
+    schema = packed.select("_row", F.col("text").alias("_left")).schema
+    rows = dealt.groupBy("chunk").cogroup(covered.groupBy("chunk")).applyInArrow(_texts(to_arrow_schema(schema)), schema)
     kept = {c: F.col("_left") if c == "text" else F.col("_row").getField(c) for c in docs.columns}
     if "n_chars" in kept:
         kept["n_chars"] = F.length("_left").cast(docs.schema["n_chars"].dataType)
