@@ -4,7 +4,7 @@ from oracle import ledger, macros as m
 from tunewright import dims, views
 
 V3 = """p AS (SELECT d.doc_id, d.text AS submitted, b.text AS expected FROM documents d
-      JOIN benchmark b ON b.item_id = d.doc_id % (SELECT count(*) FROM benchmark))"""
+      LEFT JOIN benchmark b ON b.item_id = d.doc_id % (SELECT count(*) FROM benchmark))"""
 SUBS = f"""WITH subs AS ({views.select(views.CASE_SUBMISSION, 'events')}), {m.graded('subs')}"""
 
 TAB = "(VALUES " + ", ".join(f"({m.lit(s['id'])}, {m.lit(t[0])}, {t[1]})" for s in dims.SCENARIOS for t in s["tables"]) + ") st(sid, tname, trows)"
@@ -13,10 +13,13 @@ HINT = "(VALUES " + ", ".join(f"({m.lit(s['id'])}, {m.lit(h[0])}, {m.sql_list(h[
 IDS = m.sql_list([s["id"] for s in dims.SCENARIOS])
 _COLS = "list_filter(list_transform(string_split(coalesce(cols, ''), ','), lambda x: trim(x)), lambda x: x <> '')"
 
-ACTIONS = f"""
+
+def actions_of(source):
+    """Actions graded against their scenarios."""
+    return f"""
 acts AS (SELECT *, trim(coalesce(query_id, '')) AS q, trim(coalesce(table_name, '')) AS t, trim(coalesce(index_name, '')) AS i,
     lower(trim(coalesce(new_sql, ''))) AS s, {_COLS} AS cl, length(trim(coalesce(summary, ''))) AS n
-  FROM ({views.select(views.ACTION_LOG, 'events')})),
+  FROM ({source})),
 looked AS (SELECT acts.*, EXISTS (SELECT 1 FROM {TAB} WHERE sid = task_id AND tname = t) AS tok,
     EXISTS (SELECT 1 FROM {TAB} WHERE sid = task_id AND tname = t AND trows > 100000) AS big,
     EXISTS (SELECT 1 FROM {QRY} WHERE sid = task_id AND qid = q) AS qok,
@@ -38,6 +41,9 @@ agrades AS (SELECT event_id, task_id, action_type, CASE WHEN NOT list_contains({
     WHEN 'request_hint' THEN 0.10
     WHEN 'submit_report' THEN CASE WHEN n >= 100 THEN 0.50 WHEN n >= 30 THEN 0.30 WHEN n > 0 THEN 0.15 ELSE 0.05 END
     ELSE 0.05 END''')} END AS grade FROM looked)"""
+
+
+ACTIONS = actions_of(views.select(views.ACTION_LOG, 'events'))
 BOTH = f"""{SUBS}, {ACTIONS}, bothg AS (
   SELECT event_id, task_id, grade, 'case' AS kind FROM graded WHERE NOT regexp_matches(task_id, '(^|_)s[^_]*$')
   UNION ALL SELECT event_id, task_id, CAST(grade AS DOUBLE), 'scenario' FROM agrades WHERE regexp_matches(task_id, '(^|_)s[^_]*$'))"""
@@ -54,9 +60,9 @@ def _mean(where, keys):
 
 
 ORACLE = {
-    "G1_query_similarity": f"WITH {V3}, k AS (SELECT doc_id, {m.norm('submitted')} AS s, {m.norm('expected')} AS e FROM p) SELECT doc_id, {m.similarity('s', 'e')} AS similarity FROM k",
+    "G1_query_similarity": f"WITH {V3}, k AS (SELECT doc_id, expected IS NULL AS none, {m.norm('submitted')} AS s, {m.norm('expected')} AS e FROM p) SELECT doc_id, CASE WHEN none THEN 0.0::DOUBLE ELSE {m.similarity('s', 'e')} END AS similarity FROM k",
     "G2_critical_keywords": f"SELECT doc_id, array_to_string(list_filter({_kw}, lambda k: contains(lower(text), k)), ',') AS keywords, CAST(len(list_filter({_kw}, lambda k: contains(lower(text), k))) AS INTEGER) AS n_keywords FROM documents",
-    "G3_error_type": f"{SUBS} SELECT event_id, CAST({m.error_type('error_type', 'want_type')} AS DOUBLE) AS credit FROM joined WHERE case_id IS NOT NULL",
+    "G3_error_type": f"{SUBS} SELECT event_id, CAST({m.error_type('error_type', 'want_type')} AS DOUBLE) AS credit FROM joined",
     "G4_location": f"WITH {V3} SELECT doc_id, CAST({m.location('submitted', 'expected')} AS DOUBLE) AS credit FROM p",
     "G5_explanation": f"SELECT conv_id, turn, CAST({m.explanation('text')} AS DOUBLE) AS credit FROM conversations",
     "G6_confidence": f"{SUBS} SELECT event_id, CAST({m.confidence('confidence')} AS DOUBLE) AS credit FROM joined",

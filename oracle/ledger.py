@@ -69,7 +69,7 @@ _DECIMALS = {"step_reward", "perf_score", "delta", "delta_reward", "baseline", "
              "grader_part", "reward", "total_reward"}
 
 
-def _cols(*names, source="led"):
+def _cols(*names, source="live"):
     cols = ", ".join(f"CAST({n} AS DOUBLE) AS {n}" if n in _DECIMALS else n for n in names)
     return f"{CHAIN} SELECT episode_id, event_id, step_no, {cols} FROM {source}"
 
@@ -120,8 +120,9 @@ ORACLE = {
     "E22_run_score": f"""{CHAIN}, a AS (SELECT episode_id, count(*) AS steps, greatest(0, least(1, round(sum(reward) * 0.1, 4))) AS sc
         FROM live WHERE step_no <= 10 GROUP BY episode_id)
         SELECT episode_id, steps, CAST(sc AS DOUBLE) AS score, sc >= 0.5 AS success FROM a""",
-    "W16_best_so_far": f"""{CHAIN} SELECT episode_id, event_id, step_no, CAST(best_perf AS DOUBLE) AS best_score,
-        perf_score >= 85 AS target_reached FROM led""",
+    "W16_best_so_far": f"""WITH raw AS ({views.select(views.EPISODE_STEP, 'events')})
+        SELECT episode_id, event_id, row_number() OVER w AS step_no, CAST(max(perf_score) OVER w AS DOUBLE) AS best_score, perf_score >= 85 AS target_reached
+        FROM raw WINDOW w AS (PARTITION BY episode_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""",
     "M7_reward_stats": f"""{CHAIN} SELECT CAST(sum(reward) AS DOUBLE) / count(*) AS avg_reward, CAST(max(reward) AS DOUBLE) AS max_reward,
         CAST(min(reward) AS DOUBLE) AS min_reward, count(*) AS steps, count(DISTINCT episode_id) AS episodes FROM live""",
     "M8_valid_series": f"""{CHAIN} SELECT episode_id, CAST(arg_min(reward, step_no) AS DOUBLE) AS first_reward,

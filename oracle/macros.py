@@ -92,29 +92,32 @@ def total(*parts):
     return dbl(clamp(" + ".join(f"CAST({p} AS DECIMAL(18,4))" for p in parts)))
 
 
+SAID = "coalesce(nullif(explanation, ''), nullif(change_made, ''), '')"
+
+
 def grade_easy(p=""):
     sim = similarity("sub1", "want_norm")
     return total(ladder(f"({sim})", dims.FIX_LADDER["easy"]), location("error_location", "want_location"),
-                 error_type("error_type", "want_type"), explanation("explanation"), confidence("confidence"))
+                 error_type("error_type", "want_type"), explanation(SAID), confidence("confidence"))
 
 
 def grade_medium():
     sim = similarity("sub1", "want_norm")
-    low = "lower(coalesce(explanation, ''))"
+    low = f"lower({SAID})"
     logic = (f"least(0.20, 0.05 * CASE WHEN want_type = 'performance' THEN {hits(low, dims.PERFORMANCE_KEYWORDS)} "
              f"ELSE {hits(low, dims.LOGIC_KEYWORDS)} END)")
     return total(ladder(f"({sim})", dims.FIX_LADDER["medium"]), logic, location("error_location", "want_location"),
-                 explanation("explanation"), confidence("confidence"), longer("impact", 20, 0.05))
+                 explanation(SAID), confidence("confidence"), longer("impact", 20, 0.05))
 
 
 def grade_hard():
     sim = similarity("sub2", "want_norm")
-    said = "lower(coalesce(explanation, '') || ' ' || coalesce(optimization_type, ''))"
+    said = f"lower({SAID} || ' ' || coalesce(optimization_type, ''))"
     arms = " ".join(
         f"WHEN {hits('lower(want_issue)', keys)} > 0 THEN least(0.30, 0.06 * {hits(said, phrases)})"
         for keys, phrases in dims.CONCEPTS)
     return total(ladder(f"({sim})", dims.FIX_LADDER["hard"]), f"CASE {arms} ELSE 0.0 END",
-                 explanation("explanation"), longer("root_cause", 30, 0.10),
+                 explanation(SAID), longer("root_cause", 30, 0.10),
                  longer("expected_improvement", 20, 0.10), confidence("confidence"))
 
 

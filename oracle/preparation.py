@@ -1,7 +1,6 @@
 """Oracles of validation, preparation, repair and the trainer reward."""
 
-from oracle import ledger, macros as m
-from oracle.workload import layout_score
+from oracle import grading, ledger, macros as m
 from tunewright import dims, views
 from tunewright.operators import preparation as prep
 from tunewright.operators.validation import HINTS
@@ -14,70 +13,12 @@ COMP = f"""c AS (SELECT *, {PLAIN} AS plain FROM ({views.select(views.COMPLETION
 j AS (SELECT completion_id, CASE WHEN json_valid(plain) AND json_extract_string(plain, '$.action_type') IS NOT NULL THEN plain
         ELSE nullif(regexp_extract(plain, '\\{{"action_type".*\\}}', 0), '') END AS aj FROM c)"""
 
-LAY = "(VALUES " + ", ".join(
-    f"({m.lit(s['id'])}, {ti}, {li}, {m.lit(t[0])}, {m.lit(i)})"
-    for s in dims.SCENARIOS for ti, t in enumerate(s["tables"]) for li, i in enumerate(t[2])) + ") lay(lsid, tpos, lpos, tname, layout)"
-QRY = "(VALUES " + ", ".join(
-    f"({m.lit(s['id'])}, {m.lit(q[0])}, {m.lit(q[1])}, {q[2]}, {m.lit(q[3])})"
-    for s in dims.SCENARIOS for q in s["queries"]) + ") qq(qsid, qid, sql_text, ms, main)"
-HINT = "(VALUES " + ", ".join(f"({m.lit(s['id'])}, {m.lit(h[0])}, {m.sql_list(h[1])})" for s in dims.SCENARIOS for h in s["hints"]) + ") sh(hsid, htable, hcols)"
-STEP = " ".join(f"WHEN {m.lit(k)} THEN {v}::DOUBLE" for k, v in dims.TRAINER_STEP.items())
-
-
-def _has(col, text):
-    return f"contains(lower({col}), '{text}')"
-
-
-_GAIN = f"""least(0.70, (CASE WHEN NOT {_has('ns', 'select *')} AND {_has('sql_text', 'select *')} THEN 0.20 ELSE 0 END)
- + (CASE WHEN {_has('ns', 'limit ')} AND NOT {_has('sql_text', 'limit ')} THEN 0.15 ELSE 0 END)
- + (CASE WHEN {_has('ns', 'exists')} AND {_has('sql_text', 'in (select')} THEN 0.25 ELSE 0 END)
- + (CASE WHEN {_has('ns', 'inner join')} AND {_has('sql_text', ',')} AND NOT {_has('sql_text', 'join')} THEN 0.30 ELSE 0 END)
- + (CASE WHEN {_has('ns', 'where')} AND NOT {_has('sql_text', 'where')} THEN 0.35 ELSE 0 END)
- + (CASE WHEN {_has('ns', 'coalesce')} THEN 0.05 ELSE 0 END))"""
-
-
-def trainer(source):
-    """source yields id, sid, act, tab, cl (list), q, ns."""
-    return f"""
-src AS ({source}),
-known AS (SELECT src.*, EXISTS (SELECT 1 FROM {LAY} WHERE lsid = sid AND tname = tab) AS tok, 'idx_' || array_to_string(cl, '_') AS idx FROM src
-   WHERE sid IN (SELECT qsid FROM {QRY})),
-addx AS (SELECT known.*, act = 'create_index' AND tok AND NOT EXISTS (SELECT 1 FROM {LAY} WHERE lsid = sid AND tname = tab AND layout = idx) AS adds FROM known),
-kq AS (SELECT addx.*, qid, sql_text, ms, main FROM addx JOIN {QRY} ON qsid = sid),
-opts AS (SELECT kq.id, kq.qid, tpos * 1000 + lpos AS pos, false AS extra, {layout_score('lower(sql_text)', 'layout')} AS s
-           FROM kq JOIN {LAY} ON lsid = sid AND contains(lower(sql_text), tname)
-         UNION ALL
-         SELECT kq.id, kq.qid, tpos * 1000 + 999, true, {layout_score('lower(sql_text)', 'idx')}
-           FROM kq JOIN {LAY} ON lsid = sid AND tname = tab AND lpos = 0 AND contains(lower(sql_text), tname) WHERE adds),
-cov AS (SELECT id, qid, arg_min(s, pos) FILTER (s > 0 AND NOT extra) AS c0, arg_min(s, pos) FILTER (s > 0) AS c1 FROM opts GROUP BY 1, 2),
-sc AS (SELECT kq.*, coalesce(c0, 0.0::DOUBLE) AS c0, coalesce(c1, 0.0::DOUBLE) AS c1,
-    CASE WHEN act = 'rewrite_query' AND kq.qid = q THEN CAST(greatest(10, floor(ms * (1 - {_GAIN}))) AS BIGINT) ELSE ms END AS ms1
-  FROM kq LEFT JOIN cov ON cov.id = kq.id AND cov.qid = kq.qid),
-agg AS (SELECT id, any_value(sid) AS sid, any_value(act) AS act, any_value(tab) AS tab, any_value(cl) AS cl,
-    CAST(round(CAST(sum(greatest(0.0::DOUBLE, 100.0::DOUBLE - ms * (1.0::DOUBLE - least(c0 * 0.85::DOUBLE, 0.97::DOUBLE)) / 100.0::DOUBLE)) / count(*) AS DECIMAL(18,10)), 2) AS DOUBLE) AS base,
-    CAST(round(CAST(sum(greatest(0.0::DOUBLE, 100.0::DOUBLE - ms1 * (1.0::DOUBLE - least(c1 * 0.85::DOUBLE
-       + (CASE WHEN act = 'partition_table' AND tok AND tab = main THEN 0.3::DOUBLE ELSE 0.0::DOUBLE END)
-       + (CASE WHEN act = 'analyze_statistics' AND tok AND tab = main THEN 0.05::DOUBLE ELSE 0.0::DOUBLE END), 0.97::DOUBLE)) / 100.0::DOUBLE)) / count(*) AS DECIMAL(18,10)), 2) AS DOUBLE) AS fin
-  FROM sc GROUP BY id),
-mt AS (SELECT agg.*, greatest(1.0::DOUBLE, 100.0::DOUBLE - base) AS gap, CAST(round(CAST(fin - base AS DECIMAL(18,10)), 2) AS DOUBLE) AS moved,
-    coalesce((SELECT max((CASE WHEN htable = tab THEN 1.0::DOUBLE ELSE 0.3::DOUBLE END) * 0.4::DOUBLE
-        + CAST(len(list_intersect(list_transform(cl, lambda x: lower(x)), hcols)) AS DOUBLE) / len(hcols) * 0.6::DOUBLE) FROM {HINT} WHERE hsid = sid), 0.0::DOUBLE) AS best FROM agg),
-dl AS (SELECT *, CASE WHEN act = 'create_index' AND moved <= 0 THEN greatest(0.0::DOUBLE, best * gap * 0.65::DOUBLE)
-    WHEN act IN ('create_index','rewrite_query','partition_table','analyze_statistics') THEN moved ELSE 0.0::DOUBLE END AS delta FROM mt),
-im AS (SELECT *, greatest(0.0::DOUBLE, moved, delta) AS improvement FROM dl),
-ra AS (SELECT *, improvement / gap AS ratio FROM im),
-rw AS (SELECT *, (CASE WHEN ratio >= 0.25::DOUBLE THEN 0.15::DOUBLE ELSE 0.0::DOUBLE END) + (CASE WHEN ratio >= 0.5::DOUBLE THEN 0.25::DOUBLE ELSE 0.0::DOUBLE END)
-      + (CASE WHEN ratio >= 0.75::DOUBLE THEN 0.4::DOUBLE ELSE 0.0::DOUBLE END) AS milestone FROM ra),
-tr AS (SELECT *, CAST({m.clamp(m.r4(f"(CASE act {STEP} ELSE 0.001::DOUBLE END) + least(0.65::DOUBLE, ratio * 0.65::DOUBLE) + milestone + (CASE WHEN act = 'create_index' AND delta <= 0 THEN -0.05::DOUBLE ELSE 0.0::DOUBLE END)"))} AS DOUBLE) AS reward FROM rw)"""
-
-
-_CL = "list_filter(list_transform(string_split(coalesce(cols, ''), ','), lambda x: trim(x)), lambda x: x <> '')"
-_LOG = (f"SELECT event_id AS id, task_id AS sid, action_type AS act, coalesce(table_name, '') AS tab, {_CL} AS cl, trim(query_id) AS q, coalesce(new_sql, '') AS ns "
-        f"FROM ({views.select(views.ACTION_LOG, 'events')})")
 _SID = m.sql_list([s["id"] for s in dims.SCENARIOS])
-_FROM_TEXT = f"""SELECT completion_id AS id, {_SID}[completion_id % {len(dims.SCENARIOS)} + 1] AS sid, json_extract_string(aj, '$.action_type') AS act,
-   coalesce(json_extract_string(aj, '$.payload.table'), '') AS tab, coalesce(CAST(json_extract(aj, '$.payload.columns') AS VARCHAR[]), CAST([] AS VARCHAR[])) AS cl,
-   json_extract_string(aj, '$.payload.query_id') AS q, coalesce(json_extract_string(aj, '$.payload.new_sql'), '') AS ns FROM j"""
+_FROM_TEXT = f"""SELECT completion_id AS event_id, {_SID}[completion_id % {len(dims.SCENARIOS)} + 1] AS task_id, json_extract_string(aj, '$.action_type') AS action_type,
+   json_extract_string(aj, '$.payload.query_id') AS query_id, json_extract_string(aj, '$.payload.table') AS table_name,
+   coalesce(array_to_string(CAST(json_extract(aj, '$.payload.columns') AS VARCHAR[]), ','), '') AS cols, json_extract_string(aj, '$.payload.new_sql') AS new_sql,
+   json_extract_string(aj, '$.payload.partition_column') AS partition_column, json_extract_string(aj, '$.payload.index_name') AS index_name,
+   json_extract_string(aj, '$.payload.column_name') AS column_name, json_extract_string(aj, '$.payload.summary') AS summary FROM j"""
 
 REP = f"""r0 AS ({views.select(views.REPAIR + [views.REPAIR_TASK], 'events')}),
 r1 AS (SELECT *, CASE WHEN contains(lower(error_message), 'syntax error') AND contains(lower(error_message), 'name')
@@ -97,11 +38,11 @@ _board = f"""brd AS (SELECT event_id, task_id, CASE WHEN category <> 'performanc
    explanation, category AS error_type, CASE WHEN category <> 'performance' THEN place END AS error_location, '0.6' AS confidence, CAST(NULL AS VARCHAR) AS impact,
    CASE WHEN category = 'performance' THEN 'Performance issue detected: ' || left(error_message, 100) END AS root_cause,
    CASE WHEN category = 'performance' THEN 'Significant reduction in query execution time' END AS expected_improvement,
-   CASE WHEN category = 'performance' THEN 'Fix performance issue: performance' END AS optimization_type FROM exp WHERE task_id IS NOT NULL),
+   CASE WHEN category = 'performance' THEN 'Fix performance issue: performance' END AS optimization_type, CAST(NULL AS VARCHAR) AS change_made FROM exp WHERE task_id IS NOT NULL),
    {m.graded('brd')}"""
 _task1 = next(x for x in views.ACTION_LOG if x.endswith(" AS task_id"))
 _task2 = next(x for x in views.CASE_SUBMISSION if x.endswith(" AS task_id"))
-ANS = f"""WITH a AS (SELECT event_id, trim(regexp_replace(answer, '```(json)?', '', 'g')) AS t FROM ({views.select(views.ANSWER, 'events')})),
+ANS = f"""WITH a AS (SELECT event_id, trim(CASE WHEN contains(answer, '```') THEN regexp_replace(string_split(answer, '```')[2], '^json', '') ELSE answer END, ' ' || chr(10)) AS t FROM ({views.select(views.ANSWER, 'events')})),
   b AS (SELECT *, NOT json_valid(t) AS broken, CASE WHEN json_valid(t) THEN t END AS v FROM a),
   o AS (SELECT *, NOT broken AND coalesce(json_extract_string(v, '$.action_type'), '') = 'optimize_query' AS opt FROM b)"""
 
@@ -121,12 +62,14 @@ ORACLE = {
     "P5_truncation": "SELECT doc_id, CAST(length(t) AS INTEGER) AS n, md5(t) AS digest FROM (SELECT doc_id, CASE WHEN length(text) > 5000 THEN text[1:5000] || '...[truncated]' ELSE text END AS t FROM documents)",
     "P6_null_actions": f"""WITH e AS (SELECT episode_id, event_id, ts, CASE WHEN event_id % 13 <> 0 THEN action_type END AS act FROM ({views.select(views.EPISODE_STEP, 'events')})),
         n AS (SELECT *, row_number() OVER w AS step_no, count(act) OVER w AS history FROM e WINDOW w AS (PARTITION BY episode_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))
-        SELECT episode_id, event_id, step_no, CASE WHEN act IS NULL THEN 0.001::DOUBLE ELSE CAST(CASE act {ledger._rewards} ELSE 0.05 END AS DOUBLE) END AS reward, history FROM n WHERE step_no <= 50""",
+        SELECT episode_id, event_id, step_no, CASE WHEN act IS NULL THEN 0.001::DOUBLE ELSE CAST(CASE act {ledger._rewards} ELSE 0.05 END AS DOUBLE) END AS reward, history FROM n""",
     "P7_clamp": f"SELECT event_id, CAST({m.clamp(m.r4('value / 100'))} AS DOUBLE) AS score FROM events",
     "P8_routing": f"""WITH i AS (SELECT event_id, {_task1} FROM events UNION ALL SELECT event_id, {_task2} FROM events)
         SELECT event_id, task_id, CASE WHEN string_split(task_id, '_')[-1][1] = 's' THEN 'scenario' ELSE 'case' END AS kind, split_part(task_id, '_', 1) AS tier FROM i""",
     "P9_lookup": "SELECT c_custkey, n_name, r_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey",
-    "P10_progressive_hint": f"{ledger.CHAIN} SELECT episode_id, event_id, hints_used AS hint_no, {m.sql_list(HINTS)}[least(hints_used, 3)] AS hint FROM led WHERE action_type = 'request_hint'",
+    "P10_progressive_hint": f"""WITH raw AS ({views.select(views.EPISODE_STEP, 'events')}),
+        k AS (SELECT *, row_number() OVER (PARTITION BY episode_id ORDER BY ts, event_id) AS hint_no FROM raw WHERE action_type = 'request_hint')
+        SELECT episode_id, event_id, hint_no, {m.sql_list(HINTS)}[least(hint_no, 3)] AS hint FROM k""",
     "P11_task_catalogue": f"""SELECT CASE WHEN p_size <= 15 THEN 'easy' WHEN p_size <= 30 THEN 'medium' ELSE 'hard' END AS tier, count(*) AS n_tasks,
         count(DISTINCT p_name) AS n_descriptions, CAST(max(p_size) AS BIGINT) AS max_size, {m.lit(','.join(sorted(dims.ACTIONS)))} AS actions FROM part GROUP BY 1""",
     "T1_scenario_prompt": f"""WITH l AS ({views.select(views.QUERY_LOG, 'events')}),
@@ -144,6 +87,7 @@ ORACLE = {
         CASE WHEN broken THEN 'LLM call failed, using fallback' ELSE coalesce({_j('explanation')}, '') END AS explanation,
         CASE WHEN opt THEN coalesce({_j('optimization_type')}, 'Performance fix') ELSE coalesce({_j('error_type')}, 'syntax') END AS kind,
         CASE WHEN opt THEN NULL ELSE coalesce({_j('error_location')}, 'unknown') END AS error_location,
+        CASE WHEN opt THEN coalesce({_j('root_cause')}, '') END AS root_cause, CASE WHEN opt THEN coalesce({_j('expected_improvement')}, '') END AS expected_improvement,
         CASE WHEN NOT broken THEN coalesce(CAST({_j('confidence')} AS DOUBLE), 0.7::DOUBLE) END AS confidence FROM o""",
     "T5_plan_expansion": f"""WITH p AS ({views.select(views.PLAN, 'events')}), u AS (SELECT event_id, 1 AS step, plan_1 AS item FROM p UNION ALL SELECT event_id, 2, plan_2 FROM p UNION ALL SELECT event_id, 3, plan_3 FROM p),
         s AS (SELECT event_id, step, split_part(item, ':', 1) AS op, nullif(split_part(item, ':', 2), '') AS target, nullif(split_part(item, ':', 3), '') AS argument FROM u)
@@ -151,13 +95,11 @@ ORACLE = {
     "T6_trajectories": f"""{ledger.CHAIN} SELECT episode_id, step_no AS step, 'You are a senior database engineer.' || chr(10) || 'Current DB state:' || chr(10) || '- Performance score: '
         || printf('%.2f', CAST(round(perf_score - delta, 2) AS DOUBLE)) || ' / 85' || chr(10) || '- Steps remaining: ' || (51 - step_no) || chr(10) || 'Choose the best next action as JSON:' AS prompt,
         action_type, CAST({m.clamp('round((reward + 1) * 0.5, 4)')} AS DOUBLE) AS reward, CAST(delta AS DOUBLE) AS db_delta FROM live""",
-    "T7_completion_scores": f"""WITH {COMP}, {trainer(_FROM_TEXT)} SELECT id AS completion_id, sid AS scenario_id,
-        CASE WHEN act IS NULL THEN 0.001::DOUBLE WHEN act NOT IN ({', '.join(m.lit(x) for x in dims.TRAINER_ACTIONS)}) THEN 0.05::DOUBLE ELSE reward END AS reward FROM tr""",
+    "T7_completion_scores": f"""WITH {COMP}, {grading.actions_of(_FROM_TEXT)} SELECT event_id AS completion_id, task_id AS scenario_id,
+        CASE WHEN action_type IS NULL THEN 0.001::DOUBLE WHEN action_type NOT IN ({', '.join(m.lit(x) for x in dims.TRAINER_ACTIONS)}) THEN 0.05::DOUBLE ELSE CAST(grade AS DOUBLE) END AS reward FROM agrades""",
     "T8_sql_repair": f"WITH {REP} SELECT event_id, category, fixed AS fixed_query FROM exp",
     "T9_error_location": f"WITH {REP} SELECT event_id, place AS error_location FROM exp",
     "T10_fix_explanation": f"WITH {REP} SELECT event_id, explanation FROM exp",
     "T11_repair_scoreboard": f"""WITH {REP}, {_board} SELECT split_part(task_id, '_', 1) AS tier, count(*) AS n,
         CAST(sum(CAST(grade AS DECIMAL(18,4))) AS DOUBLE) / count(*) AS mean_grade FROM graded GROUP BY 1""",
-    "E20_trainer_reward": f"WITH {trainer(_LOG)} SELECT id AS event_id, CAST({m.r4('improvement')} AS DOUBLE) AS improvement, CAST({m.r4('milestone')} AS DOUBLE) AS milestone, reward FROM tr",
-    "E21_hint_fallback": f"WITH {trainer(_LOG)} SELECT id AS event_id, CAST({m.r4('delta')} AS DOUBLE) AS delta FROM tr WHERE act = 'create_index'",
 }

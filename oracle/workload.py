@@ -2,7 +2,15 @@
 
 from oracle import macros as m
 from tunewright import dims, views
-from tunewright.operators.workload import LINT_RULES
+
+LINT_RULES = (
+    ("select_star", r"(?i)select\s+([a-z]+\.)?\*"),
+    ("function_on_column", r"(?i)where.*\b(year|month|date|upper|lower|substr)\s*\("),
+    ("comma_join", r"(?i)from\s+\w+\s+\w+\s*,\s*\w+"),
+    ("scalar_subquery", r"(?i)select[^()]*\(\s*select"),
+    ("aggregate_in_where", r"(?i)where\s+(avg|sum|count|max|min)\s*\("),
+    ("window_without_order", r"(?i)over\s*\(\s*\)"),
+)
 
 
 def _fp(e):
@@ -10,37 +18,32 @@ def _fp(e):
 
 
 LAYOUTS = "(VALUES " + ", ".join(
-    f"({ti}, {li}, {m.lit(name)}, {m.lit(layout)})"
-    for ti, (name, _, _, layouts) in enumerate(dims.CATALOG) for li, layout in enumerate(layouts)
-) + ") lay(tpos, lpos, name, layout)"
+    f"({m.lit(name)}, {m.lit(layout)})" for name, _, _, layouts in dims.CATALOG for layout in layouts) + ") lay(name, layout)"
 TABLES = "(VALUES " + ", ".join(
-    f"({m.lit(n)}, {r}, {s}, {m.lit(','.join(l))}, {m.lit(','.join('+'.join(c) for t, c in dims.WANTED_LAYOUTS if t == n))})"
+    f"({m.lit(n)}, {r}, {s}, {m.lit(','.join(l))}, {m.lit(','.join(sorted('+'.join(c) for t, c in dims.WANTED_LAYOUTS if t == n)))})"
     for n, r, s, l in dims.CATALOG) + ") tab(name, row_count, size_mb, layouts, missing)"
 WANTED = "(VALUES " + ", ".join(
     f"({m.lit(t)}, {m.lit(','.join(c))}, {m.sql_list(c)}, {m.lit('idx_' + '_'.join(c))})"
     for t, c in dims.WANTED_LAYOUTS) + ") want(wt, wc, cols, idx)"
+PRED = ("list_slice(list_transform(list_filter(string_split(coalesce(string_split({0}, 'WHERE')[2], ''), 'AND'), lambda x: contains(x, '=')), "
+        "lambda x: trim(string_split(x, '=')[1])), 1, 2)").format("template")
+
 
 
-def layout_score(sql, layout):
-    n = f"len(list_filter(string_split(replace({layout}, 'idx_', ''), '_'), lambda p: contains({sql}, p)))"
-    return (f"(CASE WHEN {layout} = 'PRIMARY' THEN CASE WHEN contains({sql}, 'where id=') OR contains({sql}, 'where id =') "
-            f"THEN 0.95::DOUBLE ELSE 0.0::DOUBLE END WHEN {n} >= 2 THEN 0.9::DOUBLE WHEN {n} = 1 THEN 0.6::DOUBLE ELSE 0.0::DOUBLE END)")
+def _serves(layout, column):
+    return f"(CASE WHEN {layout} = 'PRIMARY' THEN {column} = 'id' ELSE contains({layout}, {column}) END)"
 
 
 BASE = f"""
 WITH log AS ({views.select(views.QUERY_LOG, 'events')}),
 t AS (SELECT {_fp('sql_text')} AS template, main_table, count(*) AS n, sum(exec_ms) AS ms,
         CAST(sum(exec_ms) AS DOUBLE) / count(*) AS avg_ms FROM log GROUP BY 1, 2),
-opt AS (SELECT template, tpos, lpos, name, layout, {layout_score('lower(template)', 'layout')} AS s
-        FROM t, {LAYOUTS} WHERE contains(lower(template), name)),
-cov AS (SELECT t.*, coalesce((SELECT arg_min(s, tpos * 1000 + lpos) FROM opt WHERE opt.template = t.template AND s > 0), 0.0::DOUBLE) AS coverage FROM t),
-sc AS (SELECT *, least(coverage * 0.85::DOUBLE + (CASE WHEN main_table = 'tracking' THEN 0.3::DOUBLE ELSE 0.0::DOUBLE END)
-          + (CASE WHEN main_table IN ('orders','logs') THEN 0.05::DOUBLE ELSE 0.0::DOUBLE END), 0.97::DOUBLE) AS reduction FROM cov),
-sco AS (SELECT *, avg_ms * (1.0::DOUBLE - reduction) AS effective_ms,
-          greatest(0.0::DOUBLE, 100.0::DOUBLE - avg_ms * (1.0::DOUBLE - reduction) / 100.0::DOUBLE) AS score FROM sc)
+p AS (SELECT *, {PRED} AS cols FROM t),
+u AS (SELECT template, main_table, unnest(cols) AS col FROM p),
+best AS (SELECT template, main_table, max(k) AS k FROM (
+    SELECT u.template, u.main_table, layout, count(*) AS k FROM u JOIN {LAYOUTS} ON name = u.main_table AND {_serves('layout', 'col')} GROUP BY 1, 2, 3) GROUP BY 1, 2),
+cov AS (SELECT p.*, coalesce(CAST(best.k AS DOUBLE) / len(cols), 0.0::DOUBLE) AS coverage FROM p LEFT JOIN best USING (template, main_table))
 """
-PRED = ("list_slice(list_transform(list_filter(string_split(coalesce(string_split({0}, 'WHERE')[2], ''), 'AND'), lambda x: contains(x, '=')), "
-        "lambda x: trim(string_split(x, '=')[1])), 1, 2)").format("template")
 
 _LINT = f"""WITH l AS ({views.select(views.LINT, 'events')})"""
 
@@ -50,21 +53,16 @@ def _rule(i):
     return f"SELECT '{name}' AS flag, count(*) AS templates, CAST(sum(n) AS BIGINT) AS executions FROM tt WHERE regexp_matches(template, '{pattern}')"
 
 
-_new = next(x for x in views.ACTION_LOG if x.endswith(" AS new_sql"))
 _ms = next(x for x in views.QUERY_LOG if x.endswith(" AS exec_ms"))
-_old = next(x for x in views.LINT if x.endswith(" AS sql_text"))
+_text = next(x for x in views.LINT if x.endswith(" AS sql_text"))
 
 
-def _has(col, text):
-    return f"contains(lower({col}), '{text}')"
-
+def _gain(i):
+    name, pattern = LINT_RULES[i]
+    hit = f"regexp_matches(template, '{pattern}')"
+    return (f"SELECT '{name}' AS flag, CAST(sum(n) FILTER ({hit}) AS BIGINT) AS executions, CAST(sum(ms) FILTER ({hit}) AS DOUBLE) / sum(n) FILTER ({hit}) AS avg_ms, "
+            f"CAST(sum(ms) FILTER (NOT {hit}) AS DOUBLE) / sum(n) FILTER (NOT {hit}) AS other_ms FROM tt")
 
-GAIN = f"""least(0.70, (CASE WHEN NOT {_has('new_sql', 'select *')} AND {_has('sql_text', 'select *')} THEN 0.20 ELSE 0 END)
- + (CASE WHEN {_has('new_sql', 'limit ')} AND NOT {_has('sql_text', 'limit ')} THEN 0.15 ELSE 0 END)
- + (CASE WHEN {_has('new_sql', 'exists')} AND {_has('sql_text', 'in (select')} THEN 0.25 ELSE 0 END)
- + (CASE WHEN {_has('new_sql', 'inner join')} AND {_has('sql_text', ',')} AND NOT {_has('sql_text', 'join')} THEN 0.30 ELSE 0 END)
- + (CASE WHEN {_has('new_sql', 'where')} AND NOT {_has('sql_text', 'where')} THEN 0.35 ELSE 0 END)
- + (CASE WHEN {_has('new_sql', 'coalesce')} THEN 0.05 ELSE 0 END))"""
 
 ORACLE = {
     "W1_normalised_text": f"WITH log AS ({views.select(views.QUERY_LOG, 'events')}) SELECT query_id, {m.norm('sql_text')} AS normalised FROM log",
@@ -78,38 +76,34 @@ ORACLE = {
           CAST(max(exec_ms) AS DOUBLE) AS max_ms FROM r GROUP BY template""",
     "W4_slowest_templates": f"{BASE} SELECT template, main_table, avg_ms, n FROM t ORDER BY avg_ms DESC, template LIMIT 3",
     "W5_predicate_columns": f"{BASE} SELECT template, array_to_string({PRED}, ',') AS columns FROM t",
-    "W6_layout_recommendations": f"""{BASE}, p AS (SELECT *, array_to_string({PRED}, ',') AS columns FROM t)
+    "W6_layout_recommendations": f"""{BASE}, q AS (SELECT *, array_to_string({PRED}, ',') AS columns FROM t)
         SELECT main_table, columns, CAST(sum(n) AS BIGINT) AS executions, CAST(sum(ms) AS DOUBLE) AS total_ms,
-          'Composite WHERE clause on ' || main_table AS reason FROM p WHERE columns <> '' GROUP BY main_table, columns""",
+          'Composite WHERE clause on ' || main_table AS reason FROM q WHERE columns <> '' GROUP BY main_table, columns""",
     "W7_benefiting_queries": f"""{BASE} SELECT wt AS layout_table, wc AS layout_columns, template, n FROM t, {WANTED}
         WHERE contains(lower(template), wt) AND len(list_filter(cols, lambda c: contains(lower(template), c))) > 0""",
-    "W8_coverage": f"{BASE} SELECT template, n, coverage FROM cov",
-    "W9_effective_latency": f"""{BASE} SELECT template, CAST({m.r4('avg_ms')} AS DOUBLE) AS avg_ms, coverage, CAST({m.r4('reduction')} AS DOUBLE) AS reduction,
-        CAST({m.r4('effective_ms')} AS DOUBLE) AS effective_ms, CAST({m.r4('score')} AS DOUBLE) AS score FROM sco""",
-    "W9_workload_score": f"{BASE} SELECT round(avg(score), 2) AS workload_score, count(*) AS templates FROM sco",
-    "W10_rewrite_gain": f"""WITH x AS (SELECT event_id, {_new}, {_old}, {_ms} FROM events), g AS (SELECT *, {GAIN} AS gain FROM x)
-        SELECT event_id, CAST(gain AS DOUBLE) AS gain, CAST(greatest(10, floor(exec_ms * (1 - gain))) AS BIGINT) AS new_ms FROM g""",
-    "W11_what_if": f"""{BASE}, pick AS (SELECT sco.*, wt, wc, cols, idx, EXISTS (SELECT 1 FROM {LAYOUTS} WHERE name = wt AND layout = idx) AS dup FROM sco, {WANTED}),
-        ranked AS (SELECT template, tpos * 1000 + lpos AS pos, name, s FROM opt WHERE s > 0),
-        extra AS (SELECT pick.*, (SELECT max(tpos) FROM {LAYOUTS} WHERE name = wt) AS wpos,
-            CASE WHEN NOT dup AND contains(lower(template), wt) THEN {layout_score('lower(template)', 'idx')} ELSE 0 END AS es FROM pick),
-        after AS (SELECT extra.*, CASE WHEN es > 0 AND coalesce((SELECT min(pos) FROM ranked r WHERE r.template = extra.template), 1000000) > wpos * 1000 + 999 THEN es ELSE coverage END AS cov2 FROM extra),
-        fin AS (SELECT *, greatest(0.0::DOUBLE, 100.0::DOUBLE - avg_ms * (1.0::DOUBLE - least(cov2 * 0.85::DOUBLE
-            + (CASE WHEN main_table = 'tracking' THEN 0.3::DOUBLE ELSE 0.0::DOUBLE END) + (CASE WHEN main_table IN ('orders','logs') THEN 0.05::DOUBLE ELSE 0.0::DOUBLE END), 0.97::DOUBLE)) / 100.0::DOUBLE) AS score2 FROM after),
-        agg AS (SELECT wt, wc, CAST(round(avg(score), 2) AS DECIMAL(18,2)) AS a, CAST(round(avg(score2), 2) AS DECIMAL(18,2)) AS b,
-            CAST(sum(CASE WHEN NOT dup AND contains(lower(template), wt) AND len(list_filter(cols, lambda c: contains(lower(template), c))) > 0 THEN 1 ELSE 0 END) AS BIGINT) AS k
-          FROM fin GROUP BY wt, wc)
-        SELECT wt AS layout_table, wc AS layout_columns, CAST(a AS DOUBLE) AS old_score, CAST(b AS DOUBLE) AS new_score, CAST(b - a AS DOUBLE) AS delta, b > a AS improved, k AS affected_templates FROM agg""",
-    "W12_scan_report": f"""{BASE} SELECT template, main_table, n, CASE WHEN coverage > 0.1 THEN 'INDEX RANGE SCAN' ELSE 'FULL TABLE SCAN' END AS scan_type,
-        CAST(CASE WHEN coverage > 0.1 THEN 50 ELSE coalesce((SELECT row_count FROM {TABLES} WHERE name = main_table), 50000) END AS BIGINT) AS rows_examined,
-        main_table = 'tracking' AS partitioned,
-        CASE WHEN coverage > 0.1 THEN 'Query is using index efficiently.' ELSE 'No index covering WHERE columns. Consider adding composite index.' END AS advice FROM cov""",
+    "W8_coverage": f"{BASE} SELECT template, n, CAST({m.r4('coverage')} AS DOUBLE) AS coverage FROM cov",
+    "W9_time_shares": f"""{BASE} SELECT template, CAST({m.r4('avg_ms')} AS DOUBLE) AS avg_ms, CAST(ms AS DOUBLE) AS total_ms,
+        CAST({m.r4('CAST(ms AS DOUBLE) / (SELECT CAST(sum(ms) AS DOUBLE) FROM t)')} AS DOUBLE) AS time_share,
+        CAST({m.r4('CAST(ms AS DOUBLE) * (1.0::DOUBLE - coverage)')} AS DOUBLE) AS unserved_ms FROM cov""",
+    "W9_workload_score": f"""{BASE} SELECT CAST({m.r4(f"CAST(sum({m.r4('CAST(ms AS DOUBLE) * coverage')}) AS DOUBLE) / CAST(sum(ms) AS DOUBLE)")} AS DOUBLE) AS served_share, count(*) AS templates FROM cov""",
+    "W10_rewrite_gain": f"""WITH l AS (SELECT {_text}, {_ms} FROM events), tt AS (SELECT {_fp('sql_text')} AS template, count(*) AS n, sum(exec_ms) AS ms FROM l GROUP BY 1)
+        SELECT *, avg_ms - other_ms AS gain_ms FROM ({' UNION ALL '.join(_gain(i) for i in range(len(LINT_RULES)))}) WHERE executions IS NOT NULL""",
+    "W11_what_if": f"""{BASE}, g AS (SELECT u.template, u.main_table, wc, count(*) AS k FROM u JOIN {WANTED} ON wt = u.main_table AND {_serves('idx', 'col')} GROUP BY 1, 2, 3),
+        b AS (SELECT wt, wc, idx, n, ms, CAST(g.k AS DOUBLE) / len(cov.cols) > coverage AS better FROM {WANTED} LEFT JOIN cov ON cov.main_table = wt LEFT JOIN g USING (template, main_table, wc))
+        SELECT wt AS layout_table, wc AS layout_columns, EXISTS (SELECT 1 FROM {LAYOUTS} WHERE name = wt AND layout = any_value(idx)) AS duplicate,
+          count(*) FILTER (better) AS affected_templates, CAST(coalesce(sum(n) FILTER (better), 0) AS BIGINT) AS executions,
+          CAST(coalesce(sum(ms) FILTER (better), 0) AS DOUBLE) AS total_ms FROM b GROUP BY wt, wc""",
+    "W12_scan_report": f"""{BASE}, open AS (SELECT template, main_table, string_agg(col, ',' ORDER BY k) AS cols FROM (
+            SELECT template, main_table, unnest(cols) AS col, generate_subscripts(cols, 1) AS k FROM p)
+          WHERE NOT EXISTS (SELECT 1 FROM {LAYOUTS} WHERE name = main_table AND {_serves('layout', 'col')}) GROUP BY 1, 2)
+        SELECT template, main_table, n, CAST(ms AS DOUBLE) AS total_ms, coverage > 0 AS served, coalesce(open.cols, '') AS unserved_columns,
+          main_table = 'tracking' AS partitioned FROM cov LEFT JOIN open USING (template, main_table)""",
     "W13_layout_report": f"""{BASE} SELECT name, CAST(row_count AS BIGINT) AS row_count, CAST(size_mb AS BIGINT) AS size_mb, layouts, missing,
-        (SELECT count(*) FROM cov WHERE coverage > 0.1 AND contains(template, name)) AS used_by,
-        CAST((SELECT coalesce(sum(n), 0) FROM cov WHERE coverage > 0.1 AND contains(template, name)) AS BIGINT) AS executions,
+        (SELECT count(*) FROM cov WHERE coverage > 0 AND main_table = name) AS used_by,
+        CAST((SELECT coalesce(sum(n), 0) FROM cov WHERE coverage > 0 AND main_table = name) AS BIGINT) AS executions,
         name IN ('orders','logs') AS stats_fresh, name = 'tracking' AS partitioned FROM {TABLES}""",
-    "W14_unused_layouts": f"""{BASE}, used AS (SELECT name, layout FROM opt WHERE s > 0 QUALIFY row_number() OVER (PARTITION BY template ORDER BY tpos, lpos) = 1)
-        SELECT name, layout FROM {LAYOUTS} WHERE layout <> 'PRIMARY' AND NOT EXISTS (SELECT 1 FROM used u WHERE u.name = lay.name AND u.layout = lay.layout)""",
+    "W14_unused_layouts": f"""{BASE} SELECT name, layout FROM {LAYOUTS} WHERE layout <> 'PRIMARY'
+        AND NOT EXISTS (SELECT 1 FROM u WHERE u.main_table = lay.name AND {_serves('layout', 'col')})""",
     "W15_partition_candidates": "SELECT name, row_count, row_count > 100000 AS partition_candidate FROM (" + " UNION ALL ".join(
         f"SELECT '{n}' AS name, count(*) AS row_count FROM {n}" for n in ("lineitem", "orders", "customer", "part", "events")) + ")",
     "W17_denormalisation": f"""{_LINT}, t AS (SELECT {_fp('sql_text')} AS template, count(*) AS n FROM l GROUP BY 1)

@@ -137,3 +137,20 @@ def test_clamp_range(spark):
     df = spark.range(-3, 4).select(clamp(F.col("id")).cast("double").alias("x"))
     got = [r.x for r in df.collect()]
     assert min(got) == 0.001 and max(got) == 0.999
+
+
+def test_change_made_stands_in_for_an_explanation(spark):
+    case = next(c for c in dims.CASES if c["id"].startswith("easy"))
+    fields = {f: None for f in credit.ANSWER_FIELDS}
+    said = {"none": {}, "own": {"explanation": "x" * 40}, "change": {"change_made": "x" * 40}, "empty": {"explanation": "", "change_made": "x" * 40}}
+    rows = [(k, case["id"], *{**fields, "fixed_query": case["fixed_query"], **v}.values()) for k, v in said.items()]
+    frame = spark.createDataFrame(rows, ", ".join(["k string", "task_id string", *[f"{f} string" for f in fields]]))
+    got = {r.k: r.grade for r in credit.with_case_grade(frame, grading.facts(spark)).collect()}
+    assert got["own"] == got["change"] == got["empty"] == pytest.approx(got["none"] + 0.10)
+
+
+def test_no_row_is_lost_without_a_task_or_passage(spark, sf):
+    from tunewright.session import table
+
+    n = table(spark, sf, "events").count()
+    assert grading.error_type(spark, sf).count() == n and grading.similarity(spark, sf).count() == table(spark, sf, "documents").count()

@@ -9,8 +9,10 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from oracle.collect import oracles
 from tunewright import dims, kernels
 from tunewright.operators import corpus, layout, metrics, preparation, synthesis, validation, workload
+from tunewright.plans import registry
 from tunewright.session import shared_dir, table
 from tunewright.sources import datasets as ds
 
@@ -225,10 +227,31 @@ def test_kernels_travel_by_value(tmp_path):
 
 
 def test_every_query_is_named_once_and_has_an_oracle_or_a_reason():
-    q, o = entry.queries(), entry.oracle_sql()
-    assert len(q) > 150 and set(o) <= set(q)
+    q, o = registry.queries(), oracles()
+    assert len(q) > 150 and set(o) <= set(q) and set(q) <= set(entry.queries())
     assert set(q) - set(o) == {"L3_approximate_statistics"}
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("text,found", [
+    ('{"a":' * 200_000, None), ('{' * 200_000, None), ('{"a":[1,{"b":' * 500 + '{"action_type": "x"}', '{"action_type": "x"}'),
+    ('{"k": 1} {"action_type": "y", "n": {"action_type": "z"}}', '{"action_type": "y", "n": {"action_type": "z"}}'), ("", None)])
+def test_search_survives_deep_and_broken_answers(text, found):
+    assert kernels.action_json([text])[0] == found
+
+
+ANSWERS = [
+    ('Here is my answer:\n```json\n{"action_type": "optimize_query", "root_cause": "r"}\n```\n', "optimize_query", "SELECT 1", "r"),
+    ('```{"fixed_query": "SELECT 7"}``` or ```{"fixed_query": "SELECT 8"}```', "submit_answer", "SELECT 7", None),
+    ('{"fixed_query": "SELECT 9"}', "submit_answer", "SELECT 9", None), ("Here is ``` nothing", "identify_error", None, None)]
+
+
+@pytest.mark.parametrize("answer,action,query,cause", ANSWERS)
+def test_first_fence_of_an_answer_counts(spark, monkeypatch, tmp_path, answer, action, query, cause):
+    spark.createDataFrame([(1, answer)], "event_id long, text string").write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(preparation.views, "ANSWER", ["event_id", "text AS answer"])
+    row = preparation.action_defaults(spark, str(tmp_path)).first()
+    assert (row.action_type, row.query, row.root_cause) == (action, query, cause)

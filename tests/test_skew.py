@@ -69,3 +69,11 @@ def test_diff_counts_copies(spark):
     many = spark.range(3000).selectExpr("1 AS x")
     got = corpus.result_diff(many.limit(2500), many).collect()
     assert [(r.x, r.side, r.copies) for r in got] == [(1, "missing", 500)]
+
+
+def test_running_values_are_the_same_with_segments(spark, skewed, as_rows):
+    rows = spark.read.parquet(f"{skewed}/events.parquet").select("user_id", "event_id", "ts", "value")
+    values = {"nth": ("sum", F.lit(1).cast("bigint")), "best": ("max", F.col("value")), "views": ("sum", (F.col("event_id") % 5 == 0).cast("bigint"))}
+    cut, whole = (scan.running(rows, "user_id", ("ts", "event_id"), values, n) for n in (1000, None))
+    assert as_rows(cut.select("event_id", *values)) == as_rows(whole.select("event_id", *values))
+    assert cut.where("user_id = 7").agg(F.max("nth")).first()[0] == 20_000

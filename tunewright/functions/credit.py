@@ -92,7 +92,7 @@ def total(*parts):
 
 # Names of the answer fields a debugging submission may carry.
 ANSWER_FIELDS = ("fixed_query", "optimized_query", "explanation", "error_type", "error_location",
-                 "confidence", "impact", "root_cause", "expected_improvement", "optimization_type")
+                 "confidence", "impact", "root_cause", "expected_improvement", "optimization_type", "change_made")
 
 
 def case_facts(cases):
@@ -151,8 +151,8 @@ def with_case_grade(answers, facts, out="grade"):
     offered = (F.when(c("_tier") == "hard", first_text(c("optimized_query"), c("fixed_query")))
                .otherwise(first_text(c("fixed_query"), c("optimized_query"))))
     df = with_similarity(df, offered, "_sim")
-    df = df.select("*", F.lower(F.coalesce(c("explanation"), F.lit(""))).alias("_text"),
-                   explanation_credit(c("explanation")).alias("_explained"),
+    said = first_text(c("explanation"), c("change_made"))
+    df = df.select("*", F.lower(said).alias("_text"), explanation_credit(said).alias("_explained"),
                    confidence_credit(c("confidence")).alias("_confident"))
     place = location_credit(c("error_location"), c("want_location"), c("want_place"))
     grade = (F.when(c("want_norm").isNull(), F.lit(0.001))

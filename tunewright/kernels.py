@@ -76,7 +76,8 @@ def segment_starts(batches):
 def action_json(texts):
     """First JSON object with an action_type inside free text, as JSON text.
 
-    NULL input stays NULL, so rows that already parsed cost nothing here.
+    NULL input stays NULL, so rows that already parsed cost nothing here.  A text
+    that nests too deeply, or whose search has read it fifty times over, has none.
     """
     import json
 
@@ -86,13 +87,17 @@ def action_json(texts):
 
     def search(text):
         at = text.find("{") if text else -1
-        while at >= 0:
+        left = 50 * len(text or "") + 1_000_000
+        while at >= 0 and left > 0:
             try:
                 found, end = decoder.raw_decode(text, at)
                 if "action_type" in found:
                     return text[at:end]
-            except ValueError:
-                pass
+                left -= end - at
+            except json.JSONDecodeError as e:
+                left -= e.pos - at
+            except RecursionError:
+                return None
             at = text.find("{", at + 1)
         return None
 

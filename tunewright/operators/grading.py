@@ -12,15 +12,16 @@ DEC = "decimal(18,4)"
 
 
 def passages(spark, sf_dir):
-    """Documents paired with the passage they are graded against, prepared once per passage."""
+    """Documents with the passage they are graded against, prepared once per passage; a document without one stays."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("submitted"))
     bench = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("expected"))
     n = bench.agg(F.count(F.lit(1))).scalar()
-    return docs.join(credit.expect_text(bench, F.col("expected")), F.col("item_id") == F.col("doc_id") % n).drop("item_id")
+    return docs.join(credit.expect_text(bench, F.col("expected")), F.col("item_id") == F.col("doc_id") % n, "left").drop("item_id")
 
 
 def similarity(spark, sf_dir):
-    return credit.with_similarity(passages(spark, sf_dir), F.col("submitted")).select("doc_id", "similarity")
+    rows = credit.with_similarity(passages(spark, sf_dir), F.col("submitted"))
+    return rows.select("doc_id", F.coalesce("similarity", F.lit(0.0)).alias("similarity"))
 
 
 def keyword_sets(spark, sf_dir):
@@ -39,7 +40,7 @@ def facts(spark):
 
 
 def error_type(spark, sf_dir):
-    rows = answers(spark, sf_dir).join(facts(spark), "task_id")
+    rows = answers(spark, sf_dir).join(facts(spark), "task_id", "left")
     return rows.select("event_id", credit.error_type_credit(
         F.col("error_type"), F.col("want_type"), F.col("want_aliases")).alias("credit"))
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tunewright import dims, views
 from tunewright.functions import credit
 from tunewright.functions.text import clamp, dbl, round4
+from tunewright.operators import scan
 from tunewright.session import table
 
 DEC = "decimal(18,4)"
@@ -171,14 +172,13 @@ def steps_of(spark, sf_dir):
     return table(spark, sf_dir, "events").selectExpr(*views.EPISODE_STEP)
 
 
-NEED_GRADE = {"grade", "grader_part", "efficiency_bonus", "done", "reward", "total_reward"}
 AMOUNTS = set(PARTS) | {"perf_score", "baseline", "delta", "grade", "reward", "total_reward", "best_perf"}
 
 
-def _ledger_query(*columns, alive=False):
+def _ledger_query(*columns):
+    """Columns of the live steps: an episode pays nothing for actions after its end, so those have no reward parts."""
     def run(spark, sf_dir):
-        graded = alive or not NEED_GRADE.isdisjoint(columns)
-        rows = (live if alive else ledger)(steps_of(spark, sf_dir), graded=graded)
+        rows = live(steps_of(spark, sf_dir))
         return rows.select("episode_id", "event_id", "step_no",
                            *[dbl(F.col(c), c) if c in AMOUNTS else F.col(c) for c in columns])
     return run
@@ -236,8 +236,9 @@ def run_score(spark, sf_dir):
 
 
 def best_so_far(spark, sf_dir):
-    """Running best score and whether the target is met."""
-    rows = ledger(steps_of(spark, sf_dir), graded=False)
+    """Running best score over the whole history and whether the target is met."""
+    rows = scan.running(steps_of(spark, sf_dir), "episode_id", ("ts", "event_id"), {
+        "step_no": ("sum", F.lit(1).cast("bigint")), "best_perf": ("max", F.col("perf_score"))})
     return rows.select("episode_id", "event_id", "step_no", dbl(F.col("best_perf"), "best_score"),
                        (F.col("perf_score") >= dims.DEFAULT_TARGET).alias("target_reached"))
 
@@ -275,10 +276,10 @@ QUERIES = {
     "E10_terminal_score": _ledger_query("action_type", "terminal_score"),
     "E11_grader_part": _ledger_query("action_type", "grade", "grader_part"),
     "E12_step_total": breakdown,
-    "E13_running_total": _ledger_query("reward", "total_reward", alive=True),
+    "E13_running_total": _ledger_query("reward", "total_reward"),
     "E14_external_reward": external_reward,
     "E15_done": _ledger_query("done"),
-    "E16_truncate_after_done": _ledger_query("action_type", "done", alive=True),
+    "E16_truncate_after_done": _ledger_query("action_type", "done"),
     "E17_episode_summary": lambda spark, sf_dir: summary(steps_of(spark, sf_dir)),
     "E18_progress": progress,
     "E19_latest_state": latest_state,

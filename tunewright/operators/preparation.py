@@ -6,10 +6,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tunewright import dims, kernels, views
-from tunewright.functions import cost, credit
-from tunewright.functions.text import clamp, dbl, round4, strip
+from tunewright.functions import credit
+from tunewright.functions.text import clamp, dbl, strip
 from tunewright.operators import ledger
-from tunewright.operators.grading import split_columns
+from tunewright.operators.grading import scenario_facts, split_columns, with_action_grade
 from tunewright.operators.workload import query_log
 from tunewright.session import table
 
@@ -92,7 +92,9 @@ def action_extraction(spark, sf_dir):
 def action_defaults(spark, sf_dir):
     """Answers with missing fields filled; text that is no JSON becomes identify_error."""
     rows = table(spark, sf_dir, "events").selectExpr(*views.ANSWER)
-    rows = rows.withColumn("plain", strip(F.regexp_replace("answer", "```(json)?", "")))
+    # the first fenced part counts, without its language tag
+    fenced = F.regexp_replace(F.try_element_at(F.split("answer", "```"), F.lit(2)), "^json", "")
+    rows = rows.withColumn("plain", strip(F.coalesce(fenced, F.col("answer"))))
     rows = rows.withColumn("v", F.try_parse_json("plain"))
 
     def get(name, kind="string"):
@@ -110,6 +112,8 @@ def action_defaults(spark, sf_dir):
         F.when(optimise & ~broken, F.coalesce(get("optimization_type"), F.lit("Performance fix")))
         .otherwise(F.coalesce(get("error_type"), F.lit("syntax"))).alias("kind"),
         F.when(optimise & ~broken, F.lit(None)).otherwise(F.coalesce(get("error_location"), F.lit("unknown"))).alias("error_location"),
+        F.when(optimise & ~broken, F.coalesce(get("root_cause"), F.lit(""))).alias("root_cause"),
+        F.when(optimise & ~broken, F.coalesce(get("expected_improvement"), F.lit(""))).alias("expected_improvement"),
         F.when(~broken, F.coalesce(number, F.lit(0.7))).alias("confidence"))
 
 
@@ -140,100 +144,21 @@ def trajectories(spark, sf_dir):
                        dbl(shown, "reward"), dbl(F.col("delta"), "db_delta"))
 
 
-# ------------------------------------------------------------ trainer reward
-
-def with_trainer_reward(actions, scenarios):
-    """Local trainer reward of one action against its fresh scenario.
-
-    actions: scenario_id, action_type, table_name, cols, query_id, new_sql.
-    """
-    none = F.array().cast("array<string>")
-    facts = scenarios.select(
-        F.col("id").alias("scenario_id"), "hints", cost.catalog_of(F.col("tables")).alias("catalog"), "tables",
-        F.transform("queries", lambda q: F.struct(
-            q["id"].alias("id"), q["sql"].alias("sql"), F.lower(q["sql"]).alias("low"),
-            q["main_table"].alias("main_table"), q["avg_ms"].cast("bigint").alias("avg_ms"))).alias("queries"))
-    facts = facts.withColumn("base", cost.workload_score(F.col("queries"), F.col("catalog"), none, none))
-    rows = actions.join(facts, "scenario_id")
-    act, tab = F.col("action_type"), F.coalesce("table_name", F.lit(""))
-    cols = F.coalesce("cols", none)
-    index = F.concat(F.lit("idx_"), F.array_join(cols, "_"))
-    add = act == "create_index"
-    known = F.exists("tables", lambda t: t["name"] == tab)
-    fresh = F.exists("tables", lambda t: (t["name"] == tab) & ~F.array_contains(t["indexes"], index))
-    # only these actions can move the score; all others keep the base
-    moves = F.when(add, fresh).when(act.isin("partition_table", "analyze_statistics"), known).otherwise(act == "rewrite_query")
-    rows = rows.select("*", F.coalesce(moves, F.lit(False)).alias("_moves"))
-    catalog = F.when(add, F.transform("catalog", lambda t: F.struct(
-        t["name"].alias("name"),
-        F.when(t["name"] == tab, F.concat(t["layouts"], F.array(cost.layout(index)))).otherwise(t["layouts"]).alias("layouts")))
-    ).otherwise(F.col("catalog"))
-    gain = F.when(F.col("_moves") & (act == "rewrite_query"), F.transform("queries", lambda q: F.struct(
-        q["low"].alias("low"), q["main_table"].alias("main_table"),
-        F.when(q["id"] == F.col("query_id"), cost.rewritten_ms(
-            q["avg_ms"], cost.rewrite_gain(F.coalesce("new_sql", F.lit("")), q["sql"]))).otherwise(q["avg_ms"]).alias("avg_ms"))))
-    plain = F.transform("queries", lambda q: F.struct(q["low"].alias("low"), q["main_table"].alias("main_table"), q["avg_ms"].alias("avg_ms")))
-    rows = rows.select("*", catalog.alias("_catalog"), F.coalesce(gain, plain).alias("_queries"),
-                       F.when(act == "partition_table", F.array(tab)).otherwise(none).alias("_part"),
-                       F.when(act == "analyze_statistics", F.array(tab)).otherwise(none).alias("_fresh"))
-    after = cost.workload_score(F.col("_queries"), F.col("_catalog"), F.col("_part"), F.col("_fresh"))
-    rows = rows.withColumn("final", F.when(F.col("_moves"), after).otherwise(F.col("base")))
-    low = F.array_distinct(F.transform(cols, lambda c: F.lower(c)))
-    match = F.array_max(F.transform(F.filter("hints", lambda h: F.size(h["columns"]) > 0), lambda h:
-                        F.when(h["table"] == tab, F.lit(1.0)).otherwise(F.lit(0.3)) * 0.4
-                        + F.size(F.array_intersect(low, F.transform(h["columns"], lambda c: F.lower(c))))
-                        / F.size(h["columns"]) * 0.6))
-    gap = F.greatest(F.lit(1.0), F.lit(100.0) - F.col("base"))
-    moved = F.round((F.col("final") - F.col("base")).cast("decimal(18,10)"), 2).cast("double")
-    guess = F.coalesce(F.col("_match"), F.lit(0.0)) * F.col("_gap") * 0.65
-    rows = rows.select("*", match.alias("_match"), gap.alias("_gap"), moved.alias("_moved"))
-    delta = (F.when(add & (F.col("_moved") <= 0), F.greatest(F.lit(0.0), guess))
-             .when(act.isin("create_index", "rewrite_query", "partition_table", "analyze_statistics"), F.col("_moved"))
-             .otherwise(F.lit(0.0)))
-    rows = rows.withColumn("delta", delta)
-    gained = F.greatest(F.lit(0.0), F.col("_moved"), F.col("delta"))
-    rows = rows.withColumn("improvement", gained).withColumn("_ratio", F.col("improvement") / F.col("_gap"))
-    step = F.create_map(*[x for k, v in dims.TRAINER_STEP.items() for x in (F.lit(k), F.lit(v))])
-    bonus = reduce(lambda a, b: a + b, [
-        F.when(F.col("_ratio") >= float(s), F.lit(float(v))).otherwise(F.lit(0.0)) for s, v in dims.MILESTONES])
-    wrong = F.when(add & (F.col("delta") <= 0), F.lit(-0.05)).otherwise(F.lit(0.0))
-    total = (F.coalesce(F.try_element_at(step, act), F.lit(0.001)) + F.least(F.lit(0.65), F.col("_ratio") * 0.65)
-             + bonus + wrong)
-    return rows.select(*actions.columns, "delta", "improvement", bonus.alias("milestone"),
-                       clamp(round4(total)).cast("double").alias("reward"))
-
-
-def trainer_actions(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").selectExpr(*views.ACTION_LOG)
-    return rows.select("event_id", F.col("task_id").alias("scenario_id"), "action_type", "table_name",
-                       split_columns(F.col("cols")).alias("cols"), F.trim("query_id").alias("query_id"), "new_sql")
-
-
-def trainer_reward(spark, sf_dir):
-    scored = with_trainer_reward(trainer_actions(spark, sf_dir), dims.scenario_table(spark))
-    return scored.select("event_id", dbl(round4(F.col("improvement")), "improvement"),
-                         dbl(round4(F.col("milestone")), "milestone"), "reward")
-
-
-def hint_fallback(spark, sf_dir):
-    """Score change granted for an index that moved nothing but resembles a wanted one."""
-    rows = trainer_actions(spark, sf_dir).where("action_type = 'create_index'")
-    scored = with_trainer_reward(rows, dims.scenario_table(spark))
-    return scored.select("event_id", dbl(round4(F.col("delta")), "delta"))
-
-
 def completion_scores(spark, sf_dir):
-    """Reward of raw completions: 0.001 no action, 0.05 unknown action, else the trainer reward."""
+    """Reward of raw completions: 0.001 no action, 0.05 unknown action, else the grade of the action against its scenario."""
     n = len(dims.SCENARIOS)
     ids = F.array(*[F.lit(s["id"]) for s in dims.SCENARIOS])
+    fields = ("partition_column", "index_name", "column_name", "summary")
+    v = F.try_parse_json("action_json")
     rows = with_payload(extracted(spark, sf_dir)).select(
         "completion_id", "action_json", "action_type", "table_name", "cols", "query_id", "new_sql",
-        F.element_at(ids, (F.col("completion_id") % n + 1).cast("int")).alias("scenario_id"))
-    scored = with_trainer_reward(rows, dims.scenario_table(spark))
+        *[F.try_variant_get(v, f"$.payload.{f}", "string").alias(f) for f in fields],
+        F.element_at(ids, (F.col("completion_id") % n + 1).cast("int")).alias("task_id"))
+    graded = with_action_grade(rows, scenario_facts(spark))
     known = F.coalesce(F.col("action_type").isin(*dims.TRAINER_ACTIONS), F.lit(False))
-    return scored.select("completion_id", "scenario_id",
+    return graded.select("completion_id", F.col("task_id").alias("scenario_id"),
                          F.when(F.col("action_json").isNull(), F.lit(0.001)).when(~known, F.lit(0.05))
-                         .otherwise(F.col("reward")).alias("reward"))
+                         .otherwise(F.col("grade")).alias("reward"))
 
 
 # ------------------------------------------------------------------ SQL repair
@@ -333,7 +258,7 @@ def scoreboard(spark, sf_dir):
         F.lit("0.6").alias("confidence"), F.lit(None).cast("string").alias("impact"),
         F.when(slow, F.concat(F.lit("Performance issue detected: "), F.left("error_message", F.lit(100)))).alias("root_cause"),
         F.when(slow, "Significant reduction in query execution time").alias("expected_improvement"),
-        F.when(slow, "Fix performance issue: performance").alias("optimization_type"))
+        F.when(slow, "Fix performance issue: performance").alias("optimization_type"), F.lit(None).cast("string").alias("change_made"))
     graded = credit.with_case_grade(rows, credit.case_facts(dims.case_table(spark)))
     return graded.groupBy(F.split_part("task_id", F.lit("_"), F.lit(1)).alias("tier")).agg(
         F.count(F.lit(1)).alias("n"),
@@ -352,6 +277,4 @@ QUERIES = {
     "T9_error_location": repair_locations,
     "T10_fix_explanation": repair_explanations,
     "T11_repair_scoreboard": scoreboard,
-    "E20_trainer_reward": trainer_reward,
-    "E21_hint_fallback": hint_fallback,
 }

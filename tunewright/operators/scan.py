@@ -69,3 +69,28 @@ def with_halo(rows, key, order, size):
                                                  F.least(F.size("before"), F.lit(size)))))
             .withColumn("is_hot", F.lit(True)).withColumn("halo", F.lit(True)))
     return rows.withColumn("halo", F.lit(False)).unionByName(halo)
+
+
+def running(df, key, order, values, min_rows=None):
+    """df with running aggregates of each key's rows in the order (time first): name -> ("sum" or "max", column).
+
+    A key with too many rows for one task is cut into time segments; what the
+    earlier segments add up to is joined to a segment's own running values.
+    """
+    hot = hot_list(df, key, order[0], min_rows)
+    add = {"sum": F.sum, "max": F.max}
+    rows = df if hot is None else with_segment(df, key, order[0], hot)
+    keys = [key] if hot is None else [key, "seg"]
+    rows = rows.select("*", *[c.alias(f"_{name}") for name, (_, c) in values.items()])
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.select("*", *[add[kind](f"_{name}").over(w).alias(name) for name, (kind, _) in values.items()])
+    if hot is None:
+        return rows.select(*df.columns, *values)
+    parts = rows.where("is_hot").groupBy(key, "seg").agg(*[add[kind](f"_{name}").alias(f"_{name}") for name, (kind, _) in values.items()])
+    earlier = Window.partitionBy(key).orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(F.col(key).alias("_key"), F.col("seg").alias("_seg"),
+                         *[add[kind](f"_{name}").over(earlier).alias(f"_before_{name}") for name, (kind, _) in values.items()])
+    both = rows.join(parts, (F.col(key) == F.col("_key")) & (F.col("seg") == F.col("_seg")), "left")
+    carried = {name: F.coalesce(F.col(name) + F.col(f"_before_{name}"), F.col(name)) if kind == "sum"
+               else F.greatest(F.col(name), F.col(f"_before_{name}")) for name, (kind, _) in values.items()}
+    return both.select(*df.columns, *[c.alias(name) for name, c in carried.items()])

@@ -1,11 +1,10 @@
 """Projections, filters and checks on task records, actions and text."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tunewright import dims, views
 from tunewright.functions.text import clamp, dbl, round4
-from tunewright.operators import ledger
+from tunewright.operators import ledger, scan
 from tunewright.operators.grading import is_scenario
 from tunewright.operators.preparation import extracted
 from tunewright.session import table
@@ -143,16 +142,16 @@ def truncation(spark, sf_dir):
 
 
 def null_actions(spark, sf_dir):
-    """A null action takes a step and the floor reward but leaves no history."""
+    """A null action takes a step and the floor reward but leaves no history; an unknown one earns the default."""
     steps = ledger.steps_of(spark, sf_dir).withColumn(
         "action_type", F.when(F.col("event_id") % 13 != 0, F.col("action_type")))
-    w = ledger.in_episode().rowsBetween(Window.unboundedPreceding, 0)
     rewards = F.create_map(*[x for k, v in dims.STEP_REWARD.items() for x in (F.lit(k), F.lit(v).cast("decimal(18,4)"))])
-    log = ledger.episode_log(steps)
+    log = scan.running(steps, "episode_id", ("ts", "event_id"), {
+        "step_no": ("sum", F.lit(1).cast("bigint")), "history": ("sum", F.col("action_type").isNotNull().cast("bigint"))})
     return log.select("episode_id", "event_id", "step_no",
                       F.when(F.col("action_type").isNull(), F.lit(0.001))
-                      .otherwise(F.try_element_at(rewards, F.col("action_type")).cast("double")).alias("reward"),
-                      F.count("action_type").over(w).alias("history"))
+                      .otherwise(F.coalesce(F.try_element_at(rewards, F.col("action_type")).cast("double"), F.lit(float(dims.DEFAULT_STEP)))).alias("reward"),
+                      "history")
 
 
 def clamped(spark, sf_dir):
@@ -177,7 +176,8 @@ def lookup(spark, sf_dir):
 
 def hints(spark, sf_dir):
     """The k-th hint of an episode, the last one repeated."""
-    rows = ledger.ledger(ledger.steps_of(spark, sf_dir), graded=False).where("action_type = 'request_hint'")
+    rows = scan.running(ledger.steps_of(spark, sf_dir), "episode_id", ("ts", "event_id"), {
+        "hints_used": ("sum", (F.col("action_type") == "request_hint").cast("bigint"))}).where("action_type = 'request_hint'")
     texts = F.array(*[F.lit(h) for h in HINTS])
     return rows.select("episode_id", "event_id", F.col("hints_used").alias("hint_no"),
                        F.element_at(texts, F.least(F.col("hints_used"), F.lit(len(HINTS))).cast("int")).alias("hint"))

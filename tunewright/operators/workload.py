@@ -1,4 +1,4 @@
-"""Query-log analytics: templates, latency profile, layout advice, what-if scores.
+"""Query-log analytics: templates, latency profile, layout advice from measured time.
 
 The log is reduced to statement templates first (a map-side aggregate), so every
 text rule below runs once per template and not once per execution.
@@ -10,11 +10,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tunewright import dims, views
-from tunewright.functions import cost
 from tunewright.functions.text import dbl, fingerprint, normalize, round4
 from tunewright.session import table
 
-CATALOG = [(name, layouts) for name, _, _, layouts in dims.CATALOG]
 PARTITIONED = ("tracking",)
 FRESH = ("orders", "logs")
 
@@ -24,7 +22,7 @@ def query_log(spark, sf_dir):
 
 
 def histogram(log):
-    """Executions per (template, latency): the only pass over the raw log."""
+    """Executions per (template, latency), reduced map-side."""
     return (log.select(fingerprint(F.col("sql_text")).alias("template"), "main_table", "exec_ms")
             .groupBy("template", "main_table", "exec_ms").agg(F.count(F.lit(1)).alias("n")))
 
@@ -127,125 +125,105 @@ def benefiting(spark, sf_dir):
                     "template", "n"))
 
 
-def coverage_scores(spark, sf_dir):
-    t = templates(query_log(spark, sf_dir))
-    cat = cost.catalog_literal(CATALOG)
-    return t.select("template", "n", cost.coverage(F.lower("template"), cat).alias("coverage"))
+def catalog_table(spark):
+    return dims.inline(spark, ("name", "row_count", "size_mb", "layouts"), dims.CATALOG)
+
+
+def serves(layout, column):
+    """Whether a layout helps a predicate on a column; its name lists the columns."""
+    return F.when(layout == "PRIMARY", column == "id").otherwise(F.contains(layout, column))
+
+
+def with_coverage(t, catalog):
+    """Predicate columns of each template and the share of them that the best layout of its table serves."""
+    both = t.withColumn("cols", predicate_columns(F.col("template"))).join(
+        catalog.select(F.col("name").alias("main_table"), "layouts"), "main_table", "left")
+    best = F.array_max(F.transform("layouts", lambda x: F.size(F.filter("cols", lambda c: serves(x, c))) / F.nullif(F.size("cols"), F.lit(0))))
+    return both.withColumn("coverage", F.coalesce(best, F.lit(0.0)))
+
 
+def covered_templates(spark, sf_dir):
+    return with_coverage(templates(query_log(spark, sf_dir)), catalog_table(spark))
 
-def scored(t, catalog, partitioned=PARTITIONED, fresh=FRESH):
-    """Coverage, saved share, effective latency and score per template."""
-    red = cost.reduction(F.col("coverage"), F.col("main_table").isin(*partitioned), F.col("main_table").isin(*fresh))
-    return (t.withColumn("coverage", cost.coverage(F.lower("template"), catalog))
-            .withColumn("reduction", red)
-            .withColumn("effective_ms", F.col("avg_ms") * (F.lit(1.0) - F.col("reduction")))
-            .withColumn("score", cost.latency_score(F.col("effective_ms"))))
+
+def coverage_scores(spark, sf_dir):
+    return covered_templates(spark, sf_dir).select("template", "n", dbl(round4(F.col("coverage")), "coverage"))
 
 
-def effective_latency(spark, sf_dir):
-    t = scored(templates(query_log(spark, sf_dir)), cost.catalog_literal(CATALOG))
-    return t.select("template", dbl(round4(F.col("avg_ms")), "avg_ms"), "coverage",
-                    dbl(round4(F.col("reduction")), "reduction"),
-                    dbl(round4(F.col("effective_ms")), "effective_ms"), dbl(round4(F.col("score")), "score"))
+def time_shares(spark, sf_dir):
+    """Measured latency of each template, its share of all logged time, and the part no layout serves."""
+    t = covered_templates(spark, sf_dir)
+    total = t.agg(F.sum("ms")).scalar()
+    return t.select("template", dbl(round4(F.col("avg_ms")), "avg_ms"), dbl(F.col("ms"), "total_ms"),
+                    dbl(round4(F.col("ms").cast("double") / total.cast("double")), "time_share"),
+                    dbl(round4(F.col("ms").cast("double") * (F.lit(1.0) - F.col("coverage"))), "unserved_ms"))
 
 
 def workload_score(spark, sf_dir):
-    t = scored(templates(query_log(spark, sf_dir)), cost.catalog_literal(CATALOG))
-    exact = F.avg(F.col("score").cast("decimal(18,8)"))
-    return t.agg(F.coalesce(F.round(exact, 2), F.lit(0)).cast("double").alias("workload_score"),
-                 F.count(F.lit(1)).alias("templates"))
+    """Share of the logged time that runs on predicates a layout serves."""
+    t = covered_templates(spark, sf_dir)
+    part = F.sum(round4(F.col("ms").cast("double") * F.col("coverage")))
+    return t.agg(dbl(round4(part.cast("double") / F.sum("ms").cast("double")), "served_share"), F.count(F.lit(1)).alias("templates"))
 
 
 def rewrite_gains(spark, sf_dir):
-    """Estimated gain of each logged rewrite over the statement it replaces."""
-    e = table(spark, sf_dir, "events")
-    new = [x for x in views.ACTION_LOG if x.endswith(" AS new_sql")]
-    ms = [x for x in views.QUERY_LOG if x.endswith(" AS exec_ms")]
-    old = [x for x in views.LINT if x.endswith(" AS sql_text")]
-    rows = e.selectExpr("event_id", *new, *old, *ms)
-    gain = cost.rewrite_gain(F.col("new_sql"), F.col("sql_text"))
-    rows = rows.withColumn("g", gain)
-    return rows.select("event_id", dbl(F.col("g"), "gain"),
-                       cost.rewritten_ms(F.col("exec_ms"), F.col("g")).alias("new_ms"))
+    """Measured mean latency of statements with a mistake against those without it."""
+    ms = next(x for x in views.QUERY_LOG if x.endswith(" AS exec_ms"))
+    text = next(x for x in views.LINT if x.endswith(" AS sql_text"))
+    t = (table(spark, sf_dir, "events").selectExpr(text, ms).groupBy(fingerprint(F.col("sql_text")).alias("template"))
+         .agg(F.count(F.lit(1)).alias("n"), F.sum("exec_ms").alias("ms")))
+    flags = F.array(*[F.struct(F.lit(name).alias("flag"), F.regexp_like("template", F.lit(rule)).alias("hit")) for name, rule in LINT_RULES])
+    mean = lambda hit: F.sum(F.when(F.col("hit") == hit, F.col("ms"))).cast("double") / F.sum(F.when(F.col("hit") == hit, F.col("n")))
+    per = t.select("n", "ms", F.inline(flags)).groupBy("flag").agg(
+        F.sum(F.when(F.col("hit"), F.col("n"))).alias("executions"), mean(True).alias("avg_ms"), mean(False).alias("other_ms"))
+    return per.where("executions IS NOT NULL").select("flag", "executions", "avg_ms", "other_ms", (F.col("avg_ms") - F.col("other_ms")).alias("gain_ms"))
 
 
-def _with_layout(candidate):
-    name, cols = candidate
-    idx = "idx_" + "_".join(cols)
-    return [(t, layouts + (idx,) if t == name and idx not in layouts else layouts) for t, layouts in CATALOG]
+def wanted_table(spark):
+    rows = [(t, ",".join(cols), "idx_" + "_".join(cols)) for t, cols in dims.WANTED_LAYOUTS]
+    return dims.inline(spark, ("layout_table", "layout_columns", "layout"), rows)
 
 
 def what_if(spark, sf_dir):
-    """Workload score before and after adding each wanted layout."""
-    t = templates(query_log(spark, sf_dir))
-    known = {name: layouts for name, layouts in CATALOG}
-    cases = F.array(*[
-        F.struct(F.lit(c[0]).alias("table"), F.array(*[F.lit(x) for x in c[1]]).alias("cols"),
-                 F.lit("idx_" + "_".join(c[1]) in known[c[0]]).alias("duplicate"),
-                 cost.catalog_literal(_with_layout(c)).alias("catalog"))
-        for c in dims.WANTED_LAYOUTS])
-    before = scored(t, cost.catalog_literal(CATALOG)).select(
-        "template", "main_table", "avg_ms", F.col("score").alias("old"))
-    after = scored(before.select("*", F.explode(cases).alias("c")), F.col("c.catalog"))
-    exact = "decimal(18,8)"
-    touched = benefits(F.col("template"), F.col("c")) & ~F.col("c.duplicate")
-    return (after.groupBy(F.col("c.table").alias("layout_table"), F.array_join("c.cols", ",").alias("layout_columns"))
-            .agg(F.round(F.avg(F.col("old").cast(exact)), 2).alias("a"),
-                 F.round(F.avg(F.col("score").cast(exact)), 2).alias("b"),
-                 F.sum(touched.cast("bigint")).alias("affected_templates"))
-            .select("layout_table", "layout_columns", dbl(F.col("a"), "old_score"), dbl(F.col("b"), "new_score"),
-                    dbl(F.col("b") - F.col("a"), "delta"), (F.col("b") > F.col("a")).alias("improved"),
-                    "affected_templates"))
-
-
-def catalog_table(spark):
-    return dims.inline(spark, ("name", "row_count", "size_mb", "layouts"), dims.CATALOG)
+    """For each wanted layout the templates it serves better than what is there, and their logged time."""
+    t = covered_templates(spark, sf_dir)
+    both = wanted_table(spark).join(t, F.col("layout_table") == F.col("main_table"), "left")
+    share = F.size(F.filter("cols", lambda c: serves(F.col("layout"), c))) / F.nullif(F.size("cols"), F.lit(0))
+    better = F.coalesce(share > F.col("coverage"), F.lit(False))
+    return both.groupBy("layout_table", "layout_columns").agg(
+        F.max(F.coalesce(F.array_contains("layouts", F.col("layout")), F.lit(False))).alias("duplicate"),
+        F.sum(better.cast("bigint")).alias("affected_templates"),
+        F.sum(F.when(better, F.col("n")).otherwise(0)).alias("executions"),
+        F.coalesce(F.sum(F.when(better, F.col("ms"))), F.lit(0)).cast("double").alias("total_ms"))
 
 
 def scan_report(spark, sf_dir):
-    t = templates(query_log(spark, sf_dir))
-    covered = cost.coverage(F.lower("template"), cost.catalog_literal(CATALOG)) > 0.1
-    facts = catalog_table(spark).select(F.col("name").alias("main_table"), "row_count")
-    return (t.withColumn("covered", covered).join(facts, "main_table", "left")
-            .select("template", "main_table", "n",
-                    F.when(F.col("covered"), "INDEX RANGE SCAN").otherwise("FULL TABLE SCAN").alias("scan_type"),
-                    F.when(F.col("covered"), 50).otherwise(F.coalesce("row_count", F.lit(50000))).cast("bigint").alias("rows_examined"),
-                    F.col("main_table").isin(*PARTITIONED).alias("partitioned"),
-                    F.when(F.col("covered"), "Query is using index efficiently.")
-                    .otherwise("No index covering WHERE columns. Consider adding composite index.").alias("advice")))
+    """Templates with or without a layout behind their predicates, and what they cost in the log."""
+    t = covered_templates(spark, sf_dir)
+    return t.select("template", "main_table", "n", dbl(F.col("ms"), "total_ms"), (F.col("coverage") > 0).alias("served"),
+                    F.array_join(F.filter("cols", lambda c: ~F.exists(F.coalesce("layouts", F.array().cast("array<string>")), lambda x: serves(x, c))), ",").alias("unserved_columns"),
+                    F.col("main_table").isin(*PARTITIONED).alias("partitioned"))
 
 
 def layout_report(spark, sf_dir):
     """Per table: layouts, use by templates, missing layouts, freshness, size."""
-    cat = cost.catalog_literal(CATALOG)
-    t = templates(query_log(spark, sf_dir)).withColumn("coverage", cost.coverage(F.lower("template"), cat))
-    mentioned = F.filter(F.transform(cat, lambda x: x["name"]), lambda x: F.contains(F.col("template"), x))
-    used = (t.where("coverage > 0.1").select("n", F.explode(mentioned).alias("name"))
-            .groupBy("name").agg(F.count(F.lit(1)).alias("used_by"), F.sum("n").alias("executions")))
-    wanted = {name: [] for name, _ in CATALOG}
-    for name, cols in dims.WANTED_LAYOUTS:
-        wanted[name].append("+".join(cols))
-    hints = dims.inline(spark, ("hinted", "missing"), [(k, ",".join(v)) for k, v in wanted.items()])
-    base = catalog_table(spark).join(hints, F.col("name") == F.col("hinted"), "left")
-    return base.join(used, "name", "left").select(
+    used = (covered_templates(spark, sf_dir).where("coverage > 0").groupBy(F.col("main_table").alias("used"))
+            .agg(F.count(F.lit(1)).alias("used_by"), F.sum("n").alias("executions")))
+    wanted = wanted_table(spark).groupBy(F.col("layout_table").alias("hinted")).agg(
+        F.array_join(F.array_sort(F.collect_list(F.replace("layout_columns", F.lit(","), F.lit("+")))), ",").alias("missing"))
+    base = catalog_table(spark).join(wanted, F.col("name") == F.col("hinted"), "left").join(used, F.col("name") == F.col("used"), "left")
+    return base.select(
         "name", F.col("row_count").cast("bigint").alias("row_count"), F.col("size_mb").cast("bigint").alias("size_mb"),
-        F.array_join("layouts", ",").alias("layouts"), "missing",
+        F.array_join("layouts", ",").alias("layouts"), F.coalesce("missing", F.lit("")).alias("missing"),
         F.coalesce("used_by", F.lit(0)).alias("used_by"), F.coalesce("executions", F.lit(0)).alias("executions"),
         F.col("name").isin(*FRESH).alias("stats_fresh"), F.col("name").isin(*PARTITIONED).alias("partitioned"))
 
 
 def unused_layouts(spark, sf_dir):
-    """Layouts that decide the coverage of no template (PRIMARY is never offered for removal)."""
-    t = templates(query_log(spark, sf_dir))
-    low = F.lower("template")
-    options = F.array(*[
-        F.struct(F.lit(name).alias("name"), F.lit(i).alias("layout"),
-                 cost.coverage(low, cost.catalog_literal([(name, (i,))])).alias("s"))
-        for name, layouts in CATALOG for i in layouts])
-    deciding = F.try_element_at(F.filter(options, lambda o: o["s"] > 0), F.lit(1))
-    used = t.select(deciding.alias("d")).where("d IS NOT NULL").select("d.name", "d.layout").distinct()
+    """Layouts that serve no predicate column of any template of their table (PRIMARY is never offered for removal)."""
+    wanted = (templates(query_log(spark, sf_dir)).select(F.col("main_table").alias("name"), F.explode(predicate_columns(F.col("template"))).alias("col")).distinct())
     every = catalog_table(spark).select("name", F.explode("layouts").alias("layout")).where("layout <> 'PRIMARY'")
-    return every.join(used, ["name", "layout"], "left_anti")
+    return every.join(wanted, (every["name"] == wanted["name"]) & serves(F.col("layout"), F.col("col")), "left_anti")
 
 
 def partition_candidates(spark, sf_dir, large=100_000):
@@ -302,7 +280,7 @@ QUERIES = {
     "W6_layout_recommendations": recommendations,
     "W7_benefiting_queries": benefiting,
     "W8_coverage": coverage_scores,
-    "W9_effective_latency": effective_latency,
+    "W9_time_shares": time_shares,
     "W9_workload_score": workload_score,
     "W10_rewrite_gain": rewrite_gains,
     "W11_what_if": what_if,

@@ -64,6 +64,8 @@ CASE_SUBMISSION = [
     "WHEN 3 THEN 'The implicit join is a cartesian product: the missing join condition between the two tables makes a cross join of everything' "
     "WHEN 4 THEN 'N+1 pattern: multiple queries are sent, one correlated subquery per row; a join instead needs one scan with HAVING, WHERE and COUNT in order, and uses the index' "
     "END AS explanation",
+    "CASE WHEN event_id % 6 = 5 AND event_id % 4 <> 3 THEN 'The correlated subquery became one grouped join' "
+    "WHEN event_id % 10 = 0 THEN 'join added' END AS change_made",
     "CASE event_id % 7 WHEN 0 THEN 'syntax' WHEN 1 THEN ' Logic ' WHEN 2 THEN 'performance' "
     "WHEN 3 THEN 'slow scan' WHEN 4 THEN 'wrong result' WHEN 5 THEN 'parse' END AS error_type",
     "CASE event_id % 3 WHEN 0 THEN 'select clause' WHEN 1 THEN 'JOIN type' END AS error_location",
@@ -176,7 +178,9 @@ REPAIR_TASK = ("CASE event_id % 9 WHEN 0 THEN 'easy_001' WHEN 3 THEN 'easy_004'
 # Answers to debugging tasks as JSON text with fields left out.
 ANSWER = [
     "event_id",
-    "CASE event_id % 4 "
+    "CASE event_id % 6 "
+    "WHEN 4 THEN concat('Here is my answer:\n```json\n{\"action_type\": \"optimize_query\", \"root_cause\": \"step ', user_id, '\", \"expected_improvement\": \"much\"}\n```\nDone.') "
+    "WHEN 5 THEN 'Either ```{\"fixed_query\": \"SELECT 7\"}``` or ```json\n{\"fixed_query\": \"SELECT 8\"}\n```' "
     "WHEN 0 THEN concat('{\"action_type\": \"submit_answer\", \"fixed_query\": \"SELECT ', user_id, '\", \"confidence\": 0.5}') "
     "WHEN 1 THEN '```json\n{\"action_type\": \"optimize_query\", \"explanation\": \"uses one scan\"}\n```' "
     "WHEN 2 THEN props ELSE concat('not json ', event_id) END AS answer",
