@@ -1,5 +1,8 @@
-"""Streaming results equal the batch results, also over several micro-batches."""
+"""Streaming results equal the batch results, whatever the order of the files and the size of the batches."""
 
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
 from tunewright import dims, views
@@ -7,43 +10,37 @@ from tunewright.operators import curriculum, ledger
 from tunewright.session import shared_dir, table
 from tunewright.streaming import episodes
 
-
-def in_pieces(spark, sf, n=3):
-    """Events as n files whose order by modification time is the order by event time."""
-    path = shared_dir(spark, "pieces")
-    e = table(spark, sf, "events")
-    size = e.count() // n + 1
-    for i in range(n):
-        e.where((F.col("event_id") >= i * size) & (F.col("event_id") < (i + 1) * size)).coalesce(1).write.mode("append").parquet(path)
-    return path, e.schema
+ORDERS = {"in order": (0, 1, 2, 3), "reversed": (3, 2, 1, 0), "mixed": (2, 0, 3, 1)}
 
 
-def run(spark, stream, schema):
-    episodes.stateful(spark)
-    out = shared_dir(spark, "out")
-    episodes.drain(stream, out, shared_dir(spark, "state"))
-    return spark.read.schema(schema).parquet(out)
+@pytest.fixture(scope="module", params=list(ORDERS))
+def arriving(request, spark, sf):
+    """Folder whose events are files that arrive (by modification time) in the given order."""
+    folder, order = shared_dir(spark, "arriving"), ORDERS[request.param]
+    e = table(spark, sf, "events")
+    size = e.count() // len(order) + 1
+    for k in order:
+        e.where((F.col("event_id") >= k * size) & (F.col("event_id") < (k + 1) * size)).coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+        time.sleep(0.02)
+    return folder
 
 
-def test_steps_over_micro_batches(spark, sf, as_rows):
-    path, schema = in_pieces(spark, sf)
-    events = episodes.read_stream(spark, path, schema, maxFilesPerTrigger=1)
-    got = run(spark, episodes.score_stream(events), episodes.STEP_OUT)
+@pytest.mark.parametrize("files", [1, 2])
+def test_steps(spark, sf, arriving, as_rows, files):
+    got = episodes.scored_steps(spark, arriving, maxFilesPerTrigger=files)
     live = ledger.live(ledger.steps_of(spark, sf)).selectExpr(
         "episode_id", "event_id", "step_no", "CAST(reward AS DOUBLE)", "CAST(total_reward AS DOUBLE)", "done")
     assert as_rows(got) == as_rows(live)
 
 
-def test_tiers_over_micro_batches(spark, sf, as_rows):
-    path, schema = in_pieces(spark, sf)
-    events = episodes.read_stream(spark, path, schema, maxFilesPerTrigger=1)
-    got = run(spark, episodes.tier_stream(events), episodes.TIER_OUT)
+def test_tiers(spark, sf, arriving, as_rows):
+    got = episodes.tiers(spark, arriving, maxFilesPerTrigger=1)
     batch = curriculum.walk(curriculum.scores_of(spark, sf)).select("learner_id", "event_id", "episode_no", "tier")
     assert as_rows(got) == as_rows(batch)
 
 
-def test_counts(spark, sf, as_rows):
-    got = episodes.action_counts(spark, sf)
+def test_counts(spark, sf, arriving, as_rows):
+    got = episodes.action_counts(spark, arriving, maxFilesPerTrigger=1)
     batch = (table(spark, sf, "events").selectExpr(*views.EPISODE_STEP)
              .groupBy(F.unix_seconds(F.date_trunc("hour", F.col("ts").cast("timestamp"))).alias("w"), "action_type").count())
     assert as_rows(got) == as_rows(batch)

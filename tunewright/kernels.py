@@ -181,76 +181,44 @@ def first_rows(chunks, order, limit):
     return kept
 
 
-def in_order(chunks, order, columns):
-    """Named integer columns of one key's rows in this batch as sorted arrays (8 bytes a value)."""
-    import numpy as np
-
-    parts = [[pdf[c].to_numpy() for c in (*order, *columns)] for pdf in chunks]
-    joined = [np.concatenate(p) for p in zip(*parts)]
-    by = np.lexsort(tuple(reversed(joined[:len(order)])))
-    return [c[by] for c in joined]
-
+def step_processor(rules, most=50):
+    """Stateful processor: scores the steps of one episode in event order, in whatever order they arrive.
 
-def step_processor(rules):
-    """Stateful processor: scores the steps of one episode as they arrive."""
+    The state is the first `most` steps by time that have been seen; later ones
+    can never count.  A batch that changes them scores the episode again and
+    emits all its live steps under a new version, which replaces the one before.
+    """
     from pyspark.sql.streaming import StatefulProcessor
 
+    columns = ["us", "event_id", "action_type", "perf", "grade"]
+
     class StepProcessor(StatefulProcessor):
         def init(self, handle):
-            self.state = handle.getValueState(
-                "episode", "steps int, run int, baseline bigint, prev bigint, best bigint, total bigint, "
-                           "done boolean, last string")
+            self.steps = handle.getListState("steps", "us bigint, event_id bigint, action_type string, perf bigint, grade bigint")
+            self.version = handle.getValueState("version", "version bigint")
 
         def handleInputRows(self, key, rows, timer_values):
             import pandas as pd
 
-            state = list(self.state.get()) if self.state.exists() else [0, 0, 0, 0, None, 0, False, None]
-            if state[6]:
+            fresh = first_rows(rows, columns[:2], most)[columns]
+            fresh = [(int(us), int(event), action, int(perf), None if pd.isna(grade) else int(grade))
+                     for us, event, action, perf, grade in fresh.itertuples(index=False)]
+            before = [tuple(r) for r in self.steps.get()] if self.steps.exists() else []
+            kept = sorted(before + fresh, key=lambda r: r[:2])[:most]
+            if kept == before:
                 return
-            out = []
-            for row in first_rows(rows, ["ts", "event_id"], 50 - state[0]).itertuples(index=False):
-                grade = None if pd.isna(row.grade) else int(row.grade)
-                reward = score_step(state, row.action_type, int(row.perf), grade, rules)
-                out.append((key[0], row.event_id, state[0], reward / SCALE, state[5] / SCALE, state[6]))
+            version = self.version.get()[0] + 1 if self.version.exists() else 0
+            self.steps.put(kept)
+            self.version.update((version,))
+            state, out = [0, 0, 0, 0, None, 0, False, None], []
+            for _, event, action, perf, grade in kept:
+                reward = score_step(state, action, perf, grade, rules)
+                out.append((key[0], event, state[0], reward / SCALE, state[5] / SCALE, state[6], version))
                 if state[6]:
                     break
-            self.state.update(tuple(state))
-            yield pd.DataFrame(out, columns=["episode_id", "event_id", "step_no", "reward", "total_reward", "done"])
+            yield pd.DataFrame(out, columns=["episode_id", "event_id", "step_no", "reward", "total_reward", "done", "version"])
 
         def close(self):
             pass
 
     return StepProcessor()
-
-
-def tier_processor(up, down, size):
-    """Stateful processor: tier of one learner after each score (integers in 1/10000)."""
-    from pyspark.sql.streaming import StatefulProcessor
-
-    class TierProcessor(StatefulProcessor):
-        def init(self, handle):
-            self.state = handle.getValueState("learner", "recent array<bigint>, tier int, episodes bigint")
-
-        def handleInputRows(self, key, rows, timer_values):
-            import pandas as pd
-
-            recent, tier, episodes = self.state.get() if self.state.exists() else ([], 0, 0)
-            recent = list(recent)
-            _, events, scores = in_order(rows, ["us", "event_id"], ["score"])
-            tiers = []
-            for score in scores:
-                recent = (recent + [int(score)])[-size:]
-                if len(recent) == size:
-                    if sum(recent) >= up * size:
-                        tier = min(3, tier + 1)
-                    elif sum(recent) < down * size:
-                        tier = max(0, tier - 1)
-                tiers.append(tier)
-            self.state.update((recent, tier, episodes + len(tiers)))
-            yield pd.DataFrame({"learner_id": key[0], "event_id": events,
-                                "episode_no": range(episodes + 1, episodes + len(tiers) + 1), "tier": tiers})
-
-        def close(self):
-            pass
-
-    return TierProcessor()

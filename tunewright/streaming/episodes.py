@@ -1,7 +1,10 @@
 """Structured Streaming jobs: step scoring, curriculum and action counts.
 
-Each job drains its input with an availableNow trigger, keeps state in RocksDB
-and writes exactly once into a fresh folder under the shared checkpoint folder.
+Each job drains its input with an availableNow trigger and writes exactly once
+into a fresh folder under the shared checkpoint folder.  Files of a stored table
+arrive in any order, so a job never takes arrival for event order and never drops
+a late row: what a late row changes is emitted again under a higher version, and
+the newest version stands.  Results don't depend on where batches end.
 """
 
 from decimal import Decimal
@@ -9,11 +12,11 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from tunewright import dims, kernels, views
-from tunewright.operators import ledger
+from tunewright.operators import curriculum, ledger
 from tunewright.session import shared_dir, table
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-# Soft limit of a micro-batch; it also bounds what one key can hold in a task.
+# Soft limit of a micro-batch.
 BYTES_PER_BATCH = 4 * 1024 ** 3
 
 
@@ -50,65 +53,84 @@ def stateful(spark):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-STEP_OUT = "episode_id bigint, event_id bigint, step_no bigint, reward double, total_reward double, done boolean"
-TIER_OUT = "learner_id bigint, event_id bigint, episode_no bigint, tier int"
+STEP_OUT = "episode_id bigint, event_id bigint, step_no bigint, reward double, total_reward double, done boolean, version bigint"
+
+
+def newest(rows, key, version):
+    """The rows of each key's highest version."""
+    last = rows.groupBy(key).agg(F.max(version).alias("_last")).withColumnRenamed(key, "_key")
+    return rows.join(last, (F.col(key) == F.col("_key")) & (F.col(version) == F.col("_last"))).drop("_key", "_last", version)
 
 
 def score_stream(events):
-    """Rewards per live step of a stream of events; ended episodes ignore further steps."""
+    """Rewards per live step of a stream of events, again for each change of an episode's first steps."""
     steps = ledger.with_grade(events.selectExpr(*views.EPISODE_STEP))
-    scaled = steps.select("episode_id", "event_id", "ts", "action_type",
+    scaled = steps.select("episode_id", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "action_type",
                           (F.col("perf_score") * kernels.SCALE).cast("bigint").alias("perf"),
                           (F.col("grade") * kernels.SCALE).cast("bigint").alias("grade"))
     return scaled.groupBy("episode_id").transformWithStateInPandas(
-        statefulProcessor=kernels.step_processor(rules()), outputStructType=STEP_OUT, outputMode="Append",
+        statefulProcessor=kernels.step_processor(rules(), dims.MAX_STEPS), outputStructType=STEP_OUT, outputMode="Append",
         timeMode="None")
 
 
-def tier_stream(events):
-    scores = events.selectExpr(*views.LEARNER_SCORE).select(
-        "learner_id", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), (F.col("score") * kernels.SCALE).cast("bigint").alias("score"))
-    return scores.groupBy("learner_id").transformWithStateInPandas(
-        statefulProcessor=kernels.tier_processor(_units(dims.ADVANCE_MEAN), _units(dims.REGRESS_MEAN), dims.TIER_WINDOW),
-        outputStructType=TIER_OUT, outputMode="Append", timeMode="None")
-
+def count_stream(events, late=None, width="1 hour"):
+    """Actions per tumbling window.
 
-def count_stream(events, late="1 hour", width="1 hour"):
-    """Actions per tumbling window; rows later than the watermark are dropped."""
+    For live input `late` sets a watermark: state of older windows is dropped, and
+    rows that come later than that with it.  A drain of a stored table has none.
+    """
     timed = events.selectExpr(*views.EPISODE_STEP).withColumn("at", F.col("ts").cast("timestamp"))
-    return (timed.withWatermark("at", late).groupBy(F.window("at", width), "action_type")
-            .agg(F.count(F.lit(1)).alias("n")))
+    timed = timed.withWatermark("at", late) if late else timed
+    return timed.groupBy(F.window("at", width), "action_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def per_batch(events, checkpoint, keep, mode="append"):
+    query = (events.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
 
 
-def scored_steps(spark, sf_dir):
+def scored_steps(spark, sf_dir, **options):
     stateful(spark)
     out, path = shared_dir(spark, "steps"), f"{sf_dir}/events.parquet"
-    events = read_stream(spark, path, table(spark, sf_dir, "events").schema)
+    events = read_stream(spark, path, table(spark, sf_dir, "events").schema, **options)
     drain(score_stream(events), out, shared_dir(spark, "steps-state"))
-    return spark.read.schema(STEP_OUT).parquet(out)
+    return newest(spark.read.schema(STEP_OUT).parquet(out), "episode_id", "version")
 
 
-def tiers(spark, sf_dir):
-    stateful(spark)
-    out, path = shared_dir(spark, "tiers"), f"{sf_dir}/events.parquet"
-    events = read_stream(spark, path, table(spark, sf_dir, "events").schema)
-    drain(tier_stream(events), out, shared_dir(spark, "tiers-state"))
-    return spark.read.schema(TIER_OUT).parquet(out)
+def tiers(spark, sf_dir, **options):
+    """Tier of every learner after each episode.
+
+    A batch adds to the stored scores and walks the learners it touches again,
+    with the walk of the batch job: segments bound what a task holds of a huge
+    learner, and nothing is kept in Python.
+    """
+    scores, walked = shared_dir(spark, "tier-scores"), shared_dir(spark, "tiers")
+    schema = table(spark, sf_dir, "events").schema
+    events = read_stream(spark, f"{sf_dir}/events.parquet", schema, **options)
+
+    def keep(batch, number):
+        session = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{scores}/batch={number}")
+        known = session.read.option("basePath", scores).parquet(f"{scores}/batch=*").where(F.col("batch") <= number).drop("batch")
+        touched = session.read.parquet(f"{scores}/batch={number}").select(curriculum.KEY).distinct()
+        rows = curriculum.walk(known.join(touched, curriculum.KEY, "left_semi"))
+        rows.select(curriculum.KEY, "event_id", "episode_no", "tier").write.mode("overwrite").parquet(f"{walked}/batch={number}")
+
+    per_batch(events.selectExpr(*views.LEARNER_SCORE), shared_dir(spark, "tiers-state"), keep)
+    return newest(spark.read.option("basePath", walked).parquet(f"{walked}/batch=*"), curriculum.KEY, "batch")
 
 
-def action_counts(spark, sf_dir):
+def action_counts(spark, sf_dir, **options):
     """Window counts in update mode; the newest count of a window stands."""
     stateful(spark)
     out, path = shared_dir(spark, "counts"), f"{sf_dir}/events.parquet"
-    events = read_stream(spark, path, table(spark, sf_dir, "events").schema)
+    events = read_stream(spark, path, table(spark, sf_dir, "events").schema, **options)
 
     def keep(batch, number):
-        batch.select(F.unix_seconds("window.start").alias("window_start"), "action_type", "n",
-                     F.lit(number).cast("bigint").alias("batch")).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        batch.select(F.unix_seconds("window.start").alias("window_start"), "action_type", "n").write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    query = (count_stream(events).writeStream.outputMode("update").foreachBatch(keep)
-             .option("checkpointLocation", shared_dir(spark, "counts-state")).trigger(availableNow=True).start())
-    query.awaitTermination()
+    per_batch(count_stream(events), shared_dir(spark, "counts-state"), keep, "update")
     rows = spark.read.option("basePath", out).parquet(f"{out}/batch=*")
     return rows.groupBy("window_start", "action_type").agg(F.max_by("n", "batch").alias("n"))
 
