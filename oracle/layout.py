@@ -31,6 +31,9 @@ ORACLE = {
     "L3_statistics": " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS distinct_values, "
         f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM orders" for c in _COLS),
+    "L3_approximate_statistics": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS nulls, true AS within_a_tenth FROM orders" for c in _COLS),
+    "L5_drop_copy": "SELECT count(*) AS copy_rows, count(*) AS base_rows, false AS copy_exists FROM orders",
     "L4_denormalised_column": "SELECT o_orderkey, o_custkey, o_totalprice, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey",
     "L6_rewrite_effect": """SELECT 'subqueries_to_join' AS rewrite, 0::BIGINT AS different_rows, (SELECT count(*) FROM customer) > 0 AS same_result
         UNION ALL SELECT 'function_to_range', (SELECT count(*) FROM orders WHERE (year(o_orderdate) = 1997 AND month(o_orderdate) = 3)

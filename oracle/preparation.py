@@ -1,6 +1,6 @@
 """Oracles of validation, preparation, repair and the trainer reward."""
 
-from oracle import grading, ledger, macros as m
+from oracle import grading, ledger, macros as m, workload
 from tunewright import dims, views
 from tunewright.operators import preparation as prep
 from tunewright.operators.validation import HINTS
@@ -73,10 +73,16 @@ ORACLE = {
     "P11_task_catalogue": f"""SELECT CASE WHEN p_size <= 15 THEN 'easy' WHEN p_size <= 30 THEN 'medium' ELSE 'hard' END AS tier, count(*) AS n_tasks,
         count(DISTINCT p_name) AS n_descriptions, CAST(max(p_size) AS BIGINT) AS max_size, {m.lit(','.join(sorted(dims.ACTIONS)))} AS actions FROM part GROUP BY 1""",
     "T1_scenario_prompt": f"""WITH l AS ({views.select(views.QUERY_LOG, 'events')}),
-        k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY exec_ms DESC, query_id) AS k FROM l QUALIFY k <= 3)
-        SELECT user_id, {m.lit(dims.SYSTEM_INSTRUCTION)} || chr(10) || '=== DATABASE STATE ===' || chr(10) || 'Scenario: user ' || user_id || chr(10) || 'Slow Queries: [' ||
-          string_agg('{{"id":"q' || k || '","sql":"' || sql_text || '","ms":' || CAST(exec_ms AS VARCHAR) || ',"main_table":"' || main_table || '"}}', ',' ORDER BY k)
-          || ']' || chr(10) || 'What is your next action? JSON only:' AS prompt FROM k GROUP BY user_id""".replace("{{", "{").replace("}}", "}"),
+        t AS (SELECT user_id, {workload._fp('sql_text')} AS template, main_table, max(exec_ms) AS ms, arg_max(sql_text, (exec_ms, -query_id)) AS sql, count(*) AS n, sum(exec_ms) AS s FROM l GROUP BY 1, 2, 3),
+        q AS (SELECT t.*, row_count, (SELECT max(wc) FROM {workload.WANTED} WHERE wt = main_table) AS cols,
+            row_number() OVER (PARTITION BY user_id ORDER BY ms DESC, template) AS k FROM t LEFT JOIN {workload.TABLES} ON name = main_table),
+        p AS (SELECT user_id, string_agg('{{"id":"q' || k || '","sql":"' || sql || '","ms":' || CAST(ms AS VARCHAR) || ',"main_table":"' || main_table || '"}}', ',' ORDER BY k) AS qs, sum(s) AS s, sum(n) AS n FROM q GROUP BY 1),
+        d AS (SELECT user_id, string_agg('{{"name":"' || main_table || '","rows":' || row_count || '}}', ',' ORDER BY main_table) AS ts,
+            string_agg('{{"table":"' || main_table || '","columns":"' || cols || '"}}', ',' ORDER BY main_table) AS hs FROM (SELECT DISTINCT user_id, main_table, row_count, cols FROM q) GROUP BY 1)
+        SELECT p.user_id, {m.lit(dims.SYSTEM_INSTRUCTION)} || chr(10) || '=== DATABASE STATE ===' || chr(10) || 'Scenario: user ' || p.user_id || chr(10) || 'Tables: [' || ts || ']' || chr(10)
+          || 'Slow Queries: [' || qs || ']' || chr(10) || 'Missing Index Hints: [' || hs || ']' || chr(10)
+          || 'Performance: mean ' || printf('%.2f', CAST(round(CAST(CAST(s AS DOUBLE) / n AS DECIMAL(18,6)), 2) AS DOUBLE)) || ' ms, target score {dims.DEFAULT_TARGET}' || chr(10)
+          || 'What is your next action? JSON only:' AS prompt FROM p JOIN d USING (user_id)""".replace("{{", "{").replace("}}", "}"),
     "T2_case_prompt": f"""WITH r AS ({views.select(views.REPAIR, 'events')}) SELECT event_id, 'Task: repair ' || event_id || chr(10) || 'Buggy Query:' || chr(10) || buggy_query || chr(10) || 'Error Message:' || chr(10)
         || error_message || chr(10) || 'Database Schema:' || chr(10) || '{{"users":["id INT","name VARCHAR(100)"]}}' || chr(10) || 'Category: ' || category || chr(10)
         || 'Analyze the buggy query and provide your fix as a JSON object.' AS prompt FROM r""",

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tunewright.operators import corpus, curriculum, preparation, scan, synthesis
+from tunewright.operators import corpus, curriculum, scan, synthesis
 from tunewright.session import shared_dir
 
 
@@ -58,7 +58,7 @@ def test_idle_sessions_against_brute_force(spark, skewed):
     assert sorted(got) == sorted(want)
 
 
-@pytest.mark.parametrize("query", [preparation.scenario_prompts, corpus.top_three, synthesis.stratified])
+@pytest.mark.parametrize("query", [corpus.top_three, synthesis.stratified])
 def test_top_k_is_trimmed_before_the_shuffle(spark, sf, query):
     text = query(spark, sf)._jdf.queryExecution().executedPlan().toString()
     partial = [line for line in text.split("\n") if "WindowGroupLimit" in line and "Partial" in line]

@@ -1,5 +1,6 @@
 """Round trips through the dataset formats."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tunewright.operators import ledger
@@ -64,22 +65,26 @@ def training_log(spark, sf_dir):
 
 
 def log_lines(spark, sf_dir):
-    """[START], [STEP] and [END] lines per episode."""
-    rows = ledger.live(ledger.steps_of(spark, sf_dir))
-    steps = rows.select("episode_id", F.col("step_no").alias("line_no"),
-                        ds.step_line(F.col("step_no"), F.col("action_type"), F.col("reward"), F.col("done")).alias("line"))
-    start = rows.where("step_no = 1").select(
-        "episode_id", F.lit(0).cast("bigint").alias("line_no"),
-        F.format_string("[START] task=%d env=tunewright model=replay", F.col("episode_id")).alias("line"))
-    per = rows.groupBy("episode_id").agg(
-        F.max("step_no").alias("n"), F.sum("reward").alias("s"),
-        F.transform(F.array_sort(F.collect_list(F.struct("step_no", "reward"))), lambda x: x["reward"]).alias("rs"))
+    """[START], [STEP] and [END] lines per episode: one ledger, one to three lines per live step."""
+    whole = ledger.in_episode().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = ledger.live(ledger.steps_of(spark, sf_dir)).select(
+        "episode_id", "ts", "event_id", "step_no", "action_type", "reward", "done",
+        F.max("step_no").over(whole).alias("n"), F.sum("reward").over(whole).alias("s"))
+    last = F.col("step_no") == F.col("n")
+    so_far = F.collect_list("reward").over(ledger.in_episode().rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("rs", F.when(last, so_far))
     score = F.greatest(F.lit(0).cast("decimal(18,4)"), F.least(F.lit(1).cast("decimal(18,4)"), F.round(F.col("s") / 10, 4)))
-    end = per.select("episode_id", (F.col("n") + 1).alias("line_no"), F.format_string(
-        "[END] success=%s steps=%d score=%s rewards=%s", (score >= 0.5).cast("string"), F.col("n"),
-        F.format_string("%.3f", F.round(score, 3).cast("double")),
-        F.array_join(F.transform("rs", ds.two_digits), ",")).alias("line"))
-    return start.unionByName(steps).unionByName(end)
+
+    def line(number, text):
+        return F.struct(number.cast("bigint").alias("line_no"), text.alias("line"))
+    start = F.format_string("[START] task=%d env=tunewright model=replay", F.col("episode_id"))
+    step = ds.step_line(F.col("step_no"), F.col("action_type"), F.col("reward"), F.col("done"))
+    end = F.format_string("[END] success=%s steps=%d score=%s rewards=%s", (score >= 0.5).cast("string"), F.col("n"),
+                          F.format_string("%.3f", F.round(score, 3).cast("double")),
+                          F.array_join(F.transform("rs", ds.two_digits), ","))
+    lines = F.array(F.when(F.col("step_no") == 1, line(F.lit(0), start)), line(F.col("step_no"), step),
+                    F.when(last, line(F.col("n") + 1, end)))
+    return rows.select("episode_id", F.inline(F.filter(lines, lambda x: x.isNotNull())))
 
 
 def parsed_log(spark, sf_dir):

@@ -182,11 +182,15 @@ def final_report(spark, sf_dir):
 
 
 def roll_up(spark, sf_dir):
-    """Mean grade and number of distinct grades per task, per tier and overall."""
-    g = dispatch(spark, sf_dir).withColumn("tier", F.split_part("task_id", F.lit("_"), F.lit(1)))
+    """Mean grade and number of distinct grades per task, per tier and overall.
+
+    Grades are counted per task first, so the roll-up multiplies a few hundred rows.
+    """
+    g = dispatch(spark, sf_dir).groupBy("task_id", "grade").agg(F.count(F.lit(1)).alias("k"))
+    g = g.withColumn("tier", F.split_part("task_id", F.lit("_"), F.lit(1)))
+    total = F.sum(F.col("grade").cast(DEC) * F.col("k").cast("decimal(18,0)"))
     return g.rollup("tier", "task_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        (F.sum(F.col("grade").cast(DEC)).cast("double") / F.count(F.lit(1))).alias("mean_grade"),
+        F.sum("k").alias("n"), (total.cast("double") / F.sum("k")).alias("mean_grade"),
         F.count_distinct("grade").alias("distinct_grades"))
 
 

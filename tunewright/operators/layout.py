@@ -9,7 +9,16 @@ from tunewright.operators.corpus import MONEY, result_diff
 from tunewright.session import materialised, shared_dir, table
 
 
-def partition_table(df, path, column, kind="LIST", files=64, tie=None):
+FILE_BYTES = 256 << 20
+
+
+def pieces(df, per_piece=FILE_BYTES):
+    """Files or buckets of about that size for the rows of df, from the size that the optimiser reads off its files."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(1, -(-size // per_piece))
+
+
+def partition_table(df, path, column, kind="LIST", files=None, tie=None):
     """Rewrite a table partitioned by a column.
 
     LIST   one folder per value; REBALANCE splits a value that holds much of the table
@@ -20,25 +29,27 @@ def partition_table(df, path, column, kind="LIST", files=64, tie=None):
         return df.hint("rebalance", F.col(column)).write.partitionBy(column).parquet(path)
     if kind == "RANGE":
         keys = [column] + ([tie] if tie else [])
-        return df.repartitionByRange(files, *keys).sortWithinPartitions(*keys).write.parquet(path)
+        return df.repartitionByRange(files or pieces(df), *keys).sortWithinPartitions(*keys).write.parquet(path)
     if kind == "HASH":
-        return df.hint("rebalance", files, F.col(column)).write.parquet(path)
+        return df.hint("rebalance", files or pieces(df), F.col(column)).write.parquet(path)
     raise ValueError(f"unknown partitioning {kind}")
 
 
-def clustered_copy(df, path, columns, files=64, tie=None):
+def clustered_copy(df, path, columns, files=None, tie=None):
     """Copy sorted by the columns, so that row-group statistics skip most of it."""
     keys = list(columns) + ([tie] if tie else [])
-    df.repartitionByRange(files, *keys).sortWithinPartitions(*keys).write.parquet(path)
+    df.repartitionByRange(files or pieces(df), *keys).sortWithinPartitions(*keys).write.parquet(path)
 
 
-def bucketed_pair(fact, dim, fact_key, dim_key, row_key, names, paths, buckets=8, salts=16):
+def bucketed_pair(fact, dim, fact_key, dim_key, row_key, names, paths, buckets=None, salts=16):
     """Catalogue tables bucketed alike, to be joined on (key, salt) without an exchange.
 
     A key above 1/(4 * buckets) of the fact rows would fill a bucket.  At most
     4 * buckets such keys exist; their fact rows are spread over `salts` buckets
-    by row key and their dimension rows repeated for each salt.
+    by row key and their dimension rows repeated for each salt.  Rows are dealt
+    out by bucket before the write, so a bucket is one file.
     """
+    buckets = buckets or pieces(fact)
     counts = fact.groupBy(fact_key).agg(F.count(F.lit(1)).alias("n"))
     limit = counts.agg(F.sum("n") / F.lit(4.0 * buckets)).scalar()
     hot = F.broadcast(counts.where(F.col("n") > limit).select(F.col(fact_key).alias("hot_key")))
@@ -50,7 +61,7 @@ def bucketed_pair(fact, dim, fact_key, dim_key, row_key, names, paths, buckets=8
     repeated = (dim.join(hot, F.col(dim_key) == F.col("hot_key"), "left")
                 .withColumn("salt", F.explode(spread)).drop("hot_key"))
     for df, key, name, path in ((salted, fact_key, names[0], paths[0]), (repeated, dim_key, names[1], paths[1])):
-        df.write.bucketBy(buckets, key, "salt").sortBy(key, "salt").option("path", path).saveAsTable(name)
+        df.repartition(buckets, key, "salt").write.bucketBy(buckets, key, "salt").sortBy(key, "salt").option("path", path).saveAsTable(name)
 
 
 def drop_copy(spark, name):
@@ -106,20 +117,20 @@ def list_partitions(spark, sf_dir):
 
 def range_partitions(spark, sf_dir):
     path = shared_dir(spark, "range")
-    partition_table(table(spark, sf_dir, "lineitem"), path, "l_shipdate", "RANGE", files=8, tie="l_orderkey")
+    partition_table(table(spark, sf_dir, "lineitem"), path, "l_shipdate", "RANGE", tie="l_orderkey")
     return (spark.read.parquet(path).where("l_shipdate >= timestamp_ntz'1998-01-01' AND l_shipdate < timestamp_ntz'1998-02-01'")
             .select("l_orderkey", "l_linenumber", "l_quantity"))
 
 
 def hash_partitions(spark, sf_dir):
     path = shared_dir(spark, "hash")
-    partition_table(table(spark, sf_dir, "orders"), path, "o_custkey", "HASH", files=8)
+    partition_table(table(spark, sf_dir, "orders"), path, "o_custkey", "HASH")
     return spark.read.parquet(path).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
 
 
 def clustered(spark, sf_dir):
     path = shared_dir(spark, "clustered")
-    clustered_copy(table(spark, sf_dir, "lineitem"), path, ["l_suppkey"], files=8, tie="l_orderkey")
+    clustered_copy(table(spark, sf_dir, "lineitem"), path, ["l_suppkey"], tie="l_orderkey")
     return spark.read.parquet(path).where("l_suppkey = 42").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
 
 
@@ -131,6 +142,8 @@ def bucketed_join(spark, sf_dir):
                   "o_custkey", "c_custkey", "o_orderkey", (o, c),
                   (shared_dir(spark, "bucketed"), shared_dir(spark, "bucketed")))
     left, right = spark.table(o), spark.table(c).hint("merge")
+    for name in (o, c):  # the plan holds what it needs; the files stay, the catalogue entry goes
+        drop_copy(spark, name)
     return (left.join(right, (left.o_custkey == right.c_custkey) & (left.salt == right.salt))
             .select("o_orderkey", "c_name", "o_totalprice"))
 
@@ -143,7 +156,24 @@ def statistics(spark, sf_dir):
 
 
 def approximate_statistics(spark, sf_dir):
-    return approximate_profile(table(spark, sf_dir, "orders"), ORDER_COLUMNS)
+    """The approximate profile, and whether its distinct counts are within a tenth of the exact ones."""
+    orders = table(spark, sf_dir, "orders")
+    exact = column_profile(orders, ORDER_COLUMNS).select("column_name", F.col("distinct_values").alias("exact"))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= F.col("exact") * 0.1
+    return approximate_profile(orders, ORDER_COLUMNS).join(exact, "column_name").select(
+        "column_name", "row_count", "nulls", near.alias("within_a_tenth"))
+
+
+def dropped_copy(spark, sf_dir):
+    """A clustered copy made and dropped again: it has the rows of its base, which stays."""
+    orders, name = table(spark, sf_dir, "orders"), copy_name("orders")
+    path = shared_dir(spark, "dropped")
+    clustered_copy(orders, path, ["o_custkey"], tie="o_orderkey")
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    copied = spark.table(name).agg(F.count(F.lit(1)).alias("copy_rows"))
+    copied = materialised(spark, copied, "copy-rows")
+    drop_copy(spark, name)
+    return copied.select("copy_rows", orders.agg(F.count(F.lit(1))).scalar().alias("base_rows"), F.lit(spark.catalog.tableExists(name)).alias("copy_exists"))
 
 
 def denormalised(spark, sf_dir):
@@ -189,5 +219,6 @@ QUERIES = {
     "L3_statistics": statistics,
     "L3_approximate_statistics": approximate_statistics,
     "L4_denormalised_column": denormalised,
+    "L5_drop_copy": dropped_copy,
     "L6_rewrite_effect": rewrite_effect,
 }

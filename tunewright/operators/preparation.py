@@ -2,15 +2,14 @@
 
 from functools import reduce
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tunewright import dims, kernels, views
 from tunewright.functions import credit
-from tunewright.functions.text import clamp, dbl, strip
+from tunewright.functions.text import clamp, dbl, fingerprint, strip
 from tunewright.operators import ledger
 from tunewright.operators.grading import scenario_facts, split_columns, with_action_grade
-from tunewright.operators.workload import query_log
+from tunewright.operators.workload import catalog_table, query_log, wanted_table
 from tunewright.session import table
 
 DEC = "decimal(18,4)"
@@ -26,17 +25,31 @@ STEP_PROMPT = ("You are a senior database engineer.\nCurrent DB state:\n- Perfor
 
 
 def scenario_prompts(spark, sf_dir):
-    """Prompt per user from the three slowest statements (a scenario holds at most three)."""
-    w = Window.partitionBy("user_id").orderBy(F.desc("exec_ms"), "query_id")
-    slow = (query_log(spark, sf_dir).select("user_id", "query_id", "sql_text", "main_table", "exec_ms")
-            .withColumn("k", F.row_number().over(w)).where("k <= 3"))
-    item = F.struct(F.concat(F.lit("q"), F.col("k")).alias("id"), F.col("sql_text").alias("sql"),
-                    F.col("exec_ms").alias("ms"), F.col("main_table").alias("main_table"))
-    per = slow.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("k", item.alias("q")))).alias("qs"))
+    """Prompt per user: tables, every statement template with its slowest execution, missing layouts, performance.
+
+    The log is reduced to (user, template) before any text is built, so a user
+    that owns a third of it costs as many rows as there are templates.
+    """
+    log = query_log(spark, sf_dir).withColumn("template", fingerprint(F.col("sql_text")))
+    slow = F.struct(F.col("exec_ms").alias("ms"), (-F.col("query_id")).alias("last"), F.col("sql_text").alias("sql"))
+    per = log.groupBy("user_id", "template", "main_table").agg(F.max(slow).alias("top"), F.count(F.lit(1)).alias("n"), F.sum("exec_ms").alias("s"))
+    sizes = catalog_table(spark).select(F.col("name").alias("main_table"), "row_count")
+    wanted = wanted_table(spark).groupBy(F.col("layout_table").alias("main_table")).agg(F.max("layout_columns").alias("columns"))
+    per = per.join(sizes, "main_table", "left").join(wanted, "main_table", "left")
+    item = F.struct((-F.col("top.ms")).alias("o"), F.col("template").alias("k"), F.col("top.sql").alias("sql"), F.col("top.ms").alias("ms"),
+                    F.col("main_table").alias("main_table"), "row_count", "columns")
+    per = per.groupBy("user_id").agg(F.array_sort(F.collect_list(item)).alias("qs"), F.sum("s").alias("s"), F.sum("n").alias("n"))
+    queries = F.transform("qs", lambda x, i: F.struct(F.concat(F.lit("q"), i + 1).alias("id"), x["sql"].alias("sql"), x["ms"].alias("ms"), x["main_table"].alias("main_table")))
+    tables = F.array_sort(F.array_distinct(F.transform("qs", lambda x: F.struct(x["main_table"].alias("name"), x["row_count"].cast("bigint").alias("rows")))))
+    hints = F.array_sort(F.array_distinct(F.transform(F.filter("qs", lambda x: x["columns"].isNotNull()), lambda x: F.struct(x["main_table"].alias("table"), x["columns"].alias("columns")))))
+    mean = F.format_string("%.2f", F.round(F.col("s").cast("decimal(38,4)") / F.col("n"), 2).cast("double"))
     return per.select("user_id", F.concat_ws(
         "\n", F.lit(dims.SYSTEM_INSTRUCTION), F.lit(STATE_HEAD),
         F.concat(F.lit("Scenario: user "), F.col("user_id")),
-        F.concat(F.lit("Slow Queries: "), F.to_json(F.transform("qs", lambda x: x["q"]))),
+        F.concat(F.lit("Tables: "), F.to_json(tables)),
+        F.concat(F.lit("Slow Queries: "), F.to_json(queries)),
+        F.concat(F.lit("Missing Index Hints: "), F.to_json(hints)),
+        F.concat(F.lit("Performance: mean "), mean, F.lit(f" ms, target score {dims.DEFAULT_TARGET}")),
         F.lit(ASK)).alias("prompt"))
 
 

@@ -63,41 +63,38 @@ def redacted(spark, sf_dir):
                          F.array_join(F.slice("expected_output", 1, 1), ",").alias("sample"))
 
 
-BROADCAST_CHARS = 64_000_000
-SHORT_PASSAGES = 10_000
+GRAM = 3  # characters on which texts meet a passage without an inner word
 
 
-def leaks(texts, secrets, broadcast_chars=BROADCAST_CHARS):
+def leaks(texts, secrets):
     """(id, item) pairs where a text contains a secret passage verbatim.
 
     Every word inside a passage except the first and last must occur as a whole
-    word in a text that contains it.  So texts and passages meet on the longest
-    such word, and only meeting pairs are verified.  Passages without one (two
-    words at most) are tested directly; their number is checked.
-
-    When the passages fit a checked size they are broadcast and the texts are
-    read once without any shuffle.  Beyond it only (id, word) rows are shuffled.
+    word in a text that contains it, so texts and passages meet on the longest
+    such word.  Passages without one (two words at most) meet the texts on their
+    first characters instead; texts are cut into such pieces only if there are
+    such passages.  Only narrow (id, key) rows are shuffled for the meeting, and
+    only the pairs that meet fetch the text and are verified.
     """
     blanks = r"\s+"
     words = F.split("secret", blanks)
     inner = F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0)))
     longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    secrets = secrets.select("item", "secret", longest.alias("word"))
-    few = secrets.where("word IS NULL").agg(F.collect_list(F.struct("item", "secret")).alias("s")).select(
-        F.when(F.size("s") <= SHORT_PASSAGES, F.col("s")).otherwise(F.raise_error(F.lit("too many short passages")))).scalar()
-    brief = texts.select("id", "text", few.alias("few")).select(
-        "id", F.explode(F.filter("few", lambda s: F.contains(F.col("text"), s["secret"]))).alias("s"))
-
-    long = secrets.where("word IS NOT NULL")
-    own = texts.select("id", "text", F.explode(F.array_distinct(F.split("text", blanks))).alias("word"))
-    found = F.contains("text", F.col("secret"))
-    size = long.agg(F.coalesce(F.sum(F.length("secret")), F.lit(0))).first()[0]
-    if size <= broadcast_chars:
-        sure = own.join(F.broadcast(long), "word").where(found).select("id", "item")
-    else:
-        meet = own.select("id", "word").join(long.select("word", "item"), "word").select("id", "item")
-        sure = meet.join(texts, "id").join(long.select("item", "secret"), "item").where(found).select("id", "item")
-    return sure.unionByName(brief.select("id", F.col("s.item").alias("item")))
+    secrets = secrets.where("secret <> ''").select("item", "secret", longest.alias("word"))
+    secrets = secrets.select("item", "secret", F.when(F.col("word").isNotNull(), 0).otherwise(F.least(F.length("secret"), F.lit(GRAM))).alias("kind"),
+                             F.coalesce("word", F.left("secret", F.lit(GRAM))).alias("key"))
+    kinds = secrets.agg(F.collect_set("kind")).scalar()
+
+    def grams(n):
+        at = F.sequence(F.lit(1), F.length("text") - (n - 1))
+        return F.when(F.array_contains(F.col("kinds"), n) & (F.length("text") >= n), F.array_distinct(
+            F.transform(at, lambda i: F.struct(F.lit(n).alias("kind"), F.substring("text", i, F.lit(n)).alias("key")))))
+    whole = F.transform(F.array_distinct(F.split("text", blanks)), lambda w: F.struct(F.lit(0).alias("kind"), w.alias("key")))
+    keys = F.flatten(F.filter(F.array(whole, *[grams(n) for n in range(1, GRAM + 1)]), lambda a: a.isNotNull()))
+    own = texts.select("id", "text", kinds.alias("kinds")).select("id", F.inline(keys))
+    meet = own.join(secrets.select("kind", "key", "item"), ["kind", "key"]).select("id", "item")
+    return (meet.join(texts, "id").join(secrets.select("item", "secret"), "item")
+            .where(F.contains("text", F.col("secret"))).select("id", "item"))
 
 
 def leak_check(spark, sf_dir):

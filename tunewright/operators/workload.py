@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tunewright import dims, views
 from tunewright.functions.text import dbl, fingerprint, normalize, round4
-from tunewright.session import table
+from tunewright.session import materialised, table
 
 PARTITIONED = ("tracking",)
 FRESH = ("orders", "logs")
@@ -61,7 +61,8 @@ def percentiles(hist, percents, bin_ms=1000):
 
 
 def latency_profile(spark, sf_dir):
-    hist = histogram(query_log(spark, sf_dir))
+    # three reductions read the histogram: it is written once, so the log is scanned once
+    hist = materialised(spark, histogram(query_log(spark, sf_dir)), "histogram")
     base = hist.groupBy("template").agg(
         F.sum("n").alias("executions"), F.sum(F.col("exec_ms") * F.col("n").cast("decimal(18,0)")).alias("ms"),
         F.max("exec_ms").alias("max_ms"))
