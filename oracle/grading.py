@@ -8,7 +8,7 @@ V3 = """p AS (SELECT d.doc_id, d.text AS submitted, b.text AS expected FROM docu
 SUBS = f"""WITH subs AS ({views.select(views.CASE_SUBMISSION, 'events')}), {m.graded('subs')}"""
 
 TAB = "(VALUES " + ", ".join(f"({m.lit(s['id'])}, {m.lit(t[0])}, {t[1]})" for s in dims.SCENARIOS for t in s["tables"]) + ") st(sid, tname, trows)"
-QRY = "(VALUES " + ", ".join(f"({m.lit(s['id'])}, {m.lit(q[0])})" for s in dims.SCENARIOS for q in s["queries"]) + ") sq(sid, qid)"
+QRY = "(VALUES " + ", ".join(f"({m.lit(s['id'])}, {m.lit(q)})" for s in dims.SCENARIOS for q in s["queries"]) + ") sq(sid, qid)"
 HINT = "(VALUES " + ", ".join(f"({m.lit(s['id'])}, {m.lit(h[0])}, {m.sql_list(h[1])})" for s in dims.SCENARIOS for h in s["hints"]) + ") sh(sid, htable, hcols)"
 IDS = m.sql_list([s["id"] for s in dims.SCENARIOS])
 _COLS = "list_filter(list_transform(string_split(coalesce(cols, ''), ','), lambda x: trim(x)), lambda x: x <> '')"

@@ -97,17 +97,17 @@ ORACLE = {
             SELECT template, main_table, unnest(cols) AS col, generate_subscripts(cols, 1) AS k FROM p)
           WHERE NOT EXISTS (SELECT 1 FROM {LAYOUTS} WHERE name = main_table AND {_serves('layout', 'col')}) GROUP BY 1, 2)
         SELECT template, main_table, n, CAST(ms AS DOUBLE) AS total_ms, coverage > 0 AS served, coalesce(open.cols, '') AS unserved_columns,
-          main_table = 'tracking' AS partitioned FROM cov LEFT JOIN open USING (template, main_table)""",
+          main_table = 'parcels' AS partitioned FROM cov LEFT JOIN open USING (template, main_table)""",
     "W13_layout_report": f"""{BASE} SELECT name, CAST(row_count AS BIGINT) AS row_count, CAST(size_mb AS BIGINT) AS size_mb, layouts, missing,
         (SELECT count(*) FROM cov WHERE coverage > 0 AND main_table = name) AS used_by,
         CAST((SELECT coalesce(sum(n), 0) FROM cov WHERE coverage > 0 AND main_table = name) AS BIGINT) AS executions,
-        name IN ('orders','logs') AS stats_fresh, name = 'tracking' AS partitioned FROM {TABLES}""",
+        name IN ('bookings','readings') AS stats_fresh, name = 'parcels' AS partitioned FROM {TABLES}""",
     "W14_unused_layouts": f"""{BASE} SELECT name, layout FROM {LAYOUTS} WHERE layout <> 'PRIMARY'
         AND NOT EXISTS (SELECT 1 FROM u WHERE u.main_table = lay.name AND {_serves('layout', 'col')})""",
     "W15_partition_candidates": "SELECT name, row_count, row_count > 100000 AS partition_candidate FROM (" + " UNION ALL ".join(
         f"SELECT '{n}' AS name, count(*) AS row_count FROM {n}" for n in ("lineitem", "orders", "customer", "part", "events")) + ")",
     "W17_denormalisation": f"""{_LINT}, t AS (SELECT {_fp('sql_text')} AS template, count(*) AS n FROM l GROUP BY 1)
-        SELECT name, template, n FROM t, (VALUES ('users'), ('orders'), ('products'), ('customers')) x(name)
+        SELECT name, template, n FROM t, (VALUES ('members'), ('bookings'), ('articles'), ('parcels')) x(name)
         WHERE contains(lower(template), 'join') AND contains(template, name)""",
     "W18_lint_report": f"""{_LINT}, log AS ({views.select(views.QUERY_LOG, 'events')}),
         u AS (SELECT sql_text FROM l UNION ALL SELECT sql_text FROM log),

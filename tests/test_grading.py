@@ -119,7 +119,7 @@ def action(spark, task, kind, **payload):
     df = spark.createDataFrame([(task, kind, *base.values())],
                                "task_id string, action_type string, query_id string, table_name string, cols array<string>, "
                                "new_sql string, partition_column string, index_name string, column_name string, summary string")
-    return grading.with_action_grade(df, grading.scenario_facts(spark)).first().grade
+    return grading.with_action_grade(df, grading.scenario_facts(dims.scenario_table(spark))).first().grade
 
 
 def test_action_grades(spark):

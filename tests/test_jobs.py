@@ -206,6 +206,26 @@ def test_one_scan_and_reduced_roll_up(spark, sf):
     assert text.index("Expand") < text.index("keys=[task_id")
 
 
+def test_records_of_a_file_are_graded(spark, tmp_path):
+    """Reader, adapter and grader in a row: from JSON files of tasks to grades."""
+    from tunewright.functions import credit
+    from tunewright.operators import grading
+
+    (tmp_path / "c.json").write_text(json.dumps([{"id": "easy_900", "fixed_query": "SELECT a FROM t", "error_type": "syntax", "error_location": "SELECT clause"},
+                                                 {"id": "hard_901", "fixed_query": "SELECT b FROM t", "performance_issue": {"type": "N+1 query"}}]))
+    (tmp_path / "s.json").write_text(json.dumps([{"id": "easy_s900", "tables": [{"name": "t", "rows": 200000}], "slow_queries": [{"id": "q1"}],
+                                                  "missing_index_hints": [{"table": "t", "columns": ["a", "b"]}]}, {"id": "easy_s901"}]))
+    cases = credit.case_facts(ds.case_truth(ds.read_json_array(spark, str(tmp_path / "c.json"), ds.CASE_SCHEMA)))
+    answer = {f: None for f in credit.ANSWER_FIELDS} | {"fixed_query": "select a from t", "error_type": "syntax", "error_location": "select clause"}
+    frame = spark.createDataFrame([("easy_900", *answer.values()), ("easy_902", *answer.values())], ", ".join(["task_id string", *[f"{f} string" for f in answer]]))
+    assert {r.task_id: r.grade for r in credit.with_case_grade(frame, cases).collect()} == {"easy_900": 0.75, "easy_902": 0.001}
+    facts = grading.scenario_facts(ds.scenario_truth(ds.read_json_array(spark, str(tmp_path / "s.json"), ds.SCENARIO_SCHEMA)))
+    rows = [("easy_s900", "create_index", "t", ["a", "b"]), ("easy_s900", "partition_table", "t", []), ("easy_s901", "create_index", "t", ["a"])]
+    acts = spark.createDataFrame(rows, "task_id string, action_type string, table_name string, cols array<string>").selectExpr(
+        "*", *[f"CAST(NULL AS STRING) AS {c}" for c in ("query_id", "new_sql", "partition_column", "index_name", "column_name", "summary")])
+    assert [r.grade for r in grading.with_action_grade(acts, facts).collect()] == [0.85, 0.65, 0.05]
+
+
 def test_redaction_keeps_no_answer(spark, sf):
     got = validation.redacted(spark, sf)
     assert not {"quality", "toxic", "text"} & set(got.columns)

@@ -70,12 +70,11 @@ def case_grades(spark, sf_dir):
     return credit.with_case_grade(answers(spark, sf_dir), facts(spark)).select("event_id", "task_id", "grade")
 
 
-def scenario_facts(spark):
-    """Names that graders look up per scenario."""
-    s = dims.scenario_table(spark)
-    return s.select(F.col("id").alias("task_id"), F.transform("tables", lambda t: t["name"]).alias("valid_tables"),
+def scenario_facts(scenarios):
+    """Names that graders look up per scenario: id, tables (name, rows), queries (ids), hints (table, columns)."""
+    return scenarios.select(F.col("id").alias("task_id"), F.transform("tables", lambda t: t["name"]).alias("valid_tables"),
                     F.transform(F.filter("tables", lambda t: t["rows"] > 100_000), lambda t: t["name"]).alias("large_tables"),
-                    F.transform("queries", lambda q: q["id"]).alias("valid_queries"), "hints")
+                    F.col("queries").alias("valid_queries"), "hints")
 
 
 def with_action_grade(actions, facts, out="grade"):
@@ -151,7 +150,7 @@ def actions(spark, sf_dir):
 
 
 def action_grades(spark, sf_dir):
-    return with_action_grade(actions(spark, sf_dir), scenario_facts(spark)).select(
+    return with_action_grade(actions(spark, sf_dir), scenario_facts(dims.scenario_table(spark))).select(
         "event_id", "task_id", "action_type", "grade")
 
 

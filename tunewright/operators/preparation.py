@@ -167,7 +167,7 @@ def completion_scores(spark, sf_dir):
         "completion_id", "action_json", "action_type", "table_name", "cols", "query_id", "new_sql",
         *[F.try_variant_get(v, f"$.payload.{f}", "string").alias(f) for f in fields],
         F.element_at(ids, (F.col("completion_id") % n + 1).cast("int")).alias("task_id"))
-    graded = with_action_grade(rows, scenario_facts(spark))
+    graded = with_action_grade(rows, scenario_facts(dims.scenario_table(spark)))
     known = F.coalesce(F.col("action_type").isin(*dims.TRAINER_ACTIONS), F.lit(False))
     return graded.select("completion_id", F.col("task_id").alias("scenario_id"),
                          F.when(F.col("action_json").isNull(), F.lit(0.001)).when(~known, F.lit(0.05))

@@ -13,8 +13,8 @@ from tunewright import dims, views
 from tunewright.functions.text import dbl, fingerprint, normalize, round4
 from tunewright.session import materialised, table
 
-PARTITIONED = ("tracking",)
-FRESH = ("orders", "logs")
+PARTITIONED = ("parcels",)
+FRESH = ("bookings", "readings")
 
 
 def query_log(spark, sf_dir):
@@ -241,7 +241,7 @@ def lint_log(spark, sf_dir):
 
 def denormalisation(spark, sf_dir):
     """Join statements per table that a copied column could save."""
-    names = ("users", "orders", "products", "customers")
+    names = ("members", "bookings", "articles", "parcels")
     t = (lint_log(spark, sf_dir).groupBy(fingerprint(F.col("sql_text")).alias("template"))
          .agg(F.count(F.lit(1)).alias("n")))
     t = t.where(F.contains(F.lower("template"), F.lit("join")))

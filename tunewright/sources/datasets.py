@@ -62,6 +62,21 @@ def write_json_documents(df, path):
     rows.mapInPandas(kernels.json_documents, "value string").write.mode("errorifexists").text(path)
 
 
+def case_truth(cases):
+    """What credit.case_facts needs, from records of CASE_SCHEMA."""
+    return cases.select("id", "fixed_query", "error_location", "error_type", F.col("performance_issue.type").alias("issue_type"))
+
+
+def scenario_truth(scenarios):
+    """What grading.scenario_facts needs, from records of SCENARIO_SCHEMA."""
+    none = lambda kind: F.array().cast(kind)
+    return scenarios.select(
+        "id", F.coalesce(F.transform("tables", lambda t: F.struct(t["name"].alias("name"), t["rows"].alias("rows"))), none("array<struct<name:string,rows:bigint>>")).alias("tables"),
+        F.coalesce(F.transform("slow_queries", lambda q: q["id"]), none("array<string>")).alias("queries"),
+        F.coalesce(F.transform("missing_index_hints", lambda h: F.struct(h["table"].alias("table"), h["columns"].alias("columns"))),
+                   none("array<struct<table:string,columns:array<string>>>")).alias("hints"))
+
+
 def scenario_children(scenarios):
     """Flatten nested scenarios into tables, queries, hints and plan steps."""
     tier = F.split_part("id", F.lit("_"), F.lit(1)).alias("tier")
