@@ -1,9 +1,27 @@
-"""Oracles of validation, preparation, repair and the trainer reward."""
+"""Oracles of validation, preparation and repair."""
 
 from oracle import grading, ledger, macros as m, workload
 from tunewright import dims, views
-from tunewright.operators import preparation as prep
-from tunewright.operators.validation import HINTS
+
+# Stated here anew, not read from the jobs.
+HINTS = (
+    "Hint 1: Start by inspecting your slow queries with inspect_query action.",
+    "Hint 2: Use analyze_indexes on tables appearing in slow queries.",
+    "Hint 3: Category is 'indexing'. Target score: 85.0.",
+)
+LOCATIONS = (
+    (("SELECT", "COLUMN"), "SELECT clause"),
+    (("WHERE", "FILTER"), "WHERE clause"),
+    (("JOIN", "ON"), "JOIN condition"),
+    (("GROUP", "HAVING"), "GROUP BY / HAVING clause"),
+    (("ORDER",), "ORDER BY clause"),
+)
+SLOW_LOCATION, NO_LOCATION = "Query structure — performance bottleneck", "Unknown location"
+FIXES = (
+    ("syntax", "Fixed syntax error in the SQL query by correcting the query structure."),
+    ("logic", "Fixed logic error by correcting the JOIN type and query conditions."),
+    ("performance", "Optimized query performance by restructuring to avoid expensive operations."),
+)
 
 ACT = f"WITH a AS ({views.select(views.ACTION_LOG, 'events')})"
 _REQ = "(VALUES " + ", ".join(f"({m.lit(k)}, {m.sql_list(v) if v else 'CAST([] AS VARCHAR[])'})" for k, v in dims.REQUIRED_FIELDS.items()) + ") req(act, need)"
@@ -29,10 +47,10 @@ r4 AS (SELECT *, CASE WHEN regexp_matches(s3, '(?i)\\bORDER\\s+BY') THEN s3 ELSE
 r5 AS (SELECT *, CASE WHEN regexp_matches(s4, '(?i)\\bGROUP\\s+BY') THEN s4 ELSE regexp_replace(s4, '(?i)\\bGROUP\\s+(\\w)', 'GROUP BY \\1', 'g') END AS s5,
    regexp_replace(replace(buggy_query, 'INNER JOIN', 'LEFT JOIN'), '(?i)WHERE\\s+(AVG|SUM|COUNT|MAX|MIN)\\s*\\(', 'HAVING \\1(', 'g') AS l1 FROM r4),
 rep AS (SELECT *, CASE category WHEN 'syntax' THEN s5 WHEN 'logic' THEN l1 ELSE replace(buggy_query, 'SELECT *', 'SELECT id, name, status, created_at') END AS fixed,
-   CASE {' '.join('WHEN ' + ' OR '.join(f"contains(upper(error_message), '{w}')" for w in ws) + f" THEN {m.lit(p)}" for ws, p in prep.LOCATION_RULES)}
-     ELSE CASE WHEN category = 'performance' THEN {m.lit(prep.SLOW_LOCATION)} ELSE {m.lit(prep.NO_LOCATION)} END END AS place FROM r5),
+   CASE {' '.join('WHEN ' + ' OR '.join(f"contains(upper(error_message), '{w}')" for w in ws) + f" THEN {m.lit(p)}" for ws, p in LOCATIONS)}
+     ELSE CASE WHEN category = 'performance' THEN {m.lit(SLOW_LOCATION)} ELSE {m.lit(NO_LOCATION)} END END AS place FROM r5),
 exp AS (SELECT *, CASE WHEN buggy_query = fixed THEN 'Analyzed the ' || category || ' issue. The query may require deeper inspection.'
-   ELSE (CASE category {' '.join(f"WHEN '{k}' THEN {m.lit(v)}" for k, v in prep.FIX_TEXT.items())} END)
+   ELSE (CASE category {' '.join(f"WHEN '{k}' THEN {m.lit(v)}" for k, v in FIXES)} END)
      || ' Original: ''' || left(buggy_query, 60) || '...'' Fixed: ''' || left(fixed, 60) || '...''' END AS explanation FROM rep)"""
 _board = f"""brd AS (SELECT event_id, task_id, CASE WHEN category <> 'performance' THEN fixed END AS fixed_query, CASE WHEN category = 'performance' THEN fixed END AS optimized_query,
    explanation, category AS error_type, CASE WHEN category <> 'performance' THEN place END AS error_location, '0.6' AS confidence, CAST(NULL AS VARCHAR) AS impact,

@@ -220,6 +220,8 @@ FIX_TEXT = {
     "logic": "Fixed logic error by correcting the JOIN type and query conditions.",
     "performance": "Optimized query performance by restructuring to avoid expensive operations.",
 }
+OTHER_FIX, NO_FIX = "Applied heuristic fix to the SQL query.", ("Analyzed the ", " issue. The query may require deeper inspection.")
+SLOW_CAUSE, SLOW_GAIN, SLOW_KIND = ("Performance issue detected: ", "Significant reduction in query execution time", "Fix performance issue: performance")
 # ------------------------------------------------------------ end fixed values
 
 
@@ -234,8 +236,8 @@ def guessed_location(message, category):
 
 def fix_explanation(buggy, fixed, category):
     text = F.create_map(*[F.lit(x) for kv in FIX_TEXT.items() for x in kv])
-    base = F.coalesce(F.try_element_at(text, category), F.lit("Applied heuristic fix to the SQL query."))
-    same = F.concat(F.lit("Analyzed the "), category, F.lit(" issue. The query may require deeper inspection."))
+    base = F.coalesce(F.try_element_at(text, category), F.lit(OTHER_FIX))
+    same = F.concat(F.lit(NO_FIX[0]), category, F.lit(NO_FIX[1]))
     return F.when(F.trim(buggy) == F.trim(fixed), same).otherwise(F.concat(
         base, F.lit(" Original: '"), F.left(buggy, F.lit(60)), F.lit("...' Fixed: '"), F.left(fixed, F.lit(60)), F.lit("...'")))
 
@@ -269,9 +271,9 @@ def scoreboard(spark, sf_dir):
         F.when(slow, c("fixed_query")).alias("optimized_query"), "explanation",
         c("category").alias("error_type"), F.when(~slow, c("error_location")).alias("error_location"),
         F.lit("0.6").alias("confidence"), F.lit(None).cast("string").alias("impact"),
-        F.when(slow, F.concat(F.lit("Performance issue detected: "), F.left("error_message", F.lit(100)))).alias("root_cause"),
-        F.when(slow, "Significant reduction in query execution time").alias("expected_improvement"),
-        F.when(slow, "Fix performance issue: performance").alias("optimization_type"), F.lit(None).cast("string").alias("change_made"))
+        F.when(slow, F.concat(F.lit(SLOW_CAUSE), F.left("error_message", F.lit(100)))).alias("root_cause"),
+        F.when(slow, SLOW_GAIN).alias("expected_improvement"),
+        F.when(slow, SLOW_KIND).alias("optimization_type"), F.lit(None).cast("string").alias("change_made"))
     graded = credit.with_case_grade(rows, credit.case_facts(dims.case_table(spark)))
     return graded.groupBy(F.split_part("task_id", F.lit("_"), F.lit(1)).alias("tier")).agg(
         F.count(F.lit(1)).alias("n"),

@@ -15,6 +15,7 @@ HINTS = (
     "Hint 2: Use analyze_indexes on tables appearing in slow queries.",
     "Hint 3: Category is 'indexing'. Target score: 85.0.",
 )
+CASE_HINTS = ("Hint 1: The error is in the ", ".", "Hint 2: This is a ", " error. Category: ", ".", "Hint 3: Fix: ")
 TEXT_LIMIT, TEXT_MARK = 5000, "...[truncated]"
 # ------------------------------------------------------------ end fixed values
 
@@ -36,9 +37,8 @@ def visible_cases(cases):
 
 def case_hint(number, location, kind, category, fix):
     """The k-th hint of a debugging case; numbers past three repeat the last."""
-    texts = F.array(F.concat(F.lit("Hint 1: The error is in the "), location, F.lit(".")),
-                    F.concat(F.lit("Hint 2: This is a "), kind, F.lit(" error. Category: "), category, F.lit(".")),
-                    F.concat(F.lit("Hint 3: Fix: "), fix))
+    said = [F.lit(x) for x in CASE_HINTS]
+    texts = F.array(F.concat(said[0], location, said[1]), F.concat(said[2], kind, said[3], category, said[4]), F.concat(said[5], fix))
     return F.element_at(texts, F.greatest(F.lit(1), F.least(number, F.lit(3))).cast("int"))
 
 
