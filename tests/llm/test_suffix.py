@@ -57,3 +57,8 @@ def test_stage_keeps_whole_characters(spark, clashing, no_docs):
     assert out.columns == clashing.columns and out.count() == clashing.count()
     assert out.where("doc_id = 101").first().text == "" and out.where("doc_id = 100").first()["chunk"] == "other"
     assert suffix.digests(spark, no_docs).count() == 0 and suffix.without_repeats(spark, no_docs).count() == 0
+
+
+def test_small_slices_change_nothing(spark, docs, rows_of_docs, monkeypatch):
+    monkeypatch.setattr(suffix, "SLICE", 40)
+    assert sorted(tuple(r) for r in suffix.digests(spark, docs).collect()) == plain(rows_of_docs)

@@ -93,7 +93,7 @@ class Chunk:
             change = np.concatenate([[True], (at[1:] != at[:-1]) | ~inside[:-1]]) & inside
             first = np.flatnonzero(change)
             if len(first):
-                out.append((first + start, np.add.reduceat(inside.astype(np.int64), first), h[at[first]]))
+                out.append((first + start, np.add.reduceat(inside.astype(np.int64), first), mix(h[at[first]])))  # the smallest hashes, spread evenly again
         if not out:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
         return tuple(np.concatenate(c) for c in zip(*out))
@@ -184,8 +184,10 @@ def _shared_anchors(batches):
             yield pa.RecordBatch.from_arrays([pa.array(chunk[at]), pa.array([to_cell(keys[a:b]) for a, b in zip(at, ends)], pa.binary())], names=["chunk", "cell"])
 
 
-RUNS_DDL = "bucket int, chunk int, entries binary, copies binary, strings binary"
-RUNS = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("entries", pa.binary()), ("copies", pa.binary()), ("strings", pa.binary())])
+RUNS_DDL = "bucket int, chunk int, kind int, entries binary, strings binary"
+RUNS = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("kind", pa.int32()), ("entries", pa.binary()), ("strings", pa.binary())])
+#: Kinds of cells: strings to compare, places with their masks, places that share the mask of another place.
+STRINGS, MASKS, SAME = 0, 1, 2
 
 
 def _slices(data, places, lengths):
@@ -195,43 +197,55 @@ def _slices(data, places, lengths):
 
 
 def _surviving_runs(ranges):
-    """Per hash range, the different strings of a chunk's surviving runs, each with its smallest document and its other places."""
+    """Per hash range, the different strings of a chunk's surviving runs, each with its smallest document.
+
+    Other places of a string stay with the chunk: in a larger document all their
+    suffixes start earlier, in the same one they share the first place's mask.
+    Both pass the ranges as they are, by the number of the chunk.
+    """
     def run(key, table, cells):
         if not table.num_rows or not cells.num_rows:
             return RUNS.empty_table()
-        codec = pa.Codec("zstd", compression_level=1)
+        codec, number = pa.Codec("zstd", compression_level=1), key[0].as_py()
         wanted = np.sort(np.concatenate([from_cell(c)[0] for c in cells.column("cell").to_pylist()]))
         chunk = _chunk_of(table)
         place, count, anchor = chunk.runs()
         found = np.minimum(np.searchsorted(wanted, anchor), len(wanted) - 1)
         alive = wanted[found] == anchor
         place, count, anchor = place[alive], count[alive], anchor[alive]
+        if not len(place):
+            return RUNS.empty_table()
         order, first = equal_groups(*content_hashes(chunk.data, place, count + DEPTH - 1))
-        copies = np.diff(np.append(first, len(order))) - 1
         head = order[first]  # places ascend within a group, and with them the documents
-        others = np.ones(len(order), bool)
-        others[first] = False
-        other_place = place[order]
-        other_starts = np.cumsum(copies + 1) - copies
+        of = np.repeat(head, np.diff(np.append(first, len(order))))
+        other = order != of
+        mine, of = order[other], of[other]
+        same = chunk.owner[chunk.document_of(place[mine])] == chunk.owner[chunk.document_of(place[of])]
+        out = []
+        for kind, at, beside in ((MASKS, mine[~same], _full(count[mine[~same]])), (SAME, mine[same], place[of[same]].astype(np.uint64))):
+            if len(at):
+                by = np.argsort(place[at], kind="stable")
+                out.append((number % ranges, number, kind, to_cell(place[at][by].astype(np.uint64), beside[by]), b""))
         by = np.argsort(anchor[head], kind="stable")
         keys = anchor[head][by]
         at = range_of(keys, ranges)
-        out = []
         for b in range(ranges):
-            mine = by[at[b]:at[b + 1]]
+            mine = head[by[at[b]:at[b + 1]]]
             if len(mine):
-                n, k = count[head[mine]], copies[mine]
-                rest = _slices(other_place, other_starts[mine], k)
-                document = chunk.document_of(place[head[mine]])
-                same = chunk.owner[chunk.document_of(rest)] == np.repeat(chunk.owner[document], k) if len(rest) else rest.astype(bool)
-                entries = to_cell(keys[at[b]:at[b + 1]], place[head[mine]], n, chunk.owner[document].view(np.uint64), k)
-                strings = _slices(chunk.data, place[head[mine]], n + DEPTH - 1).tobytes()
-                out.append((b, key[0].as_py(), entries, to_cell(np.arange(len(rest), dtype=np.uint64), rest, same.astype(np.uint64)), codec.compress(strings, asbytes=True)))
-        return _rows(RUNS, *zip(*out)) if out else RUNS.empty_table()
+                owner = chunk.owner[chunk.document_of(place[mine])]
+                entries = to_cell(keys[at[b]:at[b + 1]], place[mine], count[mine], owner.view(np.uint64))
+                strings = _slices(chunk.data, place[mine], count[mine] + DEPTH - 1).tobytes()
+                out.append((b, number, STRINGS, entries, codec.compress(strings, asbytes=True)))
+        return _rows(RUNS, *zip(*out))
 
     return run
 
 
+def _full(count):
+    """Masks of whole runs."""
+    return (np.uint64(1) << count.astype(np.uint64)) - np.uint64(1)
+
+
 def refined(data, starts, groups, owners):
     """For each suffix the smallest owner among those of its group that are equal to DEPTH bytes.
 
@@ -259,74 +273,106 @@ def refined(data, starts, groups, owners):
     return least
 
 
-COVER_DDL = "chunk int, cell binary"
+SHARED_DDL = "chunk int, cell binary"
+COVER_DDL = "chunk int, kind int, cell binary"
+SLICE = 1 << 20  # suffixes that are refined together
+
+
+def earlier_starts(key, count, owner, starts, data):
+    """For each string a mask: bit i is set if its i-th suffix also starts in a document before the string's own.
+
+    key is the strings' common first digit, ascending.
+    """
+    # equal strings of different chunks count as one, that of the smallest document
+    order, first = equal_groups(*content_hashes(data, starts, count + DEPTH - 1))
+    string = np.empty(len(order), np.int64)
+    string[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+    low = np.minimum.reduceat(owner[order], first)
+    head = order[first]
+    # the windows of those strings whose anchor has other strings too
+    by = np.argsort(key[head], kind="stable")
+    k = key[head][by]
+    group = np.cumsum(np.concatenate([[True], k[1:] != k[:-1]])) - 1
+    shared = np.bincount(group)[group] > 1
+    some, group = by[shared], group[shared]
+    n = count[head[some]]
+    step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    least = refined(data, np.repeat(starts[head[some]], n) + step, np.repeat(group, n), np.repeat(low[some], n))
+    mask = np.where(low[string] < owner, _full(count), np.uint64(0))
+    where = np.full(len(first), -1, np.int64)
+    where[some] = np.cumsum(n) - n
+    entry = np.flatnonzero((mask == 0) & (where[string] >= 0))
+    if len(entry):
+        m = count[entry]
+        step = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
+        before = least[np.repeat(where[string[entry]], m) + step] < np.repeat(owner[entry], m)
+        mask[entry] = np.add.reduceat(before.astype(np.uint64) << step.astype(np.uint64), np.cumsum(m) - m)
+    return mask
+
+
+def _cover(chunks, kinds, cells):
+    return pa.RecordBatch.from_arrays([pa.array(chunks, pa.int32()), pa.array(kinds, pa.int32()), pa.array(cells, pa.binary())], names=["chunk", "kind", "cell"])
 
 
 def _covered(batches):
     """Back to every chunk: places whose suffixes start in a smaller document, as masks over the run."""
     held = {}
     for batch in batches:
-        for bucket, *row in zip(*(c.to_pylist() for c in batch.columns)):
-            held.setdefault(bucket, []).append(row)
+        for bucket, chunk, kind, entries, strings in zip(*(c.to_pylist() for c in batch.columns)):
+            if kind == STRINGS:
+                held.setdefault(bucket, []).append((chunk, entries, strings))
+            else:
+                yield _cover([chunk], [kind], [entries])
+    codec = pa.Codec("zstd")
     while held:
         bucket, rows = held.popitem()
-        parts = [(chunk, from_cell(entries), from_cell(copies), strings) for chunk, entries, copies, strings in rows]
+        parts = [(chunk, from_cell(entries), strings) for chunk, entries, strings in rows]
         del rows
-        key, place, count, owner, copies = (np.concatenate([p[1][k] for p in parts]) for k in range(5))
-        place, count, owner, copies = place.astype(np.int64), count.astype(np.int64), owner.view(np.int64), copies.astype(np.int64)
+        key, place, count, owner = (np.concatenate([p[1][k] for p in parts]) for k in range(4))
+        place, count, owner = place.astype(np.int64), count.astype(np.int64), owner.view(np.int64)
         chunk = np.repeat(np.array([p[0] for p in parts], np.int32), [len(p[1][0]) for p in parts])
-        length = count + DEPTH - 1
         sizes = [int(p[1][2].sum()) + len(p[1][2]) * (DEPTH - 1) for p in parts]
-        codec = pa.Codec("zstd")
-        data = np.frombuffer(b"".join(codec.decompress(p[3], decompressed_size=s, asbytes=True) for p, s in zip(parts, sizes)), np.uint8)
-        starts = np.cumsum(length) - length
-        # equal strings of different chunks count as one, that of the smallest document
-        order, first = equal_groups(*content_hashes(data, starts, length))
-        string = np.empty(len(order), np.int64)
-        string[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
-        low = np.minimum.reduceat(owner[order], first)
-        head = order[first]
-        # the windows of those strings whose anchor has other strings too
-        by = np.argsort(key[head], kind="stable")
-        k = key[head][by]
-        begin = np.concatenate([[True], k[1:] != k[:-1]])
-        group = np.cumsum(begin) - 1
-        shared = np.bincount(group)[group] > 1
-        some, group = by[shared], group[shared]
-        n = count[head[some]]
-        step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        least = refined(data, np.repeat(starts[head[some]], n) + step, np.repeat(group, n), np.repeat(low[some], n))
-        # masks: bit i is set if the i-th suffix starts in a document before the string's own
-        full = (np.uint64(1) << count.astype(np.uint64)) - np.uint64(1)
-        mask = np.where(low[string] < owner, full, np.uint64(0))
-        where = np.full(len(first), -1, np.int64)
-        where[some] = np.cumsum(n) - n
-        entry = np.flatnonzero((mask == 0) & (where[string] >= 0))
-        m = count[entry]
-        step = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
-        before = least[np.repeat(where[string[entry]], m) + step] < np.repeat(owner[entry], m)
-        if len(entry):
-            mask[entry] = np.add.reduceat(before.astype(np.uint64) << step.astype(np.uint64), np.cumsum(m) - m)
-        rest, same = (np.concatenate([p[2][k] for p in parts]) for k in (1, 2))
-        of = np.repeat(np.arange(len(copies)), copies)
-        places = np.concatenate([place, rest.astype(np.int64)])
-        masks = np.concatenate([mask, np.where(same == 1, mask[of], full[of])])
-        chunks = np.concatenate([chunk, chunk[of]])
-        some = masks > 0
-        order = np.lexsort((places[some], chunks[some]))
-        places, masks, chunks = places[some][order], masks[some][order], chunks[some][order]
-        if len(chunks):
-            at = np.flatnonzero(np.concatenate([[True], chunks[1:] != chunks[:-1]]))
-            ends = np.append(at[1:], len(chunks))
-            yield pa.RecordBatch.from_arrays([pa.array(chunks[at]), pa.array(
-                [to_cell(places[a:b].astype(np.uint64), masks[a:b]) for a, b in zip(at, ends)], pa.binary())], names=["chunk", "cell"])
-
-
-def removed_bytes(chunk, cells):
+        data = np.frombuffer(b"".join(codec.decompress(p[2], decompressed_size=s, asbytes=True) for p, s in zip(parts, sizes)), np.uint8)
+        del parts
+        starts = np.cumsum(count + DEPTH - 1) - (count + DEPTH - 1)
+        # whole first digits at a time, so that what is refined together stays small
+        order = np.argsort(key, kind="stable")
+        k = key[order]
+        begins = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+        so_far = np.cumsum(count[order])
+        mask = np.zeros(len(key), np.uint64)
+        at = 0
+        while at < len(order):
+            limit = int(np.searchsorted(so_far, (so_far[at - 1] if at else 0) + SLICE))
+            later = begins[np.searchsorted(begins, max(limit, at + 1)):]
+            end = int(later[0]) if len(later) else len(order)
+            mine = order[at:end]
+            lengths = count[mine] + DEPTH - 1
+            part = _slices(data, starts[mine], lengths)
+            mask[mine] = earlier_starts(key[mine], count[mine], owner[mine], np.cumsum(lengths) - lengths, part)
+            at = end
+        some = np.flatnonzero(mask)
+        some = some[np.lexsort((place[some], chunk[some]))]
+        chunk, place, mask = chunk[some], place[some].astype(np.uint64), mask[some]
+        if len(chunk):
+            at = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]]))
+            ends = np.append(at[1:], len(chunk))
+            yield _cover(chunk[at], [MASKS] * len(at), [to_cell(place[a:b], mask[a:b]) for a, b in zip(at, ends)])
+
+
+def removed_bytes(chunk, kinds, cells):
     """Mask of the chunk's bytes that a marked window covers."""
+    marked = [from_cell(c) for k, c in zip(kinds, cells) if k == MASKS]
+    if marked:
+        places, masks = (np.concatenate(c) for c in zip(*marked))
+        order = np.argsort(places, kind="stable")
+        places, masks = places[order], masks[order]
+        for place, first in (from_cell(c) for k, c in zip(kinds, cells) if k == SAME):
+            at = np.minimum(np.searchsorted(places, first), len(places) - 1)
+            hit = places[at] == first
+            marked.append([place[hit], masks[at[hit]]])
     change = np.zeros(len(chunk.data) + DEPTH + 1, np.int32)
-    for cell in cells:
-        places, masks = from_cell(cell)
+    for places, masks in marked:
         for bit in range(REACH):
             start = places[(masks >> np.uint64(bit)) & np.uint64(1) == 1].astype(np.int64) + bit
             np.add.at(change, start, 1)
@@ -345,7 +391,7 @@ DIGEST = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed
 def _rest_of(table, cells):
     """(row, bytes, removed mask or None) of every row of a chunk."""
     chunk = _chunk_of(table)
-    gone = removed_bytes(chunk, cells.column("cell").to_pylist()) if cells.num_rows else None
+    gone = removed_bytes(chunk, cells.column("kind").to_pylist(), cells.column("cell").to_pylist()) if cells.num_rows else None
     for row, document in enumerate(chunk.document):
         if document < 0:
             text = table.column("text")[row].as_py()
@@ -396,7 +442,7 @@ def _marked(spark: SparkSession, docs: DataFrame):
     # twice as many chunks as partitions even out what a hash deals to each
     dealt = docs.withColumn("chunk", F.pmod(name, F.lit(2 * parts)).cast("int")).repartition(parts, "chunk")
     anchors = dealt.groupBy("chunk").applyInArrow(_anchors(ranges), ANCHORS_DDL)
-    shared = anchors.repartition(ranges, "bucket").mapInArrow(_shared_anchors, COVER_DDL)
+    shared = anchors.repartition(ranges, "bucket").mapInArrow(_shared_anchors, SHARED_DDL)
     runs = dealt.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_surviving_runs(ranges), RUNS_DDL)
     covered = runs.repartition(ranges, "bucket").mapInArrow(_covered, COVER_DDL)
     return dealt, covered
