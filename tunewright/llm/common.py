@@ -2,6 +2,7 @@
 
 import os
 import sys
+import types
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -82,6 +83,14 @@ def components(spark: SparkSession, edges: DataFrame, purpose: str, most_rounds:
         edges.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
 
 
+def per_process(name, make):
+    """An object that a Python worker keeps from task to task, made by its first; only for what any task could make anew."""
+    state = sys.modules.setdefault("tunewright_worker_state", types.ModuleType("tunewright_worker_state"))
+    if not hasattr(state, name):
+        setattr(state, name, make())
+    return getattr(state, name)
+
+
 def shared_file(uri):
     """(file system, path) of a place in the shared folder, for code in tasks; any store that Arrow knows."""
     if uri.startswith("file:"):

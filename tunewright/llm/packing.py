@@ -10,7 +10,7 @@ task's end is cut into powers of two.  So no sequence needs padding.
 
 Text is tokenised once, in the task that packs it.  Words are cut at ASCII white
 space, which the tokenizer drops and never merges across, and a bounded table
-remembers the ids of words.
+of the worker process remembers the ids of words.
 
 Defined cases: a null or empty text is the end token alone; a text of any length
 is tokenised in pieces; rows that share an id are packed each by itself; a null id
@@ -18,6 +18,7 @@ is kept; an empty table gives no rows; other columns, of whatever name, are not
 read.
 """
 
+import itertools
 import os
 import sys
 import zlib
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tunewright.llm.common import parts_for, text_bytes
+from tunewright.llm.common import parts_for, per_process, text_bytes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -36,7 +37,8 @@ END = 2
 TOKENIZER = "word_bpe_49k.json"
 BUCKETS, DIMENSIONS, BITS = 256, 3, 16
 PIECE = 2 << 20  # bytes of text that are looked at together
-REMEMBERED = 300_000  # words
+REMEMBERED = 400_000  # words
+TOGETHER = 512  # new words that are tokenised as one text
 
 
 def hilbert(coordinates, bits=BITS):
@@ -120,17 +122,28 @@ class WordIds:
     def _clear(self):
         self.place, self.starts, self.flat = {}, np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
+    def _encoded(self, words):
+        """Ids of different words, tokenised as one text, and how many each has: a token belongs to the word it starts in."""
+        words = [w.decode() for w in words]
+        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        starts = np.cumsum([0, *(len(w) + 1 for w in words[:-1])])
+        place = np.fromiter((o[0] for o in found.offsets), np.int64, len(found.ids))
+        return np.array(found.ids, np.uint32), np.bincount(np.searchsorted(starts, place, "right") - 1, minlength=len(words))
+
     def ids(self, words):
         """Ids of a list of words (bytes), flat, and how many each word has."""
         if len(self.place) > self.remembered:
             self._clear()
-        new = list({w for w in words if w not in self.place})
-        if new:
-            found = [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)]
+        at = np.fromiter(map(self.place.get, words, itertools.repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            unknown = [words[k] for k in missing]
+            new = list(dict.fromkeys(unknown))
+            flat, lengths = zip(*(self._encoded(new[k:k + TOGETHER]) for k in range(0, len(new), TOGETHER)))
             self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(f) for f in found])])
-            self.flat = np.concatenate([self.flat, np.fromiter((i for f in found for i in f), np.uint32)])
-        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(lengths))])
+            self.flat = np.concatenate([self.flat, *flat])
+            at[missing] = np.fromiter(map(self.place.__getitem__, unknown), np.int64, len(unknown))
         lengths = self.starts[at + 1] - self.starts[at]
         step = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         return self.flat[np.repeat(self.starts[at], lengths) + step], lengths
@@ -235,7 +248,7 @@ def _pack(path, length):
     def run(batches):
         words, stream = None, Stream(TaskContext.get().partitionId() << 40, length)
         for batch in batches:
-            words = words or WordIds(path)
+            words = words or per_process(f"words of {path}", lambda: WordIds(path))
             null = np.asarray(batch.column(0).is_null()).astype(np.int64)
             doc = np.asarray(batch.column(0).fill_null(0)).astype(np.int64)
             texts = [t.as_py() for t in batch.column(1).cast(pa.binary())]
