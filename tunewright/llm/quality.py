@@ -135,9 +135,16 @@ def verdicts(spark: SparkSession, docs: DataFrame, limits: Limits = None, carry=
 
 
 def accepted(spark: SparkSession, docs: DataFrame, limits: Limits = None) -> DataFrame:
-    """The rows of docs that pass, with their columns."""
+    """The rows of docs that pass, with their columns.
+
+    Texts are measured twice, for the references and for the verdict, rather than
+    written once more.
+    """
+    refs = materialised(spark, references(measured(docs)), "quality-references")
     packed = docs.select(packed_row(docs).alias("_row"), F.col("text"), F.col("lang"))
-    return unpacked(verdicts(spark, packed, limits, carry=("_row",)).where("kept"), "_row", docs.columns)
+    # a row number keeps the filter above the verdicts: pushed down, it would repeat every expression below it
+    rows = judged(measured(packed, carry=("_row",)), refs, limits).withColumn("_at", F.monotonically_increasing_id())
+    return unpacked(rows.where(F.col("kept") & (F.col("_at") >= 0)), "_row", docs.columns)
 
 
 def query(spark, sf_dir):

@@ -95,9 +95,12 @@ def deduplicated(spark: SparkSession, docs: DataFrame) -> DataFrame:
     found = groups(spark, rows.select("doc_id", "fp"))
     first = rows.select("doc_id", "fp").join(found.select("fp", "root"), "fp").groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("first"))
-    first = first.select(F.col("first.doc_id").alias("keep_id"), F.col("first.fp").alias("keep_fp"))
-    kept = rows.join(first, rows.doc_id.eqNullSafe(first.keep_id) & (rows.fp == first.keep_fp)).select("_row", "doc_id", "fp")
-    once = F.row_number().over(Window.partitionBy("doc_id", "fp").orderBy(F.xxhash64("_row")))
+    # join and window share one dealing of the texts: the key of a null id is a value of its own
+    key = ["_none", "_id", "fp"]
+    keyed = lambda frame, i: frame.withColumns({"_none": F.col(i).isNull(), "_id": F.coalesce(F.col(i), F.lit(0))})
+    first = keyed(first.select(F.col("first.doc_id").alias("keep_id"), F.col("first.fp").alias("fp")), "keep_id").select(*key)
+    kept = keyed(rows, "doc_id").select(*key, "_row").join(first, key)
+    once = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64("_row")))
     return unpacked(kept.withColumn("_n", once).where("_n = 1"), "_row", docs.columns)
 
 
