@@ -52,6 +52,23 @@ def test_far_document_is_rejected(spark, docs):
     assert found[100].kept and not found[1000].kept and not found[1000].base_failed
 
 
+def test_word_limit_follows_length(spark, docs):
+    """Texts of 60 to 3,000 words: those without their language's common words go, those with them stay, short or long."""
+    rows = [(2000 + k, " ".join(f"stone{i}" if i % 3 else quality.COMMON["en"][(i // 3) % 8] for i in range(n)), "en", "s0") for k, n in enumerate((60, 120, 180, 600, 3000))]
+    odd = [(3000 + k, " ".join(f"pierre{i}" for i in range(n)), "en", "s0") for k, n in enumerate((60, 120, 180))]
+    many = spark.createDataFrame(rows + odd, docs.schema)
+    found = quality.verdicts(spark, many).collect()
+    assert not any(r.base_failed for r in found) and {r.doc_id for r in found if r.kept} == set(range(2000, 2005))
+    assert quality.accepted(spark, many).where("doc_id >= 3000").count() == 0
+
+
+@pytest.mark.parametrize("n,far", [(49, False), (60, True), (400, True)])
+def test_word_limit_by_words(spark, n, far):
+    refs = spark.createDataFrame([("en", [100] * 7, [30] + [0] * 15, 100)], "_lang string, ref_classes array<long>, ref_words array<long>, ref_all long")
+    one = spark.createDataFrame([("en", n, 0, [n] * 7, [0] * 16)], "_lang string, n_words long, n_repeat_words long, _classes array<long>, _per_word array<long>")
+    assert quality.judged(one, refs).first().kept != far
+
+
 def test_stage_and_empty(spark, clashing, no_docs):
     kept = quality.accepted(spark, clashing)
     assert kept.columns == clashing.columns

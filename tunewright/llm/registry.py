@@ -7,6 +7,7 @@ MODULES = {
     "suffix": "op6_radix_suffixes", "ngram": "op7_kneser_ney",
     "sharding": "op3_virtual_slots", "topk": "op4_block_top_k", "warc": "op8_capture_index", "quality": "op9_quality_divergence", "chat": "op10_chat_assembly",
 }
+BY_LENGTH = "op9_quality_by_length"
 
 
 def _module(name):
@@ -20,8 +21,8 @@ def _pipeline(spark, sf_dir):
 
 
 def queries():
-    return {key: _module(name).query for name, key in MODULES.items()} | {"pipeline": _pipeline}
+    return {key: _module(name).query for name, key in MODULES.items()} | {BY_LENGTH: _module("quality").by_length, "pipeline": _pipeline}
 
 
 def oracles():
-    return {key: _module(name).ORACLE for name, key in MODULES.items() if getattr(_module(name), "ORACLE", None)}
+    return {key: _module(name).ORACLE for name, key in MODULES.items() if getattr(_module(name), "ORACLE", None)} | {BY_LENGTH: _module("quality").BY_LENGTH_ORACLE}
