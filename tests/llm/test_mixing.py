@@ -71,6 +71,18 @@ def test_targets_are_met_by_tilted_rates(spark, hot):
             assert max(slope) - min(slope) <= 1e-9 + 1e-6 * abs(slope[0])
 
 
+def test_one_very_long_document_per_source(spark):
+    """What rounding leaves of the long document is made up by hundreds of small ones."""
+    rng = random.Random(3)
+    rows = [(f"d{s}", rng.randrange(20, 400)) for s in range(4) for _ in range(500)] + [(f"d{s}", 40_000 + 9_000 * s) for s in range(4)]
+    docs = spark.createDataFrame([(k, "w " * n, s) for k, (s, n) in enumerate(rows)], "doc_id long, text string, source string")
+    gaps = {}
+    for r in mixing.mixed(spark, docs).collect():
+        assert 0 <= r.copies <= 3
+        gaps[r.src] = gaps.get(r.src, r.target) - r.taken
+    assert all(abs(g) <= 20 for g in gaps.values()), gaps
+
+
 def test_hot_cell_is_dealt_exactly(spark):
     """Two thousand copies of one size: their copies add up to the rounded target, and differ by one at most."""
     docs = spark.createDataFrame([(k, "w " * 50, "a") for k in range(2000)] + [(5000 + k, "w " * 10, "b") for k in range(100)], "doc_id long, text string, source string")

@@ -10,8 +10,10 @@ together), and a bracket keeps steps that overshoot inside.  Sources are rows of
 table, never of the driver.
 
 Rates become whole copies by running sums in the order of size, so what is rounded
-off one size is made up by the next, and a few passes then add or take away the
-single copy that brings a source closest to its target.  Copies of a cell (source
+off one size is made up by the next.  What is still open, up to half the largest
+document, is then filled (or taken away) by a running sum of words over the copies
+that are free, the largest that fit first, until every free copy is larger than the
+rest; a last single copy may bring a source closer.  Copies of a cell (source
 and size) are dealt to its documents in the order of a hash; a cell of many
 documents, such as a group of exact copies, is cut by another hash first.
 
@@ -29,7 +31,6 @@ MOST = 3  # copies of a document, and words of a source's target per word it has
 WEIGHTS = (1, 2, 3)
 CELL = 200  # documents of a cell that are ranked together
 ITERATIONS, CLOSE = 60, 1e-10
-PASSES = 8  # single copies added or taken away per source
 
 
 def sized(docs: DataFrame, key="doc_id", text="text", source="source") -> DataFrame:
@@ -93,21 +94,39 @@ def balanced(spark: SparkSession, cells: DataFrame, wanted: DataFrame) -> DataFr
     return state.select("src", "source_size", "target", "scale", F.round("lam", 9).alias("lam"))
 
 
-def copies_of_cells(cells: DataFrame, solved: DataFrame) -> DataFrame:
+def closer(frame: DataFrame) -> DataFrame:
+    """copies changed towards the target: many at once where free copies fit into the gap, else a single one; moving: the gap has halved.
+
+    The cell at which the running sum stops is larger than what is left, and no larger
+    than the gap, so a pass that takes several halves the gap.
+    """
+    whole = Window.partitionBy("src")
+    largest = whole.orderBy(F.desc("size"))
+    frame = frame.withColumn("lack", F.col("target") - F.sum(F.col("copies") * F.col("size")).over(whole)).withColumn("gap", F.abs("lack"))
+    frame = frame.withColumn("free", F.when(F.col("size") <= 0, 0).when(F.col("lack") > 0, MOST * F.col("n") - F.col("copies")).otherwise(F.col("copies")))
+    fits = F.when(F.col("size") <= F.col("gap"), F.col("free") * F.col("size")).otherwise(0)
+    before = F.coalesce(F.sum(fits).over(largest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    many = F.when(fits > 0, F.greatest(F.lit(0), F.least("free", F.floor((F.col("gap") - before) / F.nullif("size", F.lit(0)))))).otherwise(0)
+    miss = F.abs(F.col("gap") - F.col("size"))
+    frame = frame.withColumn("many", many.cast("long")).withColumn("filled", F.sum(F.col("many") * F.col("size")).over(whole))
+    frame = frame.withColumn("best", F.min(F.when((F.col("free") > 0) & (miss < F.col("gap")), F.struct(miss.alias("miss"), F.col("size").alias("size")))).over(whole))
+    single = F.when(F.col("best.size") == F.col("size"), 1).otherwise(0)
+    change = F.signum("lack").cast("long") * F.when(F.col("filled") > 0, F.col("many")).otherwise(single)
+    rest = F.when(F.col("filled") > 0, F.col("gap") - F.col("filled")).otherwise(F.col("best.miss"))
+    return frame.select("src", "size", "n", (F.col("copies") + change).alias("copies"), "source_size", "target", "rate",
+                        F.coalesce(2 * rest <= F.col("gap"), F.lit(False)).alias("moving"))
+
+
+def copies_of_cells(spark: SparkSession, cells: DataFrame, solved: DataFrame) -> DataFrame:
     """(src, size, n, copies, source_size, target): rates of all documents of a cell rounded into whole copies."""
     by_size = Window.partitionBy("src").orderBy("size")
     frame = cells.select("src", "size", "n").join(solved, "src").withColumn("rate", rate(F.col("lam"), F.col("size"), F.col("scale")))
     frame = frame.withColumn("run", F.sum(F.when(F.col("size") > 0, F.col("n") * F.col("rate")).otherwise(0.0)).over(by_size))
     frame = frame.withColumn("copies", (F.floor(F.col("run") + 0.5) - F.floor(F.coalesce(F.lag("run").over(by_size), F.lit(0.0)) + 0.5)).cast("long"))
-    whole = Window.partitionBy("src")
-    for _ in range(PASSES):
-        lack = F.col("target") - F.sum(F.col("copies") * F.col("size")).over(whole)
-        frame = frame.withColumn("lack", lack)
-        can = (F.col("size") > 0) & F.when(F.col("lack") > 0, F.col("copies") < MOST * F.col("n")).otherwise(F.col("copies") > 0)
-        miss = F.abs(F.abs("lack") - F.col("size"))
-        frame = frame.withColumn("best", F.min(F.when(can & (miss < F.abs("lack")), F.struct(miss.alias("miss"), F.col("size").alias("size")))).over(whole))
-        frame = frame.withColumn("copies", F.col("copies") + F.when(F.col("best.size") == F.col("size"), F.signum("lack").cast("long")).otherwise(0))
-    return frame.select("src", "size", "n", "copies", "source_size", "target", "rate")
+    while True:
+        frame = materialised(spark, closer(frame), "mix-copies")
+        if not frame.where("moving").take(1):
+            return frame.drop("moving")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, key="doc_id", text="text", source="source") -> DataFrame:
@@ -115,7 +134,7 @@ def mixed(spark: SparkSession, docs: DataFrame, key="doc_id", text="text", sourc
     sizes = materialised(spark, sized(docs, key, text, source), "mix-sizes")
     cells = materialised(spark, sizes.groupBy("src", "size").agg(F.first("last").alias("last"), F.count("*").alias("n")), "mix-cells")
     solved = balanced(spark, cells, targets(cells))
-    rounded = materialised(spark, copies_of_cells(cells, solved), "mix-copies")
+    rounded = copies_of_cells(spark, cells, solved)
     # no more than CELL documents, or 1/65536 of the cell, are ranked together
     parts = F.greatest(F.lit(1), F.least(F.lit(65536), F.ceil(F.col("n") / CELL)))
     rows = sizes.select("doc_id", "src", "size").join(rounded, ["src", "size"]).withColumn("part", F.pmod(F.xxhash64("doc_id"), parts))
