@@ -6,7 +6,7 @@ MODULES = {
     "mixing": "op1_entropy_mix", "simhash": "op2_simhash_groups", "packing": "op5_curve_packing",
     "suffix": "op6_radix_suffixes", "ngram": "op7_kneser_ney",
     "sharding": "op3_virtual_slots", "topk": "op4_block_top_k", "warc": "op8_capture_index", "quality": "op9_quality_divergence", "chat": "op10_chat_assembly",
-    "manifest": "op12_merkle_climb", "whitening": "op13_feast_whitening",
+    "toxicity": "op11_nearest_votes", "manifest": "op12_merkle_climb", "whitening": "op13_feast_whitening",
 }
 BY_LENGTH = "op9_quality_by_length"
 
