@@ -29,6 +29,10 @@ def r4(e):
     return f"round(CAST({e} AS DECIMAL(18,10)), 4)"
 
 
+def amount4(e):
+    return f"round(CAST({e} AS DECIMAL(38,10)), 4)"
+
+
 def clamp(e):
     return f"greatest(CAST(0.001 AS DECIMAL(18,4)), least(CAST(0.999 AS DECIMAL(18,4)), CAST({e} AS DECIMAL(18,4))))"
 

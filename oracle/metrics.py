@@ -30,7 +30,7 @@ ORACLE = {
         WINDOW w AS (PARTITION BY event_type ORDER BY day))
         SELECT event_type, strftime(day, '%Y-%m-%d') AS day, CAST({m.r4('mean')} AS DOUBLE) AS mean FROM r WHERE step >= 10""",
     "M6_first_last_change": f"""{DAILY}, e AS (SELECT event_type, CAST(arg_min(v, day) AS DOUBLE) AS a, CAST(arg_max(v, day) AS DOUBLE) AS b FROM d GROUP BY 1)
-        SELECT event_type, a AS first_value, b AS last_value, CAST({m.r4('(b - a) / greatest(abs(a), 1e-9) * 100')} AS DOUBLE) AS change_pct FROM e""",
+        SELECT event_type, a AS first_value, b AS last_value, CAST({m.amount4('(b - a) / greatest(abs(a), 1e-9) * 100')} AS DOUBLE) AS change_pct FROM e""",
     "M9_best_worst": f"""{BASE} SELECT (SELECT scenario_no FROM p ORDER BY strategic DESC, scenario_no LIMIT 1) AS best_scenario, (SELECT CAST(max(strategic) AS DOUBLE) FROM p) AS best_gain,
         (SELECT scenario_no FROM p ORDER BY strategic, scenario_no LIMIT 1) AS worst_scenario, (SELECT CAST(min(strategic) AS DOUBLE) FROM p) AS worst_gain""",
 }

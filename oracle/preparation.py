@@ -92,11 +92,11 @@ ORACLE = {
         count(DISTINCT p_name) AS n_descriptions, CAST(max(p_size) AS BIGINT) AS max_size, {m.lit(','.join(sorted(dims.ACTIONS)))} AS actions FROM part GROUP BY 1""",
     "T1_scenario_prompt": f"""WITH l AS ({views.select(views.QUERY_LOG, 'events')}),
         t AS (SELECT user_id, {workload._fp('sql_text')} AS template, main_table, max(exec_ms) AS ms, arg_max(sql_text, (exec_ms, -query_id)) AS sql, count(*) AS n, sum(exec_ms) AS s FROM l GROUP BY 1, 2, 3),
-        q AS (SELECT t.*, row_count, (SELECT max(wc) FROM {workload.WANTED} WHERE wt = main_table) AS cols,
-            row_number() OVER (PARTITION BY user_id ORDER BY ms DESC, template) AS k FROM t LEFT JOIN {workload.TABLES} ON name = main_table),
+        q AS (SELECT t.*, row_count, row_number() OVER (PARTITION BY user_id ORDER BY ms DESC, template) AS k FROM t LEFT JOIN {workload.COUNTS} ON name = main_table),
         p AS (SELECT user_id, string_agg('{{"id":"q' || k || '","sql":"' || sql || '","ms":' || CAST(ms AS VARCHAR) || ',"main_table":"' || main_table || '"}}', ',' ORDER BY k) AS qs, sum(s) AS s, sum(n) AS n FROM q GROUP BY 1),
-        d AS (SELECT user_id, string_agg('{{"name":"' || main_table || '","rows":' || row_count || '}}', ',' ORDER BY main_table) AS ts,
-            string_agg('{{"table":"' || main_table || '","columns":"' || cols || '"}}', ',' ORDER BY main_table) AS hs FROM (SELECT DISTINCT user_id, main_table, row_count, cols FROM q) GROUP BY 1)
+        e AS (SELECT DISTINCT user_id, main_table, row_count FROM q),
+        h AS (SELECT user_id, string_agg('{{"table":"' || wt || '","columns":"' || wc || '"}}', ',' ORDER BY wt, wc) AS hs FROM e JOIN {workload.WANTED} ON wt = main_table GROUP BY 1),
+        d AS (SELECT user_id, string_agg('{{"name":"' || main_table || '","rows":' || row_count || '}}', ',' ORDER BY main_table) AS ts, coalesce(any_value(hs), '') AS hs FROM e LEFT JOIN h USING (user_id) GROUP BY 1)
         SELECT p.user_id, {m.lit(dims.SYSTEM_INSTRUCTION)} || chr(10) || '=== DATABASE STATE ===' || chr(10) || 'Scenario: user ' || p.user_id || chr(10) || 'Tables: [' || ts || ']' || chr(10)
           || 'Slow Queries: [' || qs || ']' || chr(10) || 'Missing Index Hints: [' || hs || ']' || chr(10)
           || 'Performance: mean ' || printf('%.2f', CAST(round(CAST(CAST(s AS DOUBLE) / n AS DECIMAL(18,6)), 2) AS DOUBLE)) || ' ms, target score {dims.DEFAULT_TARGET}' || chr(10)

@@ -3,67 +3,65 @@
 from oracle import macros as m
 from tunewright import dims, views
 
-LINT_RULES = (
-    ("select_star", r"(?i)select\s+([a-z]+\.)?\*"),
-    ("function_on_column", r"(?i)where.*\b(year|month|date|upper|lower|substr)\s*\("),
-    ("comma_join", r"(?i)from\s+\w+\s+\w+\s*,\s*\w+"),
-    ("scalar_subquery", r"(?i)select[^()]*\(\s*select"),
-    ("aggregate_in_where", r"(?i)where\s+(avg|sum|count|max|min)\s*\("),
-    ("window_without_order", r"(?i)over\s*\(\s*\)"),
+def _fp(e):
+    return f"regexp_replace(regexp_replace({e}, '''[^'']*''', '?', 'g'), '[0-9]+', '?', 'g')"
+
+
+# What each statement of the log compares, told by hand: (event type, table, column, p point | r range | - of no use to an ordered copy).
+FACTS = (
+    ("view", "orders", "o_custkey", "p"), ("view", "orders", "o_orderstatus", "p"),
+    ("click", "lineitem", "l_shipdate", "r"), ("click", "lineitem", "l_returnflag", "p"), ("click", "lineitem", "l_discount", "r"),
+    ("signup", "customer", "c_nationkey", "p"), ("signup", "nation", "n_nationkey", "p"), ("signup", "customer", "c_custkey", "p"),
+    ("purchase", "part", "p_type", "-"), ("purchase", "part", "p_size", "r"),
+    ("error", "events", "user_id", "-"), ("error", "events", "event_type", "-"), ("error", "events", "ts", "r"),
 )
+# Mistakes of the statements of views.LINT, by event_id % 8, and of the log.
+LINT_FACTS = ((0, "select_star"), (0, "function_on_column"), (1, "scalar_subquery"), (2, "comma_join"), (3, "aggregate_in_where"),
+              (4, "window_without_order"), (5, "select_star"))
+# Tables of the statements that read more than one.
+LINT_JOINS = ((2, "part"), (2, "region"), (5, "orders"), (5, "customer"), (7, "orders"), (7, "customer"))
 
 
-def _fp(e):
-    return f"regexp_replace(regexp_replace({e}, '''[^'']*''', '?', 'g'), '[0-9]+', '?', 'g')"
+def _values(rows, head):
+    return "(VALUES " + ", ".join("(" + ", ".join(m.lit(x) for x in row) + ")" for row in rows) + f") {head}"
 
 
-LAYOUTS = "(VALUES " + ", ".join(
-    f"({m.lit(name)}, {m.lit(layout)})" for name, _, _, layouts in dims.CATALOG for layout in layouts) + ") lay(name, layout)"
-TABLES = "(VALUES " + ", ".join(
-    f"({m.lit(n)}, {r}, {s}, {m.lit(','.join(l))}, {m.lit(','.join(sorted('+'.join(c) for t, c in dims.WANTED_LAYOUTS if t == n)))})"
-    for n, r, s, l in dims.CATALOG) + ") tab(name, row_count, size_mb, layouts, missing)"
-WANTED = "(VALUES " + ", ".join(
-    f"({m.lit(t)}, {m.lit(','.join(c))}, {m.sql_list(c)}, {m.lit('idx_' + '_'.join(c))})"
-    for t, c in dims.WANTED_LAYOUTS) + ") want(wt, wc, cols, idx)"
+_NAMED = [(name, "by_" + "_".join(cols) if k else "PRIMARY", cols) for name, layouts in dims.CATALOG for k, cols in enumerate(layouts)]
+LAYOUTS = _values([(name, layout) for name, layout, _ in _NAMED], "lay(name, layout)")
+LAYOUT_COLS = _values([(name, layout, k + 1, c) for name, layout, cols in _NAMED for k, c in enumerate(cols)], "lc(name, layout, k, col)")
+_WANT = [(t, ",".join(cols), cols in dict(dims.CATALOG)[t]) for t, cols in dims.WANTED_LAYOUTS]
+WANTED = _values(_WANT, "want(wt, wc, duplicate)")
+WANTED_COLS = _values([(t, ",".join(cols), k + 1, c) for t, cols in dims.WANTED_LAYOUTS for k, c in enumerate(cols)], "lc(name, layout, k, col)")
+COUNTS = "(" + " UNION ALL ".join(f"SELECT {m.lit(name)} AS name, count(*) AS row_count FROM {name}" for name, _ in dims.CATALOG) + ") tab"
 PRED = ("list_slice(list_transform(list_filter(string_split(coalesce(string_split({0}, 'WHERE')[2], ''), 'AND'), lambda x: contains(x, '=')), "
         "lambda x: trim(string_split(x, '=')[1])), 1, 2)").format("template")
 
 
-
-def _serves(layout, column):
-    return f"(CASE WHEN {layout} = 'PRIMARY' THEN {column} = 'id' ELSE contains({layout}, {column}) END)"
+def _prefix(columns):
+    """(et, name, layout, n): leading columns of each copy that a statement narrows by: points, and one range after them."""
+    return f"""SELECT et, name, layout, CASE WHEN stop IS NULL THEN len ELSE stop - 1 + CAST(at_stop = 'r' AS INTEGER) END AS n FROM (
+        SELECT e.et, lc.name, lc.layout, max(lc.k) AS len, min(lc.k) FILTER (coalesce(f.way, '-') <> 'p') AS stop,
+          arg_min(coalesce(f.way, '-'), lc.k) FILTER (coalesce(f.way, '-') <> 'p') AS at_stop
+        FROM (SELECT DISTINCT et, tn FROM facts) e JOIN {columns} ON lc.name = e.tn LEFT JOIN facts f ON f.et = e.et AND f.tn = lc.name AND f.col = lc.col
+        GROUP BY 1, 2, 3)"""
 
 
 BASE = f"""
-WITH log AS ({views.select(views.QUERY_LOG, 'events')}),
-t AS (SELECT {_fp('sql_text')} AS template, main_table, count(*) AS n, sum(exec_ms) AS ms,
+WITH log AS (SELECT *, CASE WHEN main_table = 'events' THEN 'error' ELSE event_type END AS et FROM (
+  {views.select(views.QUERY_LOG + ['event_type'], 'events')})),
+t AS (SELECT {_fp('sql_text')} AS template, main_table, any_value(et) AS et, count(*) AS n, sum(exec_ms) AS ms,
         CAST(sum(exec_ms) AS DOUBLE) / count(*) AS avg_ms FROM log GROUP BY 1, 2),
-p AS (SELECT *, {PRED} AS cols FROM t),
-u AS (SELECT template, main_table, unnest(cols) AS col FROM p),
-best AS (SELECT template, main_table, max(k) AS k FROM (
-    SELECT u.template, u.main_table, layout, count(*) AS k FROM u JOIN {LAYOUTS} ON name = u.main_table AND {_serves('layout', 'col')} GROUP BY 1, 2, 3) GROUP BY 1, 2),
-cov AS (SELECT p.*, coalesce(CAST(best.k AS DOUBLE) / len(cols), 0.0::DOUBLE) AS coverage FROM p LEFT JOIN best USING (template, main_table))
+facts AS (SELECT * FROM {_values(FACTS, 'f(et, tn, col, way)')}),
+pre AS ({_prefix(LAYOUT_COLS)}),
+best AS (SELECT et, name, max(n) AS n FROM pre GROUP BY 1, 2),
+cov AS (SELECT t.*, (SELECT sum(n) FROM best WHERE best.et = t.et) / (SELECT count(*) FROM facts WHERE facts.et = t.et)::DOUBLE AS coverage FROM t)
 """
 
-_LINT = f"""WITH l AS ({views.select(views.LINT, 'events')})"""
-
-
-def _rule(i):
-    name, pattern = LINT_RULES[i]
-    return f"SELECT '{name}' AS flag, count(*) AS templates, CAST(sum(n) AS BIGINT) AS executions FROM tt WHERE regexp_matches(template, '{pattern}')"
-
-
+_LINT = f"""WITH l AS ({views.select(views.LINT + ['event_id % 8 AS kind'], 'events')}),
+log AS ({views.select(views.QUERY_LOG, 'events')})"""
 _ms = next(x for x in views.QUERY_LOG if x.endswith(" AS exec_ms"))
 _text = next(x for x in views.LINT if x.endswith(" AS sql_text"))
 
-
-def _gain(i):
-    name, pattern = LINT_RULES[i]
-    hit = f"regexp_matches(template, '{pattern}')"
-    return (f"SELECT '{name}' AS flag, CAST(sum(n) FILTER ({hit}) AS BIGINT) AS executions, CAST(sum(ms) FILTER ({hit}) AS DOUBLE) / sum(n) FILTER ({hit}) AS avg_ms, "
-            f"CAST(sum(ms) FILTER (NOT {hit}) AS DOUBLE) / sum(n) FILTER (NOT {hit}) AS other_ms FROM tt")
-
-
 ORACLE = {
     "W1_normalised_text": f"WITH log AS ({views.select(views.QUERY_LOG, 'events')}) SELECT query_id, {m.norm('sql_text')} AS normalised FROM log",
     "W2_fingerprints": f"{BASE} SELECT template, n, CAST(ms AS DOUBLE) AS total_ms FROM t",
@@ -80,37 +78,33 @@ ORACLE = {
         SELECT main_table, columns, CAST(sum(n) AS BIGINT) AS executions, CAST(sum(ms) AS DOUBLE) AS total_ms,
           'Composite WHERE clause on ' || main_table AS reason FROM q WHERE columns <> '' GROUP BY main_table, columns""",
     "W7_benefiting_queries": f"""{BASE} SELECT wt AS layout_table, wc AS layout_columns, template, n FROM t, {WANTED}
-        WHERE contains(lower(template), wt) AND len(list_filter(cols, lambda c: contains(lower(template), c))) > 0""",
+        WHERE contains(lower(template), wt) AND len(list_filter(string_split(wc, ','), lambda c: contains(lower(template), c))) > 0""",
     "W8_coverage": f"{BASE} SELECT template, n, CAST({m.r4('coverage')} AS DOUBLE) AS coverage FROM cov",
-    "W9_time_shares": f"""{BASE} SELECT template, CAST({m.r4('avg_ms')} AS DOUBLE) AS avg_ms, CAST(ms AS DOUBLE) AS total_ms,
+    "W9_time_shares": f"""{BASE} SELECT template, CAST({m.amount4('avg_ms')} AS DOUBLE) AS avg_ms, CAST(ms AS DOUBLE) AS total_ms,
         CAST({m.r4('CAST(ms AS DOUBLE) / (SELECT CAST(sum(ms) AS DOUBLE) FROM t)')} AS DOUBLE) AS time_share,
-        CAST({m.r4('CAST(ms AS DOUBLE) * (1.0::DOUBLE - coverage)')} AS DOUBLE) AS unserved_ms FROM cov""",
-    "W9_workload_score": f"""{BASE} SELECT CAST({m.r4(f"CAST(sum({m.r4('CAST(ms AS DOUBLE) * coverage')}) AS DOUBLE) / CAST(sum(ms) AS DOUBLE)")} AS DOUBLE) AS served_share, count(*) AS templates FROM cov""",
-    "W10_rewrite_gain": f"""WITH l AS (SELECT {_text}, {_ms} FROM events), tt AS (SELECT {_fp('sql_text')} AS template, count(*) AS n, sum(exec_ms) AS ms FROM l GROUP BY 1)
-        SELECT *, avg_ms - other_ms AS gain_ms FROM ({' UNION ALL '.join(_gain(i) for i in range(len(LINT_RULES)))}) WHERE executions IS NOT NULL""",
-    "W11_what_if": f"""{BASE}, g AS (SELECT u.template, u.main_table, wc, count(*) AS k FROM u JOIN {WANTED} ON wt = u.main_table AND {_serves('idx', 'col')} GROUP BY 1, 2, 3),
-        b AS (SELECT wt, wc, idx, n, ms, CAST(g.k AS DOUBLE) / len(cov.cols) > coverage AS better FROM {WANTED} LEFT JOIN cov ON cov.main_table = wt LEFT JOIN g USING (template, main_table, wc))
-        SELECT wt AS layout_table, wc AS layout_columns, EXISTS (SELECT 1 FROM {LAYOUTS} WHERE name = wt AND layout = any_value(idx)) AS duplicate,
-          count(*) FILTER (better) AS affected_templates, CAST(coalesce(sum(n) FILTER (better), 0) AS BIGINT) AS executions,
-          CAST(coalesce(sum(ms) FILTER (better), 0) AS DOUBLE) AS total_ms FROM b GROUP BY wt, wc""",
-    "W12_scan_report": f"""{BASE}, open AS (SELECT template, main_table, string_agg(col, ',' ORDER BY k) AS cols FROM (
-            SELECT template, main_table, unnest(cols) AS col, generate_subscripts(cols, 1) AS k FROM p)
-          WHERE NOT EXISTS (SELECT 1 FROM {LAYOUTS} WHERE name = main_table AND {_serves('layout', 'col')}) GROUP BY 1, 2)
-        SELECT template, main_table, n, CAST(ms AS DOUBLE) AS total_ms, coverage > 0 AS served, coalesce(open.cols, '') AS unserved_columns,
-          main_table = 'parcels' AS partitioned FROM cov LEFT JOIN open USING (template, main_table)""",
-    "W13_layout_report": f"""{BASE} SELECT name, CAST(row_count AS BIGINT) AS row_count, CAST(size_mb AS BIGINT) AS size_mb, layouts, missing,
-        (SELECT count(*) FROM cov WHERE coverage > 0 AND main_table = name) AS used_by,
-        CAST((SELECT coalesce(sum(n), 0) FROM cov WHERE coverage > 0 AND main_table = name) AS BIGINT) AS executions,
-        name IN ('bookings','readings') AS stats_fresh, name = 'parcels' AS partitioned FROM {TABLES}""",
-    "W14_unused_layouts": f"""{BASE} SELECT name, layout FROM {LAYOUTS} WHERE layout <> 'PRIMARY'
-        AND NOT EXISTS (SELECT 1 FROM u WHERE u.main_table = lay.name AND {_serves('layout', 'col')})""",
+        CAST({m.amount4('CAST(ms AS DOUBLE) * (1.0::DOUBLE - coverage)')} AS DOUBLE) AS unserved_ms FROM cov""",
+    "W9_workload_score": f"""{BASE} SELECT CAST({m.r4("sum(CAST(ms AS DOUBLE) * coverage) / CAST(sum(ms) AS DOUBLE)")} AS DOUBLE) AS served_share, count(*) AS templates FROM cov""",
+    "W10_rewrite_gain": f"""WITH l AS (SELECT {_text}, {_ms}, event_id % 8 AS kind FROM events), f AS (SELECT * FROM {_values(LINT_FACTS, 'f(kind, flag)')}),
+        per AS (SELECT flag, count(*) AS executions, sum(exec_ms) AS ms FROM l JOIN f USING (kind) GROUP BY 1), every AS (SELECT count(*) AS n, sum(exec_ms) AS ms FROM l)
+        SELECT *, avg_ms - other_ms AS gain_ms FROM (SELECT flag, executions, CAST(per.ms AS DOUBLE) / executions AS avg_ms,
+          CAST(every.ms - per.ms AS DOUBLE) / (n - executions) AS other_ms FROM per, every)""",
+    "W11_what_if": f"""{BASE}, w AS ({_prefix(WANTED_COLS)}),
+        b AS (SELECT w.name, w.layout, t.n, t.ms FROM w JOIN best USING (et, name) JOIN t USING (et) WHERE w.n > best.n)
+        SELECT wt AS layout_table, wc AS layout_columns, duplicate, count(b.n) AS affected_templates, CAST(coalesce(sum(b.n), 0) AS BIGINT) AS executions,
+          CAST(coalesce(sum(b.ms), 0) AS DOUBLE) AS total_ms FROM {WANTED} LEFT JOIN b ON b.name = wt AND b.layout = wc GROUP BY 1, 2, 3""",
+    "W12_scan_report": f"""{BASE}, used AS (SELECT DISTINCT et, pre.name, lc.col FROM pre JOIN {LAYOUT_COLS} ON lc.name = pre.name AND lc.layout = pre.layout AND lc.k <= pre.n),
+        open AS (SELECT et, string_agg(tn || '.' || col, ',' ORDER BY tn || '.' || col) AS cols FROM facts WHERE (et, tn, col) NOT IN (SELECT et, name, col FROM used) GROUP BY 1)
+        SELECT template, main_table, n, CAST(ms AS DOUBLE) AS total_ms, coverage > 0 AS served, coalesce(open.cols, '') AS unserved_columns FROM cov LEFT JOIN open USING (et)""",
+    "W13_layout_report": f"""{BASE}, u AS (SELECT best.name, count(DISTINCT template) AS used_by, CAST(sum(t.n) AS BIGINT) AS executions FROM best JOIN t USING (et) WHERE best.n > 0 GROUP BY 1)
+        SELECT tab.name, tab.row_count, (SELECT string_agg(layout, ',' ORDER BY layout <> 'PRIMARY', k) FROM (SELECT name, layout, row_number() OVER () AS k FROM {LAYOUTS}) WHERE name = tab.name) AS layouts,
+          coalesce((SELECT string_agg(replace(wc, ',', '+'), ',' ORDER BY replace(wc, ',', '+')) FROM {WANTED} WHERE wt = tab.name AND NOT duplicate), '') AS missing,
+          coalesce(used_by, 0) AS used_by, coalesce(executions, 0) AS executions FROM {COUNTS} LEFT JOIN u ON u.name = tab.name""",
+    "W14_unused_layouts": f"""{BASE} SELECT name, layout FROM {LAYOUTS} WHERE layout <> 'PRIMARY' AND (name, layout) NOT IN (SELECT name, layout FROM pre WHERE n > 0)""",
     "W15_partition_candidates": "SELECT name, row_count, row_count > 100000 AS partition_candidate FROM (" + " UNION ALL ".join(
         f"SELECT '{n}' AS name, count(*) AS row_count FROM {n}" for n in ("lineitem", "orders", "customer", "part", "events")) + ")",
-    "W17_denormalisation": f"""{_LINT}, t AS (SELECT {_fp('sql_text')} AS template, count(*) AS n FROM l GROUP BY 1)
-        SELECT name, template, n FROM t, (VALUES ('members'), ('bookings'), ('articles'), ('parcels')) x(name)
-        WHERE contains(lower(template), 'join') AND contains(template, name)""",
-    "W18_lint_report": f"""{_LINT}, log AS ({views.select(views.QUERY_LOG, 'events')}),
-        u AS (SELECT sql_text FROM l UNION ALL SELECT sql_text FROM log),
-        tt AS (SELECT {_fp('sql_text')} AS template, count(*) AS n FROM u GROUP BY 1)
-        SELECT * FROM ({' UNION ALL '.join(_rule(i) for i in range(len(LINT_RULES)))}) WHERE templates > 0""",
+    "W17_denormalisation": f"""{_LINT}, f AS (SELECT * FROM {_values(LINT_JOINS, 'f(kind, name)')})
+        SELECT name, template, count(*) AS n FROM (SELECT name, {_fp('sql_text')} AS template FROM l JOIN f USING (kind)
+          UNION ALL SELECT unnest(['customer', 'nation']), {_fp('sql_text')} FROM log WHERE main_table = 'customer') GROUP BY 1, 2""",
+    "W18_lint_report": f"""{_LINT}, f AS (SELECT * FROM {_values(LINT_FACTS, 'f(kind, flag)')})
+        SELECT flag, count(DISTINCT {_fp('sql_text')}) AS templates, count(*) AS executions FROM l JOIN f USING (kind) GROUP BY 1""",
 }

@@ -55,10 +55,15 @@ def texts(values):
 
 
 def round4(c):
-    """Half-up rounding to 4 digits that is free of binary noise."""
+    """Half-up rounding to 4 digits that is free of binary noise, for scores and shares: below 10^8."""
     return F.round(c.cast("decimal(18,10)"), 4)
 
 
+def amount4(c):
+    """round4 for amounts of any size that a sum may reach."""
+    return F.round(c.cast("decimal(38,10)"), 4)
+
+
 def clamp(c, low="0.001", high="0.999"):
     """Scores are kept strictly between 0 and 1, rounded to 4 digits."""
     dec = "decimal(18,4)"

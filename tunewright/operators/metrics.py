@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tunewright.functions.text import dbl, round4
+from tunewright.functions.text import amount4, dbl, round4
 from tunewright.session import table
 
 MONEY = "decimal(18,2)"
@@ -90,7 +90,7 @@ def change(spark, sf_dir):
     ends = daily(spark, sf_dir).groupBy("event_type").agg(
         F.min_by("v", "day").cast("double").alias("a"), F.max_by("v", "day").cast("double").alias("b"))
     pct = (F.col("b") - F.col("a")) / F.greatest(F.abs("a"), F.lit(1e-9)) * 100
-    return ends.select("event_type", F.col("a").alias("first_value"), F.col("b").alias("last_value"), dbl(round4(pct), "change_pct"))
+    return ends.select("event_type", F.col("a").alias("first_value"), F.col("b").alias("last_value"), dbl(amount4(pct), "change_pct"))
 
 
 QUERIES = {

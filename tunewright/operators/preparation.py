@@ -33,15 +33,17 @@ def scenario_prompts(spark, sf_dir):
     log = query_log(spark, sf_dir).withColumn("template", fingerprint(F.col("sql_text")))
     slow = F.struct(F.col("exec_ms").alias("ms"), (-F.col("query_id")).alias("last"), F.col("sql_text").alias("sql"))
     per = log.groupBy("user_id", "template", "main_table").agg(F.max(slow).alias("top"), F.count(F.lit(1)).alias("n"), F.sum("exec_ms").alias("s"))
-    sizes = catalog_table(spark).select(F.col("name").alias("main_table"), "row_count")
-    wanted = wanted_table(spark).groupBy(F.col("layout_table").alias("main_table")).agg(F.max("layout_columns").alias("columns"))
+    sizes = catalog_table(spark, sf_dir).select(F.col("name").alias("main_table"), "row_count")
+    wanted = wanted_table(spark).groupBy(F.col("layout_table").alias("main_table")).agg(F.array_sort(F.collect_list("layout_columns")).alias("columns"))
     per = per.join(sizes, "main_table", "left").join(wanted, "main_table", "left")
     item = F.struct((-F.col("top.ms")).alias("o"), F.col("template").alias("k"), F.col("top.sql").alias("sql"), F.col("top.ms").alias("ms"),
                     F.col("main_table").alias("main_table"), "row_count", "columns")
     per = per.groupBy("user_id").agg(F.array_sort(F.collect_list(item)).alias("qs"), F.sum("s").alias("s"), F.sum("n").alias("n"))
     queries = F.transform("qs", lambda x, i: F.struct(F.concat(F.lit("q"), i + 1).alias("id"), x["sql"].alias("sql"), x["ms"].alias("ms"), x["main_table"].alias("main_table")))
     tables = F.array_sort(F.array_distinct(F.transform("qs", lambda x: F.struct(x["main_table"].alias("name"), x["row_count"].cast("bigint").alias("rows")))))
-    hints = F.array_sort(F.array_distinct(F.transform(F.filter("qs", lambda x: x["columns"].isNotNull()), lambda x: F.struct(x["main_table"].alias("table"), x["columns"].alias("columns")))))
+    every = F.flatten(F.transform(F.filter("qs", lambda x: x["columns"].isNotNull()),
+                                  lambda x: F.transform(x["columns"], lambda c: F.struct(x["main_table"].alias("table"), c.alias("columns")))))
+    hints = F.array_sort(F.array_distinct(every))
     mean = F.format_string("%.2f", F.round(F.col("s").cast("decimal(38,4)") / F.col("n"), 2).cast("double"))
     return per.select("user_id", F.concat_ws(
         "\n", F.lit(dims.SYSTEM_INSTRUCTION), F.lit(STATE_HEAD),

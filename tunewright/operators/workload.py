@@ -6,15 +6,17 @@ text rule below runs once per template and not once per execution.
 
 from functools import reduce
 
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunewright import dims, views
-from tunewright.functions.text import dbl, fingerprint, normalize, round4
+from tunewright.functions.text import amount4, dbl, fingerprint, normalize, round4
+from tunewright.operators import statements
 from tunewright.session import materialised, table
 
-PARTITIONED = ("parcels",)
-FRESH = ("bookings", "readings")
+# Comparisons that an ordered copy can look up, and those that end the lookup with a range.
+POINT = ("=", "IN", "IS")
+RANGE = ("<", ">", "<=", ">=", "BETWEEN", "LIKE")
 
 
 def query_log(spark, sf_dir):
@@ -28,10 +30,10 @@ def histogram(log):
 
 
 def templates(log):
-    """One row per template with executions and total latency."""
-    return (log.select(fingerprint(F.col("sql_text")).alias("template"), "main_table", "exec_ms")
+    """One row per template with executions, total latency and one of its statements."""
+    return (log.select(fingerprint(F.col("sql_text")).alias("template"), "main_table", "exec_ms", "sql_text")
             .groupBy("template", "main_table")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("exec_ms").alias("ms"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("exec_ms").alias("ms"), F.min("sql_text").alias("sql"))
             .withColumn("avg_ms", F.col("ms").cast("double") / F.col("n")))
 
 
@@ -126,25 +128,62 @@ def benefiting(spark, sf_dir):
                     "template", "n"))
 
 
-def catalog_table(spark):
-    return dims.inline(spark, ("name", "row_count", "size_mb", "layouts"), dims.CATALOG)
+def layout_name(cols):
+    return "by_" + "_".join(cols)
+
+
+def copies_of(layouts):
+    """Literal array<struct<layout, cols>>: the columns every copy of a table is ordered by; the first copy is the table itself."""
+    return F.array(*[F.struct(F.lit(layout_name(cols) if k else "PRIMARY").alias("layout"), F.array(*map(F.lit, cols)).alias("cols"))
+                     for k, cols in enumerate(layouts)])
+
+
+def catalog_table(spark, sf_dir):
+    """(name, row_count, layouts) with measured rows."""
+    def one(name, layouts):
+        return table(spark, sf_dir, name).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("name"), "row_count", copies_of(layouts).alias("layouts"))
+    return reduce(DataFrame.unionByName, [one(*entry) for entry in dims.CATALOG])
+
+
+def known_columns(spark, sf_dir):
+    """(table_name, column) as the files have them."""
+    rows = [(name, column) for name, _ in dims.CATALOG for column in table(spark, sf_dir, name).columns]
+    return dims.inline(spark, ("table_name", "column"), rows)
+
 
+def looked_up(cols, point, span):
+    """How many leading columns of an ordered copy narrow a search: point lookups, and one range at the end."""
+    start = F.struct(F.lit(0).alias("n"), F.lit(True).alias("open"))
+    def step(state, c):
+        exact, within = F.array_contains(point, c), F.array_contains(span, c)
+        return F.struct((state["n"] + (state["open"] & (exact | within)).cast("int")).alias("n"), (state["open"] & exact).alias("open"))
+    return F.aggregate(cols, start, step, lambda s: s["n"])
 
-def serves(layout, column):
-    """Whether a layout helps a predicate on a column; its name lists the columns."""
-    return F.when(layout == "PRIMARY", column == "id").otherwise(F.contains(layout, column))
 
+def predicate_sets(spark, sf_dir, t):
+    """(template, table_name, cols, point, span, layouts) of templates (template, sql): what each compares, and the copies there are."""
+    found = statements.predicates(t.select("template", "sql"), known_columns(spark, sf_dir))
+    usable = ~F.col("either")
+    sets = found.groupBy("template", "table_name").agg(
+        F.array_sort(F.collect_set("column")).alias("cols"),
+        F.collect_set(F.when(usable & F.col("op").isin(*POINT), F.col("column"))).alias("point"),
+        F.collect_set(F.when(usable & F.col("op").isin(*RANGE), F.col("column"))).alias("span"))
+    copies = F.create_map(*[x for name, layouts in dims.CATALOG for x in (F.lit(name), copies_of(layouts))])
+    sets = sets.withColumn("layouts", copies[F.col("table_name")])
+    return sets.withColumn("best", F.array_max(F.transform("layouts", lambda x: looked_up(x["cols"], F.col("point"), F.col("span")))))
 
-def with_coverage(t, catalog):
-    """Predicate columns of each template and the share of them that the best layout of its table serves."""
-    both = t.withColumn("cols", predicate_columns(F.col("template"))).join(
-        catalog.select(F.col("name").alias("main_table"), "layouts"), "main_table", "left")
-    best = F.array_max(F.transform("layouts", lambda x: F.size(F.filter("cols", lambda c: serves(x, c))) / F.nullif(F.size("cols"), F.lit(0))))
-    return both.withColumn("coverage", F.coalesce(best, F.lit(0.0)))
+
+def analysed(spark, sf_dir):
+    """(templates of the log, their predicate sets); both are read several times, so the log is reduced once."""
+    t = materialised(spark, templates(query_log(spark, sf_dir)), "templates")
+    return t, materialised(spark, predicate_sets(spark, sf_dir, t), "predicates")
 
 
 def covered_templates(spark, sf_dir):
-    return with_coverage(templates(query_log(spark, sf_dir)), catalog_table(spark))
+    """Templates with the share of their predicate columns that the best copy of each table narrows the search by."""
+    t, sets = analysed(spark, sf_dir)
+    share = sets.groupBy("template").agg((F.sum("best") / F.sum(F.size("cols"))).alias("coverage"))
+    return t.join(share, "template", "left").withColumn("coverage", F.coalesce("coverage", F.lit(0.0)))
 
 
 def coverage_scores(spark, sf_dir):
@@ -155,76 +194,91 @@ def time_shares(spark, sf_dir):
     """Measured latency of each template, its share of all logged time, and the part no layout serves."""
     t = covered_templates(spark, sf_dir)
     total = t.agg(F.sum("ms")).scalar()
-    return t.select("template", dbl(round4(F.col("avg_ms")), "avg_ms"), dbl(F.col("ms"), "total_ms"),
+    return t.select("template", dbl(amount4(F.col("avg_ms")), "avg_ms"), dbl(F.col("ms"), "total_ms"),
                     dbl(round4(F.col("ms").cast("double") / total.cast("double")), "time_share"),
-                    dbl(round4(F.col("ms").cast("double") * (F.lit(1.0) - F.col("coverage"))), "unserved_ms"))
+                    dbl(amount4(F.col("ms").cast("double") * (F.lit(1.0) - F.col("coverage"))), "unserved_ms"))
 
 
 def workload_score(spark, sf_dir):
     """Share of the logged time that runs on predicates a layout serves."""
     t = covered_templates(spark, sf_dir)
-    part = F.sum(round4(F.col("ms").cast("double") * F.col("coverage")))
-    return t.agg(dbl(round4(part.cast("double") / F.sum("ms").cast("double")), "served_share"), F.count(F.lit(1)).alias("templates"))
+    part = F.sum(F.col("ms").cast("double") * F.col("coverage"))
+    return t.agg(dbl(round4(part / F.sum("ms").cast("double")), "served_share"), F.count(F.lit(1)).alias("templates"))
+
+
+def flagged(spark, t):
+    """(template, flag) of templates (template, sql)."""
+    return statements.mistakes(t.select("template", "sql"))
+
+
+def lint_templates(log):
+    """(template, n, ms, sql) of statements (sql_text, exec_ms)."""
+    return log.groupBy(fingerprint(F.col("sql_text")).alias("template")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("exec_ms").alias("ms"), F.min("sql_text").alias("sql"))
 
 
 def rewrite_gains(spark, sf_dir):
     """Measured mean latency of statements with a mistake against those without it."""
     ms = next(x for x in views.QUERY_LOG if x.endswith(" AS exec_ms"))
     text = next(x for x in views.LINT if x.endswith(" AS sql_text"))
-    t = (table(spark, sf_dir, "events").selectExpr(text, ms).groupBy(fingerprint(F.col("sql_text")).alias("template"))
-         .agg(F.count(F.lit(1)).alias("n"), F.sum("exec_ms").alias("ms")))
-    flags = F.array(*[F.struct(F.lit(name).alias("flag"), F.regexp_like("template", F.lit(rule)).alias("hit")) for name, rule in LINT_RULES])
-    mean = lambda hit: F.sum(F.when(F.col("hit") == hit, F.col("ms"))).cast("double") / F.sum(F.when(F.col("hit") == hit, F.col("n")))
-    per = t.select("n", "ms", F.inline(flags)).groupBy("flag").agg(
-        F.sum(F.when(F.col("hit"), F.col("n"))).alias("executions"), mean(True).alias("avg_ms"), mean(False).alias("other_ms"))
-    return per.where("executions IS NOT NULL").select("flag", "executions", "avg_ms", "other_ms", (F.col("avg_ms") - F.col("other_ms")).alias("gain_ms"))
+    t = materialised(spark, lint_templates(table(spark, sf_dir, "events").selectExpr(text, ms)), "lint")
+    per = flagged(spark, t).join(t, "template").groupBy("flag").agg(F.sum("n").alias("executions"), F.sum("ms").alias("ms"))
+    every = t.agg(F.sum("n").alias("all_n"), F.sum("ms").alias("all_ms"))
+    mean = lambda ms, n: ms.cast("double") / n
+    # one row beside a handful
+    per = per.join(F.broadcast(every)).select(
+        "flag", "executions", mean(F.col("ms"), F.col("executions")).alias("avg_ms"),
+        mean(F.col("all_ms") - F.col("ms"), F.nullif(F.col("all_n") - F.col("executions"), F.lit(0))).alias("other_ms"))
+    return per.select("*", (F.col("avg_ms") - F.col("other_ms")).alias("gain_ms"))
 
 
 def wanted_table(spark):
-    rows = [(t, ",".join(cols), "idx_" + "_".join(cols)) for t, cols in dims.WANTED_LAYOUTS]
-    return dims.inline(spark, ("layout_table", "layout_columns", "layout"), rows)
+    rows = [(t, ",".join(cols), cols, cols in dict(dims.CATALOG).get(t, ())) for t, cols in dims.WANTED_LAYOUTS]
+    return dims.inline(spark, ("layout_table", "layout_columns", "cols", "duplicate"), rows)
 
 
 def what_if(spark, sf_dir):
     """For each wanted layout the templates it serves better than what is there, and their logged time."""
-    t = covered_templates(spark, sf_dir)
-    both = wanted_table(spark).join(t, F.col("layout_table") == F.col("main_table"), "left")
-    share = F.size(F.filter("cols", lambda c: serves(F.col("layout"), c))) / F.nullif(F.size("cols"), F.lit(0))
-    better = F.coalesce(share > F.col("coverage"), F.lit(False))
-    return both.groupBy("layout_table", "layout_columns").agg(
-        F.max(F.coalesce(F.array_contains("layouts", F.col("layout")), F.lit(False))).alias("duplicate"),
+    t, sets = analysed(spark, sf_dir)
+    wanted = wanted_table(spark).withColumnRenamed("cols", "wanted_cols")
+    both = wanted.join(sets, F.col("layout_table") == F.col("table_name"), "left").join(t.select("template", "n", "ms"), "template", "left")
+    better = F.coalesce(looked_up(F.col("wanted_cols"), F.col("point"), F.col("span")) > F.col("best"), F.lit(False))
+    return both.groupBy("layout_table", "layout_columns", "duplicate").agg(
         F.sum(better.cast("bigint")).alias("affected_templates"),
         F.sum(F.when(better, F.col("n")).otherwise(0)).alias("executions"),
         F.coalesce(F.sum(F.when(better, F.col("ms"))), F.lit(0)).cast("double").alias("total_ms"))
 
 
 def scan_report(spark, sf_dir):
-    """Templates with or without a layout behind their predicates, and what they cost in the log."""
-    t = covered_templates(spark, sf_dir)
-    return t.select("template", "main_table", "n", dbl(F.col("ms"), "total_ms"), (F.col("coverage") > 0).alias("served"),
-                    F.array_join(F.filter("cols", lambda c: ~F.exists(F.coalesce("layouts", F.array().cast("array<string>")), lambda x: serves(x, c))), ",").alias("unserved_columns"),
-                    F.col("main_table").isin(*PARTITIONED).alias("partitioned"))
+    """Templates with or without a layout behind their predicates, what they cost in the log, and the columns no layout narrows by."""
+    t, sets = analysed(spark, sf_dir)
+    used = F.flatten(F.transform("layouts", lambda x: F.slice(x["cols"], 1, looked_up(x["cols"], F.col("point"), F.col("span")))))
+    bare = F.transform(F.array_except("cols", used), lambda c: F.concat(F.col("table_name"), F.lit("."), c))
+    per = sets.groupBy("template").agg(F.max("best").alias("best"), F.array_join(F.array_sort(F.flatten(F.collect_list(bare))), ",").alias("bare"))
+    return t.join(per, "template", "left").select(
+        "template", "main_table", "n", dbl(F.col("ms"), "total_ms"), (F.coalesce("best", F.lit(0)) > 0).alias("served"), F.coalesce("bare", F.lit("")).alias("unserved_columns"))
 
 
 def layout_report(spark, sf_dir):
-    """Per table: layouts, use by templates, missing layouts, freshness, size."""
-    used = (covered_templates(spark, sf_dir).where("coverage > 0").groupBy(F.col("main_table").alias("used"))
-            .agg(F.count(F.lit(1)).alias("used_by"), F.sum("n").alias("executions")))
-    wanted = wanted_table(spark).groupBy(F.col("layout_table").alias("hinted")).agg(
+    """Per table: its rows, layouts, use by templates, and wanted layouts that are missing."""
+    t, sets = analysed(spark, sf_dir)
+    used = (sets.where("best > 0").join(t.select("template", "n"), "template").groupBy(F.col("table_name").alias("used"))
+            .agg(F.countDistinct("template").alias("used_by"), F.sum("n").alias("executions")))
+    wanted = wanted_table(spark).where("NOT duplicate").groupBy(F.col("layout_table").alias("hinted")).agg(
         F.array_join(F.array_sort(F.collect_list(F.replace("layout_columns", F.lit(","), F.lit("+")))), ",").alias("missing"))
-    base = catalog_table(spark).join(wanted, F.col("name") == F.col("hinted"), "left").join(used, F.col("name") == F.col("used"), "left")
+    base = catalog_table(spark, sf_dir).join(wanted, F.col("name") == F.col("hinted"), "left").join(used, F.col("name") == F.col("used"), "left")
     return base.select(
-        "name", F.col("row_count").cast("bigint").alias("row_count"), F.col("size_mb").cast("bigint").alias("size_mb"),
-        F.array_join("layouts", ",").alias("layouts"), F.coalesce("missing", F.lit("")).alias("missing"),
-        F.coalesce("used_by", F.lit(0)).alias("used_by"), F.coalesce("executions", F.lit(0)).alias("executions"),
-        F.col("name").isin(*FRESH).alias("stats_fresh"), F.col("name").isin(*PARTITIONED).alias("partitioned"))
+        "name", "row_count", F.array_join("layouts.layout", ",").alias("layouts"), F.coalesce("missing", F.lit("")).alias("missing"),
+        F.coalesce("used_by", F.lit(0)).alias("used_by"), F.coalesce("executions", F.lit(0)).alias("executions"))
 
 
 def unused_layouts(spark, sf_dir):
-    """Layouts that serve no predicate column of any template of their table (PRIMARY is never offered for removal)."""
-    wanted = (templates(query_log(spark, sf_dir)).select(F.col("main_table").alias("name"), F.explode(predicate_columns(F.col("template"))).alias("col")).distinct())
-    every = catalog_table(spark).select("name", F.explode("layouts").alias("layout")).where("layout <> 'PRIMARY'")
-    return every.join(wanted, (every["name"] == wanted["name"]) & serves(F.col("layout"), F.col("col")), "left_anti")
+    """Layouts that narrow no template's search (the table's own order is never offered for removal)."""
+    _, sets = analysed(spark, sf_dir)
+    used = (sets.select("table_name", "point", "span", F.explode("layouts").alias("l"))
+            .where(looked_up(F.col("l.cols"), F.col("point"), F.col("span")) > 0).select(F.col("table_name").alias("name"), "l.layout"))
+    every = dims.inline(spark, ("name", "layout"), [(name, layout_name(c)) for name, layouts in dims.CATALOG for c in layouts[1:]])
+    return every.join(used, ["name", "layout"], "left_anti")
 
 
 def partition_candidates(spark, sf_dir, large=100_000):
@@ -240,36 +294,20 @@ def lint_log(spark, sf_dir):
 
 
 def denormalisation(spark, sf_dir):
-    """Join statements per table that a copied column could save."""
-    names = ("members", "bookings", "articles", "parcels")
-    t = (lint_log(spark, sf_dir).groupBy(fingerprint(F.col("sql_text")).alias("template"))
-         .agg(F.count(F.lit(1)).alias("n")))
-    t = t.where(F.contains(F.lower("template"), F.lit("join")))
-    hit = F.filter(F.array(*[F.lit(n) for n in names]), lambda x: F.contains(F.col("template"), x))
-    return t.select(F.explode(hit).alias("name"), "template", "n")
-
-
-# flag -> pattern (accepted by Java and RE2)
-LINT_RULES = (
-    ("select_star", r"(?i)select\s+([a-z]+\.)?\*"),
-    ("function_on_column", r"(?i)where.*\b(year|month|date|upper|lower|substr)\s*\("),
-    ("comma_join", r"(?i)from\s+\w+\s+\w+\s*,\s*\w+"),
-    ("scalar_subquery", r"(?i)select[^()]*\(\s*select"),
-    ("aggregate_in_where", r"(?i)where\s+(avg|sum|count|max|min)\s*\("),
-    ("window_without_order", r"(?i)over\s*\(\s*\)"),
-)
+    """Statements that read a table together with others: what a copied column could save."""
+    log = lint_log(spark, sf_dir).select("sql_text").unionByName(query_log(spark, sf_dir).select("sql_text"))
+    t = materialised(spark, lint_templates(log.withColumn("exec_ms", F.lit(0))), "lint")
+    read = statements.tables_of(t)
+    joined = read.groupBy("template", "query").agg(F.count(F.lit(1)).alias("k"), F.collect_set("table_name").alias("names")).where("k > 1")
+    return joined.select("template", F.explode("names").alias("name")).distinct().join(t, "template").select("name", "template", "n")
 
 
 def lint_report(spark, sf_dir):
     """How many templates and executions show each mistake."""
     log = (lint_log(spark, sf_dir).select("sql_text")
            .unionByName(query_log(spark, sf_dir).select("sql_text")))
-    t = log.groupBy(fingerprint(F.col("sql_text")).alias("template")).agg(F.count(F.lit(1)).alias("n"))
-    flags = F.filter(F.array(*[
-        F.when(F.regexp_like("template", F.lit(rule)), F.lit(name)) for name, rule in LINT_RULES]),
-        lambda f: f.isNotNull())
-    return (t.select("template", "n", F.explode(flags).alias("flag")).groupBy("flag")
-            .agg(F.count(F.lit(1)).alias("templates"), F.sum("n").alias("executions")))
+    t = materialised(spark, lint_templates(log.withColumn("exec_ms", F.lit(0))), "lint")
+    return flagged(spark, t).join(t, "template").groupBy("flag").agg(F.count(F.lit(1)).alias("templates"), F.sum("n").alias("executions"))
 
 
 QUERIES = {

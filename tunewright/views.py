@@ -32,18 +32,18 @@ EPISODE_STEP = [
     f"{PERF_OF_EVENT} AS perf_score",
 ]
 
-# Executed SQL text with latency.
+# Executed SQL text with latency; statements over the tables of this data.
 QUERY_LOG = [
     "event_id AS query_id", "user_id", "ts",
     """CASE event_type
-  WHEN 'view' THEN concat('SELECT * FROM bookings WHERE member_id=', user_id, ' AND state=''held''')
-  WHEN 'click' THEN concat('SELECT * FROM readings  WHERE grade=', user_id % 5, ' AND taken_at > 7')
-  WHEN 'signup' THEN concat('SELECT * FROM members WHERE mail=', user_id)
-  WHEN 'purchase' THEN 'SELECT a.id, COUNT(d.id) FROM articles a, deliveries d WHERE a.id = d.article_id GROUP BY a.id'
-  ELSE concat('SELECT depot FROM parcels WHERE parcel_id=', user_id, ' ORDER BY seen_at DESC LIMIT 20')
+  WHEN 'view' THEN concat('SELECT o_orderkey, o_totalprice FROM orders WHERE o_custkey = ', user_id, ' AND o_orderstatus IN (''O'', ''P'') ORDER BY o_orderdate DESC')
+  WHEN 'click' THEN concat('SELECT l_orderkey, sum(l_quantity) AS q FROM lineitem l  WHERE l.l_shipdate BETWEEN DATE ''1995-01-01'' AND DATE ''1995-12-31'' AND l.l_returnflag = ''R'' AND l_discount < 0.0', user_id % 9, ' GROUP BY l_orderkey')
+  WHEN 'signup' THEN concat('SELECT c.c_name, n.n_name FROM customer AS c JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE c.c_custkey = ', user_id)
+  WHEN 'purchase' THEN 'SELECT p_brand, count(*) AS n FROM part WHERE p_type LIKE ''%BRASS'' /* only AND p_name = small */ AND 15 > p_size GROUP BY p_brand'
+  ELSE concat('SELECT e.value FROM events e WHERE (e.user_id = ', user_id, ' OR e.event_type <> ''it''''s AND ts'') AND e.ts >= TIMESTAMP ''2024-01-15 00:00:00'' -- WHERE event_id = 1')
 END AS sql_text""",
-    """CASE event_type WHEN 'view' THEN 'bookings' WHEN 'click' THEN 'readings' WHEN 'signup' THEN 'members'
-  WHEN 'purchase' THEN 'articles' ELSE 'parcels' END AS main_table""",
+    """CASE event_type WHEN 'view' THEN 'orders' WHEN 'click' THEN 'lineitem' WHEN 'signup' THEN 'customer'
+  WHEN 'purchase' THEN 'part' ELSE 'events' END AS main_table""",
     "CAST(CAST(value AS DECIMAL(12,2)) * 100 AS DECIMAL(14,2)) AS exec_ms",
 ]
 
@@ -127,20 +127,20 @@ COMPLETION = [
 REPAIR = [
     "event_id", "user_id",
     "CASE event_id % 9 "
-    "WHEN 0 THEN concat('SELECT code name price FROM articles WHERE stock = ', user_id) "
-    "WHEN 1 THEN concat('SELECT * FROM bookings id = ', user_id) "
-    "WHEN 2 THEN 'SELECT * FROM members WHERE town = ''Ulm' "
-    "WHEN 3 THEN 'SELECT id, price FROM articles ORDER price DESC' "
-    "WHEN 4 THEN 'SELECT depot, COUNT(*) FROM parcels GROUP depot' "
+    "WHEN 0 THEN concat('SELECT p_name p_brand p_size FROM part WHERE p_partkey = ', user_id) "
+    "WHEN 1 THEN concat('SELECT s_acctbal FROM supplier name = ''Supplier#', user_id, '''') "
+    "WHEN 2 THEN 'SELECT n_nationkey FROM nation WHERE n_name = ''PERU' "
+    "WHEN 3 THEN 'SELECT r_name FROM region ORDER r_regionkey' "
+    "WHEN 4 THEN 'SELECT c_nationkey, max(c_acctbal) FROM customer GROUP c_nationkey' "
     f"WHEN 5 THEN {quote(CASES[2]['buggy_query'])} "
     f"WHEN 6 THEN {quote(CASES[3]['buggy_query'])} "
-    "WHEN 7 THEN concat('SELECT * FROM bookings b JOIN members m ON b.member_id = m.id WHERE b.state = ', user_id) "
-    "ELSE 'SELECT id FROM members' END AS buggy_query",
-    "CASE event_id % 9 WHEN 0 THEN 'ERROR: syntax error at or near ''name''' "
-    "WHEN 1 THEN 'ERROR: syntax error at or near ''id''' WHEN 2 THEN 'ERROR: unterminated quoted string' "
-    "WHEN 3 THEN 'ERROR: syntax error at or near ''price''' WHEN 4 THEN 'ERROR: syntax error at or near GROUP' "
+    "WHEN 7 THEN concat('SELECT * FROM lineitem WHERE l_tax > 0.01 AND l_orderkey = ', user_id) "
+    "ELSE 'SELECT count(*) FROM region' END AS buggy_query",
+    "CASE event_id % 9 WHEN 0 THEN 'syntax error: two column names in a row' "
+    "WHEN 1 THEN 'syntax error: = where the statement should end' WHEN 2 THEN 'a string has no end' "
+    "WHEN 3 THEN 'BY expected after ORDER' WHEN 4 THEN 'BY expected after GROUP' "
     f"WHEN 5 THEN {quote(CASES[2]['error_message'])} WHEN 6 THEN {quote(CASES[3]['error_message'])} "
-    "WHEN 7 THEN 'slow' ELSE 'rows out of ORDER' END AS error_message",
+    "WHEN 7 THEN 'reads more than it returns' ELSE 'rows out of ORDER' END AS error_message",
     "CASE WHEN event_id % 9 < 5 THEN 'syntax' WHEN event_id % 9 < 7 THEN 'logic' ELSE 'performance' END AS category",
 ]
 
@@ -158,17 +158,18 @@ def select(columns, source):
     return f"SELECT {', '.join(columns)} FROM {source}"
 
 
-# Statements with typical mistakes, for the lint report.
+# Statements with typical mistakes, and such as only look like them, for the lint report.
 LINT = [
     "event_id",
-    "CASE event_id % 7 "
-    "WHEN 0 THEN 'SELECT * FROM readings WHERE YEAR(taken_at) = 2024 AND MONTH(taken_at) = 3' "
-    "WHEN 1 THEN 'SELECT mail, (SELECT MAX(price) FROM bookings b WHERE b.member_id = m.id) AS top FROM members m' "
-    "WHEN 2 THEN 'SELECT m.mail, b.price FROM members m, bookings b WHERE b.price > 50' "
-    "WHEN 3 THEN 'SELECT depot, SUM(weight) AS w FROM parcels WHERE SUM(weight) > 900 GROUP BY depot' "
-    "WHEN 4 THEN 'SELECT id, RANK() OVER () AS place FROM articles' "
-    "WHEN 5 THEN concat('SELECT * FROM bookings b JOIN members m ON b.member_id = m.id WHERE b.price > ', user_id) "
-    "ELSE concat('SELECT mail FROM members WHERE id = ', user_id) END AS sql_text",
+    "CASE event_id % 8 "
+    "WHEN 0 THEN 'SELECT * FROM events WHERE hour(ts) = 7 AND event_type = ''click''' "
+    "WHEN 1 THEN 'SELECT s_name, (SELECT max(l_tax) FROM lineitem l WHERE l.l_suppkey = s.s_suppkey) AS top_tax FROM supplier s' "
+    "WHEN 2 THEN 'SELECT p.p_name, r.r_name FROM part p, region r WHERE p.p_size > 40' "
+    "WHEN 3 THEN 'SELECT l_shipdate, sum(l_tax) AS t FROM lineitem WHERE sum(l_tax) > 1 GROUP BY l_shipdate' "
+    "WHEN 4 THEN 'SELECT n_name, row_number() OVER () AS k FROM nation' "
+    "WHEN 5 THEN concat('SELECT o.* FROM orders o, customer c WHERE o.o_custkey = c.c_custkey AND c.c_custkey = ', user_id) "
+    "WHEN 6 THEN concat('SELECT c_name FROM customer WHERE c_name <> ''SELECT * FROM x, y'' /* upper(c_name) */ AND c_custkey = ', user_id) "
+    "ELSE 'SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders)' END AS sql_text",
 ]
 
 # Case that a REPAIR row belongs to (NULL: none).
