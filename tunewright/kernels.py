@@ -13,6 +13,37 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SCALE = 10_000
 
 
+TOP_TIER = 3
+
+
+def clamp_scan(add, low, high):
+    """Inclusive scan of maps x -> min(high, max(low, x + add)), first one applied first.
+
+    Two such maps compose to a third one, so doubling the reach of every row's map
+    takes log2(n) vector steps.  A row whose low equals its high is a constant: what
+    came before it has no effect, which is how a new key begins.
+    """
+    import numpy as np
+
+    add, low, high = (np.array(v, np.int64) for v in (add, low, high))
+    reach = 1
+    while reach < len(add):
+        a, lo, hi = add[reach:], low[reach:], high[reach:]
+        new = (add[:-reach] + a, np.clip(low[:-reach] + a, lo, hi), np.clip(high[:-reach] + a, lo, hi))
+        add, low, high = (np.concatenate([v[:reach], n]) for v, n in zip((add, low, high), new))
+        reach *= 2
+    return add, low, high
+
+
+def _key_starts(*columns):
+    import numpy as np
+
+    first = np.ones(len(columns[0]), bool)
+    if len(first) > 1:
+        first[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return first
+
+
 def tier_walk(batches):
     """Saturating walk over tiers 0..3 along rows sorted by (learner_id, seg, ts, event_id).
 
@@ -22,55 +53,230 @@ def tier_walk(batches):
 
     key, tier = None, 0
     for pdf in batches:
-        learner, seg = pdf["learner_id"].to_numpy(), pdf["seg"].to_numpy()
-        step, start = pdf["shift"].to_numpy(), pdf["start_tier"].to_numpy()
-        before, after = np.empty(len(pdf), np.int32), np.empty(len(pdf), np.int32)
-        for i in range(len(pdf)):
-            if key != (learner[i], seg[i]):
-                key, tier = (learner[i], seg[i]), int(start[i])
-            before[i] = tier
-            if step[i]:
-                tier = min(3, max(0, tier + int(step[i])))
-            after[i] = tier
-        yield pdf.assign(tier_before=before, tier=after)
+        if not len(pdf):
+            continue
+        learner, seg, step = (pdf[c].to_numpy() for c in ("learner_id", "seg", "shift"))
+        start = pdf["start_tier"].to_numpy().astype(np.int64)
+        first = _key_starts(learner, seg)
+        if key == (learner[0], seg[0]):
+            start[0] = tier
+        begun = np.clip(start + step, 0, TOP_TIER)
+        _, after, _ = clamp_scan(np.where(first, 0, step), np.where(first, begun, 0), np.where(first, begun, TOP_TIER))
+        before = np.where(first, start, np.concatenate([[0], after[:-1]]))
+        key, tier = (learner[-1], seg[-1]), int(after[-1])
+        yield pdf.assign(tier_before=before.astype(np.int32), tier=after.astype(np.int32))
 
 
 def segment_effect(batches):
-    """Per (learner_id, seg): rows and the final tier for each of the four starts."""
+    """Per (learner_id, seg): rows, and the map x -> min(high, max(low, x + add)) that the segment is."""
+    import numpy as np
     import pandas as pd
 
-    key, ends, n = None, [0, 1, 2, 3], 0
-
-    def row():
-        return (*key, n, *ends)
-
+    columns = ["learner_id", "seg", "n", "add", "low", "high"]
+    held = None
     for pdf in batches:
-        out = []
-        for learner, seg, step in zip(pdf["learner_id"], pdf["seg"], pdf["shift"]):
-            if key != (learner, seg):
-                if key is not None:
-                    out.append(row())
-                key, ends, n = (learner, seg), [0, 1, 2, 3], 0
-            n += 1
-            if step:
-                ends = [min(3, max(0, e + step)) for e in ends]
-        yield pd.DataFrame(out, columns=["learner_id", "seg", "n", "e0", "e1", "e2", "e3"])
-    if key is not None:
-        yield pd.DataFrame([row()], columns=["learner_id", "seg", "n", "e0", "e1", "e2", "e3"])
+        if not len(pdf):
+            continue
+        learner, seg, step = (pdf[c].to_numpy() for c in columns[:2] + ["shift"])
+        at = np.flatnonzero(_key_starts(learner, seg))
+        n = np.diff(np.append(at, len(pdf)))
+        # the maps of each run, composed by a scan that starts anew at the run's first row
+        place = np.arange(len(pdf)) - np.repeat(at, n)
+        a, lo, hi = step.astype(np.int64), np.zeros(len(pdf), np.int64), np.full(len(pdf), TOP_TIER)
+        reach = 1
+        while reach < n.max():
+            own = np.flatnonzero(place >= reach)
+            prev = own - reach
+            new = a[prev] + a[own], np.clip(lo[prev] + a[own], lo[own], hi[own]), np.clip(hi[prev] + a[own], lo[own], hi[own])
+            a[own], lo[own], hi[own] = new
+            reach *= 2
+        last = at + n - 1
+        add, low, high = a[last], lo[last], hi[last]
+        out = pd.DataFrame(dict(zip(columns, (learner[at], seg[at], n, add, low, high))))
+        if held is not None:
+            if held[:2] == (learner[0], seg[0]):
+                _, _, m, a0, l0, h0 = held
+                out.loc[0, columns[2:]] = (m + n[0], a0 + add[0], min(max(l0 + add[0], low[0]), high[0]), min(max(h0 + add[0], low[0]), high[0]))
+            else:
+                yield pd.DataFrame([held], columns=columns)
+        held = tuple(out.iloc[-1])
+        yield out.iloc[:-1]
+    if held is not None:
+        yield pd.DataFrame([held], columns=columns)
 
 
 def segment_starts(batches):
-    """Start tier and rows before each segment, over segments sorted per learner."""
-    learner_now, tier, before = None, 0, 0
+    """Start tier and rows before each segment, over the maps of segments sorted per learner."""
+    import numpy as np
+
+    key, tier, rows = None, 0, 0
     for pdf in batches:
-        tiers, counts = [], []
-        for learner, n, *ends in zip(pdf["learner_id"], pdf["n"], pdf["e0"], pdf["e1"], pdf["e2"], pdf["e3"]):
-            if learner != learner_now:
-                learner_now, tier, before = learner, 0, 0
-            tiers.append(tier)
-            counts.append(before)
-            tier, before = int(ends[tier]), before + int(n)
-        yield pdf[["learner_id", "seg"]].assign(start_tier=tiers, rows_before=counts)
+        if not len(pdf):
+            continue
+        learner, n = pdf["learner_id"].to_numpy(), pdf["n"].to_numpy().astype(np.int64)
+        add, low, high = (pdf[c].to_numpy().astype(np.int64) for c in ("add", "low", "high"))
+        first = _key_starts(learner)
+        begin, before = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
+        if key == learner[0]:
+            begin[0], before[0] = tier, rows
+        begun = np.clip(begin + add, low, high)
+        _, after, _ = clamp_scan(np.where(first, 0, add), np.where(first, begun, low), np.where(first, begun, high))
+        group = np.cumsum(first) - 1
+        total = np.cumsum(n)
+        at = np.flatnonzero(first)
+        upto = total - (total[at] - n[at])[group] + before[at][group]
+        starts = np.where(first, begin, np.concatenate([[0], after[:-1]]))
+        key, tier, rows = learner[-1], int(after[-1]), int(upto[-1])
+        yield pdf[["learner_id", "seg"]].assign(start_tier=starts.astype(np.int32), rows_before=upto - n)
+
+
+def walk_on(scores, tier, tail, rules):
+    """Tier after each of an array of scores (whole units), from a tier and the scores before them; (tiers, the last scores)."""
+    import numpy as np
+
+    window, advance, regress = rules
+    both = np.concatenate([np.array(tail, np.int64), scores])
+    total = np.concatenate([[0], np.cumsum(both)])
+    step = np.zeros(len(scores), np.int64)
+    full = np.arange(len(both))[len(tail):] >= window - 1
+    at = np.flatnonzero(full) + len(tail) + 1
+    sums = total[at] - total[at - window]
+    step[full] = np.where(sums >= advance, 1, np.where(sums < regress, -1, 0))
+    low, high = np.zeros(len(scores), np.int64), np.full(len(scores), TOP_TIER)
+    if len(scores):
+        low[0] = high[0] = min(TOP_TIER, max(0, tier + int(step[0])))
+    _, after, _ = clamp_scan(step, low, high)
+    return after, both[max(0, len(both) - window + 1):].tolist()
+
+
+def tier_processor(rules, chunk=512):
+    """Stateful processor: the tier walk of one learner, kept up for scores that come in any order.
+
+    State: pages of at most `chunk` scores in event order, each with the walk's state
+    at its start; and the first instant of every page.  New scores after all known ones
+    only touch the last page.  A late one rewrites the walk from its page on, and the
+    rows from its place on are emitted again under a new version (their number in the
+    history has changed).
+    """
+    from pyspark.sql.streaming import StatefulProcessor
+
+    class TierProcessor(StatefulProcessor):
+        def init(self, handle):
+            self.pages = handle.getMapState("pages", "page bigint", "us array<bigint>, event_id array<bigint>, score array<bigint>, tier bigint, n bigint, tail array<bigint>")
+            self.index = handle.getValueState("index", "us array<bigint>, event_id array<bigint>, version bigint")
+
+        def handleInputRows(self, key, rows, timer_values):
+            import bisect
+
+            import numpy as np
+            import pandas as pd
+
+            fresh = pd.concat(list(rows), ignore_index=True).sort_values(["us", "event_id"], kind="stable")
+            us, event, score = (fresh[c].to_numpy(np.int64) for c in ("us", "event_id", "score"))
+            first_us, first_event, version = ([], [], -1) if not self.index.exists() else (list(v) if k < 2 else v for k, v in enumerate(self.index.get()))
+            # the page that the first new score falls into, and all after it
+            page = max(0, bisect.bisect_right(list(zip(first_us, first_event)), (int(us[0]), int(event[0]))) - 1)
+            tier, n, tail, emit_from = 0, 0, [], None
+            old = [self.pages.getValue((k,)) for k in range(page, len(first_us))]
+            if old:
+                tier, n, tail = int(old[0][3]), int(old[0][4]), list(old[0][5])
+                place = np.lexsort((event, us))
+                known = [np.concatenate([np.array(p[c], np.int64) for p in old]) for c in range(3)]
+                is_new = np.concatenate([np.zeros(len(known[0]), bool), np.ones(len(place), bool)])
+                us, event, score = (np.concatenate([k, f]) for k, f in zip(known, (us, event, score)))
+                order = np.lexsort((is_new, event, us))
+                us, event, score, is_new = us[order], event[order], score[order], is_new[order]
+                emit_from = int(is_new.argmax())
+            after, _ = walk_on(score, tier, tail, rules)
+            out = pd.DataFrame({"learner_id": key[0], "event_id": event, "episode_no": n + 1 + np.arange(len(event)), "tier": after.astype(np.int32),
+                                "version": version + 1})
+            first_us, first_event = first_us[:page], first_event[:page]
+            joined = tail + score.tolist()
+            for k, at in enumerate(range(0, len(us), chunk)):
+                begin = len(tail) + at
+                self.pages.updateValue((page + k,), (
+                    us[at:at + chunk].tolist(), event[at:at + chunk].tolist(), score[at:at + chunk].tolist(),
+                    int(after[at - 1]) if at else tier, n + at, joined[max(0, begin - rules[0] + 1):begin]))
+                first_us.append(int(us[at]))
+                first_event.append(int(event[at]))
+            self.index.update((first_us, first_event, version + 1))
+            yield out.iloc[emit_from or 0:]
+
+        def close(self):
+            pass
+
+    return TierProcessor()
+
+
+def session_processor(gap_ms):
+    """Stateful processor: runs of activity of one user that end after an idle gap, closed by event-time timers.
+
+    A row before the watermark is late, for the run it belongs to may be closed: it goes
+    out as such and changes nothing.  The runs still open go out again under a new version whenever
+    they change; a run that its timer closes goes out for good.
+    """
+    from pyspark.sql.streaming import StatefulProcessor
+
+    names = ["user_id", "kind", "lo", "hi", "n", "event_id", "version"]
+
+    class SessionProcessor(StatefulProcessor):
+        def init(self, handle):
+            self.handle = handle
+            self.open = handle.getValueState("open", "lo array<bigint>, hi array<bigint>, n array<bigint>, version bigint")
+
+        def _state(self):
+            return ([], [], [], 0) if not self.open.exists() else tuple(list(v) if k < 3 else int(v) for k, v in enumerate(self.open.get()))
+
+        def _frame(self, rows):
+            import pandas as pd
+
+            return pd.DataFrame(rows, columns=names).astype({"event_id": "Int64"})
+
+        def _keep(self, key, runs, version, out):
+            self.open.update(([r[0] for r in runs], [r[1] for r in runs], [r[2] for r in runs], version))
+            # one row of nothing tells that the newest version has no open run
+            return self._frame(out + ([(key[0], "open", lo, hi, n, None, version) for lo, hi, n in runs] or [(key[0], "open", 0, 0, 0, None, version)]))
+
+        def handleInputRows(self, key, rows, timer_values):
+            import numpy as np
+            import pandas as pd
+
+            fresh = pd.concat(list(rows), ignore_index=True)
+            gap, mark = gap_ms * 1000, timer_values.getCurrentWatermarkInMs()
+            us = fresh["us"].to_numpy(np.int64)
+            late = us // 1000 < mark
+            out = [(key[0], "late", int(u), int(u), 1, int(e), 0) for u, e in zip(us[late], fresh["event_id"].to_numpy()[late])]
+            lo, hi, n, version = self._state()
+            us = np.sort(us[~late])
+            if not len(us):
+                if out:
+                    yield self._frame(out)
+                return
+            # runs of the new rows, then those of both, by the same rule
+            lo, hi, n = np.concatenate([lo, us]), np.concatenate([hi, us]), np.concatenate([n, np.ones(len(us))])
+            order = np.argsort(lo, kind="stable")
+            lo, hi, n = (v[order].astype(np.int64) for v in (lo, hi, n))
+            top = np.maximum.accumulate(hi)
+            first = np.concatenate([[True], lo[1:] - top[:-1] >= gap])
+            at = np.flatnonzero(first)
+            runs = list(zip(lo[at].tolist(), np.maximum.reduceat(hi, at).tolist(), np.add.reduceat(n, at).tolist()))
+            for _, end, _ in runs:
+                self.handle.registerTimer(end // 1000 + gap_ms)
+            yield self._keep(key, runs, version + 1, out)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            mark = timerValues.getCurrentWatermarkInMs()
+            lo, hi, n, version = self._state()
+            runs = list(zip(lo, hi, n))
+            done = [r for r in runs if r[1] // 1000 + gap_ms <= mark]
+            if done:  # a timer of a run that has grown since finds nothing
+                left = [r for r in runs if r not in done]
+                yield self._keep(key, left, version + 1, [(key[0], "closed", *r, None, 0) for r in done])
+
+        def close(self):
+            pass
+
+    return SessionProcessor()
 
 
 def action_json(texts):

@@ -41,12 +41,12 @@ def rolling(scores, hot=None):
 def segment_starts(rows):
     """Start tier and rows before each segment of the huge learners.
 
-    A segment acts on the four tiers as a map; composing the maps of the earlier
-    segments gives its start.
+    A segment acts on the tiers as one map x -> min(high, max(low, x + add));
+    composing the maps of the earlier segments gives its start.
     """
     effects = (rows.where("is_hot").select(KEY, "seg", *ORDER, "shift").sortWithinPartitions(KEY, "seg", *ORDER)
                .mapInPandas(kernels.segment_effect,
-                            "learner_id bigint, seg bigint, n bigint, e0 int, e1 int, e2 int, e3 int"))
+                            "learner_id bigint, seg bigint, n bigint, add bigint, low bigint, high bigint"))
     return (effects.repartition(KEY).sortWithinPartitions(KEY, "seg")
             .mapInPandas(kernels.segment_starts,
                          "learner_id bigint, seg bigint, start_tier int, rows_before bigint"))

@@ -9,6 +9,7 @@ the newest version stands.  Results don't depend on where batches end.
 
 from decimal import Decimal
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tunewright import dims, kernels, views
@@ -37,9 +38,9 @@ def rules():
 
 
 def read_stream(spark, path, schema, **options):
-    """File stream over a table folder or a single file (a glob accepts both)."""
+    """File stream over a table folder or a single file: a glob accepts both, and this one matches no other name."""
     limits = options or {"maxBytesPerTrigger": BYTES_PER_BATCH}
-    return spark.readStream.schema(schema).options(**limits).parquet(f"{path}*")
+    return spark.readStream.schema(schema).options(**limits).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def drain(frame, target, checkpoint, mode="append"):
@@ -98,27 +99,85 @@ def scored_steps(spark, sf_dir, **options):
     return newest(spark.read.schema(STEP_OUT).parquet(out), "episode_id", "version")
 
 
+TIER_OUT = "learner_id bigint, event_id bigint, episode_no bigint, tier int, version bigint"
+# A trigger's scores of one learner are held in one task: 24 bytes each.
+SCORE_BYTES_PER_BATCH = 1024 ** 3
+
+
+def tier_rules():
+    """Window, and the sums of a full window from which a tier is gained and below which one is lost, in whole units."""
+    return (dims.TIER_WINDOW, *(_units(mean) * dims.TIER_WINDOW for mean in (dims.ADVANCE_MEAN, dims.REGRESS_MEAN)))
+
+
+def tier_stream(events):
+    """Tier after each score, again for every score after a late one, whose episode number grows."""
+    scores = events.selectExpr(*views.LEARNER_SCORE).select(
+        curriculum.KEY, F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "event_id", (F.col("score") * kernels.SCALE).cast("bigint").alias("score"))
+    return scores.groupBy(curriculum.KEY).transformWithStateInPandas(
+        statefulProcessor=kernels.tier_processor(tier_rules()), outputStructType=TIER_OUT, outputMode="Append", timeMode="None")
+
+
 def tiers(spark, sf_dir, **options):
-    """Tier of every learner after each episode.
+    """Tier of every learner after each episode; of each place in a history the newest version stands."""
+    stateful(spark)
+    out, path = shared_dir(spark, "tiers"), f"{sf_dir}/events.parquet"
+    events = read_stream(spark, path, table(spark, sf_dir, "events").schema, **(options or {"maxBytesPerTrigger": SCORE_BYTES_PER_BATCH}))
+    drain(tier_stream(events), out, shared_dir(spark, "tiers-state"))
+    last = F.max_by(F.struct("event_id", "tier"), "version").alias("last")
+    return spark.read.schema(TIER_OUT).parquet(out).groupBy(curriculum.KEY, "episode_no").agg(last).select(
+        curriculum.KEY, "last.event_id", "episode_no", "last.tier")
+
+
+SESSION_OUT = "user_id bigint, kind string, lo bigint, hi bigint, n bigint, event_id bigint, version bigint"
+GAP_MINUTES = 360
+
 
-    A batch adds to the stored scores and walks the learners it touches again,
-    with the walk of the batch job: segments bound what a task holds of a huge
-    learner, and nothing is kept in Python.
+def session_stream(events, late, gap_minutes=GAP_MINUTES):
+    """Runs of activity per user, closed when the watermark (`late` behind the newest event) has passed their gap, and late rows.
+
+    The processor gets the time as a number: the engine follows the watermark and
+    its timers, but drops no late row before the processor has seen it.
     """
-    scores, walked = shared_dir(spark, "tier-scores"), shared_dir(spark, "tiers")
-    schema = table(spark, sf_dir, "events").schema
-    events = read_stream(spark, f"{sf_dir}/events.parquet", schema, **options)
+    timed = events.withWatermark("at", late).select("user_id", "event_id", F.unix_micros("at").alias("us"))
+    return timed.groupBy("user_id").transformWithStateInPandas(
+        statefulProcessor=kernels.session_processor(gap_minutes * 60_000), outputStructType=SESSION_OUT, outputMode="Append", timeMode="EventTime")
+
+
+def arrivals(spark, sf_dir, parts=4):
+    """(events with the number of the delivery that brings them, their span in seconds): by time, but every tenth event one delivery late."""
+    e = table(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp"))
+    lo, hi = e.agg(F.min(F.unix_micros("at")), F.max(F.unix_micros("at"))).first()
+    if lo is None:
+        return e.withColumn("part", F.lit(0)), 0
+    own = F.floor((F.unix_micros("at") - lo) * parts / (hi - lo + 1))
+    return e.withColumn("part", (own + (F.col("event_id") % 10 == 0).cast("int")).cast("int")), (hi - lo) // 1_000_000
+
+
+def delivered(spark, sf_dir, late_share, parts=4):
+    """Output of the session job, run once after each delivery with what it has kept; `late_share` of the events' span is the watermark's delay."""
+    stateful(spark)
+    events, span = arrivals(spark, sf_dir, parts)
+    inbox, out, state = (shared_dir(spark, f"sessions-{name}") for name in ("in", "out", "state"))
+    events = events.select("user_id", "event_id", "at", "part")
+    schema = events.drop("part").schema
+    for part in range(parts + 1):
+        events.where(F.col("part") == part).drop("part").write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(schema).option("maxBytesPerTrigger", BYTES_PER_BATCH).parquet(inbox)
+        drain(session_stream(stream, f"{int(span * late_share)} seconds"), out, state)
+    return spark.read.schema(SESSION_OUT).parquet(out)
+
+
+def sessions(spark, sf_dir):
+    """The runs of activity after the last delivery: closed ones, and those that are still open."""
+    rows = delivered(spark, sf_dir, 0.5)
+    runs = rows.where("kind = 'closed'").drop("version").unionByName(newest(rows.where("kind = 'open'"), "user_id", "version").where("n > 0"))
+    number = F.row_number().over(Window.partitionBy("user_id").orderBy("lo")).cast("bigint")
+    return runs.select("user_id", number.alias("session"), F.col("n").alias("n_events"), (F.col("hi") - F.col("lo")).alias("length_us"))
 
-    def keep(batch, number):
-        session = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{scores}/batch={number}")
-        known = session.read.option("basePath", scores).parquet(f"{scores}/batch=*").where(F.col("batch") <= number).drop("batch")
-        touched = session.read.parquet(f"{scores}/batch={number}").select(curriculum.KEY).distinct()
-        rows = curriculum.walk(known.join(touched, curriculum.KEY, "left_semi"))
-        rows.select(curriculum.KEY, "event_id", "episode_no", "tier").write.mode("overwrite").parquet(f"{walked}/batch={number}")
 
-    per_batch(events.selectExpr(*views.LEARNER_SCORE), shared_dir(spark, "tiers-state"), keep)
-    return newest(spark.read.option("basePath", walked).parquet(f"{walked}/batch=*"), curriculum.KEY, "batch")
+def late_rows(spark, sf_dir):
+    """Events that came after the watermark had passed them, and so count in no run."""
+    return delivered(spark, sf_dir, 0.05).where("kind = 'late'").select("user_id", "event_id")
 
 
 def action_counts(spark, sf_dir, **options):
@@ -139,4 +198,6 @@ QUERIES = {
     "C6_streaming_steps": scored_steps,
     "C7_streaming_tiers": tiers,
     "C8_streaming_action_counts": action_counts,
+    "C8_streaming_sessions": sessions,
+    "C8_streaming_late_rows": late_rows,
 }
