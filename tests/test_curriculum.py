@@ -4,9 +4,12 @@ import random
 from datetime import datetime, timedelta
 from decimal import Decimal
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tunewright import kernels
 from tunewright.operators import curriculum
 
 START = datetime(2024, 1, 1)
@@ -76,3 +79,37 @@ def test_bursty_learner(spark):
 def test_tier_range(spark, sf):
     got = curriculum.walk(curriculum.scores_of(spark, sf)).selectExpr("min(tier) AS lo", "max(tier) AS hi").first()
     assert got.lo >= 0 and got.hi <= 3
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_scan_of_clamp_maps_is_the_fold(seed):
+    rng = np.random.default_rng(seed)
+    n = int(rng.integers(1, 3000))
+    add, low = rng.integers(-2, 3, n), rng.integers(0, 2, n)
+    high = low + rng.integers(0, 4, n)
+    a, lo, hi = kernels.clamp_scan(add, low, high)
+    for start in (0, 1, 3):
+        x = start
+        for k in range(n):
+            x = min(high[k], max(low[k], x + add[k]))
+            assert min(hi[k], max(lo[k], start + a[k])) == x
+
+
+@pytest.mark.parametrize("size", [1, 7, 1000])
+def test_walk_with_one_key_on_a_third_of_the_rows(size):
+    """Runs go on over batch borders; starts, effects and walks agree with the fold."""
+    rng = np.random.default_rng(size)
+    keys = np.sort(np.where(rng.random(2400) < 1 / 3, 50, rng.integers(0, 100, 2400)))
+    rows = pd.DataFrame({"learner_id": keys, "seg": 0, "shift": rng.integers(-1, 2, 2400), "start_tier": np.where(keys % 2, 2, 0)})
+    cut = [rows.iloc[k:k + size] for k in range(0, len(rows), size)]
+    got = pd.concat(kernels.tier_walk(iter(cut)))
+    effects = pd.concat(kernels.segment_effect(iter(cut))).astype("int64").set_index("learner_id")
+    for key, group in rows.groupby("learner_id"):
+        x, tiers = group.start_tier.iloc[0], []
+        for step in group["shift"]:
+            x = min(3, max(0, x + step))
+            tiers.append(x)
+        mine = got[got.learner_id == key]
+        assert mine.tier.tolist() == tiers and mine.tier_before.tolist() == [group.start_tier.iloc[0]] + tiers[:-1]
+        e = effects.loc[key]
+        assert e.n == len(group) and min(e.high, max(e.low, group.start_tier.iloc[0] + e["add"])) == tiers[-1]

@@ -1,11 +1,13 @@
 """Streaming results equal the batch results, whatever the order of the files and the size of the batches."""
 
+import random
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tunewright import dims, views
+from tunewright import dims, kernels, views
 from tunewright.operators import curriculum, ledger
 from tunewright.session import shared_dir, table
 from tunewright.streaming import episodes
@@ -50,3 +52,90 @@ def test_rules_are_exact():
     r = episodes.rules()
     assert r["step"]["optimize_query"] == 2000 and r["milestones"] == [(25, 1500), (50, 2500), (75, 4000)]
     assert set(r["step"]) == set(dims.ACTIONS)
+
+
+class _State:
+    """Value and map state of one key in plain memory, and the timers it sets."""
+
+    def __init__(self):
+        self.values, self.maps, self.timers = {}, {}, set()
+
+    def getValueState(self, name, schema):
+        values = self.values
+
+        class Value:
+            exists = staticmethod(lambda: name in values)
+            get = staticmethod(lambda: values[name])
+            update = staticmethod(lambda v: values.__setitem__(name, v))
+        return Value()
+
+    def getMapState(self, name, key_schema, schema):
+        pages = self.maps.setdefault(name, {})
+
+        class Map:
+            getValue = staticmethod(lambda k: pages[k])
+            updateValue = staticmethod(pages.__setitem__)
+        return Map()
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_pages_of_any_arrival(seed):
+    """Scores in any order and of any trigger size: every place of the history ends up as the fold has it."""
+    rng = random.Random(seed)
+    rows = [(rng.randrange(60), k, rng.choice((500, 2500, 5000, 7600, 9000))) for k in range(80)]
+    arriving = rows[:] if seed else sorted(rows)
+    if seed:
+        rng.shuffle(arriving)
+    state, at, slots, emitted = _State(), 0, {}, 0
+    processor = kernels.tier_processor(episodes.tier_rules(), chunk=4)
+    processor.init(state)
+    while at < len(arriving):
+        size = rng.randrange(1, 12)
+        part = pd.DataFrame(arriving[at:at + size], columns=["us", "event_id", "score"])
+        at += size
+        for out in processor.handleInputRows((7,), iter([part.iloc[:2], part.iloc[2:]]), None):
+            emitted += len(out)
+            for r in out.itertuples(index=False):
+                assert slots.get(r.episode_no, (0, 0, -1))[2] < r.version
+                slots[r.episode_no] = (r.event_id, r.tier, r.version)
+    tier, seen, want = 0, [], []
+    for _, event, score in sorted(rows):
+        seen.append(score)
+        if len(seen) >= 5:
+            total = sum(seen[-5:])
+            tier = min(3, tier + 1) if total >= 37_500 else max(0, tier - 1) if total < 15_000 else tier
+        want.append((event, tier))
+    assert [slots[k + 1][:2] for k in range(len(rows))] == want
+    assert max(len(p[0]) for p in state.maps["pages"].values()) <= 4
+    if not seed:  # scores that come in order are only emitted once
+        assert emitted == len(rows)
+
+
+def test_sessions_and_late_rows_account_for_every_event(spark, sf, as_rows):
+    """What is late goes aside, the rest makes the runs that a batch job makes of it."""
+    rows = episodes.delivered(spark, sf, 0.05)
+    late = rows.where("kind = 'late'").select("event_id")
+    closed, left = rows.where("kind = 'closed'"), episodes.newest(rows.where("kind = 'open'"), "user_id", "version").where("n > 0")
+    events = table(spark, sf, "events")
+    assert late.count() > 0 and closed.count() > 0
+    assert late.count() + closed.unionByName(left.withColumn("version", F.lit(0)).select(closed.columns)).agg(F.sum("n")).first()[0] == events.count()
+    on_time = shared_dir(spark, "on-time")
+    events.join(late, "event_id", "left_anti").write.parquet(f"{on_time}/events.parquet")
+    got = closed.select("user_id", "lo", "hi", "n").unionByName(left.select("user_id", "lo", "hi", "n"))
+    want = curriculum.idle_sessions(spark, on_time)
+    assert as_rows(got.selectExpr("user_id", "n", "hi - lo")) == as_rows(want.select("user_id", "n_events", "length_us"))
+
+
+def test_sessions_equal_the_batch_form(spark, sf, as_rows):
+    assert as_rows(episodes.sessions(spark, sf)) == as_rows(curriculum.idle_sessions(spark, sf))
+
+
+def test_no_other_name_is_read(spark, sf, tmp_path):
+    """A table folder beside one whose name begins alike."""
+    e = table(spark, sf, "events")
+    e.limit(50).write.parquet(f"{tmp_path}/events.parquet")
+    e.write.parquet(f"{tmp_path}/events.parquet_old")
+    assert episodes.tiers(spark, str(tmp_path)).count() == 50
