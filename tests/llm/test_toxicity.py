@@ -97,5 +97,5 @@ def test_search_is_exact_and_prunes():
 
 
 def test_isotonic():
-    centres, values = toxicity.isotonic([0.1, 0.2, 0.3, 0.4], [0.0, 1.0, 0.0, 1.0], [2, 1, 1, 3])
-    assert centres.tolist() == pytest.approx([0.1, 0.25, 0.4]) and values.tolist() == [0.0, 0.5, 1.0]
+    centres, values, weights = toxicity.isotonic([0.1, 0.2, 0.3, 0.4], [0.0, 1.0, 0.0, 1.0], [2, 1, 1, 3])
+    assert centres.tolist() == pytest.approx([0.1, 0.25, 0.4]) and values.tolist() == [0.0, 0.5, 1.0] and weights.tolist() == [2, 2, 3]

@@ -3,7 +3,10 @@
 Examples are a sample of the labelled training rows, about EXAMPLES of them, picked by
 a hash of the id.  Their words that tell the labels apart are the vocabulary: the
 likelihood ratio of word and label must exceed 2 ln(words tested), so that hardly a
-word gets in by chance, and the TERMS strongest stay.  How many documents hold a word
+word gets in by chance, the word must at least double or halve the toxic share, and
+the TERMS strongest stay.  Examples whose least hashed run
+of three words is the same are copies of each other and share the weight of one, else
+any word of a text with many copies would seem to tell.  How many documents hold a word
 is counted over all documents; a text becomes the unit vector of (1 + ln tf) * idf over
 the vocabulary, in whole numbers of 2^-20, so that every inner product is exact.
 
@@ -32,6 +35,7 @@ import sys
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -43,7 +47,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 EXAMPLES, TERMS, NEAREST, BLOCK = 16384, 1024, 15, 64
 FOLDS, HELD_OUT, LIMIT = 3, 1, 0.7
 UNIT = 1 << 20
-LEAST_ROWS = 3
+LEAST_ROWS, LIFT = 3, 2
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -53,8 +57,10 @@ def _words(batches):
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             label, text = (batch.column(k).slice(at, 512).to_pylist() for k in (0, 1))
-            found = [list(set(_WORD.findall((t or "").lower()))) for t in text]
-            yield pa.RecordBatch.from_arrays([pa.array(label, pa.int64()), pa.array(found, pa.list_(pa.string()))], names=["toxic", "words"])
+            words = [_WORD.findall((t or "").lower()) for t in text]
+            least = [min(xxhash.xxh64_intdigest(" ".join(w[k:k + 3])) for k in range(max(1, len(w) - 2))) - (1 << 63) for w in words]
+            yield pa.RecordBatch.from_arrays([pa.array(label, pa.int64()), pa.array(least, pa.int64()), pa.array([list(set(w)) for w in words], pa.list_(pa.string()))],
+                                             names=["toxic", "least", "words"])
 
 
 def examples(docs: DataFrame, labels: DataFrame, most=EXAMPLES, key="doc_id", text="text", label="toxic") -> DataFrame:
@@ -68,18 +74,23 @@ def examples(docs: DataFrame, labels: DataFrame, most=EXAMPLES, key="doc_id", te
             .groupBy("id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")))
 
 
-def vocabulary(sample: DataFrame, n, toxic, most=TERMS):
+def vocabulary(spark: SparkSession, sample: DataFrame, most=TERMS):
     """The words whose presence and the label depend on each other, strongest first."""
-    words = sample.select("toxic", "text").mapInArrow(_words, "toxic long, words array<string>")
-    seen = words.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("rows"), F.sum("toxic").alias("hits")).where(F.col("rows") >= LEAST_ROWS)
-    part = lambda o, e: F.when(o > 0, 2 * o * F.log(o / e)).otherwise(0.0)
+    words = materialised(spark, sample.select("toxic", "text").mapInArrow(_words, "toxic long, least long, words array<string>"), "toxic-words")
+    words = words.join(words.groupBy("least").agg((F.lit(1.0) / F.count(F.lit(1))).alias("weight")), "least")
+    n, toxic = words.agg(F.sum("weight"), F.sum(F.col("weight") * F.col("toxic"))).first()
+    seen = words.select("toxic", "weight", F.explode("words").alias("word")).groupBy("word").agg(
+        F.sum("weight").alias("rows"), F.sum(F.col("weight") * F.col("toxic")).alias("hits")).where(F.col("rows") >= LEAST_ROWS)
+    seen = materialised(spark, seen, "toxic-words")
+    part = lambda o, e: F.when(o > 1e-9, 2 * o * F.log(o / e)).otherwise(0.0)
     a, b = F.col("hits"), F.col("rows") - F.col("hits")
     c, d = F.lit(toxic) - a, F.lit(n - toxic) - b
     ratio = (part(a, (a + b) * F.lit(toxic / n)) + part(b, (a + b) * F.lit((n - toxic) / n))
              + part(c, (c + d) * F.lit(toxic / n)) + part(d, (c + d) * F.lit((n - toxic) / n)))
-    tested = seen.count()
-    return [r["word"] for r in seen.withColumn("ratio", ratio).where(F.col("ratio") > 2 * math.log(max(2, tested)))
-            .orderBy(F.desc("ratio"), "word").limit(most).collect()]
+    share = F.col("hits") / F.col("rows") / F.lit(toxic / n)
+    # sums of weights may differ in their last bits from run to run
+    return [r["word"] for r in seen.withColumn("ratio", F.round(ratio, 6)).where(F.col("ratio") > 2 * math.log(max(2, seen.count())))
+            .where((share >= LIFT) | (share <= 1 / LIFT)).orderBy(F.desc("ratio"), "word").limit(most).collect()]
 
 
 def with_terms(rows: DataFrame, words) -> DataFrame:
@@ -106,6 +117,21 @@ def with_terms(rows: DataFrame, words) -> DataFrame:
     return rows.mapInArrow(run, f"{kept}, terms array<int>, counts array<int>")
 
 
+def documents_with(rows: DataFrame, n_terms):
+    """How many rows hold each term: one short list a task."""
+    def run(batches):
+        total = np.zeros(n_terms, np.int64)
+        for batch in batches:
+            total += np.bincount(np.asarray(batch.column(0).flatten()), minlength=n_terms)
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(total), pa.int32()), pa.array(total[total > 0])], names=["term", "n"])
+
+    seen = np.zeros(n_terms, np.int64)
+    if n_terms:
+        for r in rows.select("terms").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+            seen[r["term"]] = r["n"]
+    return seen
+
+
 def unit_vectors(terms, counts, idf):
     """Rows of whole numbers, each of length UNIT within rounding, dense."""
     out = np.zeros((len(terms), len(idf)))
@@ -141,7 +167,9 @@ class BlockMax:
         scored, active = 0, np.arange(len(vectors))
         for step in range(len(self.blocks)):
             nxt = order[active, step]
-            live = (bounds[active, nxt] >= score[active, -1]) & (bounds[active, nxt] > 0)
+            # a block that can only tie with the k-th counts if its places are smaller
+            bound, kth = bounds[active, nxt], score[active, -1]
+            live = (bound > 0) & ((bound > kth) | ((bound == kth) & (nxt * self.block < place[active, -1])))
             active, nxt = active[live], nxt[live]
             if not len(active):
                 break
@@ -169,14 +197,14 @@ class BlockMax:
 
 
 def isotonic(x, share, weight):
-    """Centres and values of the non-decreasing step function next to the shares, by pooling neighbours that fall."""
+    """Centres, values and weights of the non-decreasing steps next to the shares, by pooling neighbours that fall."""
     pools = []
     for a, s, w in sorted(zip(x, share, weight)):
         pools.append([a * w, s * w, w])
         while len(pools) > 1 and pools[-2][1] / pools[-2][2] >= pools[-1][1] / pools[-1][2]:
             last = pools.pop()
             pools[-1] = [u + v for u, v in zip(pools[-1], last)]
-    return np.array([p[0] / p[2] for p in pools]), np.array([p[1] / p[2] for p in pools])
+    return tuple(np.array(c) for c in zip(*((p[0] / p[2], p[1] / p[2], p[2]) for p in pools)))
 
 
 class Model:
@@ -235,7 +263,8 @@ def fitted(spark: SparkSession, sample_terms: DataFrame, idf) -> Model:
     at = {i: k for k, i in enumerate(index.ids.tolist())}
     asked = spark.createDataFrame([(at[r["id"]], r["terms"], r["counts"]) for r in rows], "place int, terms array<int>, counts array<int>")
     votes = asked.repartition(16).mapInArrow(_search_examples(model), "raw double, label long, rows long").groupBy("raw", "label").agg(F.sum("rows").alias("rows")).collect()
-    model.centres, model.values = isotonic([v["raw"] for v in votes], [float(v["label"]) for v in votes], [v["rows"] for v in votes])
+    model.centres, share, weight = isotonic([v["raw"] for v in votes], [float(v["label"]) for v in votes], [v["rows"] for v in votes])
+    model.values = np.maximum.accumulate((share * weight + prior) / (weight + 1))
     return model
 
 
@@ -248,12 +277,10 @@ def scores(spark: SparkSession, docs: DataFrame, labels: DataFrame, most=EXAMPLE
     """(doc_id, held_out, score, predicted, evidence) of every row of docs."""
     sample = materialised(spark, examples(docs, labels, most, key, text, label), "toxic-examples")
     n, toxic = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    words = vocabulary(sample, n, toxic) if 0 < toxic < n else []
+    words = vocabulary(spark, sample) if 0 < toxic < n else []
     rows = with_terms(docs.select(F.col(key).alias("doc_id"), held_out(F.col(key)).alias("held_out"), F.col(text).alias("text")), words)
     rows = materialised(spark, rows, "toxic-terms")
-    seen = {r["t"]: r["count"] for r in rows.select(F.explode("terms").alias("t")).groupBy("t").count().collect()}
-    every = rows.count()
-    idf = np.array([math.log((every + 1) / (seen.get(k, 0) + 0.5)) for k in range(len(words))])
+    idf = np.log((rows.count() + 1) / (documents_with(rows, len(words)) + 0.5))
     model = fitted(spark, with_terms(sample.select("id", "toxic", "text"), words), idf)
 
     def run(batches):
