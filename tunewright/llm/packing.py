@@ -2,8 +2,8 @@
 
 A document's byte four-grams are hashed into a vector, which fixed random signs
 project to three dimensions; its place on a Hilbert curve through them is the sort
-key.  The table is range-partitioned by that key (and a hash, which parts equal
-texts), and each task packs its own stretch of the curve: the documents' tokens,
+key.  The table is cut into ranges of about equal bytes of that key (and a hash, which
+parts equal texts), by borders from a sample of rows, and each task packs its own stretch of the curve: the documents' tokens,
 each followed by the end token, are one stream that is cut every 4096 tokens, so
 documents that share a sequence are neighbours on the curve.  What is left at a
 task's end is cut into powers of two.  So no sequence needs padding.
@@ -25,10 +25,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tunewright.llm.common import parts_for, per_process, text_bytes
+from tunewright.llm.common import parts_for, per_process
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -37,8 +38,9 @@ END = 2
 TOKENIZER = "word_bpe_49k.json"
 BUCKETS, DIMENSIONS, BITS = 256, 3, 16
 PIECE = 2 << 20  # bytes of text that are looked at together
-REMEMBERED = 400_000  # words
+REMEMBERED = 350_000  # words in each of two tables
 TOGETHER = 512  # new words that are tokenised as one text
+SAMPLE, MOST_SAMPLED = 200, 1_000_000  # rows looked at to place a range's border, and for all borders together
 
 
 def hilbert(coordinates, bits=BITS):
@@ -100,13 +102,53 @@ def curve_keys(column):
     return hilbert(((vector @ signs + 1) / 2 * ((1 << BITS) - 1)).astype(np.uint64))
 
 
-def _with_key(batches):
+def _keys(curve, other):
+    """Keys (curve, other) as fixed strings of bytes in their order."""
+    both = np.empty((len(curve), 2), ">u8")
+    both[:, 0], both[:, 1] = curve, np.asarray(other).astype(np.int64).astype(np.uint64) + np.uint64(1 << 63)
+    return both.view("S16").ravel()
+
+
+def _with_key(borders=None):
+    """Task: doc_id, text and other with the text's place on the curve and, given borders, the range it lies in."""
+    def run(batches):
+        for batch in batches:
+            curve = curve_keys(batch.column(1))
+            columns = [*batch.columns, pa.array(curve)]
+            if borders is not None:
+                columns.append(pa.array(np.searchsorted(borders, _keys(curve, batch.column(2)), "right").astype(np.int32)))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "other", "curve", "part"][:len(columns)])
+    return run
+
+
+def _measured(batches):
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(curve_keys(batch.column(1)))], names=[*batch.schema.names, "curve"])
+        size = np.asarray(pc.binary_length(batch.column(1).cast(pa.binary()))).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(curve_keys(batch.column(1))), batch.column(2), pa.array(size + 1)], names=["curve", "other", "size"])
+
+
+def borders_of(frame: DataFrame, rows, n):
+    """n - 1 keys that part the bytes of a hash sample (about SAMPLE a range, MOST_SAMPLED in all) evenly."""
+    share = min(1.0, min(SAMPLE * n, MOST_SAMPLED) / max(1, rows))
+    some = frame.where(F.pmod(F.xxhash64("other"), F.lit(1 << 40)) < int(share * (1 << 40)))
+    found = some.mapInArrow(_measured, "curve long, other long, size long").toArrow()
+    if n < 2 or not found.num_rows:
+        return np.zeros(0, "S16")
+    keys, size = _keys(np.asarray(found["curve"]), np.asarray(found["other"])), np.asarray(found["size"])
+    order = np.argsort(keys, kind="stable")
+    upto = np.cumsum(size[order])
+    return keys[order][np.minimum(np.searchsorted(upto, upto[-1] * np.arange(1, n) / n), len(keys) - 1)]
+
+
+def _taken(starts, flat, at):
+    """The parts of a flat array that begin at starts, picked by number: (flat, length of each)."""
+    lengths = starts[at + 1] - starts[at]
+    step = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    return flat[np.repeat(starts[at], lengths) + step], lengths
 
 
 class WordIds:
-    """Ids of the words of texts, with a table of words already seen; emptied when it is full."""
+    """Ids of the words of texts, with two tables of words already seen: a full one becomes the old one, whose words move over when they are met again."""
 
     def __init__(self, path, remembered=REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -117,11 +159,18 @@ class WordIds:
 
             path = public_tokenizers.path(path)
         self.tokenizer, self.remembered = Tokenizer.from_file(path), remembered
+        self.place, self.starts, self.flat = {}, np.zeros(1, np.int64), np.zeros(0, np.uint32)
         self._clear()
 
     def _clear(self):
+        self.old = self.place, self.starts, self.flat
         self.place, self.starts, self.flat = {}, np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
+    def _remember(self, words, flat, lengths):
+        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+        self.flat = np.concatenate([self.flat, flat])
+
     def _encoded(self, words):
         """Ids of different words, tokenised as one text, and how many each has: a token belongs to the word it starts in."""
         words = [w.decode() for w in words]
@@ -139,14 +188,17 @@ class WordIds:
         if len(missing):
             unknown = [words[k] for k in missing]
             new = list(dict.fromkeys(unknown))
-            flat, lengths = zip(*(self._encoded(new[k:k + TOGETHER]) for k in range(0, len(new), TOGETHER)))
-            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(lengths))])
-            self.flat = np.concatenate([self.flat, *flat])
+            place, starts, flat = self.old
+            before = np.fromiter(map(place.get, new, itertools.repeat(-1)), np.int64, len(new))
+            known = before[before >= 0]
+            if len(known):
+                self._remember([w for w, k in zip(new, before.tolist()) if k >= 0], *_taken(starts, flat, known))
+                new = [w for w, k in zip(new, before.tolist()) if k < 0]
+            if new:
+                flat, lengths = zip(*(self._encoded(new[k:k + TOGETHER]) for k in range(0, len(new), TOGETHER)))
+                self._remember(new, np.concatenate(flat), np.concatenate(lengths))
             at[missing] = np.fromiter(map(self.place.__getitem__, unknown), np.int64, len(unknown))
-        lengths = self.starts[at + 1] - self.starts[at]
-        step = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        return self.flat[np.repeat(self.starts[at], lengths) + step], lengths
+        return _taken(self.starts, self.flat, at)
 
     def documents(self, texts):
         """(flat ids, ids per text) of some texts (bytes)."""
@@ -267,9 +319,11 @@ def _pack(path, length):
 def packed(spark: SparkSession, docs: DataFrame, key="doc_id", text="text", tokenizer=TOKENIZER, length=LENGTH, partitions=None) -> DataFrame:
     """Pieces of documents in sequences; a sequence_id is unique, its high bits are the task."""
     frame = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    n = partitions or parts_for(spark, text_bytes(frame, "text"))
-    keyed = frame.mapInArrow(_with_key, "doc_id long, text string, curve long").withColumn("other", F.xxhash64("doc_id", "text"))
-    along = keyed.repartitionByRange(n, "curve", "other").sortWithinPartitions("curve", "other", "doc_id")
+    rows, size = frame.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    n = partitions or parts_for(spark, size)
+    frame = frame.withColumn("other", F.xxhash64("doc_id", "text"))
+    keyed = frame.mapInArrow(_with_key(borders_of(frame, rows, n)), "doc_id long, text string, other long, curve long, part int")
+    along = keyed.repartitionById(n, F.col("part")).sortWithinPartitions("curve", "other", "doc_id")
     return along.select("doc_id", "text").mapInArrow(_pack(tokenizer, length), PIECES_DDL)
 
 
