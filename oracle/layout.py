@@ -32,11 +32,22 @@ ORACLE = {
         f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS distinct_values, "
         f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM orders" for c in _COLS),
     "L3_approximate_statistics": " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS nulls, true AS within_a_tenth FROM orders" for c in _COLS),
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS nulls, count(DISTINCT {c}) <= 100 AS few_values FROM orders" for c in _COLS),
     "L5_drop_copy": "SELECT count(*) AS copy_rows, count(*) AS base_rows, false AS copy_exists FROM orders",
     "L4_denormalised_column": "SELECT o_orderkey, o_custkey, o_totalprice, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey",
-    "L6_rewrite_effect": """SELECT 'subqueries_to_join' AS rewrite, 0::BIGINT AS different_rows, (SELECT count(*) FROM customer) > 0 AS same_result
+    # every scan returns its whole table: the tables are in no order that a filter could use; two subqueries read the orders twice
+    "L6_rewrite_effect": """WITH k AS (SELECT (SELECT count(*) FROM orders) AS o, (SELECT count(*) FROM customer) AS c)
+        SELECT 'subqueries_to_join' AS rewrite, 0::BIGINT AS different_rows, c > 0 AS same_result, 2 * o + c AS rows_read_slow, 3::BIGINT AS files_slow, o + c AS rows_read_fast, 2::BIGINT AS files_fast FROM k
         UNION ALL SELECT 'function_to_range', (SELECT count(*) FROM orders WHERE (year(o_orderdate) = 1997 AND month(o_orderdate) = 3)
-            <> (o_orderdate >= TIMESTAMP '1997-03-01' AND o_orderdate < TIMESTAMP '1997-04-01')), true
-        UNION ALL SELECT 'comma_to_join', 0, true""",
+            <> (o_orderdate >= TIMESTAMP '1997-03-01' AND o_orderdate < TIMESTAMP '1997-04-01')), true, o, 1, o, 1 FROM k
+        UNION ALL SELECT 'comma_to_join', 0, true, o + c, 2, o + c, 2 FROM k""",
+    "L2_z_ordered_skipping": " UNION ALL ".join(
+        f"SELECT '{name}' AS filter, count(*) AS n_rows, CAST(coalesce(sum(l_orderkey), 0) AS BIGINT) AS key_sum, true AS few_files FROM lineitem WHERE {where}" for name, where in (
+            ("first", "l_shipdate BETWEEN TIMESTAMP '1995-03-01' AND TIMESTAMP '1995-03-31'"), ("second", "l_suppkey = 42"), ("third", "l_quantity < 3"),
+            ("both", "l_suppkey IN (3, 4, 5) AND l_shipdate >= TIMESTAMP '1998-06-01'"), ("none", "l_suppkey = -1"))),
+    "L3_refreshed_profile": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS nulls, CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM orders"
+        for c in (*_COLS, "o_totalprice")),
+    "L3_cost_based_join": """SELECT n_name, c_mktsegment, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+        WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' AND n_regionkey = 1 GROUP BY 1, 2""",
 }

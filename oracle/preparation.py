@@ -1,6 +1,6 @@
 """Oracles of validation, preparation and repair."""
 
-from oracle import grading, ledger, macros as m, workload
+from oracle import grading, ledger, synthesis, macros as m, workload
 from tunewright import dims, views
 
 # Stated here anew, not read from the jobs.
@@ -52,6 +52,7 @@ rep AS (SELECT *, CASE category WHEN 'syntax' THEN s5 WHEN 'logic' THEN l1 ELSE
 exp AS (SELECT *, CASE WHEN buggy_query = fixed THEN 'Analyzed the ' || category || ' issue. The query may require deeper inspection.'
    ELSE (CASE category {' '.join(f"WHEN '{k}' THEN {m.lit(v)}" for k, v in FIXES)} END)
      || ' Original: ''' || left(buggy_query, 60) || '...'' Fixed: ''' || left(fixed, 60) || '...''' END AS explanation FROM rep)"""
+_CASE_ID = "CASE category WHEN 'syntax' THEN 'easy_' WHEN 'logic' THEN 'medium_' ELSE 'hard_' END || event_id"
 _board = f"""brd AS (SELECT event_id, task_id, CASE WHEN category <> 'performance' THEN fixed END AS fixed_query, CASE WHEN category = 'performance' THEN fixed END AS optimized_query,
    explanation, category AS error_type, CASE WHEN category <> 'performance' THEN place END AS error_location, '0.6' AS confidence, CAST(NULL AS VARCHAR) AS impact,
    CASE WHEN category = 'performance' THEN 'Performance issue detected: ' || left(error_message, 100) END AS root_cause,
@@ -90,6 +91,17 @@ ORACLE = {
         SELECT episode_id, event_id, hint_no, {m.sql_list(HINTS)}[least(hint_no, 3)] AS hint FROM k""",
     "P11_task_catalogue": f"""SELECT CASE WHEN p_size <= 15 THEN 'easy' WHEN p_size <= 30 THEN 'medium' ELSE 'hard' END AS tier, count(*) AS n_tasks,
         count(DISTINCT p_name) AS n_descriptions, CAST(max(p_size) AS BIGINT) AS max_size, {m.lit(','.join(sorted(dims.ACTIONS)))} AS actions FROM part GROUP BY 1""",
+    "P1_visible_scenarios": f"""WITH q AS (SELECT * FROM {synthesis.made('medium')}) SELECT id AS scenario_id, 'indexing' AS category,
+          list_aggregate(list_transform(string_split(any_value(tables), ','), lambda t: split_part(t, ':', 1)), 'string_agg', ',') AS tables, string_agg(sql_text, ';' ORDER BY query_id) AS statements,
+          'category,description,max_steps,performance_score_baseline,scenario_id,slow_queries,tables,target_score' AS fields FROM q GROUP BY id""",
+    "P1_visible_cases": f"""WITH {REP} SELECT {_CASE_ID} AS id, buggy_query, category AS error_type_hint, CAST(CASE WHEN event_id % 2 = 0 THEN 3 ELSE 5 END AS INTEGER) AS estimated_steps,
+          CASE WHEN category = 'performance' THEN '{{"type":"scan","impact":"slow"}}' END AS issue, '{{"k":' || event_id || '}}' AS expected_output_sample,
+          'buggy_query,category,database_schema,error_message,error_type_hint,estimated_steps,expected_output_sample,id,performance_issue' AS fields FROM exp""",
+    "P10_case_hints": f"""WITH {REP} SELECT event_id, CAST(event_id % 4 + 1 AS INTEGER) AS asked, CASE event_id % 4 WHEN 0 THEN 'Hint 1: The error is in the ' || place || '.'
+          WHEN 1 THEN 'Hint 2: This is a ' || category || ' error. Category: ' || category || '.' ELSE 'Hint 3: Fix: ' || fixed END AS hint FROM exp""",
+    "P11_task_list": f"""WITH {REP}, q AS (SELECT DISTINCT id, domain FROM {synthesis.made('medium')}), t AS (
+          SELECT id, 'Slow statements of a ' || domain AS description, 0 AS ord FROM q UNION ALL SELECT {_CASE_ID}, 'Repair a statement of user ' || user_id, 1 FROM exp)
+        SELECT id, split_part(id, '_', 1) AS tier, description, CAST(ord AS INTEGER) AS ord, {m.lit(','.join(dims.ACTIONS))} AS actions FROM t""",
     "T1_scenario_prompt": f"""WITH l AS ({views.select(views.QUERY_LOG, 'events')}),
         t AS (SELECT user_id, {workload._fp('sql_text')} AS template, main_table, max(exec_ms) AS ms, arg_max(sql_text, (exec_ms, -query_id)) AS sql, count(*) AS n, sum(exec_ms) AS s FROM l GROUP BY 1, 2, 3),
         q AS (SELECT t.*, row_count, row_number() OVER (PARTITION BY user_id ORDER BY ms DESC, template) AS k FROM t LEFT JOIN {workload.COUNTS} ON name = main_table),

@@ -33,7 +33,27 @@ def made(tier, dom=None):
 _PICK = f"row_number() OVER (PARTITION BY p_type ORDER BY {draw('p_partkey', 42)}, p_partkey) <= 5"
 _U = m.sql_list(dims.ULTRA_TABLES)
 
+def _step(x, key):
+    """One step of the permutation of an r by s rectangle, as nested text."""
+    m = lambda c, salt: f"((({c}) % 2147483647 + {salt * 7919 + 1}) * 48271 % 2147483647 + {salt}) * 69621 % 2147483647"
+    a1 = f"((({x}) // s + {m(f'(({x}) % s) * 31 + {key}', 1)}) % r)"
+    b1 = f"((({x}) % s + {m(f'{a1} * 31 + {key}', 2)}) % s)"
+    a2 = f"(({a1} + {m(f'{b1} * 31 + {key}', 3)}) % r)"
+    return f"({a2} * s + {b1})"
+
+
+_CRC_STEP = "list_reduce(list_concat([xor(c, b)], [0::BIGINT for z in range(8)]), lambda a, z: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END)"
+_CRC = f"xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], [ascii((p_size::VARCHAR)[i])::BIGINT for i in range(1, length(p_size::VARCHAR) + 1)]), lambda c, b: {_CRC_STEP}))"
+
 ORACLE = {
+    # every place by one step, and those outside the range walk on by a recursive query
+    "S2_round_picks": f"""WITH RECURSIVE pool AS (SELECT p_partkey, p_size, row_number() OVER (PARTITION BY p_size ORDER BY p_partkey) - 1 AS k, count(*) OVER (PARTITION BY p_size) AS n FROM part),
+        sizes AS (SELECT p_size, n, CAST(ceil(sqrt(n)) AS BIGINT) AS r, CAST(ceil(n / ceil(sqrt(n))) AS BIGINT) AS s, CAST({_CRC} % 65536 AS BIGINT) AS c FROM (SELECT DISTINCT p_size, n FROM pool)),
+        asked AS (SELECT event_id, CAST(event_id % 50 + 1 AS INTEGER) AS p_size, row_number() OVER (PARTITION BY event_id % 50 ORDER BY ts, event_id) - 1 AS nth FROM events),
+        walk(event_id, p_size, round, n, r, s, key, x) AS (
+          SELECT event_id, p_size, nth // n, n, r, s, (nth // n) * 131 + c, {_step('nth % n', '((nth // n) * 131 + c)')} FROM asked JOIN sizes USING (p_size)
+          UNION ALL SELECT event_id, p_size, round, n, r, s, key, {_step('x', 'key')} FROM walk WHERE x >= n)
+        SELECT event_id, walk.p_size, round, p_partkey FROM walk JOIN pool ON pool.p_size = walk.p_size AND pool.k = walk.x WHERE x < walk.n""",
     "S1_stratified_pick": f"SELECT p_partkey, p_type, p_name FROM part QUALIFY {_PICK}",
     "S2_no_repeat_pick": f"""WITH pool AS (SELECT *, bool_and(p_type = 'ECONOMY' OR p_partkey % 3 = 0) OVER (PARTITION BY p_type) AS over FROM part)
         SELECT p_partkey, p_type, p_name FROM pool WHERE over OR NOT (p_type = 'ECONOMY' OR p_partkey % 3 = 0) QUALIFY {_PICK}""",

@@ -62,6 +62,27 @@ log AS ({views.select(views.QUERY_LOG, 'events')})"""
 _ms = next(x for x in views.QUERY_LOG if x.endswith(" AS exec_ms"))
 _text = next(x for x in views.LINT if x.endswith(" AS sql_text"))
 
+# Copies that could serve the log's statements, told by hand, with the columns in the order of a search.
+OPTIONS = (
+    ("orders", ("o_custkey", "o_orderstatus")), ("orders", ("o_custkey",)), ("orders", ("o_orderstatus", "o_custkey")), ("orders", ("o_orderstatus",)),
+    ("lineitem", ("l_returnflag", "l_shipdate")), ("lineitem", ("l_returnflag", "l_discount")), ("lineitem", ("l_returnflag",)),
+    ("customer", ("c_custkey", "c_nationkey")), ("customer", ("c_nationkey", "c_custkey")), ("customer", ("c_custkey",)), ("customer", ("c_nationkey",)),
+    ("nation", ("n_nationkey",)), ("part", ("p_size",)), ("events", ("ts",)),
+)
+OPTION_COLS = _values([(t, ",".join(cols), k + 1, c) for t, cols in OPTIONS for k, c in enumerate(cols)], "lc(name, layout, k, col)")
+
+
+def _greedy(rounds):
+    """Rounds of picking the copy that adds the most time; equal gains go to the copy with fewer columns."""
+    out, have = [], "b0"
+    for k in range(1, rounds + 1):
+        out.append(f"""g{k} AS (SELECT w.name, w.layout, round(sum((w.n - h.n) * each), 6) AS gain FROM w JOIN {have} h USING (et, name) JOIN share USING (et) WHERE w.n > h.n GROUP BY 1, 2
+            ORDER BY gain DESC, len(string_split(w.layout, ',')), w.name, w.layout LIMIT 1),
+        b{k} AS (SELECT h.et, h.name, greatest(h.n, coalesce(w.n, 0)) AS n FROM {have} h LEFT JOIN (SELECT w.* FROM w JOIN g{k} USING (name, layout)) w ON w.et = h.et AND w.name = h.name)""")
+        have = f"b{k}"
+    return ", ".join(out)
+
+
 ORACLE = {
     "W1_normalised_text": f"WITH log AS ({views.select(views.QUERY_LOG, 'events')}) SELECT query_id, {m.norm('sql_text')} AS normalised FROM log",
     "W2_fingerprints": f"{BASE} SELECT template, n, CAST(ms AS DOUBLE) AS total_ms FROM t",
@@ -77,6 +98,9 @@ ORACLE = {
     "W6_layout_recommendations": f"""{BASE}, q AS (SELECT *, array_to_string({PRED}, ',') AS columns FROM t)
         SELECT main_table, columns, CAST(sum(n) AS BIGINT) AS executions, CAST(sum(ms) AS DOUBLE) AS total_ms,
           'Composite WHERE clause on ' || main_table AS reason FROM q WHERE columns <> '' GROUP BY main_table, columns""",
+    "W6_layout_selection": f"""{BASE}, w AS ({_prefix(OPTION_COLS)}), b0 AS (SELECT * FROM best),
+        share AS (SELECT t.et, CAST(t.ms AS DOUBLE) / (SELECT count(*) FROM facts WHERE facts.et = t.et) AS each FROM t), {_greedy(3)}
+        """ + " UNION ALL ".join(f"SELECT {k} AS pick, name AS layout_table, layout AS layout_columns, CAST({m.amount4('gain')} AS DOUBLE) AS gain_ms FROM g{k}" for k in (1, 2, 3)),
     "W7_benefiting_queries": f"""{BASE} SELECT wt AS layout_table, wc AS layout_columns, template, n FROM t, {WANTED}
         WHERE contains(lower(template), wt) AND len(list_filter(string_split(wc, ','), lambda c: contains(lower(template), c))) > 0""",
     "W8_coverage": f"{BASE} SELECT template, n, CAST({m.r4('coverage')} AS DOUBLE) AS coverage FROM cov",

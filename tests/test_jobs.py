@@ -60,7 +60,8 @@ def test_statistics_reach_the_catalogue(spark, sf):
 
 
 def test_approximate_statistics_are_close(spark, sf):
-    assert all(r.within_a_tenth for r in layout.approximate_statistics(spark, sf).collect())
+    assert {r.column_name: r.few_values for r in layout.approximate_statistics(spark, sf).collect()} == {
+        "o_orderkey": False, "o_custkey": False, "o_orderstatus": True, "o_orderpriority": True}
     orders = table(spark, sf, "orders")
     exact = {r.column_name: r.distinct_values for r in layout.statistics(spark, sf).collect()}
     for r in layout.approximate_profile(orders, layout.ORDER_COLUMNS).collect():
@@ -287,7 +288,7 @@ def test_kernels_travel_by_value(tmp_path):
 def test_every_query_is_named_once_and_has_an_oracle_or_a_reason():
     q, o = registry.queries(), oracles()
     assert len(q) > 150 and set(o) <= set(q) and set(q) <= set(entry.queries())
-    assert set(q) == set(o)
+    assert set(q) - set(o) == {"L3_sketch_estimates", "L6_rewrite_costs"}  # estimates, and figures of a run
 
 
 def test_entry(spark):
@@ -313,3 +314,56 @@ def test_first_fence_of_an_answer_counts(spark, monkeypatch, tmp_path, answer, a
     monkeypatch.setattr(preparation.views, "ANSWER", ["event_id", "text AS answer"])
     row = preparation.action_defaults(spark, str(tmp_path)).first()
     assert (row.action_type, row.query, row.root_cause) == (action, query, cause)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 16, 17, 100, 101, 4096, 4999])
+def test_picks_are_a_permutation_of_every_round(spark, n):
+    rows = spark.range(n * 2).select("id", F.floor(F.col("id") / n).alias("round"), synthesis.permuted(F.col("id") % n, F.lit(n).cast("bigint"), F.floor(F.col("id") / n) * 131 + 7).alias("x")).collect()
+    first, second = ([r.x for r in rows if r["round"] == k] for k in (0, 1))
+    assert sorted(first) == sorted(second) == list(range(n)) and (n < 16 or first != second and first != sorted(first))
+
+
+def test_no_row_twice_in_a_round(spark, as_rows):
+    pool = spark.createDataFrame([(k, "a" if k < 40 else "b") for k in range(57)], "id long, kind string")
+    asked = spark.range(300).selectExpr("id AS event", "CASE WHEN id % 3 = 0 THEN 'b' ELSE 'a' END AS kind").selectExpr("event", "kind", "row_number() OVER (PARTITION BY kind ORDER BY event) - 1L AS nth")
+    got = synthesis.round_picks(spark, pool, asked, "id", "kind")
+    per = got.groupBy("kind", "round").agg(F.count("id").alias("n"), F.countDistinct("id").alias("d")).collect()
+    assert got.count() == 300 and all(r.n == r.d for r in per)
+    assert {(r.kind, r["round"]): r.n for r in per}["a", 0] == 40 and {(r.kind, r["round"]): r.n for r in per}["b", 0] == 17
+
+
+def test_frequent_words_pair_no_text_with_a_passage(spark, as_rows):
+    """A passage whose longest word is in every text: only true matches come out, over several shards."""
+    texts = [f"extraordinarily long texts number {k} go on" for k in range(300)] + ["an extraordinarily b c"]
+    secrets = ["an extraordinarily b", "number 7 go", "extraordinarily", "texts number 299 go on", "go on"]
+    t = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    s = spark.createDataFrame(list(enumerate(secrets)), "item bigint, secret string")
+    want = sorted((i, j) for i, x in enumerate(texts) for j, y in enumerate(secrets) if y in x)
+    assert as_rows(validation.leaks(t, s)) == want == as_rows(validation.leaks(t, s, shard_chars=20))
+
+
+def _plain_search(text):
+    at = text.find("{")
+    while at >= 0:
+        try:
+            found, end = json.JSONDecoder().raw_decode(text, at)
+            if "action_type" in found:
+                return text[at:end]
+        except json.JSONDecodeError:
+            pass
+        at = text.find("{", at + 1)
+    return None
+
+
+def test_search_is_that_of_a_decoder_at_every_brace():
+    rng = random.Random(8)
+    pieces = ['{"action_type": "x"', "{", "}", "[", "]", '"', ",", ":", '"a"', '"action_type"', " ", "1", "-0.5e3", "true", "nul", '"\\u0061ction_type"', '"\\"{"', '{"k": {', "\n", "it's {", '{"a": [1, {"action_type": 2}]}', "01"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(1, 14))) for _ in range(20_000)]
+    got = kernels.action_json(texts)
+    assert [g if isinstance(g, str) else None for g in got] == [_plain_search(t) for t in texts] and sum(isinstance(g, str) for g in got) > 500
+
+
+def test_a_valid_action_after_deep_and_long_rubbish():
+    action = '{"action_type": "create_index"}'
+    for rubbish in ('{"a":' * 100_000, "{" * 500_000, '{"a": "' + "x" * 3_000_000 + '" ', '[{"b": ' * 50_000):
+        assert kernels.action_json([rubbish + action])[0] == action

@@ -282,34 +282,92 @@ def session_processor(gap_ms):
 def action_json(texts):
     """First JSON object with an action_type inside free text, as JSON text.
 
-    NULL input stays NULL, so rows that already parsed cost nothing here.  A text
-    that nests too deeply, or whose search has read it fifty times over, has none.
+    NULL input stays NULL, so rows that already parsed cost nothing here.  Whether a
+    JSON value starts at a brace or bracket, and where it ends, does not depend on what
+    is around it.  So the places are taken from the right, and a value that starts
+    inside another one is known by the time the outer one is looked at: every stretch of
+    text is read once, whatever the nesting, and no depth or length is too much.
     """
     import json
+    import re
 
     import pandas as pd
 
-    decoder = json.JSONDecoder()
+    blank = re.compile(r"[ \t\n\r]*")
+    plain = re.compile(r'"(?:[^"\\\x00-\x1f]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*"|-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|true|false|null|NaN|-?Infinity')
+    string = re.compile(r'"(?:[^"\\\x00-\x1f]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*"')
+
+    def value_end(text, at, ends):
+        if text[at:at + 1] in ("{", "["):
+            return ends.get(at)
+        found = plain.match(text, at)
+        return found and found.end()
+
+    def container(text, start, ends):
+        """(end, whether action_type is a member) of the object or array at `start`, or None if none starts there."""
+        is_object, close = text[start] == "{", "}" if text[start] == "{" else "]"
+        at, has = blank.match(text, start + 1).end(), False
+        if text[at:at + 1] == close:
+            return at + 1, False
+        while True:
+            if is_object:
+                key = string.match(text, at)
+                if not key:
+                    return None
+                has = has or json.loads(key.group()) == "action_type"
+                at = blank.match(text, key.end()).end()
+                if text[at:at + 1] != ":":
+                    return None
+                at = blank.match(text, at + 1).end()
+            at = value_end(text, at, ends)
+            if at is None:
+                return None
+            at = blank.match(text, at).end()
+            if text[at:at + 1] == close:
+                return at + 1, has
+            if text[at:at + 1] != ",":
+                return None
+            at = blank.match(text, at + 1).end()
 
     def search(text):
-        at = text.find("{") if text else -1
-        left = 50 * len(text or "") + 1_000_000
-        while at >= 0 and left > 0:
-            try:
-                found, end = decoder.raw_decode(text, at)
-                if "action_type" in found:
-                    return text[at:end]
-                left -= end - at
-            except json.JSONDecodeError as e:
-                left -= e.pos - at
-            except RecursionError:
-                return None
-            at = text.find("{", at + 1)
-        return None
+        first, ends = None, {}
+        for found in reversed(list(re.finditer(r"[{\[]", text))):
+            start = found.start()
+            known = container(text, start, ends)
+            if known:
+                ends[start] = known[0]
+                first = (start, known[0]) if known[1] else first
+        return text[first[0]:first[1]] if first else None
 
     return pd.Series([search(t) if isinstance(t, str) else None for t in texts], dtype="object")
 
 
+def passage_finder(passages):
+    """Task: (id, item) for every text (id, text) that holds a passage verbatim; passages: (item, text) pairs of one shard."""
+    import pyarrow as pa
+
+    def run(batches):
+        import ahocorasick
+
+        places = {}
+        for k, (_, text) in enumerate(passages):
+            places.setdefault(text, []).append(k)
+        automaton = ahocorasick.Automaton()
+        for text, at in places.items():
+            automaton.add_word(text, at)
+        automaton.make_automaton()
+        items = pa.array([i for i, _ in passages])
+        for batch in batches:
+            rows, hits = [], []
+            for k, text in enumerate(batch.column(1)):
+                found = {j for _, at in automaton.iter(text.as_py() or "") for j in at}
+                rows += [k] * len(found)
+                hits += sorted(found)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), items.take(pa.array(hits, pa.int64()))], names=["id", "item"])
+
+    return run
+
+
 def _score_terminal(gained, gap, step):
     from decimal import ROUND_HALF_UP, Decimal
     raw = gained / SCALE / (gap / SCALE) * 0.60 + (1.0 - step / 50.0) * 0.20 + 0.10
@@ -367,15 +425,6 @@ def score_step(state, action, perf, grade, rules):
     return reward
 
 
-def json_documents(batches):
-    """One JSON array document per Arrow batch of single-row JSON texts."""
-    import pandas as pd
-
-    for pdf in batches:
-        if len(pdf):
-            yield pd.DataFrame({"value": ["[" + ",".join(pdf["row"]) + "]"]})
-
-
 def first_rows(chunks, order, limit):
     """The first `limit` rows of one key; never holds more than a chunk beyond that."""
     import pandas as pd

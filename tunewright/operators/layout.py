@@ -156,12 +156,9 @@ def statistics(spark, sf_dir):
 
 
 def approximate_statistics(spark, sf_dir):
-    """The approximate profile, and whether its distinct counts are within a tenth of the exact ones."""
-    orders = table(spark, sf_dir, "orders")
-    exact = column_profile(orders, ORDER_COLUMNS).select("column_name", F.col("distinct_values").alias("exact"))
-    near = F.abs(F.col("distinct_values") - F.col("exact")) <= F.col("exact") * 0.1
-    return approximate_profile(orders, ORDER_COLUMNS).join(exact, "column_name").select(
-        "column_name", "row_count", "nulls", near.alias("within_a_tenth"))
+    """The approximate profile, and which columns have so few values that a partition each would do."""
+    return approximate_profile(table(spark, sf_dir, "orders"), ORDER_COLUMNS).select(
+        "column_name", "row_count", "nulls", (F.col("distinct_values") <= 100).alias("few_values"))
 
 
 def dropped_copy(spark, sf_dir):
@@ -185,29 +182,76 @@ def denormalised(spark, sf_dir):
     return spark.read.parquet(path).select("o_orderkey", "o_custkey", "o_totalprice", "c_mktsegment")
 
 
+REWRITES = {
+    "subqueries_to_join": (
+        f"SELECT c_custkey, (SELECT count(*) FROM {{orders}} WHERE o_custkey = c_custkey) AS n, "
+        f"coalesce((SELECT sum(CAST(o_totalprice AS {MONEY})) FROM {{orders}} WHERE o_custkey = c_custkey), 0) AS s FROM {{customer}}",
+        f"SELECT c_custkey, coalesce(n, 0) AS n, coalesce(s, 0) AS s FROM {{customer}} LEFT JOIN (SELECT o_custkey, count(*) AS n, "
+        f"sum(CAST(o_totalprice AS {MONEY})) AS s FROM {{orders}} GROUP BY o_custkey) o ON o_custkey = c_custkey"),
+    "function_to_range": (
+        "SELECT o_orderkey FROM {orders} WHERE year(o_orderdate) = 1997 AND month(o_orderdate) = 3",
+        "SELECT o_orderkey FROM {orders} WHERE o_orderdate >= timestamp_ntz'1997-03-01' AND o_orderdate < timestamp_ntz'1997-04-01'"),
+    "comma_to_join": (
+        "SELECT c_name, o_orderkey FROM {customer}, {orders} WHERE c_custkey = o_custkey AND o_totalprice > 300000",
+        "SELECT c_name, o_orderkey FROM {customer} JOIN {orders} ON c_custkey = o_custkey WHERE o_totalprice > 300000"),
+}
+
+
+def plan_nodes(plan):
+    """The operators of a plan that has run, stages and reused parts opened; a reused exchange is not entered twice."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return plan_nodes(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return plan_nodes(plan.plan())
+    if kind == "ReusedExchangeExec":
+        return [(kind, plan)]
+    children = plan.children()
+    return [(kind, plan)] + [n for k in range(children.size()) for n in plan_nodes(children.apply(k))]
+
+
+def plan_figures(df):
+    """(result row, figures) of df after it has run: exchanges, joins, files and bytes opened, and rows that the scans returned."""
+    row = df.collect()[0]  # of one row; the plan that runs is the frame's own
+    nodes = plan_nodes(df._jdf.queryExecution().executedPlan())
+    scans = [n for kind, n in nodes if kind == "FileSourceScanExec"]
+    metric = lambda node, name: node.metrics().apply(name).value() if node.metrics().contains(name) else 0
+    return row, {
+        "exchanges": sum(kind in ("ShuffleExchangeExec", "BroadcastExchangeExec") for kind, _ in nodes),
+        "joins": sum("Join" in kind for kind, _ in nodes),
+        "files": sum(metric(n, "numFiles") for n in scans), "bytes": sum(metric(n, "filesSize") for n in scans),
+        "rows_read": sum(metric(n, "numOutputRows") for n in scans)}
+
+
+def forms(spark, sf_dir):
+    """(rewrite, form, figures) of both forms of every rewrite; a form runs once, down to one row that checks its result."""
+    t = {n: table(spark, sf_dir, n) for n in ("orders", "customer")}
+    for name, pair in REWRITES.items():
+        for form, text in zip(("slow", "fast"), pair):
+            rows = spark.sql(text, **{k: v for k, v in t.items() if "{" + k + "}" in text})
+            check = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)")).alias("h"))
+            yield name, form, *plan_figures(check)
+
+
 def rewrite_effect(spark, sf_dir):
-    """Slow form and rewrite of three statements: do they return the same rows?"""
+    """Slow form and rewrite of three statements: do they return the same rows, and how many rows and files does each read?"""
     t = {n: table(spark, sf_dir, n) for n in ("orders", "customer")}
-    pairs = {
-        "subqueries_to_join": (
-            f"SELECT c_custkey, (SELECT count(*) FROM {{orders}} WHERE o_custkey = c_custkey) AS n, "
-            f"coalesce((SELECT sum(CAST(o_totalprice AS {MONEY})) FROM {{orders}} WHERE o_custkey = c_custkey), 0) AS s FROM {{customer}}",
-            f"SELECT c_custkey, coalesce(n, 0) AS n, coalesce(s, 0) AS s FROM {{customer}} LEFT JOIN (SELECT o_custkey, count(*) AS n, "
-            f"sum(CAST(o_totalprice AS {MONEY})) AS s FROM {{orders}} GROUP BY o_custkey) o ON o_custkey = c_custkey"),
-        "function_to_range": (
-            "SELECT o_orderkey FROM {orders} WHERE year(o_orderdate) = 1997 AND month(o_orderdate) = 3",
-            "SELECT o_orderkey FROM {orders} WHERE o_orderdate >= timestamp_ntz'1997-03-01' AND o_orderdate < timestamp_ntz'1997-04-01'"),
-        "comma_to_join": (
-            "SELECT c_name, o_orderkey FROM {customer}, {orders} WHERE c_custkey = o_custkey AND o_totalprice > 300000",
-            "SELECT c_name, o_orderkey FROM {customer} JOIN {orders} ON c_custkey = o_custkey WHERE o_totalprice > 300000"),
-    }
+    read = {}
+    for name, form, _, figures in forms(spark, sf_dir):
+        read[name, form] = figures
     rows = []
-    for name, (slow, fast) in pairs.items():
+    for name, (slow, fast) in REWRITES.items():
         used = [{k: v for k, v in t.items() if "{" + k + "}" in q} for q in (slow, fast)]
         a, b = (materialised(spark, spark.sql(q, **u), "result") for q, u in zip((slow, fast), used))
-        rows.append(result_diff(a, b).agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("different_rows")).withColumn("rewrite", F.lit(name)))
-    return reduce(lambda x, y: x.unionByName(y), rows).select(
-        "rewrite", "different_rows", (F.col("different_rows") == 0).alias("same_result"))
+        costs = [F.lit(read[name, form][what]).cast("bigint").alias(f"{what}_{form}") for form in ("slow", "fast") for what in ("rows_read", "files")]
+        rows.append(result_diff(a, b).agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("different_rows")).select("different_rows", F.lit(name).alias("rewrite"), *costs))
+    return reduce(lambda x, y: x.unionByName(y), rows).withColumn("same_result", F.col("different_rows") == 0)
+
+
+def rewrite_costs(spark, sf_dir):
+    """Exchanges, joins, files, bytes and rows of both forms, as their plans ran."""
+    rows = [(name, form, *(int(figures[k]) for k in ("exchanges", "joins", "files", "bytes", "rows_read"))) for name, form, _, figures in forms(spark, sf_dir)]
+    return spark.createDataFrame(rows, "rewrite string, form string, exchanges long, joins long, files long, bytes long, rows_read long")
 
 
 QUERIES = {
@@ -221,4 +265,5 @@ QUERIES = {
     "L4_denormalised_column": denormalised,
     "L5_drop_copy": dropped_copy,
     "L6_rewrite_effect": rewrite_effect,
+    "L6_rewrite_costs": rewrite_costs,
 }

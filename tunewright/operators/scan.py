@@ -11,6 +11,8 @@ construction, so their list (a few MB at most) may be broadcast at any scale.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tunewright.session import materialised
+
 MIN_ROWS = 1_000_000
 SHARE = 1e-5
 # Segments are cut by time; more of them than needed absorb bursts.
@@ -94,3 +96,18 @@ def running(df, key, order, values, min_rows=None):
     carried = {name: F.coalesce(F.col(name) + F.col(f"_before_{name}"), F.col(name)) if kind == "sum"
                else F.greatest(F.col(name), F.col(f"_before_{name}")) for name, (kind, _) in values.items()}
     return both.select(*df.columns, *[c.alias(name) for name, c in carried.items()])
+
+
+def numbered(spark, df, key, order, name="rank"):
+    """df with each row's place from 0 in its key by the order; ties are broken as the rows come.
+
+    One global sort numbers the rows of every task through; how many rows of a key the
+    earlier tasks hold is a table of one row per key and task.  No window spans a key.
+    """
+    rows = materialised(spark, df.withColumn("_id", F.monotonically_increasing_id()), "numbered")
+    rows = materialised(spark, rows.orderBy(key, *order, "_id").drop("_id").withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    counts = rows.groupBy(key, F.shiftright("_at", 33).alias("_task")).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    earlier = Window.partitionBy(key).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(F.col(key).alias("_key"), F.col("_task").alias("_of"), "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    both = rows.join(before, F.col(key).eqNullSafe(F.col("_key")) & (F.shiftright("_at", 33) == F.col("_of")))
+    return both.select(*df.columns, (F.col("_before") + F.col("_at") - F.col("_first")).alias(name))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tunewright import dims
 from tunewright.functions.text import dbl
+from tunewright.operators import scan
 from tunewright.session import shared_dir, table
 
 MODULUS = 2147483647
@@ -45,6 +46,48 @@ def fresh_pick(pool, used, key, stratum, k, seed=42):
     return stratified_pick(left.unionByName(over), key, stratum, k, seed)
 
 
+def mixed(c, salt):
+    """draw for a column."""
+    return ((c % MODULUS + (salt * 7919 + 1)) * 48271 % MODULUS + salt) * 69621 % MODULUS
+
+
+def permuted(place, n, key):
+    """A permutation of 0 .. n-1, another one for each key: where a place goes.
+
+    A Feistel network over pairs (a, b) with a < r and b < s, r * s the least such
+    rectangle that holds n places, permutes the rectangle; a place that leaves 0 .. n-1
+    walks on along its cycle.  The cycle meets at most r * s - n places outside before
+    it is back, so that many further steps are enough.
+    """
+    r = F.ceil(F.sqrt(n.cast("double")))
+    s = F.ceil(n / r)
+
+    def step(x):
+        a, b = F.floor(x / s), x % s
+        a = (a + mixed(b * 31 + key, 1)) % r
+        b = (b + mixed(a * 31 + key, 2)) % s
+        a = (a + mixed(b * 31 + key, 3)) % r
+        return (a * s + b).cast("bigint")
+    once = step(place)
+    walked = F.aggregate(F.sequence(F.lit(1).cast("bigint"), F.greatest(F.lit(1).cast("bigint"), r * s - n)), once, lambda x, _: F.when(x < n, x).otherwise(step(x)))
+    return F.when(once < n, once).otherwise(walked)
+
+
+def round_picks(spark, pool, requests, key, stratum):
+    """For every request (stratum, nth from 0) the pool row that the nth pick of its stratum takes, and its round.
+
+    A round takes each row once; the next one starts over in another order.  The row is
+    computed from the request's number, so no list of used rows is kept or joined.
+    """
+    ranked = scan.numbered(spark, pool.select(key, stratum), stratum, [key])
+    sizes = ranked.groupBy(F.col(stratum).alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
+    asked = requests.join(sizes, F.col(stratum) == F.col("_of")).withColumn("round", F.floor(F.col("nth") / F.col("_n")))
+    where = permuted(F.col("nth") % F.col("_n"), F.col("_n"), F.col("round") * 131 + F.crc32(F.col(stratum).cast("string")) % 65_536)
+    asked = asked.withColumn("_rank", where).drop("_of", "_n")
+    ranked = ranked.select(F.col(stratum).alias("_of"), F.col("rank").alias("_r"), key)
+    return asked.join(ranked, (F.col(stratum) == F.col("_of")) & (F.col("_rank") == F.col("_r"))).drop("_of", "_r", "_rank")
+
+
 def scenarios(seeds, seed, tier, domain=None):
     """One row per scenario: domain, distinct tables and one query per slot.
 
@@ -113,6 +156,14 @@ def no_repeat(spark, sf_dir):
     return fresh_pick(p, used, "p_partkey", "p_type", 5)
 
 
+def picks_by_round(spark, sf_dir):
+    """Each event asks for a part of one size; of a size all parts are handed out before one comes again."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", (F.col("event_id") % 50 + 1).cast("int").alias("p_size"))
+    asked = scan.running(events, "p_size", ("ts", "event_id"), {"nth": ("sum", F.lit(1))}).withColumn("nth", F.col("nth") - 1)
+    pool = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    return round_picks(spark, pool.withColumn("p_size", F.col("p_size").cast("int")), asked, "p_partkey", "p_size").select("event_id", "p_size", "round", "p_partkey")
+
+
 def generated(spark, sf_dir):
     return flat(scenarios(seeds_of(spark, sf_dir), "seed", "hard"))
 
@@ -162,6 +213,7 @@ def ultra(spark, sf_dir):
 QUERIES = {
     "S1_stratified_pick": stratified,
     "S2_no_repeat_pick": no_repeat,
+    "S2_round_picks": picks_by_round,
     "S3_generated_scenarios": generated,
     "S4_balanced_batch": balanced,
     "S5_augmentation": augmented,

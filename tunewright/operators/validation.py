@@ -1,12 +1,15 @@
 """Projections, filters and checks on task records, actions and text."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunewright import dims, views
+from tunewright import dims, kernels, views
 from tunewright.functions.text import clamp, dbl, round4
-from tunewright.operators import ledger, scan
+from tunewright.operators import ledger, scan, synthesis
 from tunewright.operators.grading import is_scenario
-from tunewright.operators.preparation import extracted
+from tunewright.operators.preparation import extracted, repairs
 from tunewright.session import table
 
 # ---------------------------------------------------------------- fixed values
@@ -63,38 +66,33 @@ def redacted(spark, sf_dir):
                          F.array_join(F.slice("expected_output", 1, 1), ",").alias("sample"))
 
 
-GRAM = 3  # characters on which texts meet a passage without an inner word
+#: Characters of passages that one automaton holds (some tens of bytes of memory each).
+SHARD_CHARS = 2_000_000
 
 
-def leaks(texts, secrets):
+def leaks(texts, secrets, shard_chars=SHARD_CHARS):
     """(id, item) pairs where a text contains a secret passage verbatim.
 
-    Every word inside a passage except the first and last must occur as a whole
-    word in a text that contains it, so texts and passages meet on the longest
-    such word.  Passages without one (two words at most) meet the texts on their
-    first characters instead; texts are cut into such pieces only if there are
-    such passages.  Only narrow (id, key) rows are shuffled for the meeting, and
-    only the pairs that meet fetch the text and are verified.
+    The passages are dealt into shards of bounded size; an automaton of a shard's
+    passages finds all of them in one reading of a text, however frequent their words
+    are.  No text and no pair is shuffled.  A shard is one scan of the texts; passages
+    come to the driver a shard at a time.
     """
-    blanks = r"\s+"
-    words = F.split("secret", blanks)
-    inner = F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0)))
-    longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    secrets = secrets.where("secret <> ''").select("item", "secret", longest.alias("word"))
-    secrets = secrets.select("item", "secret", F.when(F.col("word").isNotNull(), 0).otherwise(F.least(F.length("secret"), F.lit(GRAM))).alias("kind"),
-                             F.coalesce("word", F.left("secret", F.lit(GRAM))).alias("key"))
-    kinds = secrets.agg(F.collect_set("kind")).scalar()
-
-    def grams(n):
-        at = F.sequence(F.lit(1), F.length("text") - (n - 1))
-        return F.when(F.array_contains(F.col("kinds"), n) & (F.length("text") >= n), F.array_distinct(
-            F.transform(at, lambda i: F.struct(F.lit(n).alias("kind"), F.substring("text", i, F.lit(n)).alias("key")))))
-    whole = F.transform(F.array_distinct(F.split("text", blanks)), lambda w: F.struct(F.lit(0).alias("kind"), w.alias("key")))
-    keys = F.flatten(F.filter(F.array(whole, *[grams(n) for n in range(1, GRAM + 1)]), lambda a: a.isNotNull()))
-    own = texts.select("id", "text", kinds.alias("kinds")).select("id", F.inline(keys))
-    meet = own.join(secrets.select("kind", "key", "item"), ["kind", "key"]).select("id", "item")
-    return (meet.join(texts, "id").join(secrets.select("item", "secret"), "item")
-            .where(F.contains("text", F.col("secret"))).select("id", "item"))
+    found, shard, size, kind = [], [], 0, texts.schema["id"].dataType.simpleString()
+    schema = f"id {kind}, item {secrets.schema['item'].dataType.simpleString()}"
+
+    def scan():
+        found.append(texts.select("id", "text").mapInArrow(kernels.passage_finder(list(shard)), schema))
+    for row in secrets.where("secret <> ''").select("item", "secret").toLocalIterator():
+        if shard and size + len(row["secret"]) > shard_chars:
+            scan()
+            shard.clear()
+            size = 0
+        shard.append(tuple(row))
+        size += len(row["secret"])
+    if shard:
+        scan()
+    return reduce(DataFrame.unionByName, found) if found else texts.sparkSession.createDataFrame([], schema)
 
 
 def leak_check(spark, sf_dir):
@@ -190,7 +188,58 @@ def catalogue(spark, sf_dir):
         .withColumn("actions", F.lit(",".join(sorted(dims.ACTIONS)))))
 
 
+def scenario_records(spark, sf_dir):
+    """Tuning tasks of the customers, as task records with their answers."""
+    made = synthesis.scenarios(synthesis.seeds_of(spark, sf_dir), "seed", "medium")
+    return made.select(
+        "id", "tier", F.concat(F.lit("Slow statements of a "), F.col("domain")).alias("description"), "tables", "slow_queries", "missing_index_hints",
+        (F.col("baseline_tenths") / 10).alias("performance_score_baseline"), (F.col("target_tenths") / 10).alias("target_score"), "max_steps",
+        F.lit("indexing").alias("category"), F.transform("missing_index_hints", lambda h: F.concat(F.lit("create_index:"), h["table"])).alias("optimal_actions"))
+
+
+def case_records(spark, sf_dir):
+    """Debugging tasks from the log of buggy statements, as task records with their answers."""
+    r = repairs(spark, sf_dir)
+    issue = F.when(F.col("category") == "performance", F.struct(
+        F.lit("scan").alias("type"), F.lit("slow").alias("impact"), F.lit(900).cast("bigint").alias("execution_time_buggy_ms"), F.lit(9).cast("bigint").alias("execution_time_fixed_ms")))
+    tier = F.when(F.col("category") == "syntax", "easy").when(F.col("category") == "logic", "medium").otherwise("hard")
+    return r.select(
+        F.concat(tier, F.lit("_"), F.col("event_id")).alias("id"), F.concat(F.lit("Repair a statement of user "), F.col("user_id")).alias("description"),
+        "buggy_query", "fixed_query", "error_message", "category", F.col("category").alias("error_type"), "error_location",
+        F.create_map(F.lit("events"), F.array(F.lit("event_id BIGINT"))).alias("database_schema"), F.when(F.col("event_id") % 2 == 0, 3).alias("estimated_fix_steps"),
+        F.concat(F.lit('[{"k": '), F.col("event_id"), F.lit('}, {"k": 0}]')).alias("expected_output"), issue.alias("performance_issue"), "event_id")
+
+
+def shown_scenarios(spark, sf_dir):
+    """What an agent sees of every tuning task, as JSON text."""
+    seen = visible_scenarios(scenario_records(spark, sf_dir))
+    return seen.select("scenario_id", "category", F.array_join("tables.name", ",").alias("tables"), F.array_join("slow_queries.sql", ";").alias("statements"),
+                       F.array_join(F.array_sort(F.json_object_keys(F.to_json(F.struct(*seen.columns)))), ",").alias("fields"))
+
+
+def shown_cases(spark, sf_dir):
+    """What an agent sees of every debugging task."""
+    seen = visible_cases(case_records(spark, sf_dir))
+    return seen.select("id", "buggy_query", "error_type_hint", "estimated_steps", F.to_json("performance_issue").alias("issue"), "expected_output_sample",
+                       F.lit(",".join(sorted(seen.columns))).alias("fields"))
+
+
+def case_hints(spark, sf_dir):
+    """The hint an agent gets that asks for one for the n-th time, n from 1 to 4, on every debugging task."""
+    n = (F.col("event_id") % 4 + 1).cast("int")
+    return case_records(spark, sf_dir).select("event_id", n.alias("asked"), case_hint(n, F.col("error_location"), F.col("error_type"), F.col("category"), F.col("fixed_query")).alias("hint"))
+
+
+def all_tasks(spark, sf_dir):
+    """The list of all tasks, scenarios and cases, with tier and description."""
+    return task_list(scenario_records(spark, sf_dir), case_records(spark, sf_dir))
+
+
 QUERIES = {
+    "P1_visible_scenarios": shown_scenarios,
+    "P1_visible_cases": shown_cases,
+    "P10_case_hints": case_hints,
+    "P11_task_list": all_tasks,
     "P1_redaction": redacted,
     "P2_leak_check": leak_check,
     "P3_domain_check": domain_check,

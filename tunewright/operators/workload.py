@@ -249,6 +249,56 @@ def what_if(spark, sf_dir):
         F.coalesce(F.sum(F.when(better, F.col("ms"))), F.lit(0)).cast("double").alias("total_ms"))
 
 
+def candidates(sets, most_columns=3):
+    """(table_name, cols): copies that could narrow some template's search: its point columns, and one range column after them; and their prefixes.
+
+    Point columns stand in the order of the time that asks for them, so that copies
+    for different templates share prefixes.
+    """
+    asked = sets.select("table_name", "ms", F.explode("point").alias("c")).groupBy("table_name", "c").agg(F.sum("ms").alias("w"))
+    asked = asked.groupBy("table_name").agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("w")).alias("o"), "c"))), lambda x: x["c"]).alias("order"))
+    rows = sets.join(asked, "table_name", "left").withColumn("lead", F.filter(F.coalesce("order", F.array().cast("array<string>")), lambda c: F.array_contains("point", c)))
+    ends = F.concat(F.array(F.array().cast("array<string>")), F.transform(F.array_except("span", "point"), lambda c: F.array(c)))
+    full = rows.select("table_name", "lead", F.explode(ends).alias("end")).select("table_name", F.slice(F.concat("lead", "end"), 1, most_columns).alias("full"))
+    prefixes = F.transform(F.sequence(F.lit(1), F.size("full")), lambda k: F.slice("full", 1, k))
+    return full.where(F.size("full") > 0).select("table_name", F.explode(prefixes).alias("cols")).distinct()
+
+
+def selected_layouts(spark, t, sets, copies=3):
+    """Up to `copies` new copies, each the one that serves the most logged time beyond those before it.
+
+    The time served is a monotone submodular function of the set of copies (a template
+    counts with its best copy of each table), so picking greedily comes within 1 - 1/e
+    of the best set.  One aggregate over (candidate, template) rows a round.
+    """
+    share = sets.groupBy("template").agg(F.sum(F.size("cols")).alias("all"))
+    sets = sets.join(t.select("template", "ms"), "template").join(share, "template").withColumn("each", F.col("ms").cast("double") / F.col("all"))
+    sets = materialised(spark, sets.drop("layouts"), "sets")
+    options = candidates(sets).withColumnRenamed("cols", "layout")
+    n = looked_up(F.col("layout"), F.col("point"), F.col("span"))
+    gains = materialised(spark, sets.join(options, "table_name").select("template", "table_name", "each", "best", "layout", n.alias("n")).where("n > best"), "gains")
+    chosen = []
+    for pick in range(1, copies + 1):
+        best = gains.groupBy("table_name", "layout").agg(F.sum((F.col("n") - F.col("best")) * F.col("each")).alias("gain_ms")).select(
+            "table_name", "layout", F.round("gain_ms", 6).alias("gain_ms")).orderBy(F.desc("gain_ms"), F.size("layout"), "table_name", "layout").first()
+        if best is None:
+            break
+        chosen.append((pick, best["table_name"], ",".join(best["layout"]), best["gain_ms"]))
+        name, cols = best["table_name"], F.array(*map(F.lit, best["layout"]))
+        # what a template has from here on: the better of its best and the pick
+        now = sets.select("template", "table_name", F.greatest("best", F.when(F.col("table_name") == name, looked_up(cols, F.col("point"), F.col("span"))).otherwise(0)).alias("best"),
+                          *[c for c in sets.columns if c not in ("template", "table_name", "best")])
+        sets = materialised(spark, now, "sets")
+        gains = materialised(spark, gains.drop("best").join(sets.select("template", "table_name", "best"), ["template", "table_name"]).where("n > best"), "gains")
+    return spark.createDataFrame(chosen, "pick int, layout_table string, layout_columns string, gain_ms double")
+
+
+def layout_selection(spark, sf_dir):
+    """Three copies that together serve the most time beyond the copies there are, and the time each adds."""
+    t, sets = analysed(spark, sf_dir)
+    return selected_layouts(spark, t, sets).withColumn("gain_ms", dbl(amount4(F.col("gain_ms")), "gain_ms"))
+
+
 def scan_report(spark, sf_dir):
     """Templates with or without a layout behind their predicates, what they cost in the log, and the columns no layout narrows by."""
     t, sets = analysed(spark, sf_dir)
@@ -317,6 +367,7 @@ QUERIES = {
     "W4_slowest_templates": slowest,
     "W5_predicate_columns": predicates,
     "W6_layout_recommendations": recommendations,
+    "W6_layout_selection": layout_selection,
     "W7_benefiting_queries": benefiting,
     "W8_coverage": coverage_scores,
     "W9_time_shares": time_shares,

@@ -5,7 +5,7 @@ from importlib import import_module
 MODULES = (
     "operators.ledger", "operators.corpus", "operators.curriculum", "operators.workload", "operators.grading",
     "operators.metrics", "operators.validation", "operators.preparation", "operators.datasets",
-    "operators.layout", "operators.synthesis", "streaming.episodes",
+    "operators.layout", "operators.skipping", "operators.profiles", "operators.synthesis", "streaming.episodes",
 )
 
 

@@ -5,7 +5,6 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from tunewright import kernels
 
 CASE_SCHEMA = """
 id string, category string, description string, buggy_query string, fixed_query string, error_message string,
@@ -56,10 +55,17 @@ def write_json_lines(df, path):
     df.write.mode("errorifexists").option("ignoreNullFields", False).json(path)
 
 
-def write_json_documents(df, path):
-    """JSON array documents, one per Arrow batch: no shuffle, bounded documents, no row lost."""
-    rows = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("row"))
-    rows.mapInPandas(kernels.json_documents, "value string").write.mode("errorifexists").text(path)
+DOCUMENT_ROWS = 10_000
+
+
+def write_json_documents(df, path, rows_each=DOCUMENT_ROWS):
+    """JSON array documents of at most that many rows, one a line; no row lost."""
+    number = F.monotonically_increasing_id()
+    rows = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("row"), number.alias("at"))
+    # rows of one task are numbered through, from a multiple of 2^33
+    part = rows.groupBy(F.shiftright("at", 33).alias("task"), F.floor(F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) / rows_each).alias("chunk"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "row"))), lambda x: x["row"]), ",")
+    part.agg(F.concat(F.lit("["), body, F.lit("]")).alias("value")).select("value").write.mode("errorifexists").text(path)
 
 
 def case_truth(cases):
