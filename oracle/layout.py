@@ -23,6 +23,8 @@ ORACLE = {
             || ' done=' || CASE WHEN done THEN 'true' ELSE 'false' END || ' error=null' FROM live
         UNION ALL {_END}""",
     "IO9_parsed_run_log": f"{ledger.CHAIN} SELECT episode_id, step_no, action_type, CAST(round(reward, 2) AS DOUBLE) AS reward, done FROM live",
+    "IO9_run_log_source": f"{ledger.CHAIN} SELECT episode_id, step_no, action_type, CAST(round(reward, 2) AS DOUBLE) AS reward, done FROM live",
+    "IO9_run_log_stream": f"{ledger.CHAIN} SELECT episode_id, step_no, action_type, CAST(round(reward, 2) AS DOUBLE) AS reward, done FROM live",
     "L1_list_partitions": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'O'",
     "L1_range_partitions": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_shipdate < TIMESTAMP '1998-02-01'",
     "L1_hash_partitions": "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1",

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from tunewright.operators import ledger
 from tunewright.session import shared_dir, table
 from tunewright.sources import datasets as ds
+from tunewright.sources.run_log import SCHEMA, RunLogSource
+from tunewright.streaming.episodes import drain
 
 PART = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
 
@@ -93,7 +95,31 @@ def parsed_log(spark, sf_dir):
     return ds.read_run_log(spark, path)
 
 
+def logged(spark, sf_dir):
+    """Folder of the run log, written by the data source."""
+    spark.dataSource.register(RunLogSource)
+    path = shared_dir(spark, "run-log-source")
+    ordered = log_lines(spark, sf_dir).repartition("episode_id").sortWithinPartitions("episode_id", "line_no")
+    ordered.write.format("run_log").mode("append").save(path)
+    return path
+
+
+def log_source(spark, sf_dir):
+    """The steps as the data source writes and reads them."""
+    path = logged(spark, sf_dir)
+    return spark.read.format("run_log").load(path)
+
+
+def log_stream(spark, sf_dir):
+    """The steps as a stream over the data source finds them."""
+    path, out = logged(spark, sf_dir), shared_dir(spark, "run-log-steps")
+    drain(spark.readStream.format("run_log").load(path), out, shared_dir(spark, "run-log-state"))
+    return spark.read.schema(SCHEMA).parquet(out)
+
+
 QUERIES = {
+    "IO9_run_log_source": log_source,
+    "IO9_run_log_stream": log_stream,
     "IO1_json_array": whole_file_array,
     "IO2_tagged_union": tagged_union,
     "IO3_tolerant_read": tolerant,

@@ -123,7 +123,7 @@ def read_run_log(spark, path):
 
     def part(i):
         return F.regexp_extract("line", STEP_PATTERN, i)
-    return raw.where(F.regexp_like("line", F.lit(f"^{STEP_PATTERN}$"))).select(
-        F.col("run").cast("bigint").alias("episode_id"), part(1).cast("bigint").alias("step_no"),
+    return raw.where(F.regexp_like("line", F.lit(f"^{STEP_PATTERN}$")) & F.regexp_like("run", F.lit(r"^-?\d+$"))).select(
+        F.col("run").try_cast("bigint").alias("episode_id"), part(1).cast("bigint").alias("step_no"),
         part(2).alias("action_type"), part(3).cast("double").alias("reward"),
         (part(4) == "true").alias("done"))
