@@ -172,16 +172,16 @@ def _answer(spark, sf_dir, limits):
 
 
 def query(spark, sf_dir):
-    """The flat limits that ORACLE states."""
-    return _answer(spark, sf_dir, Limits())
+    """The word limit follows the text's length."""
+    return _answer(spark, sf_dir, ByLength())
 
 
-def by_length(spark, sf_dir):
-    return _answer(spark, sf_dir, ByLength())
+def flat_limits(spark, sf_dir):
+    return _answer(spark, sf_dir, Limits())
 
 
-def _oracle():
-    """The same verdicts as one statement of another engine, lists in place of arrays."""
+def _flat_oracle():
+    """The verdicts by flat limits as one statement of another engine, lists in place of arrays."""
     common = {lang: "[" + ", ".join(f"'{w}'" for w in v) + "]" for lang, v in COMMON.items()}
     pick = "CASE l " + " ".join(f"WHEN '{lang}' THEN {v}" for lang, v in common.items()) + " ELSE []::VARCHAR[] END"
     rest, steps, names = "t", [], []
@@ -220,12 +220,12 @@ SELECT doc_id, n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n
 """
 
 
-def _oracle_by_length():
+def _oracle():
     flat, falling = Limits(), ByLength()
     rule = f"n_words >= {flat.least_words} AND wd > {flat.words}"
-    assert ORACLE.count(rule) == 1
-    return ORACLE.replace(rule, f"n_words >= {falling.least_words} AND wd > {falling.words}::DOUBLE + {falling.fall}::DOUBLE / sqrt(greatest(n_words, 1))")
+    assert FLAT_ORACLE.count(rule) == 1
+    return FLAT_ORACLE.replace(rule, f"n_words >= {falling.least_words} AND wd > {falling.words}::DOUBLE + {falling.fall}::DOUBLE / sqrt(greatest(n_words, 1))")
 
 
+FLAT_ORACLE = _flat_oracle()
 ORACLE = _oracle()
-BY_LENGTH_ORACLE = _oracle_by_length()

@@ -8,7 +8,7 @@ MODULES = {
     "sharding": "op3_virtual_slots", "topk": "op4_block_top_k", "warc": "op8_capture_index", "quality": "op9_quality_divergence", "chat": "op10_chat_assembly",
     "toxicity": "op11_nearest_votes", "manifest": "op12_merkle_climb", "whitening": "op13_feast_whitening",
 }
-BY_LENGTH = "op9_quality_by_length"
+FLAT = "op9_quality_flat_limits"
 
 
 def _module(name):
@@ -22,8 +22,8 @@ def _pipeline(spark, sf_dir):
 
 
 def queries():
-    return {key: _module(name).query for name, key in MODULES.items()} | {BY_LENGTH: _module("quality").by_length, "pipeline": _pipeline}
+    return {key: _module(name).query for name, key in MODULES.items()} | {FLAT: _module("quality").flat_limits, "pipeline": _pipeline}
 
 
 def oracles():
-    return {key: _module(name).ORACLE for name, key in MODULES.items() if getattr(_module(name), "ORACLE", None)} | {BY_LENGTH: _module("quality").BY_LENGTH_ORACLE}
+    return {key: _module(name).ORACLE for name, key in MODULES.items() if getattr(_module(name), "ORACLE", None)} | {FLAT: _module("quality").FLAT_ORACLE}
