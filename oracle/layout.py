@@ -34,7 +34,7 @@ ORACLE = {
         f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS distinct_values, "
         f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM orders" for c in _COLS),
     "L3_approximate_statistics": " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS nulls, count(DISTINCT {c}) <= 100 AS few_values FROM orders" for c in _COLS),
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS nulls, true AS within_a_tenth, count(DISTINCT {c}) <= 100 AS few_values FROM orders" for c in _COLS),
     "L5_drop_copy": "SELECT count(*) AS copy_rows, count(*) AS base_rows, false AS copy_exists FROM orders",
     "L4_denormalised_column": "SELECT o_orderkey, o_custkey, o_totalprice, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey",
     # every scan returns its whole table: the tables are in no order that a filter could use; two subqueries read the orders twice

@@ -156,9 +156,13 @@ def statistics(spark, sf_dir):
 
 
 def approximate_statistics(spark, sf_dir):
-    """The approximate profile, and which columns have so few values that a partition each would do."""
-    return approximate_profile(table(spark, sf_dir, "orders"), ORDER_COLUMNS).select(
-        "column_name", "row_count", "nulls", (F.col("distinct_values") <= 100).alias("few_values"))
+    """The approximate profile, whether its distinct counts are within a tenth of the exact ones, and which columns have so few values that a partition each would do."""
+    orders, found = table(spark, sf_dir, "orders"), F.col("distinct_values")
+    exact = column_profile(orders, ORDER_COLUMNS).select("column_name", F.col("distinct_values").alias("exact"))
+    # one row per profiled column on both sides; a table without rows has no exact counts
+    true = F.coalesce(F.col("exact"), F.lit(0))
+    return approximate_profile(orders, ORDER_COLUMNS).join(F.broadcast(exact), "column_name", "left").select(
+        "column_name", "row_count", "nulls", (F.abs(found - true) <= true * 0.1).alias("within_a_tenth"), (found <= 100).alias("few_values"))
 
 
 def dropped_copy(spark, sf_dir):
