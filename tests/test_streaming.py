@@ -114,6 +114,62 @@ def test_pages_of_any_arrival(seed):
         assert emitted == len(rows)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_sessions_of_a_group_of_users(seed):
+    """Several users share a key: one call and at most one new timer a trigger, and the runs are those of each user alone."""
+    rng, gap_ms = random.Random(seed), 10
+    rows = [(rng.choice((3, 5, 1 << 40)), k, rng.randrange(400_000)) for k in range(120)]
+    rows.sort(key=lambda r: r[2] + rng.randrange(60_000))
+    state, mark, closed, latest, late, calls = _State(), 0, [], {}, set(), 0
+    processor = kernels.session_processor(gap_ms)
+    processor.init(state)
+    timer_values = type("T", (), {"getCurrentWatermarkInMs": staticmethod(lambda: mark)})
+
+    def keep(frames):
+        for r in pd.concat(frames).itertuples(index=False) if frames else ():
+            if r.kind == "late":
+                late.add(r.event_id)
+            elif r.kind == "closed":
+                closed.append((r.user_id, r.lo, r.hi, r.n))
+            else:
+                version, runs = latest.get(r.user_id, (0, []))
+                latest[r.user_id] = (r.version, (runs if r.version == version else []) + [(r.user_id, r.lo, r.hi, r.n)] * (r.n > 0))
+    for first in range(0, len(rows), 15):
+        part = pd.DataFrame(rows[first:first + 15], columns=["user_id", "event_id", "us"])
+        before = len(state.timers)
+        keep(list(processor.handleInputRows((7,), iter([part.iloc[:4], part.iloc[4:]]), timer_values)))
+        assert len(state.timers) <= before + 1
+        mark = max(mark, max(r[2] for r in rows[:first + 15]) // 1000 - 30)
+        for at in sorted(t for t in state.timers if t <= mark):
+            state.timers.discard(at)
+            keep(list(processor.handleExpiredTimer((7,), timer_values, None)))
+    want = []
+    for user, event, us in sorted((u, e, t) for u, e, t in rows if e not in late):
+        want.append((user, us))
+    runs = []
+    for user, us in sorted(want):
+        if runs and runs[-1][0] == user and us - runs[-1][2] < gap_ms * 1000:
+            runs[-1] = (user, runs[-1][1], us, runs[-1][3] + 1)
+        else:
+            runs.append((user, us, us, 1))
+    assert closed and sorted(closed + [r for _, v in latest.values() for r in v]) == runs
+
+
+def test_sessions_without_a_user(spark, tmp_path, as_rows):
+    """Rows without a user are a group of their own, and their late rows are told too."""
+    rows = [(None if k % 3 else k % 2, k, 3_600 * (k if k % 10 else max(0, k - 15))) for k in range(60)]
+    e = spark.createDataFrame(rows, "user_id bigint, event_id bigint, s bigint").selectExpr("event_id", "CAST(timestamp_seconds(s) AS TIMESTAMP_NTZ) AS ts", "user_id")
+    e.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    got = episodes.delivered(spark, str(tmp_path), 0.05)
+    seen = got.where("kind = 'late'").count() + got.where("kind = 'closed'").agg(F.sum("n")).first()[0]
+    left = {}
+    for r in got.where("kind = 'open'").collect():
+        if r.version >= left.get(r.user_id, (0, 0))[0]:
+            n = left[r.user_id][1] if left.get(r.user_id, (0, 0))[0] == r.version else 0
+            left[r.user_id] = (r.version, n + r.n)
+    assert None in left and seen + sum(n for _, n in left.values()) == len(rows)
+
+
 def test_sessions_and_late_rows_account_for_every_event(spark, sf, as_rows):
     """What is late goes aside, the rest makes the runs that a batch job makes of it."""
     rows = episodes.delivered(spark, sf, 0.05)

@@ -209,33 +209,55 @@ def tier_processor(rules, chunk=512):
 
 
 def session_processor(gap_ms):
-    """Stateful processor: runs of activity of one user that end after an idle gap, closed by event-time timers.
+    """Stateful processor: runs of activity of a group of users that end after an idle gap, closed by event-time timers.
 
     A row before the watermark is late, for the run it belongs to may be closed: it goes
-    out as such and changes nothing.  The runs still open go out again under a new version whenever
+    out as such and changes nothing.  The runs still open of a user go out again under a new version whenever
     they change; a run that its timer closes goes out for good.
+
+    A key is a group of users, so that calls and state reads are paid per group: the runs
+    of all its users are arrays, and one timer stands for the run that ends first.  Users
+    without an id are a group of their own, whose key is null.
     """
     from pyspark.sql.streaming import StatefulProcessor
 
-    names = ["user_id", "kind", "lo", "hi", "n", "event_id", "version"]
-
     class SessionProcessor(StatefulProcessor):
         def init(self, handle):
             self.handle = handle
-            self.open = handle.getValueState("open", "lo array<bigint>, hi array<bigint>, n array<bigint>, version bigint")
+            # runs: 64-bit users, starts, ends and counts, one after the other; timer: the earliest one that is set, -1 for none
+            self.open = handle.getValueState("open", "runs binary, version bigint, timer bigint")
 
         def _state(self):
-            return ([], [], [], 0) if not self.open.exists() else tuple(list(v) if k < 3 else int(v) for k, v in enumerate(self.open.get()))
+            import numpy as np
 
-        def _frame(self, rows):
+            if not self.open.exists():
+                return np.zeros((4, 0), np.int64), 0, -1
+            runs, version, timer = self.open.get()
+            return np.frombuffer(bytes(runs), np.int64).reshape(4, -1), int(version), int(timer)
+
+        def _keep(self, runs, version, timer):
+            """Store the runs, with a timer for the first that ends (a run is over a millisecond after its gap)."""
+            if runs.shape[1]:
+                due = int(runs[2].min()) // 1000 + gap_ms + 1
+                if timer < 0 or due < timer:
+                    self.handle.registerTimer(due)
+                    timer = due
+            self.open.update((runs.tobytes(), version, timer))
+
+        def _frame(self, key, kind, runs, version, event_id=None):
             import pandas as pd
 
-            return pd.DataFrame(rows, columns=names).astype({"event_id": "Int64"})
+            user, lo, hi, n = runs
+            return pd.DataFrame({"user_id": pd.array([None] * len(user) if pd.isna(key[0]) else user, "Int64"), "kind": kind, "lo": lo, "hi": hi, "n": n,
+                                 "event_id": pd.array([None] * len(user) if event_id is None else event_id, "Int64"), "version": version})
+
+        def _changed(self, key, runs, users, version):
+            """The open runs of users; one row of nothing tells that a user's newest version has none."""
+            import numpy as np
 
-        def _keep(self, key, runs, version, out):
-            self.open.update(([r[0] for r in runs], [r[1] for r in runs], [r[2] for r in runs], version))
-            # one row of nothing tells that the newest version has no open run
-            return self._frame(out + ([(key[0], "open", lo, hi, n, None, version) for lo, hi, n in runs] or [(key[0], "open", 0, 0, 0, None, version)]))
+            mine = runs[:, np.isin(runs[0], users)]
+            gone = np.setdiff1d(users, mine[0])
+            return self._frame(key, "open", np.concatenate([mine, [gone, *np.zeros((3, len(gone)), np.int64)]], axis=1), version)
 
         def handleInputRows(self, key, rows, timer_values):
             import numpy as np
@@ -244,34 +266,36 @@ def session_processor(gap_ms):
             fresh = pd.concat(list(rows), ignore_index=True)
             gap, mark = gap_ms * 1000, timer_values.getCurrentWatermarkInMs()
             us = fresh["us"].to_numpy(np.int64)
+            user = np.zeros(len(us), np.int64) if pd.isna(key[0]) else fresh["user_id"].to_numpy(np.int64)
             late = us // 1000 < mark
-            out = [(key[0], "late", int(u), int(u), 1, int(e), 0) for u, e in zip(us[late], fresh["event_id"].to_numpy()[late])]
-            lo, hi, n, version = self._state()
-            us = np.sort(us[~late])
-            if not len(us):
-                if out:
-                    yield self._frame(out)
+            if late.any():
+                yield self._frame(key, "late", np.stack([user[late], us[late], us[late], np.ones(late.sum(), np.int64)]), 0, fresh["event_id"].to_numpy()[late].astype(np.int64))
+            if late.all():
                 return
+            runs, version, timer = self._state()
+            user, us = user[~late], us[~late]
             # runs of the new rows, then those of both, by the same rule
-            lo, hi, n = np.concatenate([lo, us]), np.concatenate([hi, us]), np.concatenate([n, np.ones(len(us))])
-            order = np.argsort(lo, kind="stable")
-            lo, hi, n = (v[order].astype(np.int64) for v in (lo, hi, n))
-            top = np.maximum.accumulate(hi)
-            first = np.concatenate([[True], lo[1:] - top[:-1] >= gap])
-            at = np.flatnonzero(first)
-            runs = list(zip(lo[at].tolist(), np.maximum.reduceat(hi, at).tolist(), np.add.reduceat(n, at).tolist()))
-            for _, end, _ in runs:
-                self.handle.registerTimer(end // 1000 + gap_ms)
-            yield self._keep(key, runs, version + 1, out)
+            runs = np.concatenate([runs, np.stack([user, us, us, np.ones(len(us), np.int64)])], axis=1)
+            runs = runs[:, np.lexsort((runs[1], runs[0]))]
+            top = pd.Series(runs[2]).groupby(runs[0]).cummax().to_numpy()
+            at = np.flatnonzero(np.concatenate([[True], (runs[0, 1:] != runs[0, :-1]) | (runs[1, 1:] - top[:-1] >= gap)]))
+            runs = np.stack([runs[0, at], runs[1, at], np.maximum.reduceat(runs[2], at), np.add.reduceat(runs[3], at)])
+            self._keep(runs, version + 1, timer)
+            yield self._changed(key, runs, np.unique(user), version + 1)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            import numpy as np
+
             mark = timerValues.getCurrentWatermarkInMs()
-            lo, hi, n, version = self._state()
-            runs = list(zip(lo, hi, n))
-            done = [r for r in runs if r[1] // 1000 + gap_ms <= mark]
-            if done:  # a timer of a run that has grown since finds nothing
-                left = [r for r in runs if r not in done]
-                yield self._keep(key, left, version + 1, [(key[0], "closed", *r, None, 0) for r in done])
+            runs, version, timer = self._state()
+            done = runs[2] // 1000 + gap_ms < mark
+            if not done.any() and timer > mark:  # a timer of a run that has grown since, or that went with an earlier timer
+                return
+            left = runs[:, ~done]
+            self._keep(left, version + 1, timer if timer > mark else -1)
+            if done.any():
+                yield self._frame(key, "closed", runs[:, done], 0)
+                yield self._changed(key, left, np.unique(runs[0, done]), version + 1)
 
         def close(self):
             pass

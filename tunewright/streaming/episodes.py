@@ -130,16 +130,19 @@ def tiers(spark, sf_dir, **options):
 
 SESSION_OUT = "user_id bigint, kind string, lo bigint, hi bigint, n bigint, event_id bigint, version bigint"
 GAP_MINUTES = 360
+# Users share that many keys of state, so a trigger has no more calls of the processor than that.
+USER_GROUPS = 4096
 
 
-def session_stream(events, late, gap_minutes=GAP_MINUTES):
+def session_stream(events, late, gap_minutes=GAP_MINUTES, groups=USER_GROUPS):
     """Runs of activity per user, closed when the watermark (`late` behind the newest event) has passed their gap, and late rows.
 
     The processor gets the time as a number: the engine follows the watermark and
     its timers, but drops no late row before the processor has seen it.
     """
-    timed = events.withWatermark("at", late).select("user_id", "event_id", F.unix_micros("at").alias("us"))
-    return timed.groupBy("user_id").transformWithStateInPandas(
+    group = F.when(F.col("user_id").isNotNull(), F.pmod(F.xxhash64("user_id"), F.lit(groups)))
+    timed = events.withWatermark("at", late).select(group.alias("users"), "user_id", "event_id", F.unix_micros("at").alias("us"))
+    return timed.groupBy("users").transformWithStateInPandas(
         statefulProcessor=kernels.session_processor(gap_minutes * 60_000), outputStructType=SESSION_OUT, outputMode="Append", timeMode="EventTime")
 
 
