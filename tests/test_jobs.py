@@ -204,6 +204,17 @@ def test_sizes_follow_the_data(spark, sf):
     assert len(spark.read.parquet(path).inputFiles()) == layout.pieces(rows, 50_000) and spark.read.parquet(path).count() == rows.count()
 
 
+def test_pieces_follow_the_size_in_memory(spark, tmp_path):
+    """Rows that a file holds in a few bytes, and that a sort holds at full width."""
+    rows = spark.range(20_000).selectExpr("id", "repeat('x', 500) AS s", "array(id, id) AS a", "named_struct('b', CAST(NULL AS STRING)) AS `odd.name`", "CAST(NULL AS STRING) AS t")
+    rows.write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    assert 20_000 * 500 < layout.row_bytes(df) < 20_000 * 700 and layout.row_bytes(df.where("false")) == 0
+    assert layout.pieces(df) == layout.pieces(df.where("false")) == 1 and 10 <= layout.pieces(df, per_sort=1 << 20) <= 14
+    layout.clustered_copy(df, f"{tmp_path}/copy", ["s"], files=layout.pieces(df, per_sort=1 << 20), tie="id")
+    assert len(spark.read.parquet(f"{tmp_path}/copy").inputFiles()) >= 10 and spark.read.parquet(f"{tmp_path}/copy").count() == 20_000
+
+
 def test_no_copy_is_left_in_the_catalogue(spark, sf):
     before = {t.name for t in spark.catalog.listTables()}
     layout.bucketed_join(spark, sf).count()

@@ -4,6 +4,7 @@ import uuid
 from functools import reduce
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from tunewright.operators.corpus import MONEY, result_diff
 from tunewright.session import materialised, shared_dir, table
@@ -12,10 +13,23 @@ from tunewright.session import materialised, shared_dir, table
 FILE_BYTES = 256 << 20
 
 
-def pieces(df, per_piece=FILE_BYTES):
-    """Files or buckets of about that size for the rows of df, from the size that the optimiser reads off its files."""
+# A task sorts the rows of its file; they are many times larger in memory than compressed in a file.
+SORT_BYTES = 256 << 20
+SORTED_TOGETHER = 16
+
+
+def row_bytes(df):
+    """Bytes of all rows of df as a sort holds them: eight a column and what stands beside it, and a few a row."""
+    beside = [F.octet_length(c) if isinstance(t, (StringType, BinaryType)) else F.octet_length(F.to_json(c))
+              for c, t in ((F.col(f"`{f.name}`"), f.dataType) for f in df.schema) if isinstance(t, (StringType, BinaryType, ArrayType, MapType, StructType))]
+    flat = 8 * len(df.columns) + SORTED_TOGETHER
+    return df.agg(F.coalesce(F.sum(sum((F.coalesce(b, F.lit(0)) for b in beside), F.lit(flat)).cast("bigint")), F.lit(0))).first()[0]
+
+
+def pieces(df, per_piece=FILE_BYTES, per_sort=SORT_BYTES):
+    """Files or buckets for the rows of df: of about per_piece by the size that the optimiser reads off its files, and of per_sort in memory at most, about."""
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return max(1, -(-size // per_piece))
+    return max(1, -(-size // per_piece), -(-row_bytes(df) // per_sort))
 
 
 def partition_table(df, path, column, kind="LIST", files=None, tie=None):
