@@ -215,6 +215,15 @@ def test_pieces_follow_the_size_in_memory(spark, tmp_path):
     assert len(spark.read.parquet(f"{tmp_path}/copy").inputFiles()) >= 10 and spark.read.parquet(f"{tmp_path}/copy").count() == 20_000
 
 
+def test_augmentation_sorts_nothing_and_spreads_its_seeds(spark, monkeypatch, tmp_path):
+    spark.range(40).selectExpr("id AS c_custkey").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    want = synthesis.augmented(spark, str(tmp_path))
+    monkeypatch.setattr(synthesis, "SEEDS_PER_TASK", 10)
+    got = synthesis.augmented(spark, str(tmp_path))
+    assert len(got.inputFiles()) > len(want.inputFiles()) == len(dims.GENERATOR_TIERS)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 3
+
+
 def test_no_copy_is_left_in_the_catalogue(spark, sf):
     before = {t.name for t in spark.catalog.listTables()}
     layout.bucketed_join(spark, sf).count()

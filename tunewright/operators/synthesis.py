@@ -13,6 +13,7 @@ from tunewright.operators import scan
 from tunewright.session import shared_dir, table
 
 MODULUS = 2147483647
+SEEDS_PER_TASK = 50_000
 
 
 def draw(seed, salt):
@@ -178,11 +179,10 @@ def augmented(spark, sf_dir):
     """Scenarios of all tiers written by tier and read back."""
     path = shared_dir(spark, "augmented")
     seeds = seeds_of(spark, sf_dir)
-    made = [flat(scenarios(seeds, "seed", t)) for t in dims.GENERATOR_TIERS]
-    union = made[0]
-    for m in made[1:]:
-        union = union.unionByName(m)
-    union.write.partitionBy("tier").parquet(path)
+    # a row becomes many wide ones: small files of seeds are spread over tasks
+    seeds = seeds.repartition(max(1, -(-seeds.count() // SEEDS_PER_TASK)), "seed")
+    for tier in dims.GENERATOR_TIERS:  # a folder each, so that no task sorts its rows by tier
+        flat(scenarios(seeds, "seed", tier)).drop("tier").write.parquet(f"{path}/tier={tier}")
     return spark.read.parquet(path).groupBy("tier").agg(
         F.count(F.lit(1)).alias("queries"), F.count_distinct("id").alias("scenarios"), F.sum("avg_ms").alias("ms"),
         F.max("rows_examined").alias("max_rows"))
