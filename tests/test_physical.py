@@ -48,6 +48,17 @@ def test_few_files_and_all_matches(spark, as_rows, boxed, conditions, most):
     assert opened <= most * there
 
 
+def test_bitmaps_are_built_without_a_sort_of_rows(spark, boxed):
+    """The bits that an aggregate of bitmaps sets, from hash tables of words alone."""
+    rows, path, files = boxed
+    numbers = skipping.manifest(spark, path, ["day", "k"])
+    assert "SortAggregate" not in numbers._jdf.queryExecution().executedPlan().toString()
+    want = spark.read.parquet(path).groupBy(F.input_file_name().alias("file")).agg(*[
+        F.bitmap_construct_agg(F.when(F.col(c).isNotNull(), skipping._bit(F.col(c), s))).alias(f"{c}_{s}") for c in ("day", "k", "s") for s in skipping.SEEDS])
+    got = files.select("file", *[F.col(c)[f"map_{s}"].alias(f"{c}_{s}") for c in ("day", "k", "s") for s in skipping.SEEDS])
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count() > 1
+
+
 def test_hot_value_fills_no_file(spark, boxed):
     rows, path, files = boxed
     assert spark.read.parquet(path).count() == 20_000 and files.agg(F.max("rows")).first()[0] <= 3 * 20_000 / 64

@@ -85,10 +85,23 @@ def _bit(value, seed):
 def manifest(spark, path, columns):
     """One row per file of a copy: file, rows, and per column a struct of lo, hi, nulls and the two bitmaps."""
     rows = spark.read.parquet(path).select(F.input_file_name().alias("file"), *columns)
-    def summary(c):
-        maps = [F.bitmap_construct_agg(F.when(F.col(c).isNotNull(), _bit(F.col(c), s))).alias(f"map_{s}") for s in SEEDS]
-        return F.struct(F.min(c).alias("lo"), F.max(c).alias("hi"), F.count_if(F.col(c).isNull()).alias("nulls"), *maps).alias(c)
-    return rows.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), *[summary(c) for c in columns])
+    ends = rows.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), *[
+        F.struct(F.min(c).alias("lo"), F.max(c).alias("hi"), F.count_if(F.col(c).isNull()).alias("nulls")).alias(f"_{c}") for c in columns])
+    # bits are gathered in words by file, map and place: numbers in a hash table, where an aggregate of bitmaps would sort all rows
+    names = [(c, s) for c in columns for s in SEEDS]
+    bits = rows.select("file", F.posexplode(F.array(*[F.when(F.col(c).isNotNull(), _bit(F.col(c), s)) for c, s in names])).alias("_map", "_at")).where("_at IS NOT NULL")
+    # the first byte of a word is its highest, as hex writes it
+    word, bit = F.expr("_at div 64"), F.expr("shiftleft(1L, CAST((7 - _at div 8 % 8) * 8 + _at % 8 AS INT))")
+    words = bits.groupBy("file", "_map", word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    found = words.groupBy("file").agg(*[
+        F.map_from_entries(F.collect_list(F.when(F.col("_map") == k, F.struct("_word", "_bits")))).alias(f"_{k}") for k in range(len(names))])
+
+    def bitmap(k):
+        filled = F.coalesce(F.col(f"_{k}"), F.create_map().cast("map<bigint,bigint>"))
+        return F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(BITMAP_BITS // 64 - 1)), lambda w: F.lpad(F.hex(F.coalesce(filled[w.cast("bigint")], F.lit(0))), 16, "0")), ""))
+    joined = ends.join(found, "file", "left")
+    return joined.select("file", "rows", *[
+        F.struct(*[F.col(f"_{c}")[x].alias(x) for x in ("lo", "hi", "nulls")], *[bitmap(names.index((c, s))).alias(f"map_{s}") for s in SEEDS]).alias(c) for c in columns])
 
 
 def _has_bit(bitmap, position):
