@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -87,3 +88,17 @@ def test_alike_texts_share_sequences(spark):
     for r in pieces:
         held[r.sequence_id].add(r.doc_id % 2)
     assert sum(len(v) == 1 for v in held.values()) >= 0.9 * len(held)
+
+
+def test_texts_are_taken_as_they_come():
+    """Texts come from an iterator, one run at a time, and keys of many texts are those of each alone."""
+    words, at = packing.WordIds(packing.TOKENIZER), []
+    texts = [b"some words of text " * 20_000] * 30
+    runs = []
+    for first, last, flat, tokens in words.batches((at.append(k), t)[1] for k, t in enumerate(texts)):
+        runs.append((first, last, len(tokens)))
+        assert len(at) == last
+    assert len(runs) > 3 and runs[0][0] == 0 and runs[-1][1] == 30 and all(n == b - a for a, b, n in runs)
+    many = [f"text {k} of many {k * k}" for k in range(3000)]
+    keys = packing.curve_keys(pa.array(many))
+    assert [int(k) for k in keys[::500]] == [int(packing.curve_keys(pa.array([t]))[0]) for t in many[::500]]

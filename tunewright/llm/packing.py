@@ -82,10 +82,12 @@ def curve_keys(column):
     """Hilbert keys of a column of texts."""
     data, ends = _text_column(column)
     n = len(column)
-    counts = np.zeros((n, BUCKETS))
+    signs = np.random.default_rng(1).choice([-1.0, 1.0], (BUCKETS, DIMENSIONS)) / np.sqrt(BUCKETS)
+    places = np.empty((n, DIMENSIONS))
     first = 0
     while first < n:  # texts of about PIECE bytes at once, a longer one alone
-        last = max(first + 1, int(np.searchsorted(ends, ends[first] + PIECE, "right")) - 1)
+        last = min(max(first + 1, int(np.searchsorted(ends, ends[first] + PIECE, "right")) - 1), first + PIECE // BUCKETS // 8)
+        counts = np.zeros((last - first, BUCKETS))
         part = data[ends[first]:ends[last]]
         if len(part) >= 4:
             wide = part.astype(np.uint32)
@@ -94,11 +96,11 @@ def curve_keys(column):
             sizes = np.diff(ends[first:last + 1])
             owner = np.repeat(np.arange(last - first), sizes)[:len(gram)]
             inside = np.arange(len(gram)) + 4 <= (ends[first + 1:last + 1] - ends[first])[owner]
-            counts[first:last] = np.bincount(owner[inside] * BUCKETS + bucket[inside], minlength=(last - first) * BUCKETS).reshape(-1, BUCKETS)
+            counts = np.bincount(owner[inside] * BUCKETS + bucket[inside], minlength=(last - first) * BUCKETS).reshape(-1, BUCKETS)
+        # BUCKETS numbers a text are kept for one piece only
+        places[first:last] = np.sqrt(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)) @ signs
         first = last
-    vector = np.sqrt(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1))
-    signs = np.random.default_rng(1).choice([-1.0, 1.0], (BUCKETS, DIMENSIONS)) / np.sqrt(BUCKETS)
-    return hilbert(((vector @ signs + 1) / 2 * ((1 << BITS) - 1)).astype(np.uint64))
+    return hilbert(((places + 1) / 2 * ((1 << BITS) - 1)).astype(np.uint64))
 
 
 def _keys(curve, other):
@@ -232,22 +234,23 @@ class WordIds:
         return np.concatenate(parts)
 
     def batches(self, texts):
-        """(first, last, flat ids, ids per text) for runs of texts of about PIECE bytes."""
-        first, size = 0, 0
+        """(first, last, flat ids, ids per text) for runs of texts of about PIECE bytes; only a run's texts are held."""
+        first, size, run = 0, 0, []
         for k, text in enumerate(texts):
             if len(text) > 2 * PIECE:
-                if k > first:
-                    yield (first, k, *self.documents(texts[first:k]))
+                if run:
+                    yield (first, k, *self.documents(run))
                 flat = self.long_text(text)
                 yield k, k + 1, flat, np.array([len(flat)])
-                first, size = k + 1, 0
+                first, size, run = k + 1, 0, []
                 continue
             size += len(text)
+            run.append(text)
             if size >= PIECE:
-                yield (first, k + 1, *self.documents(texts[first:k + 1]))
-                first, size = k + 1, 0
-        if first < len(texts):
-            yield (first, len(texts), *self.documents(texts[first:]))
+                yield (first, k + 1, *self.documents(run))
+                first, size, run = k + 1, 0, []
+        if run:
+            yield (first, first + len(run), *self.documents(run))
 
 
 def powers(n):
@@ -312,7 +315,7 @@ def _pack(path, length):
             words = words or per_process(f"words of {path}", lambda: WordIds(path))
             null = np.asarray(batch.column(0).is_null()).astype(np.int64)
             doc = np.asarray(batch.column(0).fill_null(0)).astype(np.int64)
-            texts = [t.as_py() for t in batch.column(1).cast(pa.binary())]
+            texts = (t.as_py() for t in batch.column(1).cast(pa.binary()))
             for first, last, flat, tokens in words.batches(texts):
                 whole = np.insert(flat, np.cumsum(tokens), END).astype(np.uint32)
                 out = stream.add(doc[first:last], null[first:last], whole, tokens + 1)
