@@ -102,3 +102,32 @@ def test_texts_are_taken_as_they_come():
     many = [f"text {k} of many {k * k}" for k in range(3000)]
     keys = packing.curve_keys(pa.array(many))
     assert [int(k) for k in keys[::500]] == [int(packing.curve_keys(pa.array([t]))[0]) for t in many[::500]]
+
+
+def test_runs_are_tokenised_once(tokenizer):
+    """Case and marks make no new entries, and a run that occurs again in a piece is looked up once."""
+    words = packing.WordIds(packing.TOKENIZER)
+    texts = ["Stone, stone. (STONE) stone! 12 21", "\u00c9T\u00c9 \u00e9t\u00e9: stone", "it's \u0153uvre, <|endoftext|>"]
+    flat, lengths = words.documents([t.encode() for t in texts])
+    assert flat.tolist() == [i for t in texts for i in tokenizer.encode(t, add_special_tokens=False).ids]
+    assert lengths.tolist() == [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert set(words.place) == {x.encode() for x in ["stone", ",", ".", "(", ")", "!", "1", "2", "\u00e9t\u00e9", ":", "it's", "\u0153uvre,", "<|endoftext|>"]}
+
+
+@pytest.mark.parametrize("remembered", [packing.REMEMBERED, 3])
+@pytest.mark.parametrize("known", [True, False])
+def test_any_characters(tokenizer, monkeypatch, remembered, known):
+    """Texts of odd characters have the ids of the whole text, also if the tokenizer's borders are not known."""
+    import random
+
+    if not known:
+        monkeypatch.setattr(packing, "_simple", lambda tokenizer: None)
+    words, rng = packing.WordIds(packing.TOKENIZER, remembered=remembered), random.Random(5)
+    parts = list("aZ09 \t\n\r'.,-<|>&_\u00c0\u00df\u00ff\u00d7\u00f7\u00aa\u00b5\u00a0\u0130\u0153\u0301\u2019\u2014\u6f22\x00\x1f\x7f\x85\ufb01\u212b") + [
+        "word", "Word", "'s", "'Ll", "\u00c9t", "e\u0301", "<|endoftext|>", "<|STARTOFTEXT|>", "\U0001f642", "  ", " "]
+    for _ in range(60):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(20)]
+        flat, lengths = words.documents([t.encode() for t in texts])
+        ids = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert lengths.tolist() == [len(i) for i in ids], [t for t, n, i in zip(texts, lengths, ids) if n != len(i)][:3]
+        assert flat.tolist() == [x for i in ids for x in i]

@@ -9,8 +9,10 @@ documents that share a sequence are neighbours on the curve.  What is left at a
 task's end is cut into powers of two.  So no sequence needs padding.
 
 Text is tokenised once, in the task that packs it.  Words are cut at ASCII white
-space, which the tokenizer drops and never merges across, and a bounded table
-of the worker process remembers the ids of words.
+space, which the tokenizer drops and never merges across, and plain ones at the
+tokenizer's own borders within them, for all bytes of a piece of text at once.  The
+different runs of a piece are looked up once each, and a bounded table of the worker
+process remembers the ids of runs.
 
 Defined cases: a null or empty text is the end token alone; a text of any length
 is tokenised in pieces; rows that share an id are packed each by itself; a null id
@@ -19,6 +21,7 @@ read.
 """
 
 import itertools
+import json
 import os
 import sys
 import zlib
@@ -37,8 +40,10 @@ END = 2
 TOKENIZER = "word_bpe_49k.json"
 BUCKETS, DIMENSIONS, BITS = 256, 3, 16
 PIECE = 2 << 20  # bytes of text that are looked at together
-REMEMBERED = 350_000  # words in each of two tables
-TOGETHER = 512  # new words that are tokenised as one text
+REMEMBERED = 350_000  # runs in each of two tables
+TOGETHER = 512  # new runs that are tokenised as one text
+SPACE, LETTER, DIGIT, MARK, ODD = range(5)  # kinds of bytes
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SAMPLE, MOST_SAMPLED = 200, 1_000_000  # rows looked at to place a range's border, and for all borders together
 
 
@@ -90,13 +95,12 @@ def curve_keys(column):
         counts = np.zeros((last - first, BUCKETS))
         part = data[ends[first]:ends[last]]
         if len(part) >= 4:
-            wide = part.astype(np.uint32)
-            gram = wide[:-3] | wide[1:-2] << np.uint32(8) | wide[2:-1] << np.uint32(16) | wide[3:] << np.uint32(24)
-            bucket = (gram * np.uint32(2654435761)) >> np.uint32(24)
-            sizes = np.diff(ends[first:last + 1])
-            owner = np.repeat(np.arange(last - first), sizes)[:len(gram)]
-            inside = np.arange(len(gram)) + 4 <= (ends[first + 1:last + 1] - ends[first])[owner]
-            counts = np.bincount(owner[inside] * BUCKETS + bucket[inside], minlength=(last - first) * BUCKETS).reshape(-1, BUCKETS)
+            gram = np.ndarray(len(part) - 3, "<u4", part, strides=(1,))
+            bucket = ((gram * np.uint32(2654435761)) >> np.uint32(24)).astype(np.int64)
+            at = (ends[first:last + 1] - ends[first]).tolist()
+            for k, (a, b) in enumerate(itertools.pairwise(at)):
+                if b - a >= 4:
+                    counts[k] = np.bincount(bucket[a:b - 3], minlength=BUCKETS)
         # BUCKETS numbers a text are kept for one piece only
         places[first:last] = np.sqrt(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)) @ signs
         first = last
@@ -158,8 +162,45 @@ def _taken(starts, flat, at):
     return flat[np.repeat(starts[at], lengths) + step], lengths
 
 
+def _simple(tokenizer):
+    """Of a byte-level BPE that cuts texts as SPLIT does: (the same without normalizer and SPLIT, for runs already cut and in lower case; by id, whether
+    a token ends a run); else None."""
+    from tokenizers import Tokenizer
+
+    told = json.loads(tokenizer.to_str())
+    steps = (told["normalizer"] or {}).get("normalizers", []), (told["pre_tokenizer"] or {}).get("pretokenizers", [])
+    model, byte_level = told["model"], {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+    known = ([{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+             [{"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True}, byte_level])
+    suffix = model.get("end_of_word_suffix")
+    if steps != known or not suffix or model["type"] != "BPE" or any("<|" not in t["content"] for t in told["added_tokens"]):
+        return None
+    if sum(len(t) == 1 for t in model["vocab"]) < 256 or sum(len(t) == 1 + len(suffix) and t.endswith(suffix) for t in model["vocab"]) < 256:
+        return None
+    told |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, byte_level]}}
+    last = np.zeros(max(model["vocab"].values()) + 1, bool)
+    last[[k for token, k in model["vocab"].items() if token.endswith(suffix)]] = True
+    return Tokenizer.from_str(json.dumps(told)), last
+
+
+def _kinds():
+    kinds = np.full(256, ODD, np.uint8)
+    kinds[0x21:0x7F] = MARK
+    kinds[ord("'")] = ODD
+    for (first, last), kind in ("09", DIGIT), ("az", LETTER), ("AZ", LETTER):
+        kinds[ord(first):ord(last) + 1] = kind
+    kinds[list(b" \t\n\x0b\x0c\r")] = SPACE
+    return kinds
+
+
 class WordIds:
-    """Ids of the words of texts, with two tables of words already seen: a full one becomes the old one, whose words move over when they are met again."""
+    """Ids of the words of texts, with two tables of runs already seen: a full one becomes the old one, whose runs move over when they are met again.
+
+    Where the tokenizer is known to cut words so, a run is some letters in lower
+    case, a digit, or some marks; a word with an apostrophe, a control string or a
+    character beyond ASCII and the letters of Latin-1 is one run as it is, and so is
+    any word for another tokenizer.
+    """
 
     def __init__(self, path, remembered=REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -170,6 +211,10 @@ class WordIds:
 
             path = public_tokenizers.path(path)
         self.tokenizer, self.remembered = Tokenizer.from_file(path), remembered
+        self.simple = _simple(self.tokenizer)
+        self.kinds = _kinds()
+        if self.simple is None:
+            self.kinds[self.kinds != SPACE] = ODD
         self.place, self.starts, self.flat = {}, np.zeros(1, np.int64), np.zeros(0, np.uint32)
         self._clear()
 
@@ -190,37 +235,69 @@ class WordIds:
         place = np.fromiter((o[0] for o in found.offsets), np.int64, len(found.ids))
         return np.array(found.ids, np.uint32), np.bincount(np.searchsorted(starts, place, "right") - 1, minlength=len(words))
 
-    def ids(self, words):
-        """Ids of a list of words (bytes), flat, and how many each word has."""
-        if len(self.place) > self.remembered:
-            self._clear()
-        at = np.fromiter(map(self.place.get, words, itertools.repeat(-1)), np.int64, len(words))
-        missing = np.flatnonzero(at < 0)
-        if len(missing):
-            unknown = [words[k] for k in missing]
-            new = list(dict.fromkeys(unknown))
-            place, starts, flat = self.old
-            before = np.fromiter(map(place.get, new, itertools.repeat(-1)), np.int64, len(new))
-            known = before[before >= 0]
-            if len(known):
-                self._remember([w for w, k in zip(new, before.tolist()) if k >= 0], *_taken(starts, flat, known))
-                new = [w for w, k in zip(new, before.tolist()) if k < 0]
+    def _encoded_runs(self, runs):
+        """Ids of different runs other than odd words, and how many each has: its last token says so."""
+        tokenizer, last = self.simple
+        ids = np.array(tokenizer.encode_batch_fast([b" ".join(runs).decode()], add_special_tokens=False)[0].ids, np.uint32)
+        return ids, np.diff(np.flatnonzero(last[ids]), prepend=-1)
+
+    def cut(self, data):
+        """Runs of some bytes of text: (where each starts, its number among the different ones, the different ones, which of those are odd words)."""
+        raw = np.frombuffer(data, np.uint8)
+        kind = self.kinds[raw]
+        if self.simple is not None:
+            pair = np.flatnonzero(raw[:-1] == 0xC3)
+            pair = pair[(raw[pair + 1] & 0xC0 == 0x80) & (raw[pair + 1] & 0xDF != 0x97)]  # all but the signs of times and division
+            kind[pair] = kind[pair + 1] = LETTER
+            kind[np.flatnonzero((raw[:-1] == ord("<")) & (raw[1:] == ord("|")))] = ODD
+        solid = kind != SPACE
+        before = np.concatenate([[SPACE], kind[:-1]]).astype(np.uint8)
+        odd = np.flatnonzero(kind == ODD)
+        if len(odd):
+            edges = np.flatnonzero(solid != np.concatenate([[False], solid[:-1]]))
+            begin, end = edges[::2], np.append(edges, len(raw))[1:len(edges) + 1:2]
+            whole = np.unique(np.searchsorted(begin, odd, "right") - 1)
+            size = end[whole] - begin[whole]
+            kind[np.repeat(begin[whole] - np.cumsum(size) + size, size) + np.arange(size.sum())] = ODD
+            before[1:] = kind[:-1]
+        starts = solid & ((kind != before) | (kind == DIGIT))
+        low = np.where((kind == LETTER) & (raw < 0x80), raw | 0x20, raw)
+        if self.simple is not None:
+            pair = pair[(kind[pair] == LETTER) & (raw[pair + 1] < 0x9F)] + 1
+            low[pair] = raw[pair] | 0x20
+        begin = np.flatnonzero(starts)
+        upto = np.append(np.flatnonzero(starts[solid]), np.count_nonzero(solid)).astype(np.int32)
+        runs = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(upto), pa.py_buffer(low[solid])]).dictionary_encode()
+        number = runs.indices.to_numpy(zero_copy_only=False)
+        is_odd = np.zeros(len(runs.dictionary), bool)
+        is_odd[number] = kind[begin] == ODD
+        return begin, number, runs.dictionary.to_pylist(), is_odd
+
+    def _learn(self, runs, is_odd):
+        """Runs that the table lacks, from the old table or the tokenizer."""
+        place, starts, flat = self.old
+        before = np.fromiter(map(place.get, runs, itertools.repeat(-1)), np.int64, len(runs))
+        self._remember([runs[k] for k in np.flatnonzero(before >= 0)], *_taken(starts, flat, before[before >= 0]))
+        for encoded, mine in (self._encoded, is_odd), (self._encoded_runs, ~is_odd):
+            new = [runs[k] for k in np.flatnonzero((before < 0) & mine)]
             if new:
-                flat, lengths = zip(*(self._encoded(new[k:k + TOGETHER]) for k in range(0, len(new), TOGETHER)))
+                flat, lengths = zip(*(encoded(new[k:k + TOGETHER]) for k in range(0, len(new), TOGETHER)))
                 self._remember(new, np.concatenate(flat), np.concatenate(lengths))
-            at[missing] = np.fromiter(map(self.place.__getitem__, unknown), np.int64, len(unknown))
-        return _taken(self.starts, self.flat, at)
 
     def documents(self, texts):
         """(flat ids, ids per text) of some texts (bytes)."""
-        words, counts = [], []
-        for text in texts:
-            mine = text.split()
-            words += mine
-            counts.append(len(mine))
-        flat, lengths = self.ids(words)
-        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-        return flat, np.diff(ends)
+        if len(self.place) > self.remembered:
+            self._clear()
+        begin, number, runs, is_odd = self.cut(b"\n".join(texts))
+        at = np.fromiter(map(self.place.get, runs, itertools.repeat(-1)), np.int64, len(runs))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            unknown = [runs[k] for k in missing]
+            self._learn(unknown, is_odd[missing])
+            at[missing] = np.fromiter(map(self.place.__getitem__, unknown), np.int64, len(unknown))
+        flat, lengths = _taken(self.starts, self.flat, at[number])
+        upto = np.searchsorted(begin, np.cumsum([len(t) + 1 for t in texts]))
+        return flat, np.diff(np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], upto])])
 
     def long_text(self, text, piece=PIECE):
         """Ids of one text, cut at white space into pieces of about that many bytes."""
